@@ -59,6 +59,28 @@ CTE = {
         FROM orders GROUP BY o_custkey""",
     "pizza_names": """
         SELECT * FROM (VALUES (1, 'Meatlovers'), (2, 'Vegetarian')) t(pizza_id, pizza_name)""",
+    "pizza_recipes": """
+        SELECT * FROM (VALUES (1, '1, 2, 3, 4, 5, 6, 8, 10'), (2, '4, 6, 7, 9, 11, 12')) t(pizza_id, toppings)""",
+    "pizza_toppings": """
+        SELECT * FROM (VALUES (1, 'Bacon'), (2, 'BBQ Sauce'), (3, 'Beef'), (4, 'Cheese'), (5, 'Chicken'),
+                              (6, 'Mushrooms'), (7, 'Onions'), (8, 'Pepperoni'), (9, 'Peppers'), (10, 'Salami'),
+                              (11, 'Tomatoes'), (12, 'Tomato Sauce')) t(topping_id, topping_name)""",
+    # one row per (pizza row, listed id, position) for extras / exclusions and recipes
+    "extra_items": """
+        SELECT order_id, line_no, pizza_id, pos, CAST(trim(x) AS INTEGER) AS topping_id FROM (
+          SELECT order_id, line_no, pizza_id, unnest(string_split(extras, ',')) AS x,
+                 generate_subscripts(string_split(extras, ','), 1) AS pos
+          FROM co WHERE extras IS NOT NULL) u""",
+    "exclusion_items": """
+        SELECT order_id, line_no, pizza_id, pos, CAST(trim(x) AS INTEGER) AS topping_id FROM (
+          SELECT order_id, line_no, pizza_id, unnest(string_split(exclusions, ',')) AS x,
+                 generate_subscripts(string_split(exclusions, ','), 1) AS pos
+          FROM co WHERE exclusions IS NOT NULL) u""",
+    "recipe_items": """
+        SELECT pizza_id, CAST(trim(x) AS INTEGER) AS topping_id FROM (
+          SELECT pizza_id, unnest(string_split(toppings, ',')) AS x FROM pizza_recipes) u""",
+    "delivered": """
+        SELECT co.* FROM co JOIN ro ON co.order_id = ro.order_id WHERE ro.cancellation IS NULL""",
     "plans": """
         SELECT * FROM (VALUES (0, 'trial', CAST(0 AS DECIMAL(5,2))),
                               (1, 'basic monthly', CAST(9.90 AS DECIMAL(5,2))),
@@ -106,6 +128,10 @@ DEPENDS = {
     "co": ["co_raw"],
     "ro": ["ro_raw"],
     "rot": ["ro"],
+    "extra_items": ["co"],
+    "exclusion_items": ["co"],
+    "recipe_items": ["pizza_recipes"],
+    "delivered": ["co", "ro"],
 }
 
 

@@ -53,8 +53,14 @@ PLAN_ROWS = [
     (4, "churn", None),
 ]
 
-# The two pizzas of the delivery case study.
+# The two pizzas of the delivery case study, their standard
+# toppings (comma-separated topping ids) and the twelve toppings.
 PIZZA_NAME_ROWS = [(1, "Meatlovers"), (2, "Vegetarian")]
+PIZZA_RECIPE_ROWS = [(1, "1, 2, 3, 4, 5, 6, 8, 10"), (2, "4, 6, 7, 9, 11, 12")]
+PIZZA_TOPPING_ROWS = [
+    (1, "Bacon"), (2, "BBQ Sauce"), (3, "Beef"), (4, "Cheese"), (5, "Chicken"), (6, "Mushrooms"),
+    (7, "Onions"), (8, "Pepperoni"), (9, "Peppers"), (10, "Salami"), (11, "Tomatoes"), (12, "Tomato Sauce"),
+]
 
 
 def _order_time(o: DataFrame) -> F.Column:
@@ -157,7 +163,7 @@ def runner_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     nul = F.lit("null")
     return o.select(
         k.alias("order_id"),
-        ((k / 30).cast("bigint") % 100).alias("runner_id"),
+        (F.expr("o_orderkey div 30") % 100).alias("runner_id"),
         F.when(cancelled, nul).otherwise(pickup).alias("pickup_time"),
         F.when(cancelled, nul).otherwise(distance).alias("distance"),
         F.when(cancelled, nul).otherwise(duration).alias("duration"),
@@ -176,6 +182,14 @@ def pizza_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PIZZA_NAME_ROWS, schemas.PIZZA_NAMES)
 
 
+def pizza_recipes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PIZZA_RECIPE_ROWS, schemas.PIZZA_RECIPES)
+
+
+def pizza_toppings(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PIZZA_TOPPING_ROWS, schemas.PIZZA_TOPPINGS)
+
+
 # ---------------------------------------------------------------------------
 # subscriptions
 # ---------------------------------------------------------------------------

@@ -44,6 +44,17 @@ def _canon(cols, rows):
     return names, out
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date",
+                  "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
+def duck_type(t: str) -> str:
+    t = str(t)
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return _DUCK_TO_SPARK.get(t, t)
+
+
 def compare(spark, con, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
@@ -59,8 +70,9 @@ def compare(spark, con, fn, sql, sf_dir):
         "names_match": s_names == d_names,
         "values_match": s_vals == d_vals,
         "spark_types": dict(sdf.dtypes),
-        "oracle_types": dict(zip(d_cols, [str(t) for t in rel.types])),
+        "oracle_types": dict(zip(d_cols, [duck_type(t) for t in rel.types])),
     }
+    report["types_match"] = report["spark_types"] == report["oracle_types"]
     if not report["values_match"]:
         s_set, d_set = set(s_vals), set(d_vals)
         report["only_spark"] = sorted(s_set - d_set)[:5]

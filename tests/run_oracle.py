@@ -39,6 +39,8 @@ def main() -> int:
             continue
         ok = r["names_match"] and r["values_match"]
         bad += not ok
+        if ok and not r["types_match"]:
+            print(f"{name:32s} TYPES spark {r['spark_types']}\n{'':32s}       duck  {r['oracle_types']}")
         types = "" if ok else f"\n   spark {r['spark_types']}\n   duck  {r['oracle_types']}"
         diff = "" if ok else f"\n   only_spark {r.get('only_spark')}\n   only_oracle {r.get('only_oracle')}"
         print(f"{name:32s} {'OK ' if ok else 'BAD'} rows {r['spark_rows']}/{r['oracle_rows']} "
