@@ -1,0 +1,115 @@
+"""Delivery cleaning and metrics on the synthetic rows of conftest (goldens by hand)."""
+
+import datetime as dt
+from decimal import Decimal
+
+from conftest import rows
+
+from casebook.operators import delivery as P
+
+M, V = "Meatlovers", "Vegetarian"
+
+
+def clean(pizza):
+    co = P.clean_customer_orders(pizza["co"])
+    ro = P.clean_runner_orders(pizza["ro"])
+    return co, ro, P.typed_runner_orders(ro)
+
+
+def test_c1_sentinels(pizza):
+    co, _, _ = clean(pizza)
+    got = rows(co, "order_id", "exclusions", "extras")
+    assert got[:4] == [(1, None, None), (2, None, None), (3, None, None), (3, "4", None)]
+    assert (4, "2, 6", "1, 4") in got
+
+
+def test_c2_text_forms(pizza):
+    _, ro, _ = clean(pizza)
+    got = {r.order_id: (r.pickup_time, r.distance, r.duration, r.cancellation) for r in ro.collect()}
+    assert got[1] == ("2021-01-01 18:15:00", "20", "32 ", None)
+    assert got[2] == ("2021-01-01 19:10:00", "20", "27", None)
+    assert got[3] == ("2021-01-03 00:12:00", "13.4 ", "20 ", None)   # trim is a character set
+    assert got[4] == ("2021-01-04 14:35:00", "23.4", "40", None)
+    assert got[5] == ("2021-01-08 21:10:00", "10", "15 ", None)
+    assert got[6] == (None, None, None, "Customer Cancellation")
+
+
+def test_c2_typed(pizza):
+    _, _, rot = clean(pizza)
+    got = {r.order_id: (r.pickup_time, r.distance, r.duration) for r in rot.collect()}
+    assert got[3] == (dt.datetime(2021, 1, 3, 0, 12), Decimal("13.40"), Decimal("20.00"))
+    assert got[6] == (None, None, None)
+
+
+def test_part_a(pizza):
+    co, ro, _ = clean(pizza)
+    names = pizza["names"]
+    assert rows(P.pizza_count(co)) == [(10,)]
+    assert rows(P.order_count(co)) == [(7,)]
+    assert rows(P.delivered_per_runner(ro)) == [(1, 2), (2, 2), (3, 2)]
+    assert rows(P.delivered_by_type(co, ro, names)) == [(M, 5), (V, 3)]
+    assert rows(P.ordered_by_customer_type(co, names)) == [
+        (101, M, 2), (101, V, 1), (102, M, 1), (102, V, 2), (103, M, 2), (103, V, 1), (105, M, 1),
+    ]
+    assert rows(P.pizzas_per_order(co, ro)) == [(1, 1), (2, 1), (3, 2), (4, 3), (5, 1)]
+    assert rows(P.pizzas_per_order(co, ro, top=1)) == [(4, 3)]
+    assert rows(P.change_profile(co, ro)) == [(101, 0, 2), (102, 2, 1), (103, 2, 1)]
+    assert rows(P.both_changes(co, ro)) == [(2,)]
+    assert rows(P.orders_by_hour(co)) == [(10, 1), (11, 1), (13, 3), (18, 1), (19, 1), (21, 1), (23, 2)]
+    assert rows(P.orders_by_weekday(co)) == [("Friday   ", 3), ("Monday   ", 3), ("Saturday ", 3), ("Sunday   ", 1)]
+    assert rows(P.orders_by_weekday(co, pad=False))[0] == ("Friday", 3)
+
+
+def test_both_changes_null_on_empty(pizza, spark):
+    co, ro, _ = clean(pizza)
+    assert rows(P.both_changes(co.where("order_id = 6"), ro)) == [(None,)]
+
+
+def test_r1_weeks_from_jan_first(pizza):
+    assert rows(P.signups_per_week(pizza["runners"])) == [(1, 2), (2, 1), (3, 1), (53, 1)]
+
+
+def test_r2_minute_field_and_total(pizza):
+    co, _, rot = clean(pizza)
+    assert rows(P.avg_pickup_minutes(co, rot)) == [(1, Decimal("10.00")), (2, Decimal("18.50")), (3, Decimal("10.00"))]
+    assert rows(P.avg_pickup_minutes(co, rot, mode="total"))[1] == (2, Decimal("48.50"))
+
+
+def test_r3_prep_by_size(pizza):
+    co, _, rot = clean(pizza)
+    assert rows(P.prep_time_by_size(co, rot)) == [(1, Decimal("10.00")), (2, Decimal("22.00")), (3, Decimal("15.00"))]
+
+
+def test_r4_weighting(pizza):
+    co, _, rot = clean(pizza)
+    assert rows(P.avg_distance(co, rot)) == [(101, Decimal("20.00")), (102, Decimal("12.27")), (103, Decimal("23.40"))]
+    assert rows(P.avg_distance(co, rot, weight="order"))[1] == (102, Decimal("11.70"))
+
+
+def test_r5_spread(pizza):
+    _, _, rot = clean(pizza)
+    assert rows(P.duration_spread(rot)) == [(Decimal("40.00"), Decimal("12.00"), Decimal("28.00"))]
+
+
+def test_r6_speed(pizza):
+    co, ro, _ = clean(pizza)
+    ref = rows(P.delivery_speed(co, ro, factor=2), "order_id", "pizza_ordered", "avg_speed")
+    assert ref == [(1, 1, Decimal("1.25")), (2, 1, Decimal("1.48")), (3, 2, Decimal("1.34")),
+                   (4, 3, Decimal("1.17")), (5, 1, Decimal("1.33"))]
+    kmh = rows(P.delivery_speed(co, ro), "order_id", "avg_speed")
+    assert kmh == [(1, Decimal("37.50")), (2, Decimal("44.44")), (3, Decimal("40.20")),
+                   (4, Decimal("35.10")), (5, Decimal("40.00"))]
+    # the text columns are printed as cleaned
+    assert rows(P.delivery_speed(co, ro), "order_id", "distance")[2] == (3, "13.4 ")
+
+
+def test_r7_truncated_percentage(pizza):
+    _, ro, _ = clean(pizza)
+    assert rows(P.success_rate(ro)) == [(1, 2, 2, 100), (2, 2, 2, 100), (3, 3, 2, 66), (4, 1, 0, 0)]
+
+
+def test_metamorphic_change_profile_sums_to_delivered(pizza):
+    co, ro, _ = clean(pizza)
+    total = sum(r.at_least_1_change + r.no_change for r in P.change_profile(co, ro).collect())
+    delivered = sum(r.pizza_count for r in P.delivered_by_type(co, ro, pizza["names"]).collect())
+    assert total == delivered == 8

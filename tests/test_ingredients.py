@@ -1,0 +1,106 @@
+"""Ingredient, pricing and ratings operators on the synthetic delivery rows."""
+
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+
+from casebook.operators import delivery as P
+from casebook.operators import ingredients as X
+
+
+def _co_with_line(pizza):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    co = P.clean_customer_orders(pizza["co"])
+    # a stable row id for the fixture: position within the order by content
+    w = Window.partitionBy("order_id").orderBy("pizza_id", "exclusions", "extras")
+    return co.withColumn("line_no", F.row_number().over(w))
+
+
+def test_x1_standard_ingredients(pizza):
+    got = rows(X.standard_ingredients(pizza["names"], pizza["recipes"], pizza["toppings"]))
+    assert got == [
+        (1, "Meatlovers", "BBQ Sauce, Bacon, Beef, Cheese, Chicken, Mushrooms, Pepperoni, Salami"),
+        (2, "Vegetarian", "Cheese, Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes"),
+    ]
+
+
+def test_x2_x3_frequency(pizza):
+    co = P.clean_customer_orders(pizza["co"])
+    assert rows(X.topping_frequency(co, pizza["toppings"], "extras")) == [(1, "Bacon", 3), (4, "Cheese", 1),
+                                                                          (5, "Chicken", 1)]
+    assert rows(X.topping_frequency(co, pizza["toppings"], "extras", top=1)) == [(1, "Bacon", 3)]
+    assert rows(X.topping_frequency(co, pizza["toppings"], "exclusions", top=1)) == [(4, "Cheese", 2)]
+
+
+def test_x4_labels(pizza):
+    co = _co_with_line(pizza)
+    got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"]).collect()}
+    assert "Meatlovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese" in got
+    assert "Meatlovers - Exclude Cheese - Extra Bacon, Chicken" in got
+    assert "Vegetarian - Exclude Cheese" in got
+    assert "Vegetarian - Extra Bacon" in got
+    assert "Meatlovers" in got
+    assert X.order_item_labels(co, pizza["names"], pizza["toppings"]).count() == 10
+
+
+def test_x5_ingredient_lists(pizza):
+    co = _co_with_line(pizza)
+    got = {r.ingredients for r in X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"]).collect()}
+    assert "Meatlovers: BBQ Sauce, 2xBacon, Beef, 2xChicken, Mushrooms, Pepperoni, Salami" in got
+    assert "Meatlovers: 2xBacon, Beef, 2xCheese, Chicken, Pepperoni, Salami" in got
+    assert "Vegetarian: Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes" in got
+
+
+def test_x6_totals_equal_sum_of_lists(pizza):
+    co = P.clean_customer_orders(pizza["co"])
+    ro = P.clean_runner_orders(pizza["ro"])
+    got = rows(X.ingredient_totals(co, ro, pizza["recipes"], pizza["toppings"]), "topping_id", "quantity")
+    assert got == [(1, 8), (2, 4), (3, 5), (4, 7), (5, 6), (6, 7), (7, 3), (8, 5), (9, 3), (10, 5), (11, 3), (12, 3)]
+    # same as counting the per-pizza lists of delivered rows
+    lined = _co_with_line(pizza)
+    delivered = X.delivered_pizzas(lined, ro)
+    per_row = X._ingredient_counts(delivered, pizza["recipes"], ["order_id", "line_no"])
+    summed = rows(per_row.groupBy("topping_id").sum("qty"))
+    assert summed == got
+
+
+def test_x7_x10_money(pizza):
+    co = P.clean_customer_orders(pizza["co"])
+    ro = P.clean_runner_orders(pizza["ro"])
+    assert rows(X.revenue(co, ro)) == [(Decimal("90.00"),)]
+    assert rows(X.revenue(co, ro, extra_price=X.EXTRA_PRICE)) == [(Decimal("95.00"),)]
+    net = rows(X.net_after_runner_pay(co, P.typed_runner_orders(ro)))
+    assert net == [(Decimal("90.00"), Decimal("27.54"), Decimal("62.46"))]
+
+
+def test_x8_x9_ratings_and_facts(pizza, tmp_path, spark):
+    ro = P.clean_runner_orders(pizza["ro"])
+    r = X.ratings(ro)
+    got = rows(r)
+    assert [g[0] for g in got] == [1, 2, 3, 4, 5, 8]
+    assert all(1 <= g[2] <= 5 for g in got)
+    X.write_ratings(r, str(tmp_path / "ratings"))
+    assert rows(spark.read.parquet(str(tmp_path / "ratings"))) == got
+    facts = X.delivery_facts(P.clean_customer_orders(pizza["co"]), P.typed_runner_orders(ro), r)
+    f = {x.order_id: x for x in facts.collect()}
+    assert sorted(f) == [1, 2, 3, 4, 5]
+    assert (f[4].total_pizzas, f[4].minutes_to_pickup, f[4].avg_speed) == (3, 75, Decimal("35.10"))
+
+
+def test_x8_rating_out_of_range_fails(pizza):
+    from pyspark.sql import functions as F
+
+    ro = P.clean_runner_orders(pizza["ro"])
+    with pytest.raises(Exception):
+        X.ratings(ro, rule=F.lit(9)).collect()
+
+
+def test_x11_add_pizza(pizza):
+    names, recipes = X.add_pizza(pizza["names"], pizza["recipes"], pizza["toppings"], 3, "Supreme")
+    assert rows(names)[-1] == (3, "Supreme")
+    assert rows(recipes)[-1] == (3, "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12")
+    std = rows(X.standard_ingredients(names, recipes, pizza["toppings"]))
+    assert std[-1][2].count(",") == 11
