@@ -9,9 +9,9 @@ Percentages are "of all customers": a scalar subquery
 (``DataFrame.scalar()``), evaluated once, as in the reference - never a
 cross join.  Per-customer questions are grouped aggregates (``max_by``,
 conditional ``min``/``count``) rather than windows wherever the semantics
-allow, so a hot customer is combined map-side; the windows that remain are
-bounded by ``WindowGroupLimit`` (row 2 after trial) or run over one row per
-customer-day (transitions).
+allow, so a hot customer is combined map-side; the window that remains (row
+2 after trial) is bounded by ``WindowGroupLimit``, and the next-row question
+(transitions) is range-partitioned so a long history is split over tasks.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.expr import days_between, int_div, round_ratio, year_range
+from casebook.operators.sequence import next_in_group
 
 
 def _as_date(d) -> _dt.date:
@@ -234,7 +235,7 @@ def days_to_plan_histogram(subs: DataFrame, from_plan: int = 0, to_plan: int = 3
 
 # S11 ------------------------------------------------------------------------
 def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int | None = 2020,
-                filter_first: bool = True, tiebreak: str | None = None) -> DataFrame:
+                filter_first: bool = True, tiebreak: str | None = None, method: str = "range") -> DataFrame:
     """Rows of ``from_plan`` whose next row (by date, then ``tiebreak``) is
     ``to_plan`` - ``LEAD(plan_id)`` per customer.
 
@@ -242,13 +243,24 @@ def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int
     row, as the reference does, so a December -> January change is missed
     (Q-18); ``False`` takes the next row over all history and then counts the
     ``from_plan`` rows that start in ``year``.
+
+    ``method='range'`` (default) finds the next row with
+    ``sequence.next_in_group``, which splits a customer with a huge history
+    over many tasks; ``'window'`` is the plain ``lead`` window, which sorts
+    each customer's whole history in one task.
     """
     rows = subs
     if year is not None and filter_first:
         rows = rows.where(year_range("start_date", year))
-    order = [F.col("start_date")] + ([F.col(tiebreak)] if tiebreak else [F.col("plan_id")])
-    w = Window.partitionBy("customer_id").orderBy(*order)
-    nxt = rows.withColumn("_next", F.lead("plan_id").over(w))
+    order = ["start_date", tiebreak or "plan_id"]
+    if method == "range":
+        cols = list(dict.fromkeys(["customer_id", "plan_id", *order]))
+        nxt = next_in_group(rows.select(*cols), "customer_id", order, "plan_id", out="_next")
+    elif method == "window":
+        w = Window.partitionBy("customer_id").orderBy(*order)
+        nxt = rows.withColumn("_next", F.lead("plan_id").over(w))
+    else:
+        raise ValueError("method must be 'range' or 'window'")
     hit = (F.col("plan_id") == from_plan) & (F.col("_next") == to_plan)
     if year is not None and not filter_first:
         hit = hit & year_range("start_date", year)
