@@ -8,10 +8,10 @@ NULL), the cleaned typed ``runner_orders``, and the small dimensions
 and ``pizza_toppings(topping_id, topping_name)``.
 
 Lists inside a text cell are parsed with ``split`` and exploded, so every step
-is a join or an aggregate Spark distributes; a per-pizza label is rebuilt with
-one grouped ``collect_list`` keyed by the pizza row (a handful of rows per
-key).  Totals are pre-aggregated per pizza type or topping before they are
-combined, so they never re-shuffle the pizza rows.
+is a join or an aggregate Spark distributes.  Per-pizza labels are built once
+per distinct (pizza, exclusions, extras) combination and joined back; totals
+are pre-aggregated per pizza type or topping before they are combined, so the
+pizza rows are never exploded or regrouped.
 """
 
 from __future__ import annotations
@@ -68,66 +68,91 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
     return named.orderBy(F.desc("times"), F.asc("topping_id")).limit(top)
 
 
-# X4 -------------------------------------------------------------------------
-def _named_list(co: DataFrame, column: str, row_id: Sequence[str], toppings: DataFrame, out: str) -> DataFrame:
-    # names of the listed toppings, in list order, one row per pizza row
-    items = _exploded(co, column, row_id).join(toppings, on="topping_id")
-    return items.groupBy(*row_id).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("_pos", "topping_name"))), lambda s: s["topping_name"]),
-            ", ",
-        ).alias(out)
+# X4 / X5 ----------------------------------------------------------------------
+# A label depends only on (pizza_id, exclusions, extras).  Labels are built once
+# per distinct combination - a partial-aggregated ``distinct`` whose output is
+# as small as the menu's combinatorics - and attached to every pizza row by a
+# null-safe equi-join (broadcast when small, AQE splits a hot combination
+# otherwise).  The pizza rows themselves are never exploded or regrouped.
+COMBO = ("pizza_id", "exclusions", "extras")
+
+
+def _combos(co: DataFrame) -> DataFrame:
+    return co.select(*COMBO).distinct()
+
+
+def _attach(co: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label))
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in COMBO]
+    return co.join(lab, on=cond, how="left").drop(*[f"_k_{c}" for c in COMBO])
+
+
+def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``'Meatlovers - Exclude Cheese, Bacon - Extra Mushrooms, Peppers'`` for
+    every pizza row; names keep the order of the ids in the cell."""
+    combos = _combos(co)
+    listed = combos.select(
+        *COMBO,
+        F.explode(F.concat(
+            F.transform(F.coalesce(topping_ids("exclusions"), F.array()), lambda x, i: F.struct(
+                F.lit(0).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
+            F.transform(F.coalesce(topping_ids("extras"), F.array()), lambda x, i: F.struct(
+                F.lit(1).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
+        )).alias("_i"),
+    ).select(*COMBO, "_i.*").join(toppings, on="topping_id")
+    parts = listed.groupBy(*COMBO).agg(
+        F.array_sort(F.collect_list(F.struct("kind", "pos", "topping_name"))).alias("_l")
     )
 
-
-def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
-                      row_id: Sequence[str] = ("order_id", "line_no")) -> DataFrame:
-    """``'Meatlovers - Exclude Cheese, Bacon - Extra Mushrooms, Peppers'`` per
-    pizza row; names keep the order of the ids in the cell.  ``row_id``
-    identifies a pizza row (the cleaned table has true duplicate rows)."""
-    row_id = list(row_id)
-    exc = _named_list(co, "exclusions", row_id, toppings, "_exc")
-    ext = _named_list(co, "extras", row_id, toppings, "_ext")
-    rows = co.join(names, on="pizza_id").join(exc, on=row_id, how="left").join(ext, on=row_id, how="left")
-    label = F.concat_ws(
-        " - ",
-        F.col("pizza_name"),
-        F.when(F.col("_exc").isNotNull(), F.concat(F.lit("Exclude "), F.col("_exc"))),
-        F.when(F.col("_ext").isNotNull(), F.concat(F.lit("Extra "), F.col("_ext"))),
+    def names_of(kind: int) -> Column:
+        picked = F.filter(F.col("_l"), lambda x: x["kind"] == kind)
+        return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda x: x["topping_name"]), ", "))
+
+    # combinations without any listed topping have no row in ``parts``
+    labelled = _attach(combos.join(names, on="pizza_id"), parts, "_l")
+    labels = labelled.select(
+        *COMBO,
+        F.concat_ws(
+            " - ",
+            F.col("pizza_name"),
+            F.when(names_of(0).isNotNull(), F.concat(F.lit("Exclude "), names_of(0))),
+            F.when(names_of(1).isNotNull(), F.concat(F.lit("Extra "), names_of(1))),
+        ).alias("order_item"),
     )
-    return rows.select(*row_id, "customer_id", "pizza_id", label.alias("order_item"))
-
-
-# X5 / X6 ----------------------------------------------------------------------
-def _ingredient_counts(co: DataFrame, recipes: DataFrame, row_id: Sequence[str]) -> DataFrame:
-    """(row, topping, quantity): recipe toppings not excluded count 1, every
-    listed extra counts 1 more."""
-    row_id = list(row_id)
-    base = co.select(*row_id, "pizza_id").join(recipe_items(recipes), on="pizza_id").select(*row_id, "topping_id")
-    excluded = _exploded(co, "exclusions", row_id, distinct=True).select(*row_id, "topping_id")
-    kept = base.join(excluded, on=[*row_id, "topping_id"], how="left_anti")
-    extras = _exploded(co, "extras", row_id).select(*row_id, "topping_id")
-    return kept.unionByName(extras).groupBy(*row_id, "topping_id").agg(F.count(F.lit(1)).alias("qty"))
-
-
-def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame,
-                     row_id: Sequence[str] = ("order_id", "line_no")) -> DataFrame:
-    """``'Meatlovers: 2xBacon, Beef, ..., Salami'`` per pizza row: alphabetical,
-    ``Nx`` in front of an ingredient used N > 1 times."""
-    row_id = list(row_id)
-    counts = _ingredient_counts(co, recipes, row_id).join(toppings, on="topping_id")
+    return _attach(co, labels, "order_item")
+
+
+def _ingredient_counts(combos: DataFrame, recipes: DataFrame) -> DataFrame:
+    """(combination, topping, quantity): recipe toppings not excluded count 1,
+    every listed extra counts 1 more."""
+    recipe = recipe_items(recipes).groupBy("pizza_id").agg(F.collect_list("topping_id").alias("_recipe"))
+    kept = F.array_except(F.col("_recipe"), F.coalesce(topping_ids("exclusions"), F.array()))
+    used = F.concat(kept, F.coalesce(topping_ids("extras"), F.array().cast("array<int>")))
+    items = combos.join(recipe, on="pizza_id", how="left").select(
+        *COMBO, F.explode(F.coalesce(used, F.array().cast("array<int>"))).alias("topping_id")
+    ).where(F.col("topping_id").isNotNull())
+    return items.groupBy(*COMBO, "topping_id").agg(F.count(F.lit(1)).alias("qty"))
+
+
+def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``'Meatlovers: 2xBacon, Beef, ..., Salami'`` for every pizza row:
+    alphabetical, ``Nx`` in front of an ingredient used N > 1 times."""
+    combos = _combos(co)
+    counts = _ingredient_counts(combos, recipes).join(toppings, on="topping_id")
     item = F.when(F.col("qty") > 1, F.concat(F.col("qty").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
         F.col("topping_name")
     )
-    lists = counts.groupBy(*row_id).agg(
+    lists = counts.groupBy(*COMBO).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct(F.col("topping_name"), item.alias("i")))), lambda s: s["i"]),
             ", ",
         ).alias("_items")
     )
-    rows = co.join(names, on="pizza_id").join(lists, on=row_id, how="left")
-    text = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_items"), F.lit("")))
-    return rows.select(*row_id, "customer_id", "pizza_id", text.alias("ingredients"))
+    labelled = _attach(combos.join(names, on="pizza_id"), lists, "_items")
+    labels = labelled.select(
+        *COMBO, F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_items"), F.lit(""))).alias("ingredients")
+    )
+    return _attach(co, labels, "ingredients")
 
 
 def delivered_pizzas(co: DataFrame, ro: DataFrame) -> DataFrame:

@@ -59,11 +59,14 @@ def test_x6_totals_equal_sum_of_lists(pizza):
     ro = P.clean_runner_orders(pizza["ro"])
     got = rows(X.ingredient_totals(co, ro, pizza["recipes"], pizza["toppings"]), "topping_id", "quantity")
     assert got == [(1, 8), (2, 4), (3, 5), (4, 7), (5, 6), (6, 7), (7, 3), (8, 5), (9, 3), (10, 5), (11, 3), (12, 3)]
-    # same as counting the per-pizza lists of delivered rows
-    lined = _co_with_line(pizza)
-    delivered = X.delivered_pizzas(lined, ro)
-    per_row = X._ingredient_counts(delivered, pizza["recipes"], ["order_id", "line_no"])
-    summed = rows(per_row.groupBy("topping_id").sum("qty"))
+    # same as adding up the per-pizza quantities of the delivered rows
+    from pyspark.sql import functions as F
+
+    delivered = X.delivered_pizzas(co, ro)
+    per_combo = X._ingredient_counts(X._combos(delivered), pizza["recipes"]).select(
+        *[F.col(c).alias("_" + c) for c in X.COMBO], "topping_id", "qty")
+    cond = [F.col(c).eqNullSafe(F.col("_" + c)) for c in X.COMBO]
+    summed = rows(delivered.join(per_combo, cond).groupBy("topping_id").agg(F.sum("qty")))
     assert summed == got
 
 
