@@ -101,14 +101,20 @@ def delivered_per_runner(ro: DataFrame) -> DataFrame:
 
 def delivered_by_type(co: DataFrame, ro: DataFrame, names: DataFrame) -> DataFrame:
     """Delivered pizzas per pizza name."""
-    rows = co.join(_delivered(ro).select("order_id"), on="order_id").join(names, on="pizza_id")
-    return rows.groupBy("pizza_name").agg(F.count("pizza_id").alias("pizza_count"))
+    per_type = co.join(_delivered(ro).select("order_id"), on="order_id").groupBy("pizza_id").agg(
+        F.count("pizza_id").alias("_n")
+    )
+    # names are joined to one row per pizza type, never to the pizza rows
+    return per_type.join(names, on="pizza_id").groupBy("pizza_name").agg(
+        F.sum("_n").cast("bigint").alias("pizza_count")
+    )
 
 
 def ordered_by_customer_type(co: DataFrame, names: DataFrame) -> DataFrame:
     """Pizzas *ordered* per customer and pizza name."""
-    return co.join(names, on="pizza_id").groupBy("customer_id", "pizza_name").agg(
-        F.count("pizza_id").alias("pizza_count")
+    per_type = co.groupBy("customer_id", "pizza_id").agg(F.count("pizza_id").alias("_n"))
+    return per_type.join(names, on="pizza_id").groupBy("customer_id", "pizza_name").agg(
+        F.sum("_n").cast("bigint").alias("pizza_count")
     )
 
 

@@ -7,11 +7,12 @@ NULL), the cleaned typed ``runner_orders``, and the small dimensions
 ``pizza_names(pizza_id, pizza_name)``, ``pizza_recipes(pizza_id, toppings)``
 and ``pizza_toppings(topping_id, topping_name)``.
 
-Lists inside a text cell are parsed with ``split`` and exploded, so every step
-is a join or an aggregate Spark distributes.  Per-pizza labels are built once
-per distinct (pizza, exclusions, extras) combination and joined back; totals
-are pre-aggregated per pizza type or topping before they are combined, so the
-pizza rows are never exploded or regrouped.
+Lists inside a text cell are parsed with ``split``.  Per-pizza labels are
+computed inside each row from id -> name maps of the (row-count checked) pizza
+dimensions, so the pizza rows are never shuffled; past the bound they are
+built once per distinct (pizza, exclusions, extras) combination and joined
+back.  Totals are pre-aggregated per pizza type or topping before they are
+combined, so the pizza rows are never exploded or regrouped.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 def topping_ids(text: str | Column) -> Column:
     """``'1, 5'`` -> ``[1, 5]`` (NULL stays NULL; blanks around ids ignored)."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.transform(F.split(c, ","), lambda x: F.trim(x).cast("int"))
+    return F.transform(F.split(c, ","), lambda x: F.trim(x).try_cast("int"))
 
 
 def _exploded(df: DataFrame, list_col: str, keep: Sequence[str], distinct: bool = False) -> DataFrame:
@@ -69,12 +70,31 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
 
 
 # X4 / X5 ----------------------------------------------------------------------
-# A label depends only on (pizza_id, exclusions, extras).  Labels are built once
-# per distinct combination - a partial-aggregated ``distinct`` whose output is
-# as small as the menu's combinatorics - and attached to every pizza row by a
-# null-safe equi-join (broadcast when small, AQE splits a hot combination
-# otherwise).  The pizza rows themselves are never exploded or regrouped.
+# A label depends on the pizza row's own cells and on the small pizza
+# dimensions.  When those dimensions pass a row-count check they are turned
+# into id -> value maps by scalar subqueries (evaluated once, shipped with the
+# plan), and every label is computed inside its row with higher-order
+# functions: no join, no shuffle of the pizza rows.  Beyond the bound, labels
+# are built once per distinct (pizza, exclusions, extras) combination and
+# attached with a null-safe equi-join.
 COMBO = ("pizza_id", "exclusions", "extras")
+MAX_DIMENSION_ROWS = 10_000
+
+
+def dimension_map(df: DataFrame, key: str, value: Column | str, max_rows: int = MAX_DIMENSION_ROWS) -> Column | None:
+    """``map(key -> value)`` of a dimension as a scalar-subquery column, or
+    None when the dimension has more than ``max_rows`` rows or repeats a key
+    (one small aggregate job checks both)."""
+    value = F.col(value) if isinstance(value, str) else value
+    n, keys = df.agg(F.count(F.lit(1)), F.countDistinct(key)).first()
+    if n > max_rows or n != keys:
+        return None
+    return df.select(F.map_from_entries(F.collect_list(F.struct(F.col(key), value)))).scalar()
+
+
+def _lookup(m: Column, ids: Column) -> Column:
+    """Known ids of ``ids`` mapped through ``m`` (unknown ids dropped, as an inner join drops them)."""
+    return F.filter(F.transform(ids, lambda x: F.try_element_at(m, x)), lambda v: v.isNotNull())
 
 
 def _combos(co: DataFrame) -> DataFrame:
@@ -87,9 +107,34 @@ def _attach(co: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return co.join(lab, on=cond, how="left").drop(*[f"_k_{c}" for c in COMBO])
 
 
-def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+def _item_label(name: Column, exc: Column, ext: Column) -> Column:
+    return F.when(name.isNotNull(), F.concat_ws(
+        " - ", name,
+        F.when(exc.isNotNull(), F.concat(F.lit("Exclude "), exc)),
+        F.when(ext.isNotNull(), F.concat(F.lit("Extra "), ext)),
+    ))
+
+
+def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
+                      max_dimension_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
     """``'Meatlovers - Exclude Cheese, Bacon - Extra Mushrooms, Peppers'`` for
     every pizza row; names keep the order of the ids in the cell."""
+    tmap = dimension_map(toppings, "topping_id", "topping_name", max_dimension_rows)
+    nmap = dimension_map(names, "pizza_id", "pizza_name", max_dimension_rows) if tmap is not None else None
+    if nmap is not None:
+        # the maps are projected first: lambdas may reference columns, not subqueries
+        t = F.col("_tmap")
+
+        def listed(c):
+            found = _lookup(t, F.coalesce(topping_ids(c), F.array().cast("array<int>")))
+            return F.when(F.size(found) > 0, F.array_join(found, ", "))
+
+        with_maps = co.withColumns({"_tmap": tmap, "_nmap": nmap})
+        return with_maps.withColumn(
+            "order_item", _item_label(F.try_element_at(F.col("_nmap"), F.col("pizza_id")),
+                                      listed("exclusions"), listed("extras"))
+        ).drop("_tmap", "_nmap")
+
     combos = _combos(co)
     listed = combos.select(
         *COMBO,
@@ -110,33 +155,58 @@ def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame) -> D
 
     # combinations without any listed topping have no row in ``parts``
     labelled = _attach(combos.join(names, on="pizza_id"), parts, "_l")
-    labels = labelled.select(
-        *COMBO,
-        F.concat_ws(
-            " - ",
-            F.col("pizza_name"),
-            F.when(names_of(0).isNotNull(), F.concat(F.lit("Exclude "), names_of(0))),
-            F.when(names_of(1).isNotNull(), F.concat(F.lit("Extra "), names_of(1))),
-        ).alias("order_item"),
-    )
+    labels = labelled.select(*COMBO, _item_label(F.col("pizza_name"), names_of(0), names_of(1)).alias("order_item"))
     return _attach(co, labels, "order_item")
 
 
+def _used_toppings(recipe: Column) -> Column:
+    """Recipe ids minus the row's exclusions, then the row's extras."""
+    empty = F.array().cast("array<int>")
+    kept = F.array_except(F.coalesce(recipe, empty), F.coalesce(topping_ids("exclusions"), empty))
+    return F.filter(F.concat(kept, F.coalesce(topping_ids("extras"), empty)), lambda x: x.isNotNull())
+
+
+def _recipes_by_pizza(recipes: DataFrame) -> DataFrame:
+    return recipe_items(recipes).groupBy("pizza_id").agg(F.collect_list("topping_id").alias("_recipe"))
+
+
 def _ingredient_counts(combos: DataFrame, recipes: DataFrame) -> DataFrame:
     """(combination, topping, quantity): recipe toppings not excluded count 1,
     every listed extra counts 1 more."""
-    recipe = recipe_items(recipes).groupBy("pizza_id").agg(F.collect_list("topping_id").alias("_recipe"))
-    kept = F.array_except(F.col("_recipe"), F.coalesce(topping_ids("exclusions"), F.array()))
-    used = F.concat(kept, F.coalesce(topping_ids("extras"), F.array().cast("array<int>")))
-    items = combos.join(recipe, on="pizza_id", how="left").select(
-        *COMBO, F.explode(F.coalesce(used, F.array().cast("array<int>"))).alias("topping_id")
-    ).where(F.col("topping_id").isNotNull())
+    items = combos.join(_recipes_by_pizza(recipes), on="pizza_id", how="left").select(
+        *COMBO, F.explode(_used_toppings(F.col("_recipe"))).alias("topping_id")
+    )
     return items.groupBy(*COMBO, "topping_id").agg(F.count(F.lit(1)).alias("qty"))
 
 
-def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame,
+                     max_dimension_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
     """``'Meatlovers: 2xBacon, Beef, ..., Salami'`` for every pizza row:
     alphabetical, ``Nx`` in front of an ingredient used N > 1 times."""
+    tmap = dimension_map(toppings, "topping_id", "topping_name", max_dimension_rows)
+    nmap = dimension_map(names, "pizza_id", "pizza_name", max_dimension_rows) if tmap is not None else None
+    rmap = None
+    if nmap is not None:
+        rmap = dimension_map(_recipes_by_pizza(recipes), "pizza_id", "_recipe", max_dimension_rows)
+    if rmap is not None:
+        t = F.col("_tmap")
+        with_maps = co.withColumns({"_tmap": tmap, "_nmap": nmap, "_rmap": rmap})
+        with_used = with_maps.withColumn("_used", _used_toppings(F.try_element_at(F.col("_rmap"), F.col("pizza_id"))))
+        used = F.col("_used")
+        known = F.array_distinct(F.filter(used, lambda x: F.try_element_at(t, x).isNotNull()))
+
+        def entry(x):
+            n = F.size(F.filter(used, lambda y: y == x))
+            name = F.try_element_at(t, x)
+            return F.struct(name.alias("n"), F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), name))
+                            .otherwise(name).alias("i"))
+
+        items = F.array_join(F.transform(F.array_sort(F.transform(known, entry)), lambda e: e["i"]), ", ")
+        name = F.try_element_at(F.col("_nmap"), F.col("pizza_id"))
+        return with_used.withColumn(
+            "ingredients", F.when(name.isNotNull(), F.concat(name, F.lit(": "), items))
+        ).drop("_tmap", "_nmap", "_rmap", "_used")
+
     combos = _combos(co)
     counts = _ingredient_counts(combos, recipes).join(toppings, on="topping_id")
     item = F.when(F.col("qty") > 1, F.concat(F.col("qty").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
@@ -165,7 +235,7 @@ def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings
 
     Summed per topping without touching individual pizzas twice: delivered
     pizzas per type times the recipe, minus exclusions that hit the recipe,
-    plus extras - three aggregates of a few rows each, then one small join.
+    plus extras - three partial aggregates, combined by one union and group.
     """
     d = delivered_pizzas(co, ro)
     items = recipe_items(recipes)
@@ -175,16 +245,12 @@ def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings
     exc = _exploded(d, "exclusions", ["pizza_id"], distinct=True).join(
         items, on=["pizza_id", "topping_id"], how="left_semi"
     )
-    excl = exc.groupBy("topping_id").agg(F.count(F.lit(1)).alias("_exc"))
-    extra = _exploded(d, "extras", []).groupBy("topping_id").agg(F.count(F.lit(1)).alias("_ext"))
+    excl = exc.select("topping_id", F.lit(-1).cast("bigint").alias("_q"))
+    extra = _exploded(d, "extras", []).select("topping_id", F.lit(1).cast("bigint").alias("_q"))
     total = (
-        base.join(excl, on="topping_id", how="full")
-        .join(extra, on="topping_id", how="full")
-        .select(
-            "topping_id",
-            (F.coalesce(F.col("_base"), F.lit(0)) - F.coalesce(F.col("_exc"), F.lit(0))
-             + F.coalesce(F.col("_ext"), F.lit(0))).cast("bigint").alias("quantity"),
-        )
+        base.select("topping_id", F.col("_base").cast("bigint").alias("_q"))
+        .unionByName(excl).unionByName(extra)
+        .groupBy("topping_id").agg(F.sum("_q").alias("quantity"))
     )
     return total.join(toppings, on="topping_id").select("topping_id", "topping_name", "quantity")
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.expr import days_between, int_div, round_ratio, year_range
+from casebook.operators.ranking import packed_order_key
 from casebook.operators.sequence import next_in_group
 
 
@@ -141,13 +142,16 @@ def latest_as_of(subs: DataFrame, cutoff, tiebreak: str | None = None, method: s
 
     The reference takes ``ROW_NUMBER() ... ORDER BY start_date DESC = 1``;
     ties on a date are broken by ``tiebreak`` (largest last), else plan id.
-    ``method='aggregate'`` is one ``max_by`` per customer - partial on the map
-    side, no sort; ``'window'`` is the row-number form, kept for comparison.
+    ``method='aggregate'`` is one ``max_by`` per customer - a hash aggregate,
+    partial on the map side, no sort (date and tie-break packed into one
+    decimal key); ``'window'`` is the row-number form, kept for comparison.
     """
     rows = subs.where(F.col("start_date") <= F.lit(_as_date(cutoff)))
     keys = [F.col("start_date"), F.col(tiebreak) if tiebreak else F.col("plan_id")]
     if method == "aggregate":
-        return rows.groupBy("customer_id").agg(F.max_by("plan_id", F.struct(*keys)).alias("plan_id"))
+        key = packed_order_key(rows, "start_date", tiebreak or "plan_id")
+        key = F.struct(*keys) if key is None else key
+        return rows.groupBy("customer_id").agg(F.max_by("plan_id", key).alias("plan_id"))
     if method == "window":
         w = Window.partitionBy("customer_id").orderBy(*[k.desc() for k in keys])
         return (

@@ -32,3 +32,26 @@ def top_n(df: DataFrame, n: int, order: Sequence, tiebreak: Sequence = ()) -> Da
     """Global top-``n`` rows; planned as ``TakeOrderedAndProject`` (a per-task
     heap of ``n`` rows, then one merge), so no full sort of the input."""
     return df.orderBy(*order, *tiebreak).limit(n)
+
+
+def packed_order_key(df: DataFrame, date_col: str, int_col: str):
+    """``(date_col, int_col)`` as one ``decimal(38,0)`` with the same order:
+    ``days * 10^20 + (int_col + 2^63)``.
+
+    ``max_by(x, struct(...))`` keeps a struct in its buffer, which only the
+    sort-based aggregate can hold, so every map task would sort its input;
+    a decimal buffer fits the hash aggregate.  Returns None when the column
+    types do not allow the packing (then use the struct).
+    """
+    from decimal import Decimal
+
+    from pyspark.sql.types import DateType, IntegerType, LongType, ShortType
+
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    if not isinstance(types.get(date_col), DateType):
+        return None
+    if not isinstance(types.get(int_col), (LongType, IntegerType, ShortType)):
+        return None
+    days = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date")).cast("decimal(38,0)")
+    low = F.col(int_col).cast("decimal(38,0)") + F.lit(Decimal(2 ** 63))
+    return (days * F.lit(Decimal(10 ** 20)) + low).cast("decimal(38,0)")

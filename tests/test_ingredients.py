@@ -35,9 +35,10 @@ def test_x2_x3_frequency(pizza):
     assert rows(X.topping_frequency(co, pizza["toppings"], "exclusions", top=1)) == [(4, "Cheese", 2)]
 
 
-def test_x4_labels(pizza):
+@pytest.mark.parametrize("bound", [X.MAX_DIMENSION_ROWS, 0])   # in-row maps, then the per-combination join
+def test_x4_labels(pizza, bound):
     co = _co_with_line(pizza)
-    got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"]).collect()}
+    got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"], bound).collect()}
     assert "Meatlovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese" in got
     assert "Meatlovers - Exclude Cheese - Extra Bacon, Chicken" in got
     assert "Vegetarian - Exclude Cheese" in got
@@ -46,14 +47,31 @@ def test_x4_labels(pizza):
     assert X.order_item_labels(co, pizza["names"], pizza["toppings"]).count() == 10
 
 
-def test_x5_ingredient_lists(pizza):
+@pytest.mark.parametrize("bound", [X.MAX_DIMENSION_ROWS, 0])
+def test_x5_ingredient_lists(pizza, bound):
     co = _co_with_line(pizza)
-    got = {r.ingredients for r in X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"]).collect()}
+    got = {r.ingredients for r in
+           X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"], bound).collect()}
     assert "Meatlovers: BBQ Sauce, 2xBacon, Beef, 2xChicken, Mushrooms, Pepperoni, Salami" in got
     assert "Meatlovers: 2xBacon, Beef, 2xCheese, Chicken, Pepperoni, Salami" in got
     assert "Vegetarian: Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes" in got
 
 
+def test_label_paths_agree_row_by_row(pizza):
+    co = _co_with_line(pizza)
+    for fn, args in ((X.order_item_labels, (pizza["names"], pizza["toppings"])),
+                     (X.ingredient_lists, (pizza["names"], pizza["recipes"], pizza["toppings"]))):
+        a = rows(fn(co, *args))
+        b = rows(fn(co, *args, max_dimension_rows=0))
+        assert a == b
+
+
+def test_dimension_map_refuses_large_or_repeated_keys(pizza, spark):
+    assert X.dimension_map(pizza["toppings"], "topping_id", "topping_name", max_rows=5) is None
+    dup = spark.createDataFrame([(1, "a"), (1, "b")], "topping_id int, topping_name string")
+    assert X.dimension_map(dup, "topping_id", "topping_name") is None
+
+
 def test_x6_totals_equal_sum_of_lists(pizza):
     co = P.clean_customer_orders(pizza["co"])
     ro = P.clean_runner_orders(pizza["ro"])
