@@ -7,12 +7,11 @@ NULL), the cleaned typed ``runner_orders``, and the small dimensions
 ``pizza_names(pizza_id, pizza_name)``, ``pizza_recipes(pizza_id, toppings)``
 and ``pizza_toppings(topping_id, topping_name)``.
 
-Lists inside a text cell are parsed with ``split``.  Per-pizza labels are
-computed inside each row from id -> name maps of the (row-count checked) pizza
-dimensions, so the pizza rows are never shuffled; past the bound they are
-built once per distinct (pizza, exclusions, extras) combination and joined
-back.  Totals are pre-aggregated per pizza type or topping before they are
-combined, so the pizza rows are never exploded or regrouped.
+Lists inside a text cell are parsed with ``split`` and exploded.  Per-pizza
+labels are built once per distinct (pizza, exclusions, extras) combination
+and attached to the pizza rows by a (size-checked) broadcast join, so the
+pizza rows are never exploded or shuffled; totals are pre-aggregated per pizza
+type or topping before they are combined.
 """
 
 from __future__ import annotations
@@ -70,39 +69,29 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
 
 
 # X4 / X5 ----------------------------------------------------------------------
-# A label depends on the pizza row's own cells and on the small pizza
-# dimensions.  When those dimensions pass a row-count check they are turned
-# into id -> value maps by scalar subqueries (evaluated once, shipped with the
-# plan), and every label is computed inside its row with higher-order
-# functions: no join, no shuffle of the pizza rows.  Beyond the bound, labels
-# are built once per distinct (pizza, exclusions, extras) combination and
-# attached with a null-safe equi-join.
+# A label depends only on (pizza_id, exclusions, extras).  Labels are built for
+# the distinct combinations (a partial-aggregated ``distinct``: as many rows as
+# the menu's combinatorics, not as pizzas), materialised once with
+# ``checkpoint()`` in the cluster's checkpoint folder and counted.  Under
+# ``MAX_BROADCAST_LABELS`` they are broadcast, so the pizza rows only pass a
+# hash lookup - no shuffle of them at all; above it the join is left to Spark
+# (sort-merge, AQE splitting the hot "no change" combination).
 COMBO = ("pizza_id", "exclusions", "extras")
-MAX_DIMENSION_ROWS = 10_000
-
-
-def dimension_map(df: DataFrame, key: str, value: Column | str, max_rows: int = MAX_DIMENSION_ROWS) -> Column | None:
-    """``map(key -> value)`` of a dimension as a scalar-subquery column, or
-    None when the dimension has more than ``max_rows`` rows or repeats a key
-    (one small aggregate job checks both)."""
-    value = F.col(value) if isinstance(value, str) else value
-    n, keys = df.agg(F.count(F.lit(1)), F.countDistinct(key)).first()
-    if n > max_rows or n != keys:
-        return None
-    return df.select(F.map_from_entries(F.collect_list(F.struct(F.col(key), value)))).scalar()
-
-
-def _lookup(m: Column, ids: Column) -> Column:
-    """Known ids of ``ids`` mapped through ``m`` (unknown ids dropped, as an inner join drops them)."""
-    return F.filter(F.transform(ids, lambda x: F.try_element_at(m, x)), lambda v: v.isNotNull())
+MAX_BROADCAST_LABELS = 200_000
 
 
 def _combos(co: DataFrame) -> DataFrame:
     return co.select(*COMBO).distinct()
 
 
-def _attach(co: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label))
+def _attach(co: DataFrame, labels: DataFrame, label: str, max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+    """Left-join per-combination ``labels`` onto the pizza rows (NULL-safe keys)."""
+    from casebook.session import checkpoint_dir
+
+    checkpoint_dir(labels.sparkSession)  # the session's shared folder; set locally only when unset
+    lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label)).checkpoint()
+    if lab.count() <= max_broadcast:
+        lab = F.broadcast(lab)
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in COMBO]
     return co.join(lab, on=cond, how="left").drop(*[f"_k_{c}" for c in COMBO])
 
@@ -115,33 +104,25 @@ def _item_label(name: Column, exc: Column, ext: Column) -> Column:
     ))
 
 
+def _left_by_combo(left: DataFrame, right: DataFrame) -> DataFrame:
+    # combinations are few: a plain null-safe join among them
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in COMBO], *[c for c in right.columns if c not in COMBO])
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in COMBO]
+    return left.join(r, on=cond, how="left").drop(*[f"_r_{c}" for c in COMBO])
+
+
 def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
-                      max_dimension_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
+                      max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
     """``'Meatlovers - Exclude Cheese, Bacon - Extra Mushrooms, Peppers'`` for
     every pizza row; names keep the order of the ids in the cell."""
-    tmap = dimension_map(toppings, "topping_id", "topping_name", max_dimension_rows)
-    nmap = dimension_map(names, "pizza_id", "pizza_name", max_dimension_rows) if tmap is not None else None
-    if nmap is not None:
-        # the maps are projected first: lambdas may reference columns, not subqueries
-        t = F.col("_tmap")
-
-        def listed(c):
-            found = _lookup(t, F.coalesce(topping_ids(c), F.array().cast("array<int>")))
-            return F.when(F.size(found) > 0, F.array_join(found, ", "))
-
-        with_maps = co.withColumns({"_tmap": tmap, "_nmap": nmap})
-        return with_maps.withColumn(
-            "order_item", _item_label(F.try_element_at(F.col("_nmap"), F.col("pizza_id")),
-                                      listed("exclusions"), listed("extras"))
-        ).drop("_tmap", "_nmap")
-
     combos = _combos(co)
+    empty = F.array().cast("array<int>")
     listed = combos.select(
         *COMBO,
         F.explode(F.concat(
-            F.transform(F.coalesce(topping_ids("exclusions"), F.array()), lambda x, i: F.struct(
+            F.transform(F.coalesce(topping_ids("exclusions"), empty), lambda x, i: F.struct(
                 F.lit(0).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
-            F.transform(F.coalesce(topping_ids("extras"), F.array()), lambda x, i: F.struct(
+            F.transform(F.coalesce(topping_ids("extras"), empty), lambda x, i: F.struct(
                 F.lit(1).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
         )).alias("_i"),
     ).select(*COMBO, "_i.*").join(toppings, on="topping_id")
@@ -153,10 +134,10 @@ def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
         picked = F.filter(F.col("_l"), lambda x: x["kind"] == kind)
         return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda x: x["topping_name"]), ", "))
 
-    # combinations without any listed topping have no row in ``parts``
-    labelled = _attach(combos.join(names, on="pizza_id"), parts, "_l")
+    # a combination without any known topping has no row in ``parts``
+    labelled = _left_by_combo(combos.join(names, on="pizza_id", how="left"), parts)
     labels = labelled.select(*COMBO, _item_label(F.col("pizza_name"), names_of(0), names_of(1)).alias("order_item"))
-    return _attach(co, labels, "order_item")
+    return _attach(co, labels, "order_item", max_broadcast)
 
 
 def _used_toppings(recipe: Column) -> Column:
@@ -180,33 +161,9 @@ def _ingredient_counts(combos: DataFrame, recipes: DataFrame) -> DataFrame:
 
 
 def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame,
-                     max_dimension_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
+                     max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
     """``'Meatlovers: 2xBacon, Beef, ..., Salami'`` for every pizza row:
     alphabetical, ``Nx`` in front of an ingredient used N > 1 times."""
-    tmap = dimension_map(toppings, "topping_id", "topping_name", max_dimension_rows)
-    nmap = dimension_map(names, "pizza_id", "pizza_name", max_dimension_rows) if tmap is not None else None
-    rmap = None
-    if nmap is not None:
-        rmap = dimension_map(_recipes_by_pizza(recipes), "pizza_id", "_recipe", max_dimension_rows)
-    if rmap is not None:
-        t = F.col("_tmap")
-        with_maps = co.withColumns({"_tmap": tmap, "_nmap": nmap, "_rmap": rmap})
-        with_used = with_maps.withColumn("_used", _used_toppings(F.try_element_at(F.col("_rmap"), F.col("pizza_id"))))
-        used = F.col("_used")
-        known = F.array_distinct(F.filter(used, lambda x: F.try_element_at(t, x).isNotNull()))
-
-        def entry(x):
-            n = F.size(F.filter(used, lambda y: y == x))
-            name = F.try_element_at(t, x)
-            return F.struct(name.alias("n"), F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), name))
-                            .otherwise(name).alias("i"))
-
-        items = F.array_join(F.transform(F.array_sort(F.transform(known, entry)), lambda e: e["i"]), ", ")
-        name = F.try_element_at(F.col("_nmap"), F.col("pizza_id"))
-        return with_used.withColumn(
-            "ingredients", F.when(name.isNotNull(), F.concat(name, F.lit(": "), items))
-        ).drop("_tmap", "_nmap", "_rmap", "_used")
-
     combos = _combos(co)
     counts = _ingredient_counts(combos, recipes).join(toppings, on="topping_id")
     item = F.when(F.col("qty") > 1, F.concat(F.col("qty").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
@@ -218,11 +175,13 @@ def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppin
             ", ",
         ).alias("_items")
     )
-    labelled = _attach(combos.join(names, on="pizza_id"), lists, "_items")
+    labelled = _left_by_combo(combos.join(names, on="pizza_id", how="left"), lists)
+    name = F.col("pizza_name")
     labels = labelled.select(
-        *COMBO, F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_items"), F.lit(""))).alias("ingredients")
+        *COMBO,
+        F.when(name.isNotNull(), F.concat(name, F.lit(": "), F.coalesce(F.col("_items"), F.lit("")))).alias("ingredients"),
     )
-    return _attach(co, labels, "ingredients")
+    return _attach(co, labels, "ingredients", max_broadcast)
 
 
 def delivered_pizzas(co: DataFrame, ro: DataFrame) -> DataFrame:

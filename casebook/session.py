@@ -27,10 +27,12 @@ SQL_DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``SQL_DEFAULTS`` where the session leaves them unset."""
+    """Apply ``SQL_DEFAULTS`` where the session leaves them unset, and make
+    sure a checkpoint folder is known (the cluster's, else a local one)."""
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    checkpoint_dir(spark)
     return spark
 
 

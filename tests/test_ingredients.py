@@ -35,7 +35,7 @@ def test_x2_x3_frequency(pizza):
     assert rows(X.topping_frequency(co, pizza["toppings"], "exclusions", top=1)) == [(4, "Cheese", 2)]
 
 
-@pytest.mark.parametrize("bound", [X.MAX_DIMENSION_ROWS, 0])   # in-row maps, then the per-combination join
+@pytest.mark.parametrize("bound", [X.MAX_BROADCAST_LABELS, 0])   # broadcast labels, then a plain join
 def test_x4_labels(pizza, bound):
     co = _co_with_line(pizza)
     got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"], bound).collect()}
@@ -47,7 +47,7 @@ def test_x4_labels(pizza, bound):
     assert X.order_item_labels(co, pizza["names"], pizza["toppings"]).count() == 10
 
 
-@pytest.mark.parametrize("bound", [X.MAX_DIMENSION_ROWS, 0])
+@pytest.mark.parametrize("bound", [X.MAX_BROADCAST_LABELS, 0])
 def test_x5_ingredient_lists(pizza, bound):
     co = _co_with_line(pizza)
     got = {r.ingredients for r in
@@ -62,14 +62,18 @@ def test_label_paths_agree_row_by_row(pizza):
     for fn, args in ((X.order_item_labels, (pizza["names"], pizza["toppings"])),
                      (X.ingredient_lists, (pizza["names"], pizza["recipes"], pizza["toppings"]))):
         a = rows(fn(co, *args))
-        b = rows(fn(co, *args, max_dimension_rows=0))
+        b = rows(fn(co, *args, max_broadcast=0))
         assert a == b
 
 
-def test_dimension_map_refuses_large_or_repeated_keys(pizza, spark):
-    assert X.dimension_map(pizza["toppings"], "topping_id", "topping_name", max_rows=5) is None
-    dup = spark.createDataFrame([(1, "a"), (1, "b")], "topping_id int, topping_name string")
-    assert X.dimension_map(dup, "topping_id", "topping_name") is None
+def test_unknown_pizza_and_topping(pizza, spark):
+    from casebook import schemas
+
+    co = spark.createDataFrame([(1, 1, 9, "99", "5", None)], schemas.CUSTOMER_ORDERS)
+    assert rows(X.order_item_labels(co, pizza["names"], pizza["toppings"]), "order_item") == [(None,)]
+    co2 = spark.createDataFrame([(1, 1, 1, "99", "5", None)], schemas.CUSTOMER_ORDERS)
+    assert rows(X.order_item_labels(co2, pizza["names"], pizza["toppings"]), "order_item") == [
+        ("Meatlovers - Extra Chicken",)]
 
 
 def test_x6_totals_equal_sum_of_lists(pizza):
