@@ -60,8 +60,12 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
                       top: int | None = None) -> DataFrame:
     """How often each topping is listed in ``column`` (``'extras'`` or
     ``'exclusions'``) over all ordered pizzas; ``top`` keeps the most common
-    (ties broken by topping id)."""
-    counts = _exploded(co, column, []).groupBy("topping_id").agg(F.count(F.lit(1)).alias("times"))
+    (ties broken by topping id).
+
+    The pizza rows are first counted per distinct list text (partial on the
+    map side; a menu has few such texts), and only those texts are split."""
+    texts = co.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    counts = _exploded(texts, column, ["_n"]).groupBy("topping_id").agg(F.sum("_n").cast("bigint").alias("times"))
     named = counts.join(toppings, on="topping_id").select("topping_id", "topping_name", "times")
     if top is None:
         return named
@@ -190,27 +194,19 @@ def delivered_pizzas(co: DataFrame, ro: DataFrame) -> DataFrame:
 
 
 def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Quantity of each ingredient over delivered pizzas (most used first).
+    """Quantity of each ingredient over delivered pizzas - the sum of every
+    delivered pizza's ``ingredient_lists`` quantities.
 
-    Summed per topping without touching individual pizzas twice: delivered
-    pizzas per type times the recipe, minus exclusions that hit the recipe,
-    plus extras - three partial aggregates, combined by one union and group.
+    Delivered pizzas are counted per distinct (pizza, exclusions, extras)
+    combination in one pass (partial on the map side), and the recipe,
+    exclusion and extra arithmetic runs on those few combinations, weighted
+    by their counts: the pizza rows are never exploded or regrouped.
     """
-    d = delivered_pizzas(co, ro)
-    items = recipe_items(recipes)
-    per_type = d.groupBy("pizza_id").agg(F.count(F.lit(1)).alias("_n"))
-    base = per_type.join(items, on="pizza_id").groupBy("topping_id").agg(F.sum("_n").alias("_base"))
-    # an exclusion removes the recipe's one portion, however often it is listed
-    exc = _exploded(d, "exclusions", ["pizza_id"], distinct=True).join(
-        items, on=["pizza_id", "topping_id"], how="left_semi"
-    )
-    excl = exc.select("topping_id", F.lit(-1).cast("bigint").alias("_q"))
-    extra = _exploded(d, "extras", []).select("topping_id", F.lit(1).cast("bigint").alias("_q"))
-    total = (
-        base.select("topping_id", F.col("_base").cast("bigint").alias("_q"))
-        .unionByName(excl).unionByName(extra)
-        .groupBy("topping_id").agg(F.sum("_q").alias("quantity"))
+    combos = delivered_pizzas(co, ro).groupBy(*COMBO).agg(F.count(F.lit(1)).alias("_n"))
+    items = combos.join(_recipes_by_pizza(recipes), on="pizza_id", how="left").select(
+        "_n", F.explode(_used_toppings(F.col("_recipe"))).alias("topping_id")
     )
+    total = items.groupBy("topping_id").agg(F.sum("_n").cast("bigint").alias("quantity"))
     return total.join(toppings, on="topping_id").select("topping_id", "topping_name", "quantity")
 
 
