@@ -26,6 +26,32 @@ SQL_DEFAULTS = {
 }
 
 
+# Starting points for a large cluster (~100 TB of facts, ~1000 executors);
+# applied by ``configure_for_cluster`` only where the cluster sets nothing.
+# Many shuffle partitions plus AQE coalescing gives ~128 MB reduce tasks for
+# big stages and few tasks for small ones; a broadcast threshold is an
+# explicit size bound on any build side Spark chooses to broadcast.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+}
+
+
+def configure_for_cluster(spark: SparkSession) -> SparkSession:
+    """``configure`` plus ``CLUSTER_DEFAULTS`` where the cluster leaves them unset."""
+    configure(spark)
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    for key, value in CLUSTER_DEFAULTS.items():
+        if key not in explicit:
+            spark.conf.set(key, value)
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``SQL_DEFAULTS`` where the session leaves them unset, and make
     sure a checkpoint folder is known (the cluster's, else a local one)."""

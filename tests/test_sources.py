@@ -34,3 +34,18 @@ def test_tables_defined_once_per_session(spark):
 def test_declared_schema_prunes_columns(spark):
     plan = T.sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
+
+
+def test_cluster_defaults_fill_only_unset(spark):
+    from casebook.session import CLUSTER_DEFAULTS, configure_for_cluster
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    configure_for_cluster(spark)
+    try:
+        # set explicitly by the test session, so kept
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("256m", str(256 * 1024 * 1024))
+    finally:
+        for key in CLUSTER_DEFAULTS:
+            if key != "spark.sql.shuffle.partitions":
+                spark.conf.unset(key)
