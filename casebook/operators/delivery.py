@@ -80,6 +80,15 @@ def typed_runner_orders(clean: DataFrame) -> DataFrame:
     })
 
 
+def register_clean_views(customer_orders: DataFrame, runner_orders: DataFrame,
+                         names: tuple[str, str] = ("updated_customer_orders", "updated_runner_orders")) -> None:
+    """Cleaned tables as temporary views, so questions can also be asked in
+    Spark SQL.  Views are lazy: nothing is copied, each query re-plans from
+    the raw tables (persist the DataFrames first if many queries share them)."""
+    clean_customer_orders(customer_orders).createOrReplaceTempView(names[0])
+    clean_runner_orders(runner_orders).createOrReplaceTempView(names[1])
+
+
 def _delivered(ro: DataFrame) -> DataFrame:
     # "delivered" as in part A: no cancellation
     return ro.where(F.col("cancellation").isNull())

@@ -20,12 +20,16 @@ def extreme_with_ties(df: DataFrame, by: Sequence[str], key: str, largest: bool
     """Rows of ``df`` whose ``key`` is the min (or max) of their ``by`` group.
 
     Same rows as ``dense_rank() == 1`` (and ``rank() == 1``) over
-    ``partitionBy(by).orderBy(key)`` for non-NULL keys.  NULL keys never
-    qualify, since ``min``/``max`` skip them.
+    ``partitionBy(by).orderBy(key)`` for non-NULL keys; a NULL group value is
+    its own group.  NULL keys never qualify, since ``min``/``max`` skip them.
     """
     agg = F.max(key) if largest else F.min(key)
-    best = df.groupBy(*by).agg(agg.alias(key))
-    return df.join(best, on=[*by, key], how="inner")
+    best = df.groupBy(*by).agg(agg.alias("_best")).select(
+        *[F.col(c).alias(f"_g_{c}") for c in by], "_best"
+    )
+    # a NULL group is a group too (as a window partition is); its key must match
+    cond = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by] + [F.col(key) == F.col("_best")]
+    return df.join(best, on=cond, how="inner").drop(*[f"_g_{c}" for c in by], "_best")
 
 
 def top_n(df: DataFrame, n: int, order: Sequence, tiebreak: Sequence = ()) -> DataFrame:

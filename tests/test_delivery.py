@@ -113,3 +113,12 @@ def test_metamorphic_change_profile_sums_to_delivered(pizza):
     total = sum(r.at_least_1_change + r.no_change for r in P.change_profile(co, ro).collect())
     delivered = sum(r.pizza_count for r in P.delivered_by_type(co, ro, pizza["names"]).collect())
     assert total == delivered == 8
+
+
+def test_clean_views_answer_sql(pizza, spark):
+    P.register_clean_views(pizza["co"], pizza["ro"])
+    got = spark.sql("""
+        SELECT runner_id, COUNT(order_id) AS order_count FROM updated_runner_orders
+        WHERE cancellation IS NULL GROUP BY runner_id""")
+    assert rows(got) == rows(P.delivered_per_runner(P.clean_runner_orders(pizza["ro"])))
+    assert spark.sql("SELECT COUNT(*) FROM updated_customer_orders WHERE exclusions = 'null'").first()[0] == 0

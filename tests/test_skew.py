@@ -96,3 +96,12 @@ def test_state_as_of_forms_agree(spark):
 
     p = plan_table(spark)
     assert rows(S.state_as_of(s, p, "2020-09-30")) == rows(S.state_as_of(s, p, "2020-09-30", method="window"))
+
+
+def test_null_customer_is_its_own_group(spark):
+    from casebook.operators.ranking import extreme_with_ties
+
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), ("x", 5, "c"), ("x", 5, "d")],
+                               "customer_id string, k int, v string")
+    got = rows(extreme_with_ties(df, ["customer_id"], "k"))
+    assert got == [(None, 1, "a"), ("x", 5, "c"), ("x", 5, "d")]
