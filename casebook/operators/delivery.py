@@ -108,11 +108,23 @@ def delivered_per_runner(ro: DataFrame) -> DataFrame:
     return _delivered(ro).groupBy("runner_id").agg(F.count("order_id").alias("order_count"))
 
 
+def sum_over_delivered(co: DataFrame, ro: DataFrame, keys: list[str], measures: dict) -> DataFrame:
+    """Additive ``measures`` of the pizza rows of delivered orders, by ``keys``.
+
+    Each measure is summed per order first (partial on the map side, so a hot
+    order collapses before any shuffle); those per-order rows - not the pizza
+    rows - are joined to the delivered orders and summed again.  Joining
+    before or after summing gives the same totals, duplicates included.
+    """
+    group = list(dict.fromkeys(["order_id", *keys]))
+    per_order = co.groupBy(*group).agg(*[m.alias(n) for n, m in measures.items()])
+    joined = per_order.join(_delivered(ro).select("order_id"), on="order_id")
+    return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
+
+
 def delivered_by_type(co: DataFrame, ro: DataFrame, names: DataFrame) -> DataFrame:
     """Delivered pizzas per pizza name."""
-    per_type = co.join(_delivered(ro).select("order_id"), on="order_id").groupBy("pizza_id").agg(
-        F.count("pizza_id").alias("_n")
-    )
+    per_type = sum_over_delivered(co, ro, ["pizza_id"], {"_n": F.count("pizza_id")})
     # names are joined to one row per pizza type, never to the pizza rows
     return per_type.join(names, on="pizza_id").groupBy("pizza_name").agg(
         F.sum("_n").cast("bigint").alias("pizza_count")
@@ -130,33 +142,29 @@ def ordered_by_customer_type(co: DataFrame, names: DataFrame) -> DataFrame:
 def pizzas_per_order(co: DataFrame, ro: DataFrame, top: int | None = None) -> DataFrame:
     """Pizzas per delivered order; every order, or the ``top`` largest
     (ties broken by order id)."""
-    per_order = co.join(_delivered(ro).select("order_id"), on="order_id").groupBy("order_id").agg(
-        F.count("pizza_id").alias("pizzas_per_order")
+    per_order = sum_over_delivered(co, ro, ["order_id"], {"pizzas_per_order": F.count("pizza_id")}).select(
+        "order_id", F.col("pizzas_per_order").cast("bigint").alias("pizzas_per_order")
     )
     if top is None:
         return per_order
     return top_n(per_order, top, [F.desc("pizzas_per_order")], [F.asc("order_id")])
 
 
-def _changes(co: DataFrame, ro: DataFrame) -> DataFrame:
-    return co.join(_delivered(ro).select("order_id"), on="order_id")
-
-
 def change_profile(co: DataFrame, ro: DataFrame) -> DataFrame:
     """Per customer, delivered pizzas with at least one change and with none."""
     exc, ext = F.col("exclusions"), F.col("extras")
-    return _changes(co, ro).groupBy("customer_id").agg(
-        F.sum(F.when(exc.isNotNull() | ext.isNotNull(), 1).otherwise(0)).cast("bigint").alias("at_least_1_change"),
-        F.sum(F.when(exc.isNull() & ext.isNull(), 1).otherwise(0)).cast("bigint").alias("no_change"),
-    )
+    sums = sum_over_delivered(co, ro, ["customer_id"], {
+        "at_least_1_change": F.sum(F.when(exc.isNotNull() | ext.isNotNull(), 1).otherwise(0)),
+        "no_change": F.sum(F.when(exc.isNull() & ext.isNull(), 1).otherwise(0)),
+    })
+    return sums.select("customer_id", *[F.col(c).cast("bigint").alias(c) for c in ("at_least_1_change", "no_change")])
 
 
 def both_changes(co: DataFrame, ro: DataFrame) -> DataFrame:
     """Delivered pizzas with both exclusions and extras (NULL if none delivered)."""
     both = F.col("exclusions").isNotNull() & F.col("extras").isNotNull()
-    return _changes(co, ro).agg(
-        F.sum(F.when(both, 1).otherwise(0)).cast("bigint").alias("pizza_with_exclusions_extras")
-    )
+    sums = sum_over_delivered(co, ro, [], {"_b": F.sum(F.when(both, 1).otherwise(0))})
+    return sums.select(F.col("_b").cast("bigint").alias("pizza_with_exclusions_extras"))
 
 
 def orders_by_hour(co: DataFrame) -> DataFrame:

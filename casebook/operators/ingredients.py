@@ -22,6 +22,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casebook.operators.delivery import sum_over_delivered
+
 
 def topping_ids(text: str | Column) -> Column:
     """``'1, 5'`` -> ``[1, 5]`` (NULL stays NULL; blanks around ids ignored)."""
@@ -202,7 +204,7 @@ def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings
     exclusion and extra arithmetic runs on those few combinations, weighted
     by their counts: the pizza rows are never exploded or regrouped.
     """
-    combos = delivered_pizzas(co, ro).groupBy(*COMBO).agg(F.count(F.lit(1)).alias("_n"))
+    combos = sum_over_delivered(co, ro, list(COMBO), {"_n": F.count(F.lit(1))})
     items = combos.join(_recipes_by_pizza(recipes), on="pizza_id", how="left").select(
         "_n", F.explode(_used_toppings(F.col("_recipe"))).alias("topping_id")
     )
@@ -230,13 +232,13 @@ def revenue(co: DataFrame, ro: DataFrame, prices: Mapping[int, Decimal] = PIZZA_
             extra_price: Decimal | None = None) -> DataFrame:
     """Revenue from delivered pizzas at fixed prices; with ``extra_price``,
     each listed extra adds that much."""
-    d = delivered_pizzas(co, ro)
     amount = _price_of(prices)
     if extra_price is not None:
         n_extras = F.coalesce(F.size(F.filter(topping_ids("extras"), lambda x: x.isNotNull())), F.lit(0))
         n_extras = F.when(F.col("extras").isNull(), F.lit(0)).otherwise(n_extras)
         amount = amount + n_extras * F.lit(extra_price)
-    return d.agg(F.sum(amount).cast("decimal(18,2)").alias("revenue"))
+    total = sum_over_delivered(co, ro, [], {"_r": F.sum(amount)})
+    return total.select(F.col("_r").cast("decimal(18,2)").alias("revenue"))
 
 
 def net_after_runner_pay(co: DataFrame, ro_typed: DataFrame, prices: Mapping[int, Decimal] = PIZZA_PRICES,
@@ -246,7 +248,7 @@ def net_after_runner_pay(co: DataFrame, ro_typed: DataFrame, prices: Mapping[int
     Distance is paid once per delivered order, so it is summed over orders
     (not over the order's pizza rows) before being combined with revenue."""
     delivered = ro_typed.where(F.col("cancellation").isNull())
-    rev = co.join(delivered.select("order_id"), on="order_id").agg(F.sum(_price_of(prices)).alias("_rev"))
+    rev = sum_over_delivered(co, ro_typed, [], {"_rev": F.sum(_price_of(prices))})
     km = delivered.agg(F.sum("distance").alias("_km"))
     # both sides are one row; the scalar subquery keeps this a projection
     pay = (km.select(F.coalesce(F.col("_km"), F.lit(0)) * F.lit(rate_per_km))).scalar()
