@@ -62,9 +62,14 @@ def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 # L4 -------------------------------------------------------------------------
 def top_items(sales: DataFrame, menu: DataFrame, n: int = 1) -> DataFrame:
-    """The ``n`` most purchased items overall; ties broken by name."""
-    counts = _priced(sales, menu).groupBy("product_name").agg(
-        F.count("product_name").alias("most_purchased")
+    """The ``n`` most purchased items overall; ties broken by name.
+
+    Sales are counted per product id first, so the menu join sees at most one
+    row per product instead of one per sale."""
+    per_product = sales.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
+    named = per_product.join(menu, on="product_id", how="inner")
+    counts = named.groupBy("product_name").agg(
+        F.sum(F.when(F.col("product_name").isNotNull(), F.col("_n")).otherwise(0)).cast("bigint").alias("most_purchased")
     )
     return top_n(counts, n, [F.desc("most_purchased")], [F.asc("product_name")])
 
