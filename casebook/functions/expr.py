@@ -13,7 +13,7 @@ import datetime as _dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, TimestampNTZType
+from pyspark.sql.types import DecimalType
 
 
 def col(c: str | Column) -> Column:
@@ -85,11 +85,6 @@ def weekday_name(ts: str | Column, pad: bool = True) -> Column:
     return F.rpad(name, 9, " ") if pad else name
 
 
-def to_timestamp_text(c: str | Column) -> Column:
-    """Text to ``timestamp_ntz``; NULL when the text is not a timestamp."""
-    return F.try_to_timestamp(col(c), F.lit("yyyy-MM-dd HH:mm:ss")).cast(TimestampNTZType())
-
-
 def minutes_between(start: str | Column, end: str | Column, mode: str = "field") -> Column:
     """Minutes from ``start`` to ``end`` as ``bigint``.
 
@@ -147,8 +142,3 @@ def round_ratio(num: str | Column, den: str | Column, digits: int = 0) -> Column
 def scaled(c: str | Column, digits: int = 2) -> Column:
     """A decimal with ``digits`` decimals as an exact integer (x * 10^digits)."""
     return (col(c) * F.lit(10 ** digits)).cast("decimal(38,0)")
-
-
-def pct_trunc(part: str | Column, whole: str | Column) -> Column:
-    """``ROUND(100 * part / whole)`` with integer operands: truncates first."""
-    return int_div(col(part) * 100, col(whole))
