@@ -59,7 +59,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def defined_once(fn):
     """Build a logical table once per session and arguments, like a temp
     view: later queries reuse the same (lazy) DataFrame instead of planning
-    the derivation again.  Nothing is cached in memory."""
+    the derivation again.  Nothing is cached in memory; the file listing is
+    taken once, so files added later need a new session (or ``refresh``)."""
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args):
@@ -72,6 +73,11 @@ def defined_once(fn):
     return wrapper
 
 
+def refresh(spark: SparkSession) -> None:
+    """Forget the tables defined in this session (e.g. after new files land)."""
+    spark.__dict__.pop("_casebook_tables", None)
+
+
 # The five subscription plans (id, name, monthly price; churn
 # has no price).  They equal the reference's plan table.
 PLAN_ROWS = [

@@ -122,3 +122,14 @@ def test_clean_views_answer_sql(pizza, spark):
         WHERE cancellation IS NULL GROUP BY runner_id""")
     assert rows(got) == rows(P.delivered_per_runner(P.clean_runner_orders(pizza["ro"])))
     assert spark.sql("SELECT COUNT(*) FROM updated_customer_orders WHERE exclusions = 'null'").first()[0] == 0
+
+
+def test_sum_over_delivered_keeps_join_multiplicity(pizza, spark):
+    from pyspark.sql import functions as F
+
+    co, ro, _ = clean(pizza)
+    ro_dup = ro.unionByName(ro.where("order_id = 4"))   # a delivery row listed twice
+    got = rows(P.sum_over_delivered(co, ro_dup, ["customer_id"], {"n": F.count(F.lit(1))}))
+    direct = co.join(ro_dup.where("cancellation IS NULL").select("order_id"), "order_id")
+    assert got == rows(direct.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")))
+    assert dict(got)[103] == 6
