@@ -75,13 +75,19 @@ def year_range(d: str | Column, year: int, after: bool = False) -> Column:
     return (d >= start) & (d < end)
 
 
+# English day names as TO_CHAR(..., 'Day') prints them,
+# indexed by Spark's dayofweek (1 = Sunday).
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
 def weekday_name(ts: str | Column, pad: bool = True) -> Column:
     """``TO_CHAR(ts, 'Day')``: English day name, blank-padded to 9 characters.
 
     Spark's own ``to_char`` reads ``'Day'`` as a number format and returns
-    garbage, so the name comes from ``date_format(.., 'EEEE')``.
+    garbage; ``date_format`` goes through the session time zone.  The name is
+    looked up from the day of the week of the date, which no zone changes.
     """
-    name = F.date_format(col(ts), "EEEE")
+    name = F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.dayofweek(col(ts).cast("date")))
     return F.rpad(name, 9, " ") if pad else name
 
 
@@ -90,13 +96,16 @@ def minutes_between(start: str | Column, end: str | Column, mode: str = "field")
 
     ``mode='field'`` is ``DATE_PART('minute', end - start)``: the minute
     *field* of the interval, which wraps at 60 and drops hours and days.
-    ``mode='total'`` is the whole elapsed minutes.
+    ``mode='total'`` is the whole elapsed minutes (truncated).
     """
     start, end = col(start), col(end)
+    # the difference of two timestamp_ntz values is a day-time interval: no
+    # session time zone (and no daylight-saving gap) enters the arithmetic,
+    # which ``timestampdiff`` would bring in
     if mode == "field":
         return F.extract(F.lit("MINUTE"), end - start).cast("bigint")
     if mode == "total":
-        return F.timestamp_diff("MINUTE", start, end).cast("bigint")
+        return (end - start).cast("interval minute").cast("bigint")
     raise ValueError(f"mode must be 'field' or 'total', not {mode!r}")
 
 

@@ -178,7 +178,8 @@ def runner_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cancelled = F.col("o_orderstatus") == "F"
     dist = (5 + k % 37).cast("string")
     mins = (10 + k % 31).cast("string")
-    pickup = F.date_format(F.timestamp_add("MINUTE", 5 + k % 90, _order_time(o)), "yyyy-MM-dd HH:mm:ss")
+    # a timestamp_ntz cast to text is zone-free 'yyyy-MM-dd HH:mm:ss'
+    pickup = F.timestamp_add("MINUTE", 5 + k % 90, _order_time(o)).cast("string")
     distance = (
         F.when(k % 5 == 0, F.lit("null"))
         .when(k % 5 == 1, F.lit(""))

@@ -106,3 +106,17 @@ def test_null_if(spark):
     df = spark.createDataFrame([("null",), ("",), (None,), ("4",)], "v string")
     assert [r[0] for r in df.select(X.null_if("v", "null", "")).collect()] == [None, None, None, "4"]
     assert df.select(F.count(X.null_if("v", "null"))).first()[0] == 2
+
+
+def test_time_helpers_ignore_the_session_zone(spark):
+    """Wall-clock times inside a daylight-saving gap stay as written."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2021, 3, 14, 1, 50), dt.datetime(2021, 3, 14, 2, 35, 30))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(X.minutes_between("a", "b", "total"), X.minutes_between("a", "b", "field"),
+                      X.weekday_name("b", pad=False), F.col("b").cast("string")).first()
+        assert tuple(r) == (45, 45, "Sunday", "2021-03-14 02:35:30")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
