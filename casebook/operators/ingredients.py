@@ -94,8 +94,11 @@ def _attach(co: DataFrame, labels: DataFrame, label: str, max_broadcast: int = M
     """Left-join per-combination ``labels`` onto the pizza rows (NULL-safe keys)."""
     from casebook.session import checkpoint_dir
 
-    checkpoint_dir(labels.sparkSession)  # the session's shared folder; set locally only when unset
-    lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label)).checkpoint()
+    lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label))
+    if checkpoint_dir(labels.sparkSession) is not None:
+        # written once to the shared checkpoint folder; without one the small
+        # label table is simply computed again for the join
+        lab = lab.checkpoint()
     if lab.count() <= max_broadcast:
         lab = F.broadcast(lab)
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in COMBO]

@@ -62,8 +62,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set locally only if unset."""
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The session's checkpoint folder.
+
+    The cluster's ``spark.checkpoint.dir`` when set.  Only a local-mode
+    session (tests, the bench) without one gets a folder of its own; on a
+    cluster without the setting this returns None rather than inventing a
+    machine-local path that executors cannot share.
+    """
     sc = spark.sparkContext
     active = sc._jsc.sc().getCheckpointDir()  # scala Option[String]
     if active.isDefined():
@@ -72,6 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return named
+    if not sc.master.startswith("local"):
+        return None
     local = tempfile.mkdtemp(prefix="casebook-ckpt-")
     sc.setCheckpointDir(local)
     return local

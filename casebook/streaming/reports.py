@@ -47,7 +47,11 @@ def start_report(report: DataFrame, name: str, sink_path: str, checkpoint: str |
     cluster names; state survives executor loss and restarts.
     """
     spark = report.sparkSession
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
+    if checkpoint is None:
+        base = checkpoint_dir(spark)
+        if base is None:
+            raise ValueError("no spark.checkpoint.dir on this cluster: pass checkpoint= a shared folder")
+        checkpoint = os.path.join(base, "streams", name)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink_path)
