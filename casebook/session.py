@@ -54,7 +54,8 @@ def configure_for_cluster(spark: SparkSession) -> SparkSession:
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``SQL_DEFAULTS`` where the session leaves them unset, and make
-    sure a checkpoint folder is known (the cluster's, else a local one)."""
+    sure a checkpoint folder is known (the cluster's; a local one only in
+    local mode)."""
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
