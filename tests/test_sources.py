@@ -49,3 +49,12 @@ def test_cluster_defaults_fill_only_unset(spark):
         for key in CLUSTER_DEFAULTS:
             if key != "spark.sql.shuffle.partitions":
                 spark.conf.unset(key)
+
+
+def test_command_line_run(spark, tmp_path):
+    from casebook.__main__ import main
+
+    out = str(tmp_path / "out")
+    assert main(["run", "s10_days_histogram", "/root/testdata/sf0.001", out]) == 0
+    assert spark.read.parquet(out).count() > 0
+    assert main(["run", "no_such_query", "/root/testdata/sf0.001", out]) == 2
