@@ -151,3 +151,14 @@ def round_ratio(num: str | Column, den: str | Column, digits: int = 0) -> Column
 def scaled(c: str | Column, digits: int = 2) -> Column:
     """A decimal with ``digits`` decimals as an exact integer (x * 10^digits)."""
     return (col(c) * F.lit(10 ** digits)).cast("decimal(38,0)")
+
+
+def count_distinct(c: str | Column, approx_rsd: float | None = None) -> Column:
+    """``COUNT(DISTINCT c)`` as ``bigint``: exact by default (a two-level
+    aggregate whose first level shuffles every distinct key); with
+    ``approx_rsd`` a HyperLogLog++ sketch of that relative standard deviation,
+    merged map-side, so only one small sketch per task is shuffled."""
+    c = col(c)
+    if approx_rsd is None:
+        return F.countDistinct(c).cast("bigint")
+    return F.approx_count_distinct(c, approx_rsd).cast("bigint")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from casebook.functions.expr import (
+    count_distinct,
     int_div,
     minutes_between,
     null_if,
@@ -99,8 +100,8 @@ def pizza_count(co: DataFrame) -> DataFrame:
     return co.agg(F.count(F.lit(1)).alias("num_pizza_ordered"))
 
 
-def order_count(co: DataFrame) -> DataFrame:
-    return co.agg(F.countDistinct("order_id").alias("order_count"))
+def order_count(co: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    return co.agg(count_distinct("order_id", approx_rsd).alias("order_count"))
 
 
 def delivered_per_runner(ro: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.functions.expr import days_between, int_div, round_ratio, year_range
+from casebook.functions.expr import count_distinct, days_between, int_div, round_ratio, year_range
 from casebook.operators.ranking import packed_order_key
 from casebook.operators.sequence import next_in_group
 
@@ -61,8 +61,8 @@ def journey(subs: DataFrame, plans: DataFrame, customers: Sequence | DataFrame |
 
 
 # S1 -------------------------------------------------------------------------
-def customer_count(subs: DataFrame) -> DataFrame:
-    return subs.agg(F.countDistinct("customer_id").alias("unique_customers"))
+def customer_count(subs: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    return subs.agg(count_distinct("customer_id", approx_rsd).alias("unique_customers"))
 
 
 # S2 -------------------------------------------------------------------------
@@ -173,9 +173,9 @@ def state_as_of(subs: DataFrame, plans: DataFrame, cutoff, tiebreak: str | None
 
 
 # S8 -------------------------------------------------------------------------
-def upgraded_in_year(subs: DataFrame, plan: int = 3, year: int = 2020) -> DataFrame:
+def upgraded_in_year(subs: DataFrame, plan: int = 3, year: int = 2020, approx_rsd: float | None = None) -> DataFrame:
     rows = subs.where((F.col("plan_id") == plan) & year_range("start_date", year))
-    return rows.agg(F.countDistinct("customer_id").alias("customer_count"))
+    return rows.agg(count_distinct("customer_id", approx_rsd).alias("customer_count"))
 
 
 # S9 / S10 -------------------------------------------------------------------

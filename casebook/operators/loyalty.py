@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.functions.expr import count_distinct
 from casebook.operators.ranking import extreme_with_ties, top_n
 
 MONEY_OUT = "decimal(18,2)"
@@ -43,9 +44,10 @@ def spend_per_customer(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 
 # L2 -------------------------------------------------------------------------
-def visit_days(sales: DataFrame) -> DataFrame:
-    """Distinct visit days per customer (exact ``COUNT(DISTINCT order_date)``)."""
-    return sales.groupBy("customer_id").agg(F.countDistinct("order_date").cast("bigint").alias("total_days_visit"))
+def visit_days(sales: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Distinct visit days per customer (exact ``COUNT(DISTINCT order_date)``
+    unless ``approx_rsd`` asks for a sketch)."""
+    return sales.groupBy("customer_id").agg(count_distinct("order_date", approx_rsd).alias("total_days_visit"))
 
 
 # L3 -------------------------------------------------------------------------

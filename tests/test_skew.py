@@ -105,3 +105,16 @@ def test_null_customer_is_its_own_group(spark):
                                "customer_id string, k int, v string")
     got = rows(extreme_with_ties(df, ["customer_id"], "k"))
     assert got == [(None, 1, "a"), ("x", 5, "c"), ("x", 5, "d")]
+
+
+def test_approximate_distinct_is_opt_in_and_close(spark):
+    from casebook.sources import driver_tables as T
+
+    d = "/root/testdata/sf0.01"
+    subs = T.subscriptions(spark, d)
+    exact = S.customer_count(subs).first()[0]
+    approx = S.customer_count(subs, approx_rsd=0.02).first()[0]
+    assert exact == subs.select("customer_id").distinct().count()
+    assert abs(approx - exact) <= 0.08 * exact
+    plan = S.customer_count(subs, approx_rsd=0.02)._jdf.queryExecution().executedPlan().toString()
+    assert "approx_count_distinct" in plan
