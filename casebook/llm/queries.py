@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash
+import public_tokenizers
+
+from . import bpe, hnsw, mixing, quality_rules, simhash, toxicity
 from .common import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
@@ -17,9 +25,36 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.realise(table(spark, sf_dir, "documents"))
+
+
+def tokenised(docs: DataFrame) -> DataFrame:
+    """Ids of every text, decoded again, as digests."""
+    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    ids = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
+    back = ids.withColumn("bytes", bpe.decode(F.col("ids"), path, pattern))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenised(table(spark, sf_dir, "documents"))
+
+
+def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op6_mixing": op6_mixing,
+    "op9_bpe": op9_bpe,
+    "op10_hnsw": op10_hnsw,
 }
 
 ORACLE = {
