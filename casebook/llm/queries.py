@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, hnsw, mixing, quality_rules, simhash, toxicity
+from . import backoff_lm, bpe, chat, hnsw, html_text, licences, mixing, quality_rules, simhash, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -25,10 +25,42 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = backoff_lm.score(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", "n_backoff", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.realise(table(spark, sf_dir, "documents"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+#: The conversation that the contract adds: control strings inside both texts.
+ADDED = [(-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(ADDED, "conv_id long, turn long, role string, text string"))
+    records = rows.select(F.to_variant_object(F.struct("conv_id", "turn", "role", "text")).alias("record"))
+    chats = chat.formatted(chat.canonical_turns(records, "record"))
+    back = chats.withColumn("turns", chat.read_back(F.col("formatted"))).withColumn(
+        "learnt", chat.loss_text(F.col("formatted"), F.col("loss")))
+    written = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("conversation").cast("long").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(written, 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def tokenised(docs: DataFrame) -> DataFrame:
     """Ids of every text, decoded again, as digests."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
@@ -52,11 +84,43 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_text": op4_html_text,
+    "op5_backoff_lm": op5_backoff_lm,
     "op6_mixing": op6_mixing,
+    "op7_licences": op7_licences,
+    "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_hnsw": op10_hnsw,
 }
 
+def _licence_sql() -> str:
+    """The scan on canonical texts themselves, licences as a VALUES list."""
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def lines(text: str) -> str:
+        plain = rf"regexp_replace(replace(lower(coalesce({text}, '')), '©', ' copyright '), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+        for written, taken in licences.EQUIVALENT:
+            plain = f"replace({plain}, {quoted(written)}, {quoted(taken)})"
+        return (f"list_filter(list_transform(string_split({plain}, chr(10)), lambda x: trim(x)), "
+                f"lambda x: x <> '' AND NOT regexp_matches(x, {quoted(licences.COPYRIGHT)}))")
+
+    values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in licences.LICENCES)
+    return f"""
+WITH known AS (
+  SELECT DISTINCT licence, array_to_string({lines("body")}, ' ') AS canonical FROM (VALUES {values}) AS v(licence, body)
+), docs AS (
+  SELECT doc_id, {lines("text")} AS l FROM documents
+), units AS (
+  SELECT doc_id, array_to_string(l, ' ') AS canonical, true AS whole FROM docs WHERE len(l) > 0
+  UNION ALL SELECT doc_id, unnest(l), false FROM docs
+)
+SELECT doc_id, licence, bool_or(whole) AS whole_text, sum((NOT whole)::INT)::BIGINT AS n_lines
+FROM units JOIN known USING (canonical) GROUP BY doc_id, licence
+"""
+
+
 ORACLE = {
     "op3_quality_rules": r"""
 WITH w AS (
@@ -95,5 +159,42 @@ WITH w AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT bad AS kept, bad AS host_rejected
 FROM judged JOIN verdict ON judged.source IS NOT DISTINCT FROM verdict.source
+""",
+    "op5_backoff_lm": r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), grams AS (
+  SELECT doc_id, coalesce(w[i - 1], '') AS a, w[i] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), one AS (SELECT b, count(*) AS n FROM grams GROUP BY b
+), two AS (SELECT a, b, count(*) AS n, sum(count(*)) OVER (PARTITION BY a) AS m FROM grams GROUP BY a, b
+), scored AS (
+  SELECT doc_id, two.n < 2 AS low, CASE WHEN two.n >= 2 THEN ln(two.n / two.m)
+         ELSE ln(0.4) + ln(one.n / (SELECT count(*) FROM grams)) END AS s
+  FROM grams JOIN two USING (a, b) JOIN one USING (b)
+)
+SELECT doc_id, count(s)::BIGINT AS n_words, coalesce(sum(low::INT), 0)::BIGINT AS n_backoff,
+       round(sum(s) / count(s), 6) AS mean_log_score
+FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN scored USING (doc_id) GROUP BY doc_id
+""",
+    "op7_licences": _licence_sql(),
+    "op8_chat": r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), turns AS (
+  SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS body,
+         replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\n') AS head FROM given
+), chats AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS written,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS learnt,
+         sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(written) AS turns_sha256, length(learnt)::BIGINT AS loss_chars,
+       sha256(learnt) AS loss_sha256, formatted_chars
+FROM chats
 """,
 }
