@@ -14,10 +14,10 @@ of the xor verifies it inside the join.
 
 Groups of many close copies would link pair by pair.  They are first tied
 together by stars: in every key, each member is verified against the key's
-smallest and largest fingerprint.  The join then runs only over keys that still
-hold two components, only between members outside the key's smallest
-component and members of another component, so it emits links between
-components alone, and none of them is lost.
+smallest and largest fingerprint.  The join then runs only between members
+outside the key's most frequent component and members of another component, so it
+compares no pair inside a large group, emits links between components alone,
+and loses none of them.
 
 Defined results
 ---------------
@@ -40,6 +40,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import materialised, small_side
 from .graph import connected
@@ -108,28 +109,30 @@ def variants(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.withColumn("v", F.explode(table)).withColumn("key", key).drop("v")
 
 
-def _near(a: str, b: str, max_bits: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
+def _near(a: Column, b: Column, max_bits: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
 
 def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
     """(fp, label): the component of every distinct fingerprint in ``fps``."""
-    fps = materialised(fps.select("fp").distinct())
-    index = variants(fps, max_bits)
-
-    ends = index.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi")
-    star = index.join(ends, "key").select("fp", F.explode(F.array("lo", "hi")).alias("other"))
-    star = star.filter((F.col("fp") != F.col("other")) & _near("fp", "other", max_bits)).distinct()
-    tied = connected(fps.select(F.col("fp").alias("node")), star.select(
-        F.col("fp").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("fp"), "label")
-
-    index = variants(materialised(tied), max_bits)
-    mixed = index.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    members = index.join(mixed.select("key", "low"), "key")
-    left = members.filter("label != low").select("key", F.col("fp").alias("f"), F.col("label").alias("l"))
-    right = members.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
+    # as many tasks as shuffles have, since every row becomes one per bit
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = materialised(fps.select("fp").distinct().repartition(spread, "fp"))
+    # a window per key, not a join: only verified links leave it
+    by_key = Window.partitionBy("key")
+    index = variants(fps, max_bits).withColumns({"lo": F.min("fp").over(by_key), "hi": F.max("fp").over(by_key)})
+    stars = F.filter(F.array("lo", "hi"), lambda x: (x != F.col("fp")) & _near(x, F.col("fp"), max_bits))
+    star = index.filter("lo < hi").select(F.col("fp").alias("a"), F.explode(stars).alias("b")).distinct()
+    tied = materialised(connected(fps.select(F.col("fp").alias("node")), star).select(
+        F.col("node").alias("fp"), "label").repartition(spread, "fp"))
+
+    # of two components in a key one at least is not the key's most frequent: those members meet all
+    index = variants(tied, max_bits)
+    left = index.withColumn("most", F.mode("label", True).over(by_key)).filter("label != most").select(
+        "key", F.col("fp").alias("f"), F.col("label").alias("l"))
+    right = index.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
     across = left.join(right, (F.col("key") == F.col("k")) & (F.col("l") != F.col("m"))
-                       & _near("f", "g", max_bits)).select(
+                       & _near(F.col("f"), F.col("g"), max_bits)).select(
         F.least("l", "m").alias("a"), F.greatest("l", "m").alias("b")).distinct()
     merged = connected(tied.select(F.col("label").alias("node")).distinct(), across).select(
         F.col("node").alias("label"), F.col("label").alias("final"))
