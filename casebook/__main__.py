@@ -16,19 +16,24 @@ import sys
 from pyspark.sql import SparkSession
 
 from casebook.plans.catalogue import QUERIES
-from casebook.session import configure
+from casebook.session import configure, configure_for_cluster
+
+
+def _configured(spark: SparkSession) -> SparkSession:
+    local = spark.sparkContext.master.startswith("local")
+    return configure(spark) if local else configure_for_cluster(spark)
 
 
 def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
-        return configure(active)
+        return _configured(active)
     from pyspark import SparkConf
 
     builder = SparkSession.builder.appName("casebook")
     if not SparkConf().contains("spark.master"):  # not launched by spark-submit
         builder = builder.master("local[*]").config("spark.ui.enabled", "false")
-    return configure(builder.getOrCreate())
+    return _configured(builder.getOrCreate())
 
 
 def main(argv: list[str]) -> int:

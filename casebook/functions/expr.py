@@ -13,7 +13,9 @@ import datetime as _dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DataType, DecimalType
+
+from casebook.schemas import MEASURE_DIGITS
 
 
 def col(c: str | Column) -> Column:
@@ -26,8 +28,7 @@ def col(c: str | Column) -> Column:
 def null_if(c: str | Column, *sentinels: str) -> Column:
     """NULL when the value is one of ``sentinels``, else the value.
 
-    ``CASE WHEN x IN ('null', NULL, '') THEN NULL ELSE x END`` - the NULL in
-    the list never matches, and a NULL input stays NULL either way.
+    A NULL input stays NULL.
     """
     c = col(c)
     return F.when(c.isin(*sentinels), F.lit(None).cast("string")).otherwise(c)
@@ -117,42 +118,56 @@ def days_between(start: str | Column, end: str | Column) -> Column:
 # --------------------------------------------------------------------------
 # arithmetic with PostgreSQL rounding
 # --------------------------------------------------------------------------
+def _div(a: Column, b: Column) -> Column:
+    """Integer quotient, truncated.  ``div`` on integers held as decimals is
+    exact, where ``/`` rounds the quotient to six digits first.  NULL for b = 0."""
+    whole = F.when(b != 0, b)
+    return F.call_function("div", a.cast("decimal(38,0)"), whole.cast("decimal(38,0)"))
+
+
 def int_div(a: str | Column, b: str | Column) -> Column:
     """PostgreSQL ``int / int``: integer division truncating toward zero.
 
     Spark's ``/`` on integers returns a double (``7 / 2 = 3.5``).  NULL when
     ``b`` is 0 (Spark raises under ANSI, PostgreSQL raises too).
     """
-    a = col(a).cast("decimal(38,0)")
-    b = col(b).cast("decimal(38,0)")
-    q = F.floor(F.abs(a) / F.abs(b))
-    signed = F.when((a < 0) != (b < 0), -q).otherwise(q)
-    return F.when(b == 0, F.lit(None)).otherwise(signed).cast("bigint")
+    return _div(col(a), col(b)).cast("bigint")
 
 
 def round_ratio(num: str | Column, den: str | Column, digits: int = 0) -> Column:
     """``ROUND(num / den, digits)`` for integer ``num``/``den``, half away from zero.
 
-    Computed in integers - ``(2*|num|*10^d + den) div (2*den)`` - so it is
+    Computed in integers - ``(2*|num|*10^d + |den|) div (2*|den|)`` - so it is
     exact: rounding an average held as a double (``avg`` of integers in Spark)
     can land on the wrong side of .5.  Returns ``decimal(18, digits)``, or
     ``bigint`` when ``digits == 0``.  NULL when ``den`` is 0 or NULL.
     """
     num, den = col(num).cast("decimal(38,0)"), col(den).cast("decimal(38,0)")
     scale = 10 ** digits
-    mag = F.floor((F.abs(num) * (2 * scale) + den) / (den * 2))
-    signed = F.when(num < 0, -mag).otherwise(mag)
-    signed = F.when(den == 0, F.lit(None)).otherwise(signed)
+    mag = _div(F.abs(num) * (2 * scale) + F.abs(den), F.abs(den) * 2)
+    signed = F.when((num < 0) != (den < 0), -mag).otherwise(mag)
     if digits == 0:
         return signed.cast("bigint")
-    return (signed.cast("decimal(38,0)") / F.lit(scale)).cast(DecimalType(18, digits))
+    # scale is a power of ten up to 10^6, so six digits hold the quotient
+    return (signed.cast("decimal(32,0)") / F.lit(scale)).cast(DecimalType(18, digits))
 
 
-def scaled(c: str | Column, digits: int = 2) -> Column:
-    """A decimal with ``digits`` decimals as an exact integer (x * 10^digits)."""
+def scaled(c: str | Column, digits: int = MEASURE_DIGITS) -> Column:
+    """A decimal with up to ``digits`` decimals as an exact integer (x * 10^digits)."""
     return (col(c) * F.lit(10 ** digits)).cast("decimal(38,0)")
 
 
+def strict_cast(c: str | Column, to: DataType, lenient: bool = False) -> Column:
+    """The value as ``to``; text that is no such value raises, as ``::`` does in
+    PostgreSQL, whatever the session's ANSI setting.  ``lenient`` gives NULL."""
+    c = col(c)
+    value = c.try_cast(to)
+    if lenient:
+        return value
+    bad = F.raise_error(F.concat(F.lit(f"not a {to.simpleString()}: "), c)).cast(to)
+    return F.when(c.isNotNull() & value.isNull(), bad).otherwise(value)
+
+
 def count_distinct(c: str | Column, approx_rsd: float | None = None) -> Column:
     """``COUNT(DISTINCT c)`` as ``bigint``: exact by default (a two-level
     aggregate whose first level shuffles every distinct key); with

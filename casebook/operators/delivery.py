@@ -26,12 +26,13 @@ from casebook.functions.expr import (
     null_if,
     round_ratio,
     scaled,
+    strict_cast,
     strip_unit,
     week_of_year_blocks,
     weekday_name,
 )
 from casebook.operators.ranking import top_n
-from casebook.schemas import MEASURE
+from casebook.schemas import MEASURE, MEASURE_DIGITS
 
 # The text forms the reference cleans away, per column.
 LIST_SENTINELS = ("null", "")
@@ -53,7 +54,7 @@ def clean_customer_orders(co: DataFrame, sentinels: tuple[str, ...] = LIST_SENTI
 
 
 # C2 -------------------------------------------------------------------------
-def clean_runner_orders(ro: DataFrame, typed: bool = False) -> DataFrame:
+def clean_runner_orders(ro: DataFrame, typed: bool = False, lenient: bool = False) -> DataFrame:
     """The reference's cleaning, text in, text out.
 
     pickup_time: NULL only for ``'null'``.  distance: NULL for ``'null'``/``''``;
@@ -61,7 +62,7 @@ def clean_runner_orders(ro: DataFrame, typed: bool = False) -> DataFrame:
     ``'13.4 '``).  duration: likewise for ``mins`` anywhere, or a trailing
     ``minute`` / ``minutes``.  cancellation: NULL for ``'null'``, ``''``, ``'NaN'``.
     ``typed=True`` also casts: pickup_time to ``timestamp_ntz``, distance and
-    duration to ``decimal(10,2)`` (NULL where the text is not a number).
+    duration to ``decimal(38,10)``; text that is neither raises unless ``lenient``.
     """
     out = ro.withColumns({
         "pickup_time": null_if("pickup_time", *PICKUP_SENTINELS),
@@ -69,15 +70,16 @@ def clean_runner_orders(ro: DataFrame, typed: bool = False) -> DataFrame:
         "duration": strip_unit("duration", DURATION_UNITS, MEASURE_SENTINELS),
         "cancellation": null_if("cancellation", *CANCELLATION_SENTINELS),
     })
-    return typed_runner_orders(out) if typed else out
+    return typed_runner_orders(out, lenient) if typed else out
 
 
-def typed_runner_orders(clean: DataFrame) -> DataFrame:
-    """Casts of the cleaned text columns, as the reference's ``::`` casts."""
+def typed_runner_orders(clean: DataFrame, lenient: bool = False) -> DataFrame:
+    """Casts of the cleaned text columns, as the reference's ``::`` casts: bad
+    text raises.  ``lenient=True`` gives NULL for it."""
     return clean.withColumns({
-        "pickup_time": F.col("pickup_time").try_cast(TimestampNTZType()),
-        "distance": F.col("distance").try_cast(MEASURE),
-        "duration": F.col("duration").try_cast(MEASURE),
+        "pickup_time": strict_cast("pickup_time", TimestampNTZType(), lenient),
+        "distance": strict_cast("distance", MEASURE, lenient),
+        "duration": strict_cast("duration", MEASURE, lenient),
     })
 
 
@@ -182,11 +184,13 @@ def orders_by_weekday(co: DataFrame, pad: bool = True) -> DataFrame:
 
 
 # R1 - R7 --------------------------------------------------------------------
-def signups_per_week(runners: DataFrame) -> DataFrame:
-    """Sign-ups per week of year, weeks counted from 1 January, year ignored."""
-    return runners.groupBy(week_of_year_blocks("registration_date").alias("week")).agg(
-        F.count("runner_id").alias("runner_signup")
-    )
+def signups_per_week(runners: DataFrame, with_year: bool = False) -> DataFrame:
+    """Sign-ups per week of year, weeks counted from 1 January.  The year is
+    ignored, as the reference does, unless ``with_year`` makes it a key."""
+    keys = [week_of_year_blocks("registration_date").alias("week")]
+    if with_year:
+        keys.insert(0, F.year("registration_date").cast("bigint").alias("year"))
+    return runners.groupBy(*keys).agg(F.count("runner_id").alias("runner_signup"))
 
 
 def _picked_up(ro_typed: DataFrame) -> DataFrame:
@@ -245,7 +249,7 @@ def avg_distance(co: DataFrame, ro_typed: DataFrame, weight: str = "pizza") -> D
     return rows.groupBy("customer_id").agg(
         round_ratio(
             F.sum(scaled("distance") * F.col("_n")),
-            F.sum(F.when(known, F.col("_n"))) * 100,
+            F.sum(F.when(known, F.col("_n"))).cast("decimal(25,0)") * F.lit(10 ** MEASURE_DIGITS),
             2,
         ).alias("avg_distance")
     )
@@ -261,7 +265,7 @@ def duration_spread(ro_typed: DataFrame) -> DataFrame:
     )
 
 
-def delivery_speed(co: DataFrame, ro_clean: DataFrame, factor: int = 60) -> DataFrame:
+def delivery_speed(co: DataFrame, ro_clean: DataFrame, factor: int = 60, lenient: bool = False) -> DataFrame:
     """Speed per delivery: distance / duration * ``factor``, ROUND 2.
 
     Distances are km and durations minutes, so ``factor=60`` gives km/h; the
@@ -272,9 +276,9 @@ def delivery_speed(co: DataFrame, ro_clean: DataFrame, factor: int = 60) -> Data
     # the reference prints the cleaned text and computes on its casts
     ro_both = ro_clean.select(
         "order_id", "runner_id", "distance", "duration",
-        F.col("pickup_time").try_cast(TimestampNTZType()).alias("_pickup"),
-        F.col("distance").try_cast(MEASURE).alias("_d"),
-        F.col("duration").try_cast(MEASURE).alias("_t"),
+        strict_cast("pickup_time", TimestampNTZType(), lenient).alias("_pickup"),
+        strict_cast("distance", MEASURE, lenient).alias("_d"),
+        strict_cast("duration", MEASURE, lenient).alias("_t"),
     )
     rows = per_order.join(ro_both.where(F.col("_pickup").isNotNull()), on="order_id")
     return rows.select(
@@ -283,11 +287,13 @@ def delivery_speed(co: DataFrame, ro_clean: DataFrame, factor: int = 60) -> Data
     )
 
 
-def success_rate(ro_clean: DataFrame) -> DataFrame:
+def success_rate(ro_clean: DataFrame, exact_pct: bool = False) -> DataFrame:
     """Per runner: orders, orders with a duration, and the integer percentage
-    (``100 * delivered / orders`` truncated, as integer division does)."""
+    (``100 * delivered / orders`` truncated, as integer division does), or with
+    ``exact_pct`` the percentage rounded to two digits."""
+    part, whole = F.count("duration") * 100, F.count("order_id")
     return ro_clean.groupBy("runner_id").agg(
         F.count("order_id").alias("orders"),
         F.count("duration").alias("delivered"),
-        int_div(F.count("duration") * 100, F.count("order_id")).alias("percent_delivered"),
+        (round_ratio(part, whole, 2) if exact_pct else int_div(part, whole)).alias("percent_delivered"),
     )

@@ -9,50 +9,83 @@ and ``pizza_toppings(topping_id, topping_name)``.
 
 Lists inside a text cell are parsed with ``split`` and exploded.  Per-pizza
 labels are built once per distinct (pizza, exclusions, extras) combination
-and attached to the pizza rows by a (size-checked) broadcast join, so the
-pizza rows are never exploded or shuffled; totals are pre-aggregated per pizza
-type or topping before they are combined.
+and joined to the pizza rows, so the pizza rows are never exploded; totals are
+pre-aggregated per pizza type or topping before they are combined.
+
+Nothing is dropped in silence: a listed topping id that is no number or is not in
+``pizza_toppings`` raises (``on_unknown='raise'``); ``'skip'`` leaves it out, and
+``unknown_toppings`` counts such ids.  A delivered pizza without a price raises.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from casebook.functions.expr import minutes_between, round_ratio, scaled
+from casebook.functions.expr import minutes_between, round_ratio, scaled, strict_cast
 from casebook.operators.delivery import sum_over_delivered
-from casebook.session import checkpoint_dir
 
 
-def topping_ids(text: str | Column) -> Column:
-    """``'1, 5'`` -> ``[1, 5]`` (NULL stays NULL; blanks around ids ignored)."""
+ON_UNKNOWN = ("raise", "skip")
+
+
+def _lenient(on_unknown: str) -> bool:
+    if on_unknown not in ON_UNKNOWN:
+        raise ValueError(f"on_unknown must be one of {ON_UNKNOWN}")
+    return on_unknown == "skip"
+
+
+def topping_ids(text: str | Column, on_unknown: str = "raise") -> Column:
+    """``'1, 5'`` -> ``[1, 5]`` (NULL stays NULL; blanks around ids ignored).
+    An entry that is no number raises, or is NULL with ``on_unknown='skip'``."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.transform(F.split(c, ","), lambda x: F.trim(x).try_cast("int"))
+    skip = _lenient(on_unknown)
+    return F.transform(F.split(c, ","), lambda x: strict_cast(F.trim(x), IntegerType(), lenient=skip))
 
 
-def _exploded(df: DataFrame, list_col: str, keep: Sequence[str], distinct: bool = False) -> DataFrame:
-    """One row per (row, listed topping id) with its position in the list;
-    ``distinct`` lists an id once per row even if the cell repeats it."""
-    ids = topping_ids(list_col)
-    if distinct:
-        ids = F.array_distinct(ids)
-    return df.select(*keep, F.posexplode(ids).alias("_pos", "topping_id")).where(
-        F.col("topping_id").isNotNull()
-    )
+def _exploded(df: DataFrame, list_col: str, keep: Sequence[str], on_unknown: str = "raise") -> DataFrame:
+    """One row per (row, listed topping id) with its position in the list."""
+    return df.select(*keep, F.posexplode(topping_ids(list_col, on_unknown)).alias("_pos", "topping_id"))
+
+
+def _named(items: DataFrame, toppings: DataFrame, on_unknown: str) -> DataFrame:
+    """``items`` with ``topping_name``; ids without one raise or drop out."""
+    if _lenient(on_unknown):
+        return items.join(toppings, on="topping_id")
+    name = F.coalesce(F.col("topping_name"), F.raise_error(
+        F.concat(F.lit("unknown topping "), F.coalesce(F.col("topping_id").cast("string"), F.lit("NULL")))).cast("string"))
+    return items.join(toppings, on="topping_id", how="left").withColumn("topping_name", name)
 
 
-def recipe_items(recipes: DataFrame) -> DataFrame:
+def unknown_toppings(co: DataFrame, toppings: DataFrame, columns: Sequence[str] = ("exclusions", "extras")) -> DataFrame:
+    """(column, entry, times): listed entries that are no known topping id."""
+    found = []
+    for column in columns:
+        texts = co.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        entries = texts.select("_n", F.explode(F.split(column, ",")).alias("entry"))
+        entries = entries.withColumn("topping_id", F.trim("entry").try_cast("int"))
+        found.append(entries.join(toppings, on="topping_id", how="left_anti").groupBy("entry").agg(
+            F.sum("_n").cast("bigint").alias("times")).select(F.lit(column).alias("column"), "entry", "times"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def recipe_items(recipes: DataFrame, on_unknown: str = "raise") -> DataFrame:
     """``pizza_recipes`` as (pizza_id, topping_id)."""
-    return _exploded(recipes, "toppings", ["pizza_id"]).select("pizza_id", "topping_id")
+    return _exploded(recipes, "toppings", ["pizza_id"], on_unknown).select("pizza_id", "topping_id")
 
 
 # X1 -------------------------------------------------------------------------
-def standard_ingredients(names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+def standard_ingredients(names: DataFrame, recipes: DataFrame, toppings: DataFrame,
+                         on_unknown: str = "raise") -> DataFrame:
     """Each pizza's standard toppings, alphabetical, comma-separated."""
-    items = recipe_items(recipes).join(toppings, on="topping_id")
+    items = _named(recipe_items(recipes, on_unknown), toppings, on_unknown)
     lists = items.groupBy("pizza_id").agg(
         F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("standard_ingredients")
     )
@@ -61,7 +94,7 @@ def standard_ingredients(names: DataFrame, recipes: DataFrame, toppings: DataFra
 
 # X2 / X3 ----------------------------------------------------------------------
 def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras",
-                      top: int | None = None) -> DataFrame:
+                      top: int | None = None, on_unknown: str = "raise") -> DataFrame:
     """How often each topping is listed in ``column`` (``'extras'`` or
     ``'exclusions'``) over all ordered pizzas; ``top`` keeps the most common
     (ties broken by topping id).
@@ -69,8 +102,9 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
     The pizza rows are first counted per distinct list text (partial on the
     map side; a menu has few such texts), and only those texts are split."""
     texts = co.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    counts = _exploded(texts, column, ["_n"]).groupBy("topping_id").agg(F.sum("_n").cast("bigint").alias("times"))
-    named = counts.join(toppings, on="topping_id").select("topping_id", "topping_name", "times")
+    counts = _exploded(texts, column, ["_n"], on_unknown).groupBy("topping_id").agg(
+        F.sum("_n").cast("bigint").alias("times"))
+    named = _named(counts, toppings, on_unknown).select("topping_id", "topping_name", "times")
     if top is None:
         return named
     return named.orderBy(F.desc("times"), F.asc("topping_id")).limit(top)
@@ -79,28 +113,19 @@ def topping_frequency(co: DataFrame, toppings: DataFrame, column: str = "extras"
 # X4 / X5 ----------------------------------------------------------------------
 # A label depends only on (pizza_id, exclusions, extras).  Labels are built for
 # the distinct combinations (a partial-aggregated ``distinct``: as many rows as
-# the menu's combinatorics, not as pizzas), materialised once with
-# ``checkpoint()`` in the cluster's checkpoint folder and counted.  Under
-# ``MAX_BROADCAST_LABELS`` they are broadcast, so the pizza rows only pass a
-# hash lookup - no shuffle of them at all; above it the join is left to Spark
-# (sort-merge, AQE splitting the hot "no change" combination).
+# the menu's combinatorics, not as pizzas) and joined back null-safe.  AQE sees
+# the labels' bytes at their exchange and broadcasts them when they are small;
+# else it sort-merges and splits the hot "no change" combination.
 COMBO = ("pizza_id", "exclusions", "extras")
-MAX_BROADCAST_LABELS = 200_000
 
 
 def _combos(co: DataFrame) -> DataFrame:
     return co.select(*COMBO).distinct()
 
 
-def _attach(co: DataFrame, labels: DataFrame, label: str, max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+def _attach(co: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """Left-join per-combination ``labels`` onto the pizza rows (NULL-safe keys)."""
     lab = labels.select(*[F.col(c).alias(f"_k_{c}") for c in COMBO], F.col(label))
-    if checkpoint_dir(labels.sparkSession) is not None:
-        # written once to the shared checkpoint folder; without one the small
-        # label table is simply computed again for the join
-        lab = lab.checkpoint()
-    if lab.count() <= max_broadcast:
-        lab = F.broadcast(lab)
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in COMBO]
     return co.join(lab, on=cond, how="left").drop(*[f"_k_{c}" for c in COMBO])
 
@@ -121,7 +146,7 @@ def _left_by_combo(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
-                      max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+                      on_unknown: str = "raise") -> DataFrame:
     """``'Meatlovers - Exclude Cheese, Bacon - Extra Mushrooms, Peppers'`` for
     every pizza row; names keep the order of the ids in the cell."""
     combos = _combos(co)
@@ -129,13 +154,13 @@ def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
     listed = combos.select(
         *COMBO,
         F.explode(F.concat(
-            F.transform(F.coalesce(topping_ids("exclusions"), empty), lambda x, i: F.struct(
+            F.transform(F.coalesce(topping_ids("exclusions", on_unknown), empty), lambda x, i: F.struct(
                 F.lit(0).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
-            F.transform(F.coalesce(topping_ids("extras"), empty), lambda x, i: F.struct(
+            F.transform(F.coalesce(topping_ids("extras", on_unknown), empty), lambda x, i: F.struct(
                 F.lit(1).alias("kind"), i.alias("pos"), x.alias("topping_id"))),
         )).alias("_i"),
-    ).select(*COMBO, "_i.*").join(toppings, on="topping_id")
-    parts = listed.groupBy(*COMBO).agg(
+    ).select(*COMBO, "_i.*")
+    parts = _named(listed, toppings, on_unknown).groupBy(*COMBO).agg(
         F.array_sort(F.collect_list(F.struct("kind", "pos", "topping_name"))).alias("_l")
     )
 
@@ -146,35 +171,35 @@ def order_item_labels(co: DataFrame, names: DataFrame, toppings: DataFrame,
     # a combination without any known topping has no row in ``parts``
     labelled = _left_by_combo(combos.join(names, on="pizza_id", how="left"), parts)
     labels = labelled.select(*COMBO, _item_label(F.col("pizza_name"), names_of(0), names_of(1)).alias("order_item"))
-    return _attach(co, labels, "order_item", max_broadcast)
+    return _attach(co, labels, "order_item")
 
 
-def _used_toppings(recipe: Column) -> Column:
+def _used_toppings(recipe: Column, on_unknown: str) -> Column:
     """Recipe ids minus the row's exclusions, then the row's extras."""
     empty = F.array().cast("array<int>")
-    kept = F.array_except(F.coalesce(recipe, empty), F.coalesce(topping_ids("exclusions"), empty))
-    return F.filter(F.concat(kept, F.coalesce(topping_ids("extras"), empty)), lambda x: x.isNotNull())
+    kept = F.array_except(F.coalesce(recipe, empty), F.coalesce(topping_ids("exclusions", on_unknown), empty))
+    return F.concat(kept, F.coalesce(topping_ids("extras", on_unknown), empty))
 
 
-def _recipes_by_pizza(recipes: DataFrame) -> DataFrame:
-    return recipe_items(recipes).groupBy("pizza_id").agg(F.collect_list("topping_id").alias("_recipe"))
+def _recipes_by_pizza(recipes: DataFrame, on_unknown: str) -> DataFrame:
+    return recipe_items(recipes, on_unknown).groupBy("pizza_id").agg(F.collect_list("topping_id").alias("_recipe"))
 
 
-def _ingredient_counts(combos: DataFrame, recipes: DataFrame) -> DataFrame:
+def _ingredient_counts(combos: DataFrame, recipes: DataFrame, on_unknown: str) -> DataFrame:
     """(combination, topping, quantity): recipe toppings not excluded count 1,
     every listed extra counts 1 more."""
-    items = combos.join(_recipes_by_pizza(recipes), on="pizza_id", how="left").select(
-        *COMBO, F.explode(_used_toppings(F.col("_recipe"))).alias("topping_id")
+    items = combos.join(_recipes_by_pizza(recipes, on_unknown), on="pizza_id", how="left").select(
+        *COMBO, F.explode(_used_toppings(F.col("_recipe"), on_unknown)).alias("topping_id")
     )
     return items.groupBy(*COMBO, "topping_id").agg(F.count(F.lit(1)).alias("qty"))
 
 
 def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame,
-                     max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+                     on_unknown: str = "raise") -> DataFrame:
     """``'Meatlovers: 2xBacon, Beef, ..., Salami'`` for every pizza row:
     alphabetical, ``Nx`` in front of an ingredient used N > 1 times."""
     combos = _combos(co)
-    counts = _ingredient_counts(combos, recipes).join(toppings, on="topping_id")
+    counts = _named(_ingredient_counts(combos, recipes, on_unknown), toppings, on_unknown)
     item = F.when(F.col("qty") > 1, F.concat(F.col("qty").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
         F.col("topping_name")
     )
@@ -190,7 +215,7 @@ def ingredient_lists(co: DataFrame, names: DataFrame, recipes: DataFrame, toppin
         *COMBO,
         F.when(name.isNotNull(), F.concat(name, F.lit(": "), F.coalesce(F.col("_items"), F.lit("")))).alias("ingredients"),
     )
-    return _attach(co, labels, "ingredients", max_broadcast)
+    return _attach(co, labels, "ingredients")
 
 
 def delivered_pizzas(co: DataFrame, ro: DataFrame) -> DataFrame:
@@ -198,7 +223,8 @@ def delivered_pizzas(co: DataFrame, ro: DataFrame) -> DataFrame:
     return co.join(ro.where(F.col("cancellation").isNull()).select("order_id"), on="order_id")
 
 
-def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings: DataFrame,
+                      on_unknown: str = "raise") -> DataFrame:
     """Quantity of each ingredient over delivered pizzas - the sum of every
     delivered pizza's ``ingredient_lists`` quantities.
 
@@ -208,50 +234,57 @@ def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings
     by their counts: the pizza rows are never exploded or regrouped.
     """
     combos = sum_over_delivered(co, ro, list(COMBO), {"_n": F.count(F.lit(1))})
-    items = combos.join(_recipes_by_pizza(recipes), on="pizza_id", how="left").select(
-        "_n", F.explode(_used_toppings(F.col("_recipe"))).alias("topping_id")
+    items = combos.join(_recipes_by_pizza(recipes, on_unknown), on="pizza_id", how="left").select(
+        "_n", F.explode(_used_toppings(F.col("_recipe"), on_unknown)).alias("topping_id")
     )
     total = items.groupBy("topping_id").agg(F.sum("_n").cast("bigint").alias("quantity"))
-    return total.join(toppings, on="topping_id").select("topping_id", "topping_name", "quantity")
+    return _named(total, toppings, on_unknown).select("topping_id", "topping_name", "quantity")
 
 
 # X7 / X10 -------------------------------------------------------------------
 # The prices the reference's questions give (Meatlovers $12,
 # Vegetarian $10, $1 per extra, runner paid $0.30 per km).
-PIZZA_PRICES = {1: Decimal("12"), 2: Decimal("10")}
+PIZZA_PRICES = [(1, Decimal("12.00")), (2, Decimal("10.00"))]
 EXTRA_PRICE = Decimal("1")
 RUNNER_RATE_PER_KM = Decimal("0.30")
 
 
-def _price_of(prices: Mapping[int, Decimal]) -> Column:
-    expr = None
-    for pid, price in prices.items():
-        cond = F.col("pizza_id") == pid
-        expr = F.when(cond, F.lit(price)) if expr is None else expr.when(cond, F.lit(price))
-    return expr.cast("decimal(12,2)")
+def pizza_prices(spark: SparkSession) -> DataFrame:
+    """The price table (pizza_id, price); add a row for a new pizza."""
+    return spark.createDataFrame(PIZZA_PRICES, "pizza_id int, price decimal(12,2)")
+
+
+def _priced_total(co: DataFrame, ro: DataFrame, prices: DataFrame | None, extra_price: Decimal | None = None) -> DataFrame:
+    """One row, ``_r``: delivered pizzas at their prices, plus listed extras.
 
+    Pizzas (and extras) are counted per pizza id first, so prices join one row
+    per type; a delivered pizza without a price raises."""
+    n_extras = F.when(F.col("extras").isNull(), F.lit(0)).otherwise(F.size(F.split("extras", ",")))
+    extras = F.sum(n_extras) if extra_price is not None else F.lit(0)
+    per_type = sum_over_delivered(co, ro, ["pizza_id"], {"_n": F.count(F.lit(1)), "_e": extras})
+    prices = pizza_prices(co.sparkSession) if prices is None else prices
+    prices = prices.select(F.col("pizza_id").alias("_p"), "price")
+    price = F.coalesce(F.col("price"), F.raise_error(F.concat(
+        F.lit("no price for pizza "), F.coalesce(F.col("pizza_id").cast("string"), F.lit("NULL")))).cast("decimal(12,2)"))
+    amount = price * F.col("_n") + F.col("_e") * F.lit(extra_price or Decimal(0))
+    return per_type.join(prices, F.col("pizza_id") == F.col("_p"), "left").agg(F.sum(amount).alias("_r"))
 
-def revenue(co: DataFrame, ro: DataFrame, prices: Mapping[int, Decimal] = PIZZA_PRICES,
+
+def revenue(co: DataFrame, ro: DataFrame, prices: DataFrame | None = None,
             extra_price: Decimal | None = None) -> DataFrame:
-    """Revenue from delivered pizzas at fixed prices; with ``extra_price``,
-    each listed extra adds that much."""
-    amount = _price_of(prices)
-    if extra_price is not None:
-        n_extras = F.coalesce(F.size(F.filter(topping_ids("extras"), lambda x: x.isNotNull())), F.lit(0))
-        n_extras = F.when(F.col("extras").isNull(), F.lit(0)).otherwise(n_extras)
-        amount = amount + n_extras * F.lit(extra_price)
-    total = sum_over_delivered(co, ro, [], {"_r": F.sum(amount)})
-    return total.select(F.col("_r").cast("decimal(18,2)").alias("revenue"))
-
-
-def net_after_runner_pay(co: DataFrame, ro_typed: DataFrame, prices: Mapping[int, Decimal] = PIZZA_PRICES,
+    """Revenue from delivered pizzas at the ``prices`` table (default
+    ``pizza_prices``); with ``extra_price``, each listed extra adds that much."""
+    return _priced_total(co, ro, prices, extra_price).select(F.col("_r").cast("decimal(18,2)").alias("revenue"))
+
+
+def net_after_runner_pay(co: DataFrame, ro_typed: DataFrame, prices: DataFrame | None = None,
                          rate_per_km: Decimal = RUNNER_RATE_PER_KM) -> DataFrame:
     """Revenue of delivered pizzas minus ``rate_per_km`` per km travelled.
 
     Distance is paid once per delivered order, so it is summed over orders
     (not over the order's pizza rows) before being combined with revenue."""
     delivered = ro_typed.where(F.col("cancellation").isNull())
-    rev = sum_over_delivered(co, ro_typed, [], {"_rev": F.sum(_price_of(prices))})
+    rev = _priced_total(co, ro_typed, prices).select(F.col("_r").alias("_rev"))
     km = delivered.agg(F.sum("distance").alias("_km"))
     # both sides are one row; the scalar subquery keeps this a projection
     pay = (km.select(F.coalesce(F.col("_km"), F.lit(0)) * F.lit(rate_per_km))).scalar()

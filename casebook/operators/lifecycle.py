@@ -11,7 +11,7 @@ cross join.  Per-customer questions are grouped aggregates (``max_by``,
 conditional ``min``/``count``) rather than windows wherever the semantics
 allow, so a hot customer is combined map-side; the window that remains (row
 2 after trial) is bounded by ``WindowGroupLimit``, and the next-row question
-(transitions) is range-partitioned so a long history is split over tasks.
+(transitions) cuts a history into months, so a long one is split over tasks.
 """
 
 from __future__ import annotations
@@ -92,11 +92,10 @@ def churn_rate(subs: DataFrame, plan: int = 4, digits: int = 1) -> DataFrame:
     """Rows of the churn plan and their share of all customers, ROUND ``digits``
     (a true ratio).  Counts rows, which equals customers while a customer
     churns once (Q-15)."""
-    churned = subs.where(F.col("plan_id") == plan).agg(F.count(F.lit(1)).alias("churn_count"))
-    return churned.select(
-        "churn_count",
-        round_ratio(F.col("churn_count") * 100, _all_customers(subs), digits).alias("churn_percent"),
-    )
+    both = subs.agg(F.count_if(F.col("plan_id") == plan).alias("churn_count"),
+                    F.countDistinct("customer_id").alias("_all"))
+    return both.select(
+        "churn_count", round_ratio(F.col("churn_count") * 100, F.col("_all"), digits).alias("churn_percent"))
 
 
 # S5 / S6 --------------------------------------------------------------------
@@ -124,15 +123,21 @@ def churn_after_trial(subs: DataFrame, plan: int = 4, order: str = "plan_id",
     )
 
 
+def _percentage(part: Column, whole: Column, exact_pct: bool) -> Column:
+    """Truncated integer percentage, or with ``exact_pct`` rounded to two digits."""
+    return round_ratio(part * 100, whole, 2) if exact_pct else int_div(part * 100, whole)
+
+
 def plan_after_trial(subs: DataFrame, plans: DataFrame, order: str = "plan_id",
-                     tiebreak: str | None = None) -> DataFrame:
+                     tiebreak: str | None = None, exact_pct: bool = False) -> DataFrame:
     """Plan taken second, per plan: customers and their truncated percentage
-    of all customers (integer division, as the reference)."""
+    of all customers (integer division, as the reference), or with
+    ``exact_pct`` the percentage rounded to two digits."""
     second = nth_plan(subs, 2, order, tiebreak)
     counts = second.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customer_count"))
     return counts.join(plans, on="plan_id").select(
         "plan_id", "plan_name", "customer_count",
-        int_div(F.col("customer_count") * 100, _all_customers(subs)).alias("percentage"),
+        _percentage(F.col("customer_count"), _all_customers(subs), exact_pct).alias("percentage"),
     )
 
 
@@ -161,14 +166,15 @@ def latest_as_of(subs: DataFrame, cutoff, tiebreak: str | None = None, method: s
 
 
 def state_as_of(subs: DataFrame, plans: DataFrame, cutoff, tiebreak: str | None = None,
-                method: str = "aggregate") -> DataFrame:
+                method: str = "aggregate", exact_pct: bool = False) -> DataFrame:
     """Customers per plan as of ``cutoff``, with the truncated percentage of
-    all customers (including those who start later)."""
+    all customers (including those who start later); ``exact_pct`` rounds it
+    to two digits instead."""
     latest = latest_as_of(subs, cutoff, tiebreak, method)
     counts = latest.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customer_count"))
     return counts.join(plans, on="plan_id").select(
         "plan_id", "plan_name", "customer_count",
-        int_div(F.col("customer_count") * 100, _all_customers(subs)).alias("percentage"),
+        _percentage(F.col("customer_count"), _all_customers(subs), exact_pct).alias("percentage"),
     )
 
 
@@ -207,29 +213,34 @@ def days_to_plan(subs: DataFrame, from_plan: int = 0, to_plan: int = 3) -> DataF
 
 
 def conversion_days(subs: DataFrame, from_plan: int = 0, to_plan: int = 3) -> DataFrame:
-    """Days from ``from_plan`` to ``to_plan`` per customer having both, one
-    conditional ``min`` per customer (one scan, one shuffle).  Equal to the
-    self-join while (customer, plan) is unique, as in subscriptions."""
+    """(customer_id, days, pairs): the days from ``from_plan`` to ``to_plan``
+    over the pairs of the self-join on customer.
+
+    Rows are counted per (customer, plan, day) before the join, so it pairs a
+    customer's distinct days, and ``pairs`` carries the product of the counts:
+    repeated rows add no joined row.  A hot customer is split by AQE."""
     p = F.col("plan_id")
-    per_customer = subs.where(p.isin(from_plan, to_plan)).groupBy("customer_id").agg(
-        F.min(F.when(p == from_plan, F.col("start_date"))).alias("_from"),
-        F.min(F.when(p == to_plan, F.col("start_date"))).alias("_to"),
-    )
-    return per_customer.where(F.col("_from").isNotNull() & F.col("_to").isNotNull()).select(
-        "customer_id", days_between("_from", "_to").alias("days")
-    )
+    per_day = subs.where(p.isin(from_plan, to_plan)).groupBy("customer_id", "plan_id", "start_date").agg(
+        F.count(F.lit(1)).alias("_n"))
+    start = per_day.where(p == from_plan).select("customer_id", F.col("start_date").alias("_from"), F.col("_n").alias("_f"))
+    end = per_day.where(p == to_plan).select("customer_id", F.col("start_date").alias("_to"), F.col("_n").alias("_t"))
+    return start.join(end, on="customer_id").select(
+        "customer_id", days_between("_from", "_to").alias("days"), (F.col("_f") * F.col("_t")).alias("pairs"))
 
 
 def days_to_plan_histogram(subs: DataFrame, from_plan: int = 0, to_plan: int = 3,
                            lo: int = 0, hi: int = 360, n: int = 12) -> DataFrame:
-    """Customers per ``WIDTH_BUCKET(days, lo, hi, n)`` with the reference's
+    """Pairs per ``WIDTH_BUCKET(days, lo, hi, n)`` with the reference's
     ``'a - b days'`` label.  Buckets are half-open ([0,30), [30,60), ...);
     days below ``lo`` fall in bucket 0 and from ``hi`` on in bucket ``n+1``,
-    labelled by the same arithmetic.  Only occupied buckets appear."""
+    labelled by the same arithmetic.  Only occupied buckets appear.  The range
+    must divide evenly, as the label prints whole days."""
+    if n < 1 or hi <= lo or (hi - lo) % n:
+        raise ValueError(f"{n} buckets do not divide {lo} to {hi} days evenly")
     width = (hi - lo) // n
     days = conversion_days(subs, from_plan, to_plan)
     b = F.width_bucket(F.col("days"), F.lit(lo), F.lit(hi), F.lit(n))
-    counts = days.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("customers"))
+    counts = days.groupBy(b.alias("_b")).agg(F.sum("pairs").cast("bigint").alias("customers"))
     label = F.concat(
         (F.lit(lo) + (F.col("_b") - 1) * width).cast("string"), F.lit(" - "),
         (F.lit(lo) + F.col("_b") * width).cast("string"), F.lit(" days"),
@@ -239,7 +250,7 @@ def days_to_plan_histogram(subs: DataFrame, from_plan: int = 0, to_plan: int = 3
 
 # S11 ------------------------------------------------------------------------
 def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int | None = 2020,
-                filter_first: bool = True, tiebreak: str | None = None, method: str = "range") -> DataFrame:
+                filter_first: bool = True, tiebreak: str | None = None, method: str = "chunk") -> DataFrame:
     """Rows of ``from_plan`` whose next row (by date, then ``tiebreak``) is
     ``to_plan`` - ``LEAD(plan_id)`` per customer.
 
@@ -248,23 +259,23 @@ def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int
     (Q-18); ``False`` takes the next row over all history and then counts the
     ``from_plan`` rows that start in ``year``.
 
-    ``method='range'`` (default) finds the next row with
+    ``method='chunk'`` (default) finds the next row with
     ``sequence.next_in_group``, which splits a customer with a huge history
-    over many tasks; ``'window'`` is the plain ``lead`` window, which sorts
+    over its months; ``'window'`` is the plain ``lead`` window, which sorts
     each customer's whole history in one task.
     """
     rows = subs
     if year is not None and filter_first:
         rows = rows.where(year_range("start_date", year))
     order = ["start_date", tiebreak or "plan_id"]
-    if method == "range":
+    if method == "chunk":
         cols = list(dict.fromkeys(["customer_id", "plan_id", *order]))
         nxt = next_in_group(rows.select(*cols), "customer_id", order, "plan_id", out="_next")
     elif method == "window":
         w = Window.partitionBy("customer_id").orderBy(*order)
         nxt = rows.withColumn("_next", F.lead("plan_id").over(w))
     else:
-        raise ValueError("method must be 'range' or 'window'")
+        raise ValueError("method must be 'chunk' or 'window'")
     hit = (F.col("plan_id") == from_plan) & (F.col("_next") == to_plan)
     if year is not None and not filter_first:
         hit = hit & year_range("start_date", year)

@@ -27,10 +27,22 @@ def _priced(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return sales.join(menu, on="product_id", how="inner")
 
 
-def _before_or_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame, after: bool) -> DataFrame:
-    rows = _priced(sales, menu).join(members, on="customer_id", how="inner")
+def _near_join(rows: DataFrame, members: DataFrame, after: bool) -> DataFrame:
+    """``rows`` (already one per customer and day, or customer and item) of members,
+    on their side of the join date.  A hot customer brings its days or items to
+    this join, not its sales."""
     cond = F.col("order_date") >= F.col("join_date") if after else F.col("order_date") < F.col("join_date")
-    return rows.where(cond)
+    return rows.join(members, on="customer_id", how="inner").where(cond)
+
+
+def _items_on_day(sales: DataFrame, menu: DataFrame, members: DataFrame, after: bool) -> DataFrame:
+    """Items of each member's first day from the join date on, or last before it."""
+    days = sales.join(menu, on="product_id", how="left_semi").select("customer_id", "order_date").distinct()
+    pick = F.min("order_date") if after else F.max("order_date")
+    chosen = _near_join(days, members, after).groupBy("customer_id").agg(pick.alias("order_date"))
+    # joined on (customer, day), which spreads a customer over its days
+    return _priced(sales.join(chosen, on=["customer_id", "order_date"], how="left_semi"), menu).select(
+        "customer_id", "order_date", "product_name").distinct()
 
 
 # L1 -------------------------------------------------------------------------
@@ -90,20 +102,12 @@ def favourite_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
 # L6 / L7 --------------------------------------------------------------------
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Item(s) bought on the first day on or after joining; non-members drop out."""
-    rows = _before_or_after_join(sales, menu, members, after=True)
-    firsts = rows.groupBy("customer_id", "product_name").agg(F.min("order_date").alias("order_date"))
-    return extreme_with_ties(firsts, ["customer_id"], "order_date").select(
-        "customer_id", "order_date", "product_name"
-    )
+    return _items_on_day(sales, menu, members, after=True)
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Item(s) bought on the last day before joining."""
-    rows = _before_or_after_join(sales, menu, members, after=False)
-    lasts = rows.groupBy("customer_id", "product_name").agg(F.max("order_date").alias("order_date"))
-    return extreme_with_ties(lasts, ["customer_id"], "order_date", largest=True).select(
-        "customer_id", "order_date", "product_name"
-    )
+    return _items_on_day(sales, menu, members, after=False)
 
 
 # L8 -------------------------------------------------------------------------
@@ -111,19 +115,24 @@ def spend_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame, ite
     """Items and amount per member before joining.
 
     ``items='distinct'`` counts distinct item names, as the reference does;
-    ``items='all'`` counts every item bought.
+    ``items='all'`` counts every item bought.  Sales are summed per (customer,
+    day) before the member join; an item counts when its first day is before
+    the join date, so names meet the members once per (customer, name).
     """
-    rows = _before_or_after_join(sales, menu, members, after=False)
-    if items == "distinct":
-        n_items = F.countDistinct("product_name")
-    elif items == "all":
-        n_items = F.count("product_name")
-    else:
+    if items not in ("distinct", "all"):
         raise ValueError("items must be 'distinct' or 'all'")
-    return rows.groupBy("customer_id").agg(
-        n_items.cast("bigint").alias("items_ordered"),
-        F.sum("price").cast(MONEY_OUT).alias("total_amount"),
-    )
+    priced = _priced(sales, menu)
+    per_day = priced.groupBy("customer_id", "order_date").agg(
+        F.count("product_name").alias("_n"), F.sum("price").alias("_amount"))
+    spent = _near_join(per_day, members, after=False).groupBy("customer_id").agg(
+        F.sum("_n").cast("bigint").alias("items_ordered"), F.sum("_amount").cast(MONEY_OUT).alias("total_amount"))
+    if items == "all":
+        return spent
+    first_day = priced.groupBy("customer_id", "product_name").agg(F.min("order_date").alias("order_date"))
+    names = _near_join(first_day, members, after=False).groupBy("customer_id").agg(
+        F.countDistinct("product_name").cast("bigint").alias("items_ordered"))
+    return spent.drop("items_ordered").join(names, on="customer_id").select(
+        "customer_id", "items_ordered", "total_amount")
 
 
 # L9 / L10 -------------------------------------------------------------------
@@ -157,11 +166,7 @@ def points_with_bonus(sales: DataFrame, menu: DataFrame, members: DataFrame, bon
     rows = sales.join(members, on="customer_id", how="inner").join(menu, on="product_id", how="inner")
     d = F.col("order_date")
     in_window = (d >= F.col("join_date")) & (d < F.date_add(F.col("join_date"), bonus_days))
-    pts = (
-        F.when(bonus, F.col("price") * (per_dollar * multiplier))
-        .when(in_window, F.col("price") * (per_dollar * multiplier))
-        .otherwise(F.col("price") * per_dollar)
-    )
+    pts = F.col("price") * F.when(bonus | in_window, per_dollar * multiplier).otherwise(per_dollar)
     cond = F.month(d) == month
     if year is not None:
         cond = cond & (F.year(d) == year)
@@ -184,21 +189,20 @@ def ranked_sales(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataF
     """``sales_with_membership`` plus ``RANK()`` by date within (customer,
     member) for member rows, NULL for non-member rows.
 
-    A rank is 1 + the number of the group's rows on earlier dates.  Those
-    counts come from rows pre-aggregated per (customer, member, date), so the
-    window runs over at most one row per calendar day of a customer instead of
-    over all of a customer's rows, and the result is joined back on
-    (customer, member, date).
+    A rank is 1 + the number of the group's rows on earlier dates.  Those counts
+    come from member sales counted per (customer, date) - the menu only filters,
+    by a semi-join - so the window runs over at most one row per calendar day of
+    a customer; they are joined to the member rows alone, and the other rows
+    are appended as they are.
     """
     flat = sales_with_membership(sales, menu, members)
-    keys = ["customer_id", "member", "order_date"]
-    per_day = flat.where(F.col("member") == "Y").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("customer_id", "member").orderBy("order_date").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ranks = per_day.select(
-        *keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("bigint").alias("ranking")
-    )
-    return flat.join(ranks, on=keys, how="left").select(
-        "customer_id", "order_date", "product_name", "price", "member", "ranking"
-    )
+    since = sales.join(members, on="customer_id").where(F.col("order_date") >= F.col("join_date"))
+    counted = since.join(menu.groupBy("product_id").agg(F.count(F.lit(1)).alias("_m")), on="product_id")
+    per_day = counted.groupBy("customer_id", "order_date").agg(F.sum("_m").alias("_n"))
+    before = Window.partitionBy("customer_id").orderBy("order_date").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = per_day.select("customer_id", "order_date", (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("bigint").alias("ranking"))
+    columns = ["customer_id", "order_date", "product_name", "price", "member", "ranking"]
+    member = flat.where(F.col("member") == "Y").join(ranks, on=["customer_id", "order_date"]).select(*columns)
+    other = flat.where(F.col("member") == "N").withColumn("ranking", F.lit(None).cast("bigint")).select(*columns)
+    return member.unionByName(other)

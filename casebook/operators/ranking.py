@@ -38,6 +38,13 @@ def top_n(df: DataFrame, n: int, order: Sequence, tiebreak: Sequence = ()) -> Da
     return df.orderBy(*order, *tiebreak).limit(n)
 
 
+def ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` sorted as PostgreSQL's ORDER BY sorts: ``"name"`` ascending with
+    NULLs last, ``"-name"`` descending with NULLs first.  A distributed range
+    sort; operators return unsorted rows unless a caller asks."""
+    return df.orderBy(*[F.desc_nulls_first(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in keys])
+
+
 def packed_order_key(df: DataFrame, date_col: str, int_col: str):
     """``(date_col, int_col)`` as one ``decimal(38,0)`` with the same order:
     ``days * 10^20 + (int_col + 2^63)``.

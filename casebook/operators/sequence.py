@@ -1,93 +1,57 @@
 """``LEAD`` within a group that stays balanced when one group is huge.
 
-``lead(v).over(Window.partitionBy(g).orderBy(k))`` sends every row of a
-group to one task; a customer with a third of all rows would be sorted and
-scanned by a single core.  Here the rows are range-partitioned on
-``(g, k...)`` instead - the boundaries are sampled from the data, so a large
-group is cut across many partitions of similar size - and each partition,
-already in order, computes the next row itself.  Only the last row of a
-partition needs a row from elsewhere: the first row of the next non-empty
-partition.  Those first rows form a table with one row per partition (a
-bound set by the partition count, not by the data), which is joined back by
-broadcast.
-
-The per-partition pass runs on Arrow batches (``mapInPandas``); the sort,
-the partitioning and the join are Spark's.
+``lead(v).over(Window.partitionBy(g).orderBy(k))`` sends every row of a group to
+one task; a customer with a third of all rows would be sorted and scanned by a
+single core.  Here a group is cut into chunks that keep the order - by default
+the calendar months of its first order column - and the next row is taken by a
+window inside (group, chunk).  Only a chunk's last row needs a row from
+elsewhere: the first row of the group's next chunk.  Those first rows are one per
+(group, chunk), so the second window runs over a group's months, not its rows.
+
+Groups and chunks are matched null-safe: the NULL group is a group, as in
+``LEAD``, and rows with a NULL first order column form its first chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
-
-_PID, _LAST = "_pid", "_last"
-
 
-def _within_partition(group: str, value: str, out: str):
-    """Next ``value`` of the same ``group`` inside one sorted partition; the
-    partition's last row is flagged and left for the boundary join."""
+_CHUNK, _HAS_NEXT, _HEAD = "_chunk", "_has_next", "_head"
 
-    def run(batches):
-        carry = None
-        for b in batches:
-            if carry is not None:
-                b = pd.concat([carry, b], ignore_index=True)
-            if b.empty:
-                continue
-            vals = b[value]
-            if pd.api.types.is_integer_dtype(vals.dtype):
-                vals = vals.astype("Int64")  # keeps integers exact next to NULLs
-            nxt = vals.shift(-1)
-            same = (b[group].shift(-1) == b[group]).fillna(False).astype(bool)
-            b[out] = nxt.where(same, None)
-            b[_LAST] = False
-            carry = b.iloc[-1:].drop(columns=[out, _LAST])
-            yield b.iloc[:-1]
-        if carry is not None:
-            carry = carry.copy()
-            carry[out] = None
-            carry[_LAST] = True
-            yield carry
 
-    return run
+def month_chunk(first_order: str) -> Column:
+    """The default chunk of a date or timestamp column: its calendar month."""
+    return F.trunc(F.col(first_order), "MM")
 
 
 def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str, out: str = "next_value",
-                  partitions: int | None = None) -> DataFrame:
+                  chunk: Column | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the next row of the same ``group`` in
     ``order`` (NULL for a group's last row), like ``LEAD(value)``.
 
     ``order`` should make rows unique within a group (add a tie-break);
     otherwise rows with equal keys are taken in an arbitrary order, as by
-    ``LEAD``.
+    ``LEAD``.  ``chunk`` is the grain at which a group may be split: a
+    non-decreasing function of ``order[0]`` (NULL for NULL), by default its
+    month.  It never depends on the size of the data.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [group, *order]
-    ranged = df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
-
-    # first row of every non-empty partition, and for each partition the
-    # first row of the next non-empty one (at most n rows)
-    first = ranged.groupBy(_PID).agg(
-        F.min_by(F.struct(F.col(group).alias("g"), F.col(value).alias("v")), F.struct(*keys)).alias("_h")
-    )
+    rows = df.withColumn(_CHUNK, month_chunk(order[0]) if chunk is None else chunk)
+    inside = Window.partitionBy(group, _CHUNK).orderBy(*order)
+    rows = rows.withColumns({
+        out: F.lead(value).over(inside),
+        _HAS_NEXT: F.lead(F.lit(True)).over(inside),
+    })
+    # the first row of every chunk, handed to the chunk before it
+    first = df.withColumn(_CHUNK, month_chunk(order[0]) if chunk is None else chunk).groupBy(group, _CHUNK).agg(
+        F.min(F.struct(*order, F.struct(F.col(value).alias("v")).alias("_value"))).alias("_first"))
     following = first.select(
-        _PID,
-        F.lead("_h.g").over(Window.orderBy(_PID)).alias("_ng"),
-        F.lead("_h.v").over(Window.orderBy(_PID)).alias("_nv"),
-    )
-
-    value_type = df.schema[value].dataType
-    schema = StructType(
-        list(ranged.schema.fields) + [StructField(out, value_type, True), StructField(_LAST, BooleanType(), False)]
-    )
-    inner = ranged.sortWithinPartitions(*keys).mapInPandas(_within_partition(group, value, out), schema)
-    patched = inner.join(F.broadcast(following), on=_PID, how="left").withColumn(
-        out,
-        F.when(F.col(_LAST) & (F.col("_ng") == F.col(group)), F.col("_nv")).otherwise(F.col(out)),
-    )
-    return patched.drop(_PID, _LAST, "_ng", "_nv")
+        F.col(group).alias("_g"), F.col(_CHUNK).alias("_c"),
+        F.lead("_first._value").over(Window.partitionBy(group).orderBy(_CHUNK)).alias(_HEAD))
+    joined = rows.join(
+        following, F.col(group).eqNullSafe(F.col("_g")) & F.col(_CHUNK).eqNullSafe(F.col("_c")), "left")
+    return joined.withColumn(
+        out, F.when(F.col(_HAS_NEXT), F.col(out)).otherwise(F.col(f"{_HEAD}.v"))
+    ).drop(_CHUNK, _HAS_NEXT, _HEAD, "_g", "_c")

@@ -17,7 +17,9 @@ from pyspark.sql.types import (
 )
 
 MONEY = DecimalType(12, 2)
-MEASURE = DecimalType(10, 2)
+# Distances and durations keep every digit of their text up to ten decimals.
+MEASURE_DIGITS = 10
+MEASURE = DecimalType(38, MEASURE_DIGITS)
 
 
 def _s(*fields):

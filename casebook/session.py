@@ -21,6 +21,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # An aggregate that reuses the partitioning of the join below it would
+    # otherwise keep AQE from splitting the join's hot key.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Keep timestamp_ntz semantics independent of where the job runs.
     "spark.sql.session.timeZone": "UTC",
 }
@@ -53,13 +56,12 @@ def configure_for_cluster(spark: SparkSession) -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``SQL_DEFAULTS`` where the session leaves them unset, and make
-    sure a checkpoint folder is known (the cluster's; a local one only in
-    local mode)."""
+    """Apply ``SQL_DEFAULTS`` where the session does not set them itself (a key's
+    built-in default is not a setting)."""
+    explicit = dict(spark.sparkContext.getConf().getAll())
     for key, value in SQL_DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
+        if key not in explicit:
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     return spark
 
 
@@ -105,5 +107,4 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark

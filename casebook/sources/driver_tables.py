@@ -22,22 +22,24 @@ logical table       derivation
 ==================  ==========================================================
 
 Everything here is narrow projection or a grouped aggregate; nothing is
-collected.  The oracle SQL in ``casebook.plans.oracle`` spells the same
+collected.  The oracle SQL in ``casebook.plans.oracle_tables`` spells the same
 definitions for DuckDB.
 """
 
 from __future__ import annotations
 
-import functools
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from casebook import schemas
+from casebook.sources.files import load
 
-# Declared schemas of the generated tables this module reads (never inferred:
-# no footer is opened to plan a query, and a changed file fails loudly).
+# Declared schemas of the generated tables this module reads; ``load`` compares
+# them with the files' own, so a missing or retyped column fails.
 SOURCE_SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string",
@@ -52,32 +54,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One generated table; only the columns a query uses are read."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if name in SOURCE_SCHEMAS:
-        return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(path)
+        return load(spark, path, StructType.fromDDL(SOURCE_SCHEMAS[name]))
     return spark.read.parquet(path)
 
 
-def defined_once(fn):
-    """Build a logical table once per session and arguments, like a temp
-    view: later queries reuse the same (lazy) DataFrame instead of planning
-    the derivation again.  Nothing is cached in memory; the file listing is
-    taken once, so files added later need a new session (or ``refresh``)."""
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, *args):
-        tables = spark.__dict__.setdefault("_casebook_tables", {})
-        key = (fn.__module__, fn.__name__, *args)
-        if key not in tables:
-            tables[key] = fn(spark, *args)
-        return tables[key]
-
-    return wrapper
-
-
-def refresh(spark: SparkSession) -> None:
-    """Forget the tables defined in this session (e.g. after new files land)."""
-    spark.__dict__.pop("_casebook_tables", None)
-
-
 # The five subscription plans (id, name, monthly price; churn
 # has no price).  They equal the reference's plan table.
 PLAN_ROWS = [
@@ -106,7 +86,6 @@ def _order_time(o: DataFrame) -> F.Column:
 # ---------------------------------------------------------------------------
 # loyalty
 # ---------------------------------------------------------------------------
-@defined_once
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -117,7 +96,6 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
@@ -126,7 +104,6 @@ def menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return (
@@ -139,7 +116,6 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # delivery
 # ---------------------------------------------------------------------------
-@defined_once
 def customer_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pizza per lineitem, with the raw exclusions/extras text forms
     (NULL, ``'null'``, ``''``, a single id, a list of ids)."""
@@ -168,7 +144,6 @@ def customer_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def runner_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per order; text columns carry every form the cleaning
     handles (``'null'``, ``''``, ``'NaN'``, unit suffixes with and without a
@@ -212,7 +187,6 @@ def runner_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def runners(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return o.groupBy(F.col("o_custkey").alias("runner_id")).agg(
@@ -220,17 +194,14 @@ def runners(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def pizza_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PIZZA_NAME_ROWS, schemas.PIZZA_NAMES)
 
 
-@defined_once
 def pizza_recipes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PIZZA_RECIPE_ROWS, schemas.PIZZA_RECIPES)
 
 
-@defined_once
 def pizza_toppings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PIZZA_TOPPING_ROWS, schemas.PIZZA_TOPPINGS)
 
@@ -238,12 +209,10 @@ def pizza_toppings(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------------------
 # subscriptions
 # ---------------------------------------------------------------------------
-@defined_once
 def plans(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PLAN_ROWS, schemas.PLANS)
 
 
-@defined_once
 def subs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is a plan event; ``tiebreak`` orders events of one day."""
     o = read(spark, sf_dir, "orders")
@@ -255,7 +224,6 @@ def subs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@defined_once
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First start date per (customer, plan): unique like the reference data."""
     return (

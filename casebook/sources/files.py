@@ -1,8 +1,10 @@
 """Loading the case-study tables from files or literal rows, schema declared.
 
 A user's own ``sales``, ``subscriptions``, ``runner_orders``... are read with
-the schema of ``casebook.schemas`` (never inferred), so a file whose columns
-drift fails at read time instead of producing a wrong answer later.
+the schema of ``casebook.schemas``.  A file whose columns drift fails instead of
+producing a wrong answer later: the columns and types that self-describing
+files (Parquet, ORC) carry are compared with the declared ones, CSV headers must
+match them, and a malformed CSV or JSON value fails the job.
 """
 
 from __future__ import annotations
@@ -29,14 +31,34 @@ SCHEMAS: dict[str, StructType] = {
 }
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Read logical table ``name`` from ``path`` (``parquet``, ``csv``, ``json``, ``orc``)."""
-    reader = spark.read.schema(SCHEMAS[name]).options(**options)
+def load(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:
+    """Files at ``path`` with the declared ``schema``; drift raises.
+
+    Parquet and ORC: every declared column must be there with its type (extra
+    columns are not read); reading one footer suffices, and a later file that
+    differs fails in its task.  CSV: the header must hold the declared names in
+    order.  CSV and JSON: malformed records fail.
+    """
+    reader = spark.read.options(**options)
+    if fmt in ("parquet", "orc"):
+        found = {f.name: f.dataType for f in reader.format(fmt).load(path).schema.fields}
+        wrong = [f"{f.name} {f.dataType.simpleString()}, not " + (
+            found[f.name].simpleString() if f.name in found else "missing")
+            for f in schema.fields if found.get(f.name) != f.dataType]
+        if wrong:
+            raise ValueError(f"{path}: declared " + "; ".join(wrong))
+        return reader.schema(schema).format(fmt).load(path)
+    reader = reader.schema(schema).option("mode", options.get("mode", "FAILFAST"))
     if fmt == "csv":
-        reader = reader.option("header", options.get("header", "true"))
+        reader = reader.option("header", options.get("header", "true")).option("enforceSchema", "false")
     return reader.format(fmt).load(path)
 
 
+def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """Read logical table ``name`` from ``path`` (``parquet``, ``csv``, ``json``, ``orc``)."""
+    return load(spark, path, SCHEMAS[name], fmt, **options)
+
+
 def from_rows(spark: SparkSession, name: str, rows: Iterable[tuple]) -> DataFrame:
     """``INSERT ... VALUES`` as a DataFrame with the table's declared schema."""
     return spark.createDataFrame(list(rows), SCHEMAS[name])

@@ -42,8 +42,8 @@ def start_report(report: DataFrame, name: str, sink_path: str, checkpoint: str |
     """Keep the complete, current result of a streaming aggregate at ``sink_path``.
 
     Each micro-batch rewrites the report table (``foreachBatch`` with an
-    overwrite), so readers always see whole totals.  The checkpoint defaults
-    to ``<spark checkpoint dir>/streams/<name>``, the shared folder the
+    overwrite); a reader that meets a running overwrite may find no file and has
+    to read again.  The checkpoint defaults to ``<spark checkpoint dir>/streams/<name>``, the shared folder the
     cluster names; state survives executor loss and restarts.
     """
     spark = report.sparkSession

@@ -1,7 +1,7 @@
 """Column helpers against plain-Python models of the PostgreSQL behaviour."""
 
 import datetime as dt
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,12 +13,13 @@ SETTINGS = settings(max_examples=15, deadline=None)
 
 
 def _pg_round(num: int, den: int, digits: int) -> Decimal:
-    q = Decimal(num) / Decimal(den)
-    return q.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP)
+    with localcontext(prec=60):
+        q = Decimal(num) / Decimal(den)
+        return q.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP)
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(1, 10**6)), min_size=1, max_size=40),
+@given(st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(1, 10**12)), min_size=1, max_size=40),
        st.sampled_from([0, 1, 2]))
 def test_round_ratio_is_half_away_from_zero(spark, pairs, digits):
     df = spark.createDataFrame(pairs, "n long, d long")
@@ -36,11 +37,11 @@ def test_round_ratio_ties_and_zero(spark):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(-10**6, 10**6)), min_size=1, max_size=40))
+@given(st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(-10**12, 10**12)), min_size=1, max_size=40))
 def test_int_div_truncates_toward_zero(spark, pairs):
     df = spark.createDataFrame(pairs, "a long, b long")
     got = [r[0] for r in df.select(X.int_div("a", "b")).collect()]
-    want = [None if b == 0 else int(Decimal(a) / Decimal(b)) for a, b in pairs]
+    want = [None if b == 0 else abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1) for a, b in pairs]
     assert got == want
 
 
@@ -120,3 +121,28 @@ def test_time_helpers_ignore_the_session_zone(spark):
         assert tuple(r) == (45, 45, "Sunday", "2021-03-14 02:35:30")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_division_is_exact_next_to_the_border(spark):
+    df = spark.createDataFrame([(9999999, 10**7), (999999999900, 10**10), (2000000, 2000001)], "a long, b long")
+    assert [r[0] for r in df.select(X.int_div("a", "b")).collect()] == [0, 99, 0]
+    df = spark.createDataFrame([(49999999, 10**8), (54 * 10**9 - 1, 10**9 * 100)], "a long, b long")
+    assert [r[0] for r in df.select(X.round_ratio("a", "b", 0)).collect()] == [0, 1]
+
+
+def test_round_ratio_with_a_negative_denominator(spark):
+    df = spark.createDataFrame([(5, -2), (-5, -2), (1, -3)], "n long, d long")
+    assert [r[0] for r in df.select(X.round_ratio("n", "d", 0)).collect()] == [-3, 3, 0]
+
+
+def test_strict_cast_raises_and_lenient_does_not(spark):
+    import pytest
+    from pyspark.sql.types import DecimalType
+
+    df = spark.createDataFrame([("10.125",), (" 3 ",), (None,)], "t string")
+    assert [r[0] for r in df.select(X.strict_cast("t", DecimalType(38, 10))).collect()] == [
+        Decimal("10.125"), Decimal(3), None]
+    bad = spark.createDataFrame([("fast",)], "t string")
+    assert bad.select(X.strict_cast("t", DecimalType(38, 10), lenient=True)).first()[0] is None
+    with pytest.raises(Exception, match="not a decimal"):
+        bad.select(X.strict_cast("t", DecimalType(38, 10))).collect()

@@ -35,10 +35,9 @@ def test_x2_x3_frequency(pizza):
     assert rows(X.topping_frequency(co, pizza["toppings"], "exclusions", top=1)) == [(4, "Cheese", 2)]
 
 
-@pytest.mark.parametrize("bound", [X.MAX_BROADCAST_LABELS, 0])   # broadcast labels, then a plain join
-def test_x4_labels(pizza, bound):
+def test_x4_labels(pizza):
     co = _co_with_line(pizza)
-    got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"], bound).collect()}
+    got = {r.order_item for r in X.order_item_labels(co, pizza["names"], pizza["toppings"]).collect()}
     assert "Meatlovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese" in got
     assert "Meatlovers - Exclude Cheese - Extra Bacon, Chicken" in got
     assert "Vegetarian - Exclude Cheese" in got
@@ -47,33 +46,68 @@ def test_x4_labels(pizza, bound):
     assert X.order_item_labels(co, pizza["names"], pizza["toppings"]).count() == 10
 
 
-@pytest.mark.parametrize("bound", [X.MAX_BROADCAST_LABELS, 0])
-def test_x5_ingredient_lists(pizza, bound):
+def test_x5_ingredient_lists(pizza):
     co = _co_with_line(pizza)
     got = {r.ingredients for r in
-           X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"], bound).collect()}
+           X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"]).collect()}
     assert "Meatlovers: BBQ Sauce, 2xBacon, Beef, 2xChicken, Mushrooms, Pepperoni, Salami" in got
     assert "Meatlovers: 2xBacon, Beef, 2xCheese, Chicken, Pepperoni, Salami" in got
     assert "Vegetarian: Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes" in got
 
 
-def test_label_paths_agree_row_by_row(pizza):
+def test_labels_run_no_job_at_build_time(pizza, spark):
     co = _co_with_line(pizza)
-    for fn, args in ((X.order_item_labels, (pizza["names"], pizza["toppings"])),
-                     (X.ingredient_lists, (pizza["names"], pizza["recipes"], pizza["toppings"]))):
-        a = rows(fn(co, *args))
-        b = rows(fn(co, *args, max_broadcast=0))
-        assert a == b
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("labels", "building")
+    try:
+        X.order_item_labels(co, pizza["names"], pizza["toppings"])
+        X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"])
+        assert list(tracker.getJobIdsForGroup("labels")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
 
 
-def test_unknown_pizza_and_topping(pizza, spark):
+def test_unknown_pizza_has_no_label(pizza, spark):
     from casebook import schemas
 
-    co = spark.createDataFrame([(1, 1, 9, "99", "5", None)], schemas.CUSTOMER_ORDERS)
+    co = spark.createDataFrame([(1, 1, 9, "1", "5", None)], schemas.CUSTOMER_ORDERS)
     assert rows(X.order_item_labels(co, pizza["names"], pizza["toppings"]), "order_item") == [(None,)]
-    co2 = spark.createDataFrame([(1, 1, 1, "99", "5", None)], schemas.CUSTOMER_ORDERS)
-    assert rows(X.order_item_labels(co2, pizza["names"], pizza["toppings"]), "order_item") == [
-        ("Meatlovers - Extra Chicken",)]
+
+
+@pytest.mark.parametrize("cell", ["1, x, 5", "1, 99"])
+def test_unknown_toppings_raise_or_are_skipped(pizza, spark, cell):
+    from casebook import schemas
+
+    co = spark.createDataFrame([(1, 1, 1, None, cell, None)], schemas.CUSTOMER_ORDERS)
+    ro = spark.createDataFrame([(1, 1, None, None, None, None)], schemas.RUNNER_ORDERS)
+    every = [
+        lambda how: X.topping_frequency(co, pizza["toppings"], "extras", on_unknown=how),
+        lambda how: X.order_item_labels(co, pizza["names"], pizza["toppings"], on_unknown=how),
+        lambda how: X.ingredient_lists(co, pizza["names"], pizza["recipes"], pizza["toppings"], on_unknown=how),
+        lambda how: X.ingredient_totals(co, ro, pizza["recipes"], pizza["toppings"], on_unknown=how),
+    ]
+    for question in every:
+        with pytest.raises(Exception, match="not a int|unknown topping"):
+            question("raise").collect()
+        assert question("skip").count() > 0
+    label = rows(X.order_item_labels(co, pizza["names"], pizza["toppings"], on_unknown="skip"), "order_item")
+    assert label == [("Meatlovers - Extra Bacon, Chicken" if "x" in cell else "Meatlovers - Extra Bacon",)]
+    strange = rows(X.unknown_toppings(co, pizza["toppings"]))
+    assert [(c, e.strip(), n) for c, e, n in strange] == [("extras", cell.split(", ")[1], 1)]
+    with pytest.raises(ValueError):
+        question("ignore")
+
+
+def test_a_pizza_without_a_price_raises(pizza, spark):
+    from casebook import schemas
+
+    co = spark.createDataFrame([(1, 1, 1, None, None, None), (1, 1, 3, None, "1, 4", None)], schemas.CUSTOMER_ORDERS)
+    ro = spark.createDataFrame([(1, 1, None, None, None, None)], schemas.RUNNER_ORDERS)
+    with pytest.raises(Exception, match="no price for pizza 3"):
+        X.revenue(co, ro).collect()
+    priced = X.pizza_prices(spark).union(spark.createDataFrame([(3, Decimal("15.00"))], "p int, c decimal(12,2)"))
+    assert rows(X.revenue(co, ro, priced)) == [(Decimal("27.00"),)]
+    assert rows(X.revenue(co, ro, priced, X.EXTRA_PRICE)) == [(Decimal("29.00"),)]
 
 
 def test_x6_totals_equal_sum_of_lists(pizza):
@@ -85,7 +119,7 @@ def test_x6_totals_equal_sum_of_lists(pizza):
     from pyspark.sql import functions as F
 
     delivered = X.delivered_pizzas(co, ro)
-    per_combo = X._ingredient_counts(X._combos(delivered), pizza["recipes"]).select(
+    per_combo = X._ingredient_counts(X._combos(delivered), pizza["recipes"], "raise").select(
         *[F.col(c).alias("_" + c) for c in X.COMBO], "topping_id", "qty")
     cond = [F.col(c).eqNullSafe(F.col("_" + c)) for c in X.COMBO]
     summed = rows(delivered.join(per_combo, cond).groupBy("topping_id").agg(F.sum("qty")))

@@ -83,6 +83,31 @@ def test_s10_bucket_edges(subs):
     ]
 
 
+def test_s10_counts_pairs_like_s9(spark):
+    """Two annual rows of one customer are two pairs, as in S9."""
+    from casebook import schemas
+
+    data = [(1, 0, d("2020-01-01")), (1, 3, d("2020-02-05")), (1, 3, d("2020-02-05")), (1, 3, d("2020-04-20"))]
+    s = spark.createDataFrame(data, schemas.SUBSCRIPTIONS)
+    assert rows(S.days_to_plan_histogram(s)) == [("30 - 60 days", 2), ("90 - 120 days", 1)]
+    assert S.conversion_days(s).agg({"pairs": "sum"}).first()[0] == 3
+
+
+def test_s10_needs_even_buckets(subs):
+    s, _ = subs
+    with pytest.raises(ValueError):
+        S.days_to_plan_histogram(s, hi=100, n=12)
+    assert sum(r.customers for r in S.days_to_plan_histogram(s, hi=96, n=12).collect()) == 4
+
+
+def test_exact_percentages(subs):
+    s, plans = subs
+    exact = {r.plan_id: (r.customer_count, r.percentage) for r in S.plan_after_trial(s, plans, exact_pct=True).collect()}
+    total = S.customer_count(s).first()[0]
+    for n, pct in exact.values():
+        assert pct == (Decimal(100 * n) / Decimal(total)).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+
+
 def test_s11_filter_first(subs):
     s, _ = subs
     # customers 10 and 11 go 2 -> 1 inside 2020; 12 only across the year end
@@ -92,7 +117,7 @@ def test_s11_filter_first(subs):
 
 def test_metamorphic_histogram_sums_to_pairs(subs):
     s, _ = subs
-    assert sum(r.customers for r in S.days_to_plan_histogram(s).collect()) == S.conversion_days(s).count()
+    assert sum(r.customers for r in S.days_to_plan_histogram(s).collect()) == S.conversion_days(s).agg({"pairs": "sum"}).first()[0]
 
 
 def test_metamorphic_state_sums_to_customers_by_cutoff(subs):

@@ -1,5 +1,6 @@
-"""The range-partitioned LEAD equals the window LEAD, also with one huge group."""
+"""The chunked LEAD equals the window LEAD, also with one huge group."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from casebook.operators.sequence import next_in_group
+from casebook.plans.inspect import physical_plan
 
 
 @pytest.fixture(scope="module")
@@ -14,25 +16,50 @@ def skewed(spark):
     rnd = random.Random(7)
     data = []
     for i in range(3000):
-        g = 0 if i % 2 == 0 else rnd.randrange(1, 40)   # group 0 holds half of all rows
-        data.append((g, rnd.randrange(0, 400), i, rnd.randrange(0, 5)))
-    return spark.createDataFrame(data, "g long, day int, tb long, v int")
+        # group 0 holds half of all rows; ids above 2^53, where doubles lose them; a NULL group
+        g = 2**53 if i % 2 == 0 else rnd.choice([None, *range(2**53 + 1, 2**53 + 40)])
+        day = None if i % 97 == 0 else dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(400))
+        data.append((g, day, i, rnd.choice([None, 1, 2, 3]), f"x{i}"))
+    return spark.createDataFrame(data, "g long, day date, tb long, v int, extra string")
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16])
-def test_equals_window_lead(skewed, parts):
-    got = next_in_group(skewed, "g", ["day", "tb"], "v", out="nxt", partitions=parts)
+def _same(df):
+    got = next_in_group(df, "g", ["day", "tb"], "v", out="nxt")
     w = Window.partitionBy("g").orderBy("day", "tb")
-    want = skewed.withColumn("nxt", F.lead("v").over(w))
-    key = ["g", "day", "tb", "v", "nxt"]
-    assert sorted(map(tuple, got.select(*key).collect()), key=str) == \
-        sorted(map(tuple, want.select(*key).collect()), key=str)
+    want = df.withColumn("nxt", F.lead("v").over(w))
+    assert set(got.columns) == set(want.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == \
+        sorted(map(tuple, want.collect()), key=str)
 
 
-def test_hot_group_is_split_over_partitions(skewed):
-    ranged = skewed.repartitionByRange(16, "g", "day", "tb").withColumn("p", F.spark_partition_id())
-    parts = ranged.where("g = 0").select("p").distinct().count()
-    assert parts > 4  # the group with half the rows spans many tasks
+def test_equals_window_lead(skewed):
+    _same(skewed)
+
+
+def test_equals_window_lead_without_exchange_reuse(spark, skewed):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        _same(skewed)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_chunk_is_a_parameter(skewed):
+    got = next_in_group(skewed, "g", ["day", "tb"], "v", out="nxt", chunk=F.trunc("day", "YEAR"))
+    month = next_in_group(skewed, "g", ["day", "tb"], "v", out="nxt")
+    key = lambda df: sorted(map(tuple, df.select("tb", "nxt").collect()))
+    assert key(got) == key(month)
+
+
+def test_plan_has_no_python_and_no_single_partition(skewed):
+    plan = physical_plan(next_in_group(skewed, "g", ["day", "tb"], "v"))
+    for bad in ("MapInPandas", "SinglePartition", "rangepartitioning"):
+        assert bad not in plan
+
+
+def test_hot_group_is_split_over_chunks(spark, skewed):
+    hot = skewed.where(F.col("g") == 2**53).withColumn("m", F.trunc("day", "MM"))
+    assert hot.repartition(16, "g", "m").select(F.spark_partition_id()).distinct().count() > 4
 
 
 def test_transitions_methods_agree(subs):
@@ -40,6 +67,6 @@ def test_transitions_methods_agree(subs):
 
     s, _ = subs
     for ff in (True, False):
-        a = S.transitions(s, year=2020, filter_first=ff, method="range").collect()
+        a = S.transitions(s, year=2020, filter_first=ff, method="chunk").collect()
         b = S.transitions(s, year=2020, filter_first=ff, method="window").collect()
         assert a == b

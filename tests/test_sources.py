@@ -1,4 +1,4 @@
-"""File sources with declared schemas, and the per-session table definitions."""
+"""File sources with declared schemas, and the generated tables."""
 
 import pytest
 from conftest import DINER_MENU
@@ -25,10 +25,32 @@ def test_unknown_table_is_an_error(spark):
         from_rows(spark, "nope", [])
 
 
-def test_tables_defined_once_per_session(spark):
-    d = "/root/testdata/sf0.001"
-    assert T.sales(spark, d) is T.sales(spark, d)
-    assert T.sales(spark, d) is not T.sales(spark, "/root/testdata/sf0.01")
+def test_files_that_land_later_are_read(spark, tmp_path):
+    import shutil
+
+    for name in ("orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").mkdir()
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet" / "a.parquet")
+    n = T.subs_log(spark, str(tmp_path)).count()
+    shutil.copy("/root/testdata/sf0.001/orders.parquet", tmp_path / "orders.parquet" / "b.parquet")
+    assert T.subs_log(spark, str(tmp_path)).count() == 2 * n
+
+
+def test_drifting_columns_fail(spark, tmp_path):
+    menu = spark.createDataFrame([(1, "sushi")], "product_id long, product_name string")
+    menu.write.parquet(str(tmp_path / "no_price"))
+    with pytest.raises(ValueError, match="price .*missing"):
+        read_table(spark, "menu", str(tmp_path / "no_price"))
+    menu.selectExpr("cast(product_id as string) product_id", "product_name", "cast(1 as decimal(12,2)) price").write.parquet(
+        str(tmp_path / "retyped"))
+    with pytest.raises(ValueError, match="product_id bigint, not string"):
+        read_table(spark, "menu", str(tmp_path / "retyped"))
+    (tmp_path / "menu.csv").write_text("price,product_id,product_name\n10,1,sushi\n")
+    with pytest.raises(Exception):
+        read_table(spark, "menu", str(tmp_path / "menu.csv"), fmt="csv").collect()
+    (tmp_path / "bad.csv").write_text("product_id,product_name,price\none,sushi,10\n")
+    with pytest.raises(Exception):
+        read_table(spark, "menu", str(tmp_path / "bad.csv"), fmt="csv").collect()
 
 
 def test_declared_schema_prunes_columns(spark):
