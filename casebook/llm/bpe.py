@@ -30,20 +30,21 @@ from itertools import chain
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters of text, and ids, that one query works on.
-GROUP = 4_000_000
+GROUP = 1_000_000
 #: Words, and pieces of text, that a worker keeps between batches; beyond, it starts anew.
-KEPT_WORDS = 400_000
-KEPT_PIECES = 400_000
+KEPT_WORDS = 300_000
+KEPT_PIECES = 200_000
 LONG_PIECE = 100
 #: White space next to a blank, where the pattern may join the two, and a blank without.
 BESIDE_BLANK = re.compile("[\\s\x1c-\x1f\x85] | [\\s\x1c-\x1f\x85]")
 #: Bytes of distinct words in one recursive query.
-QUERY_BYTES = 600_000
+QUERY_BYTES = 300_000
 #: Longer words contract the same pairs from a heap: a query would need a pass over the word per pair.
 LONG_WORD = 400
 
@@ -213,7 +214,7 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _groups(lengths: Iterator[int]) -> list[tuple[int, int]]:
+def _groups(lengths: Iterable[int]) -> list[tuple[int, int]]:
     """Runs of rows of about GROUP together, or one longer row."""
     out, first, size, n = [], 0, 0, 0
     for n, length in enumerate(lengths, 1):
@@ -224,19 +225,50 @@ def _groups(lengths: Iterator[int]) -> list[tuple[int, int]]:
     return [*out, (first, n)] if first < n else out
 
 
+def _text_groups(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts (null: empty) in runs of about GROUP bytes; only one run is in Python strings at a time."""
+    for a, b in _groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        yield [t or "" for t in texts.slice(a, b - a).to_pylist()]
+
+
+def _lists(ids: list[np.ndarray], sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(
+        np.cumsum(sizes).astype(np.int32), np.concatenate([np.zeros(0, np.int32), *ids]))
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """array<int> of token ids."""
 
     @F.arrow_udf("array<int>")
     def bpe_encode(texts: pa.Array) -> pa.Array:
-        rows = [t or "" for t in texts.to_pylist()]
-        parts = [x for a, b in _groups(map(len, rows)) for x in codec(path, pattern).encode(rows[a:b])]
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *parts]))
+        ids, sizes = [], [0]
+        for group in _text_groups(texts):
+            lists = codec(path, pattern).encode(group)
+            sizes += [len(x) for x in lists]
+            ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
+        return _lists(ids, sizes)
 
     return bpe_encode(text)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """struct<ids: array<int>, decoded: binary>: encode, and decode what came out, in one pass."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def bpe_round_trip(texts: pa.Array) -> pa.Array:
+        used = codec(path, pattern)
+        ids, sizes, decoded = [], [0], []
+        for group in _text_groups(texts):
+            lists = used.encode(group)
+            decoded.append(pa.array(used.decode(lists), pa.binary()))
+            sizes += [len(x) for x in lists]
+            ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
+        return pa.StructArray.from_arrays(
+            [_lists(ids, sizes), pa.concat_arrays([pa.array([], pa.binary()), *decoded])], ["ids", "decoded"])
+
+    return bpe_round_trip(text)
+
+
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """binary: the bytes of a list of token ids."""
 

@@ -64,12 +64,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenised(docs: DataFrame) -> DataFrame:
     """Ids of every text, decoded again, as digests."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    back = ids.withColumn("bytes", bpe.decode(F.col("ids"), path, pattern))
-    return back.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+    trip = docs.select("doc_id", bpe.round_trip(F.col("text"), path, pattern).alias("t"))
+    return trip.select(
+        "doc_id", F.size("t.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("t.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
