@@ -35,6 +35,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A host is rejected when its shrunk failure rate exceeds this.
 MAX_HOST_RATE = 0.8
+#: The prior weighs at least so many documents: one failure does not condemn a host.
+MIN_PRIOR = 2.0
 
 
 def _repeat_words(w: Column, n: Column, grams: Column) -> Column:
@@ -87,8 +89,9 @@ def host_rates(rows: DataFrame, host: str = "host") -> DataFrame:
     """(host, n, fails, rate): failure rates shrunk by an empirical beta prior.
 
     With host rates p of mean m and variance v (weighted by documents), the
-    prior holds k = m(1-m)/v - 1 documents, m of them failed; a host's rate is
-    (fails + k m) / (n + k).  k is unbounded for v = 0: then the rate is m.
+    prior holds k = m(1-m)/v - 1 documents (MIN_PRIOR at least), m of them failed;
+    a host's rate is (fails + k m) / (n + k).  k is unbounded for v = 0: then the
+    rate is m.
     """
     hosts = materialised(rows.groupBy(host).agg(
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("fails")))
@@ -101,7 +104,7 @@ def host_rates(rows: DataFrame, host: str = "host") -> DataFrame:
     variance = total["squares"] / total["n"] - mean * mean
     if variance <= 1e-12:
         return hosts.withColumn("rate", F.lit(mean))
-    k = max(mean * (1 - mean) / variance - 1, 0.0)
+    k = max(mean * (1 - mean) / variance - 1, MIN_PRIOR)
     return hosts.withColumn("rate", (F.col("fails") + k * mean) / (F.col("n") + k))
 
 

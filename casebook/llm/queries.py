@@ -152,7 +152,7 @@ WITH w AS (
   FROM hosts
 ), verdict AS (
   SELECT source, CASE WHEN v <= 1e-12 THEN m
-         ELSE (fails + greatest(m * (1 - m) / v - 1, 0) * m) / (n + greatest(m * (1 - m) / v - 1, 0)) END > 0.8 AS bad
+         ELSE (fails + greatest(m * (1 - m) / v - 1, 2) * m) / (n + greatest(m * (1 - m) / v - 1, 2)) END > 0.8 AS bad
   FROM hosts, moments
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
