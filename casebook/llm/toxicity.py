@@ -209,8 +209,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not learnt and rows.filter("part = 'lexicon'").select("toxic").distinct().count() < 2:
         return Model({}, None, None)
     lexicon = {**{t: 4.0 for t in FIXED_TERMS}, **learnt}
-    table = materialised(rows.filter("part != 'lexicon'").select(
-        features(F.col("text"), lexicon).alias("x"), F.col("toxic").cast("double").alias("label"), "weight", "part"))
+    table = rows.filter("part != 'lexicon'").select(
+        features(F.col("text"), lexicon).alias("x"), F.col("toxic").cast("double").alias("label"), "weight", "part")
+    table = materialised(table.repartition(4))  # a bounded sample of short vectors, read many times
     parts = {(r["part"], r["label"]) for r in table.select("part", "label").distinct().collect()}  # four at most
     if not {("trees", 0.0), ("trees", 1.0)} <= parts:
         return Model(lexicon, None, None)
