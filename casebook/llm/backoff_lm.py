@@ -9,6 +9,12 @@ is what makes the score back off: S(w | context) = c(context w) / c(context), or
 the tables from the highest order down; rows found at an order leave, the others go
 on to the next.  Logarithms are summed per document.
 
+Rows of all words would fill the shuffle disks at once, so the n-grams above order
+one are worked on in ``slices`` by the hash of the word before: an n-gram, its
+context and all its rows lie in one slice.  Every slice reads the whole texts, ends in
+one partial sum per document in the shared checkpoint folder, and gives its shuffle
+files back.
+
 n-grams are compared by 64-bit hashes: among 1e8 distinct ones about 3e-4
 collisions are expected.  A frequent n-gram has many rows on one side of a join
 and one on the other, which AQE splits; counts are summed before the shuffle.
@@ -20,16 +26,32 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import materialised, words
 
 ORDER = 2
 ALPHA = 0.4
 MIN_COUNT = 2
+#: More slices need less disk and read the texts more often; the ratio to the input stays.
+SLICES = 6
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them ends (its result is in the checkpoint folder)."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def gram_rows(docs: DataFrame, doc_id: str, text: str, order: int) -> DataFrame:
@@ -46,10 +68,8 @@ def gram_rows(docs: DataFrame, doc_id: str, text: str, order: int) -> DataFrame:
 
 
 def tables(rows: DataFrame, order: int, min_count: int) -> list[DataFrame]:
-    """For each order n: (k<n>, s<n>), the log score of every n-gram of its table."""
-    total = F.lit(rows.count())
-    unigrams = rows.groupBy(F.col("g1").alias("k1")).agg(F.log(F.count("*") / total).alias("s1"))
-    out = [unigrams]
+    """For each order n above one: (k<n>, s<n>), the log score of every n-gram of its table."""
+    out = []
     for n in range(2, order + 1):
         counts = rows.groupBy(f"g{n}", f"c{n}").agg(F.count("*").alias("n"))
         contexts = counts.groupBy(F.col(f"c{n}").alias("c")).agg(F.sum("n").alias("m"))
@@ -58,11 +78,8 @@ def tables(rows: DataFrame, order: int, min_count: int) -> list[DataFrame]:
     return out
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
-          alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
-    """(doc_id, n_words, n_backoff, log_score, mean_log_score), one row per id."""
-    rows = gram_rows(docs, doc_id, text, order)
-    known = tables(rows, order, min_count)
+def _sums(rows: DataFrame, known: list[DataFrame], order: int, alpha: float) -> DataFrame:
+    """(id, n_words, n_backoff, log_score) of ``rows``, from the highest table down."""
     pending, found = rows, []
     for n in range(order, 0, -1):
         joined = pending.join(known[n - 1], F.col(f"g{n}") == F.col(f"k{n}"), "left")
@@ -71,8 +88,24 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
             "doc_id", (F.col(f"s{n}") + step).alias("s"), F.lit(int(n < order)).alias("low")))
         pending = joined.filter(F.col(f"s{n}").isNull()).select(
             "doc_id", *[f"g{k}" for k in range(1, n)])
-    sums = reduce(DataFrame.unionAll, found).groupBy(F.col("doc_id").alias("id")).agg(
+    return reduce(DataFrame.unionAll, found).groupBy(F.col("doc_id").alias("id")).agg(
         F.count("*").alias("n_words"), F.sum("low").alias("n_backoff"), F.sum("s").alias("log_score"))
+
+
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
+          alpha: float = ALPHA, min_count: int = MIN_COUNT, slices: int = SLICES) -> DataFrame:
+    """(doc_id, n_words, n_backoff, log_score, mean_log_score), one row per id."""
+    rows = gram_rows(docs, doc_id, text, order)
+    with _shuffles_given_back(docs.sparkSession):
+        counts = materialised(rows.groupBy(F.col("g1").alias("k1")).agg(F.count("*").alias("n")))
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        unigrams = counts.select("k1", F.log(F.col("n") / F.lit(total)).alias("s1"))
+        parts = []
+        for part in range(slices if order > 1 else 1):
+            own = rows.filter(F.pmod("c2", F.lit(slices)) == part) if order > 1 else rows
+            parts.append(materialised(_sums(own, [unigrams, *tables(own, order, min_count)], order, alpha)))
+        sums = materialised(reduce(DataFrame.unionAll, parts).groupBy("id").agg(
+            *[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "log_score")]))
     everyone = docs.select(F.col(doc_id).alias("doc_id")).distinct()
     return everyone.join(sums, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
         "doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
