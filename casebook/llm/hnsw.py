@@ -37,6 +37,7 @@ SHARD_ROWS = 4096
 LINKS = 14
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 120
+#: Queries that one task takes to one shard.
 QUERY_BLOCK = 2048
 
 INDEX = "shard int, dim int, vectors binary, ids array<array<bigint>>, levels array<struct<nodes:binary,offsets:binary,neighbours:binary>>, entry int"
@@ -217,8 +218,7 @@ def build(rows: DataFrame, vec_id: str, vector: str, copies: int, shard_rows: in
 
     dealt = nodes.withColumn("dim", F.size("vec")).withColumn("place", F.xxhash64("vec")).withColumn(
         "shard", F.pmod("place", F.lit(shards)).cast("int"))
-    return materialised(dealt.groupBy("dim", "shard").applyInPandas(
-        lambda g: shard(g), INDEX))
+    return materialised(dealt.groupBy("dim", "shard").applyInPandas(shard, INDEX))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARCH_WIDTH) -> DataFrame:
@@ -226,11 +226,14 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
 
     A query's own id is left out; ties go to the smaller id.
     """
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     places = index.select(F.col("shard").alias("s"), F.col("dim").alias("d"))
     asked = queries.withColumn("dim", F.size("vec")).withColumn(
-        "block", F.pmod(F.xxhash64("query_id"), F.lit(1 << 30)))
+        "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     # every query against every shard of its length, in blocks: the query set is stated, the shards few
-    dealt = asked.join(places, F.col("dim") == F.col("d")).select("query_id", "vec", "dim", F.col("s").alias("shard"))
+    dealt = asked.join(places, F.col("dim") == F.col("d")).select(
+        "query_id", "vec", "dim", F.col("s").alias("shard"), "block")
+    stored = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def look(key: tuple, asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, float]] = []
@@ -248,7 +251,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
                 found += [(query, i, d) for d, i in best]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    candidates = dealt.groupBy("dim", "shard").cogroup(index.groupBy("dim", "shard")).applyInPandas(
+    key = ["dim", "shard", "block"]
+    candidates = dealt.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(
         look, "query_id long, vec_id long, score double")
     nearest = candidates.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
