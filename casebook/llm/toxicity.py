@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -176,19 +177,21 @@ def learn_lexicon(rows: DataFrame, max_terms: int) -> dict[str, float]:
     head = F.xxhash64(F.slice(F.split(F.lower("text"), r"\s+"), 1, 10))
     rows = rows.withColumn("head", head).dropDuplicates(["head", "toxic"])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = {0: Counter(), 1: Counter()}
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+            for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
                 seen[toxic].update(_terms(text))
             for toxic, terms in seen.items():
-                yield pd.DataFrame({"term": list(terms), "toxic": toxic, "n": list(terms.values())})
+                yield pa.RecordBatch.from_pydict({
+                    "term": pa.array(terms.keys(), pa.string()), "toxic": pa.array([toxic] * len(terms), pa.int32()),
+                    "n": pa.array(terms.values(), pa.int64())})
 
     total = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic_docs, clean_docs = total.get(1, 0), total.get(0, 0)
     if not toxic_docs or not clean_docs:
         return {}
-    counted = rows.select("text", "toxic").mapInPandas(count, "term string, toxic int, n long")
+    counted = rows.select("text", "toxic").mapInArrow(count, "term string, toxic int, n long")
     by_term = counted.groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
