@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,22 @@ BLANKS = " \t\n\x0b\f\r"
 MAX_BROADCAST_BYTES = 32 << 20
 
 
+#: The folder this package is imported from.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_import_us() -> None:
+    """Let Python workers find this package where the driver found it.
+
+    Workers know PYTHONPATH and shipped files, not the driver's ``sys.path``.  On a
+    cluster ship the package (``--py-files``); a folder that is not there is harmless.
+    """
+    environment = SparkSession.active().sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
