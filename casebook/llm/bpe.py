@@ -43,6 +43,7 @@ GROUP = 1_000_000
 KEPT_WORDS = 300_000
 KEPT_PIECES = 200_000
 LONG_PIECE = 100
+MARKS = ".,;:!?"
 #: White space next to a blank, where the pattern may join the two, and a blank without.
 BESIDE_BLANK = re.compile("[\\s\x1c-\x1f\x85] | [\\s\x1c-\x1f\x85]")
 #: Bytes of distinct words in one recursive query.
@@ -56,19 +57,19 @@ FIRST_CHARACTER = 0x10000
 #: Token-position rows of every word that still changes join the merge table; the smallest
 #: (rank, position) is its leftmost pair of the smallest rank, and is contracted.
 ENCODE = f"""
-WITH RECURSIVE steps(word, tokens, step) AS (
-  SELECT word, tokens, 0 FROM given
+WITH RECURSIVE steps(word, tokens) AS (
+  SELECT word, tokens FROM given
   UNION ALL
   SELECT word, substring(tokens, 1, (best & 65535)::INTEGER - 1) || chr(({FIRST_CHARACTER} + (best >> 16))::INTEGER)
-               || substring(tokens, (best & 65535)::INTEGER + 2), step + 1
+               || substring(tokens, (best & 65535)::INTEGER + 2)
   FROM (
-    SELECT word, any_value(tokens) AS tokens, any_value(step) AS step, min((merged << 16) | pos) AS best
-    FROM (SELECT word, tokens, step, unnest(range(1, length(tokens))) AS pos FROM steps)
+    SELECT word, any_value(tokens) AS tokens, min((merged << 16) | pos) AS best
+    FROM (SELECT word, tokens, unnest(range(1, length(tokens))) AS pos FROM steps)
     JOIN merges ON pair = substring(tokens, pos, 2)
     GROUP BY word
   )
 )
-SELECT word, arg_max(tokens, step) AS tokens FROM steps GROUP BY word ORDER BY word
+SELECT word, arg_min(tokens, length(tokens)) AS tokens FROM steps GROUP BY word ORDER BY word
 """
 
 DECODE = """
@@ -79,8 +80,8 @@ FROM given JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 LONE_BLANK = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
-def packed(ids: Iterable[int], above: int = 0) -> bytes:
-    return array("i", [i - above for i in ids]).tobytes()
+def packed(ids: Iterable[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class Codec:
@@ -91,7 +92,7 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.cut = regex.compile(pattern).findall
-        self.single = {i: chr(FIRST_CHARACTER + self.ranks[bytes([i])]) for i in range(256)}
+        self.single = np.array([FIRST_CHARACTER + self.ranks[bytes([i])] for i in range(256)], "<u4")
         self.known: dict[str, bytes] = {}  # piece of text -> its ids
         self.words: dict[str, bytes] = {}  # word -> its ids, four bytes each
         pairs = [(a, b, rank) for token, rank in self.ranks.items() for k in range(1, len(token))
@@ -141,11 +142,17 @@ class Codec:
             self._query(todo)
 
     def _query(self, todo: list[tuple[str, bytes]]) -> None:
+        # one character per byte, for all words at once, then cut back into words
+        every = self.single[np.frombuffer(b"".join(raw for _, raw in todo), np.uint8)].tobytes().decode("utf-32-le")
+        ends = np.cumsum([len(raw) for _, raw in todo]).tolist()
         out = self._ask(ENCODE, pa.table({
             "word": np.arange(len(todo), dtype=np.int32),
-            "tokens": pa.array([raw.decode("latin-1").translate(self.single) for _, raw in todo])}))
-        for (word, _), tokens in zip(todo, out["tokens"].tolist(), strict=True):
-            self.words[word] = packed(map(ord, tokens), FIRST_CHARACTER)
+            "tokens": pa.array([every[a:b] for a, b in zip([0, *ends], ends, strict=False)])}))
+        tokens = out["tokens"].tolist()
+        ids = (np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - FIRST_CHARACTER).astype(np.int32).tobytes()
+        ends = np.cumsum([4 * len(t) for t in tokens]).tolist()
+        self.words.update(
+            (word, ids[a:b]) for (word, _), a, b in zip(todo, [0, *ends], ends, strict=False))
 
     def contract(self, raw: bytes) -> list[int]:
         """The query's rule for one long word: leftmost pair of the smallest rank, from a heap."""
@@ -179,13 +186,22 @@ class Codec:
             first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]]
 
+    def matches(self, piece: str) -> list[str]:
+        """The pattern's matches; a blank with letters, and a mark behind them, need no search."""
+        if piece[:1] == " ":
+            if piece[1:].isalpha():
+                return [piece]
+            if piece[-1] in MARKS and piece[1:-1].isalpha():
+                return [piece[:-1], piece[-1]]
+        return self.cut(piece)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
         new = set(chain.from_iterable(cut)) - self.known.keys()
         if len(self.known) + len(new) > KEPT_PIECES:
             self.known.clear()
             new = set(chain.from_iterable(cut))
-        parts = {piece: self.cut(piece) for piece in new}
+        parts = {piece: self.matches(piece) for piece in new}
         self.learn(set(chain.from_iterable(parts.values())))
         self.known.update((piece, b"".join(map(self.words.__getitem__, words))) for piece, words in parts.items())
         known = self.known.__getitem__
