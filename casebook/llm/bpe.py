@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import workers_import_us
+from .common import prepare_workers
 
 #: Characters of text, and ids, that one query works on.
 GROUP = 1_000_000
@@ -256,7 +256,7 @@ def _lists(ids: list[np.ndarray], sizes: list[int]) -> pa.ListArray:
 
 def encode(text: Column, path: str, pattern: str) -> Column:
     """array<int> of token ids."""
-    workers_import_us()
+    prepare_workers()
 
     @F.arrow_udf("array<int>")
     def bpe_encode(texts: pa.Array) -> pa.Array:
@@ -272,7 +272,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
 def round_trip(text: Column, path: str, pattern: str) -> Column:
     """struct<ids: array<int>, decoded: binary>: encode, and decode what came out, in one pass."""
-    workers_import_us()
+    prepare_workers()
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def bpe_round_trip(texts: pa.Array) -> pa.Array:
@@ -291,7 +291,7 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """binary: the bytes of a list of token ids."""
-    workers_import_us()
+    prepare_workers()
 
     @F.arrow_udf("binary")
     def bpe_decode(lists: pa.Array) -> pa.Array:

@@ -21,13 +21,21 @@ MAX_BROADCAST_BYTES = 32 << 20
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def workers_import_us() -> None:
-    """Let Python workers find this package where the driver found it.
+#: Whole texts are long, so Arrow batches are bounded by bytes, where the session sets no bound.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
+def prepare_workers() -> None:
+    """Bound the batches sent to Python workers, and let them find this package.
 
     Workers know PYTHONPATH and shipped files, not the driver's ``sys.path``.  On a
     cluster ship the package (``--py-files``); a folder that is not there is harmless.
     """
-    environment = SparkSession.active().sparkContext.environment
+    spark = SparkSession.active()
+    key, value = BATCH_BYTES
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, value)
+    environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if HOME not in known:
         environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialised, workers_import_us
+from .common import materialised, prepare_workers
 
 SHARD_ROWS = 4096
 LINKS = 14
@@ -203,7 +203,7 @@ def distinct_vectors(rows: DataFrame, vec_id: str, vector: str, copies: int) ->
 def build(rows: DataFrame, vec_id: str, vector: str, copies: int, shard_rows: int = SHARD_ROWS,
           links: int = LINKS, build_width: int = BUILD_WIDTH) -> DataFrame:
     """The index: one row per shard, columns INDEX, in the shared checkpoint folder."""
-    workers_import_us()
+    prepare_workers()
     nodes = materialised(distinct_vectors(rows, vec_id, vector, copies))
     shards = max(1, -(-nodes.count() // shard_rows))
 
@@ -227,7 +227,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
 
     A query's own id is left out; ties go to the smaller id.
     """
-    workers_import_us()
+    prepare_workers()
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     places = index.select(F.col("shard").alias("s"), F.col("dim").alias("d"))
     asked = queries.withColumn("dim", F.size("vec")).withColumn(

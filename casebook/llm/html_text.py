@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import workers_import_us
+from .common import prepare_workers
 
 # a comment, a declaration, or a tag; quoted attribute values may hold ">"
 MARKUP = re.compile(
@@ -214,7 +214,7 @@ def main_text(html: str | None) -> str:
 
 def extracted(html: Column) -> Column:
     """The main text of every page, Arrow batches."""
-    workers_import_us()
+    prepare_workers()
 
     @F.arrow_udf("string")
     def composite_text_density(pages: pa.Array) -> pa.Array:

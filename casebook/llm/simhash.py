@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialised, small_side, workers_import_us
+from .common import materialised, small_side, prepare_workers
 from .graph import connected
 
 BITS = 64
@@ -76,7 +76,7 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
 
 def fingerprint(text: Column, shingle: int) -> Column:
     """The fingerprint column (signed 64-bit), Arrow batches."""
-    workers_import_us()
+    prepare_workers()
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:

@@ -41,7 +41,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, workers_import_us
+from .common import materialised, prepare_workers
 
 FOLDS = 5
 MAX_ROWS = 15_000
@@ -134,7 +134,7 @@ def features_of(text: str | None, machine: ahocorasick.Automaton) -> list[float]
 
 def features(text: Column, lexicon: dict[str, float]) -> Column:
     """array<double> of FEATURES, computed on Arrow batches."""
-    workers_import_us()
+    prepare_workers()
 
     @F.pandas_udf("array<double>")
     def dense(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -175,7 +175,7 @@ def _terms(text: str) -> set[str]:
 
 def learn_lexicon(rows: DataFrame, max_terms: int) -> dict[str, float]:
     """Terms with their log odds, from (text, toxic); near copies count by their first words once."""
-    workers_import_us()
+    prepare_workers()
     head = F.xxhash64(F.slice(F.split(F.lower("text"), r"\s+"), 1, 10))
     rows = rows.withColumn("head", head).dropDuplicates(["head", "toxic"])
 
