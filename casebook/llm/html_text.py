@@ -4,10 +4,14 @@ A page becomes a tree of elements.  Scripts, styles, forms, navigation, headers,
 footers, sidebars, notices, adverts and comment areas, named by element, role,
 class or id, carry no text.  For every other element the composite density is its
 characters per tag, adjusted by the share of link characters and link tags in
-it and in the body.  The density sum of an element is the sum over its children;
-the element with the largest sum is the core.  The smallest density on the path
-from the core to the body is the threshold: the core grows to its highest ancestor
-below the body that keeps it, and to its article where the path holds one.
+it and in the body.  The density sum of an element is the sum over its children and
+the text directly in it; the element with the largest sum is the core.  The smallest
+density on the path from the core to the body is the threshold.  Of every element, on
+the path or off it, that reaches the threshold, the element with the largest sum below
+it is main text as a whole, and so is text directly in an element that reaches it by
+itself; what stays below is dropped.  Where the path holds an article (or else a main)
+that is kept whole, as is any other article that reaches the threshold.  A heading
+goes with the text that follows it.
 
 The text is decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by one space.  Nothing is capped.
@@ -57,6 +61,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dir div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul"
     .split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element: tag -> elements ended, looked for up to a border.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
@@ -152,14 +157,15 @@ class Page:
             if inline and tag in BORDERS:
                 return
 
-    def densities(self) -> tuple[list[float], list[int]]:
-        """Composite text density and characters of every element."""
+    def densities(self) -> tuple[list[float], list[float], list[int]]:
+        """Composite text density of every element and of the text directly in it, and its characters."""
         n = len(self.tags)
         chars, linked, tags, links = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.texts:
             if node >= 0 and (size := len(text.strip())):
                 chars[node] += size
                 linked[node] += size * self.in_link[node]
+        own = list(zip(chars, linked, strict=True))
         for node in range(n - 1, 0, -1):
             up = self.parents[node]
             if self.silent[node]:
@@ -169,43 +175,65 @@ class Page:
             tags[up] += tags[node] + 1
             links[up] += links[node] + (self.tags[node] == "a")
         share = linked[0] / max(chars[0], 1)
-        out = [0.0] * n
-        for node in range(n):
-            c = chars[node]
-            if not c or self.silent[node]:
-                continue
-            t, lc, lt = max(tags[node], 1), max(linked[node], 1), max(links[node], 1)
-            base = log(c / max(c - linked[node], 1) * lc + share * c + e)
-            out[node] = c / t * max(log(c / lc * t / lt), 0.0) / log(base)
-        return out, chars
-
-    def core(self) -> int:
-        """The element whose subtree is the main text."""
-        density, chars = self.densities()
-        sums = [0.0] * len(density)
-        for node in range(1, len(density)):
+
+        def density(c: int, link_chars: int, t: int, link_tags: int) -> float:
+            if not c:
+                return 0.0
+            t, lc, lt = max(t, 1), max(link_chars, 1), max(link_tags, 1)
+            base = log(c / max(c - link_chars, 1) * lc + share * c + e)
+            return c / t * max(log(c / lc * t / lt), 0.0) / log(base)
+
+        out = [0.0 if self.silent[k] else density(chars[k], linked[k], tags[k], links[k]) for k in range(n)]
+        return out, [density(c, lc, 1, 1) for c, lc in own], chars
+
+    def held(self) -> tuple[list[bool], list[bool]]:
+        """Whether an element's whole subtree, and the text directly in it, is main text."""
+        density, loose, chars = self.densities()
+        n = len(density)
+        sums = loose.copy()
+        for node in range(1, n):
             sums[self.parents[node]] += density[node]
         body = self.tags.index("body") if "body" in self.tags else 0
-        best = max(range(len(sums)), key=lambda node: (sums[node], -node))
+        best = max(range(n), key=lambda node: (sums[node], -node))
         path = [best]
         while path[-1] not in (body, 0):
             path.append(self.parents[path[-1]])
-        articles = [node for node in path if self.tags[node] in ("article", "main") and chars[node]]
-        if articles:
-            named = [node for node in articles if self.tags[node] == "article"]
-            return (named or articles)[-1]
         threshold = min(density[node] for node in path)
-        held = [node for node in path if density[node] >= threshold and node not in (body, 0)]
-        return held[-1] if held and sums[path[-1]] < sums[best] else path[-1]
+        richest = list(range(n))  # the element with the largest sum in each subtree, the first of equals
+        for node in range(n - 1, 0, -1):
+            up, one = self.parents[node], richest[node]
+            if (sums[one], -one) > (sums[richest[up]], -richest[up]):
+                richest[up] = one
+        whole = [False] * n
+        named = [node for node in path if self.tags[node] == "article"] or [
+            node for node in path if self.tags[node] == "main"]
+        whole[named[-1] if named else best] = True
+        direct = [False] * n
+        for node in range(n):
+            up = self.parents[node]
+            if up >= 0 and (whole[up] or direct[up] and self.tags[node] not in BLOCKS):
+                whole[node] = True
+            if not whole[node] and chars[node] and density[node] >= threshold:
+                whole[node if self.tags[node] == "article" else richest[node]] = True
+            direct[node] = whole[node] or loose[node] >= threshold > 0
+        return whole, direct
 
     def text(self) -> str:
-        top = self.core()
-        inside = [False] * len(self.tags)
-        inside[top] = True
-        for node in range(top + 1, len(self.tags)):
-            inside[node] = inside[self.parents[node]]
-        parts = [" " if node < 0 else text for node, text in self.texts if node < 0 or inside[node]]
-        return " ".join("".join(parts).split())
+        _, direct = self.held()
+        titles = [False] * len(self.tags)
+        for node in range(1, len(self.tags)):
+            titles[node] = titles[self.parents[node]] or self.tags[node] in HEADINGS
+        parts, follows = [], False
+        for node, text in reversed(self.texts):  # a heading goes with the text that follows it
+            if node < 0:
+                parts.append(" ")
+            elif text.strip():
+                if direct[node] or not titles[node]:
+                    follows = direct[node]
+                parts.append(text if follows else " ")
+            else:
+                parts.append(text)
+        return " ".join("".join(reversed(parts)).split())
 
 
 def main_text(html: str | None) -> str:

@@ -35,6 +35,29 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+PARAGRAPH = "Some words of a paragraph that goes on for a while, and on."
+LINKS = "<div><ul>" + "<li><a href=x>Link text</a></li>" * 12 + "</ul></div>"
+
+
+def _paragraphs(name, n=3):
+    return "".join(f"<p>{name}{i}. {PARAGRAPH}</p>" for i in range(n))
+
+
+@pytest.mark.parametrize("page, names", [
+    (f"<body><div>{_paragraphs('a', 4)}</div>{LINKS}<div>{_paragraphs('b')}</div></body>", "a0 a1 a2 a3 b0 b1 b2"),
+    (f"<body><div>{LINKS}<div>{_paragraphs('a', 4)}</div><div>{_paragraphs('b', 2)}</div><div>tiny</div></div></body>",
+     "a0 a1 a2 a3 b0 b1"),
+    (f"<body><div>{LINKS}</div>loose. {PARAGRAPH} {PARAGRAPH}<div>{_paragraphs('a', 6)}</div></body>", "loose a0 a1 a2 a3 a4 a5"),
+    (f"<body><main><article>{_paragraphs('a')}</article>{LINKS}<article><section>{_paragraphs('b')}</section>"
+     "<p>end.</p></article></main></body>", "a0 a1 a2 b0 b1 b2 end"),
+    (f"<body><h1>title.</h1><div>{_paragraphs('a')}</div><h3>other.</h3><div>tiny</div></body>", "title a0 a1 a2"),
+])
+def test_blocks_off_the_path_are_held_by_the_threshold(page, names):
+    text = html_text.main_text(page)
+    assert [w[:-1] for w in text.replace(PARAGRAPH, " ").split() if w.endswith(".")] == names.split()
+    assert "Link text" not in text and "tiny" not in text
+
+
 def test_nothing_of_a_long_article_is_dropped(spark):
     words = [f"w{i}" for i in range(40_000)]
     page = "<body><nav><a>m</a></nav><article>" + "".join(f"<p>{w}</p>" for w in words) + "</article></body>"
