@@ -1,8 +1,9 @@
 """Main text of a page by composite text density.
 
 A page becomes a tree of elements.  Scripts, styles, forms, navigation, headers,
-footers, sidebars, notices, adverts and comment areas, named by element, role,
-class or id, carry no text.  For every other element the composite density is its
+footers, sidebars, notices, adverts and comment areas, named by element, role, or a
+whole token of class or id, carry no text; a class or id silences nothing that holds the
+page's articles or, with no article beside it, most of the characters outside links.  For every other element the composite density is its
 characters per tag, adjusted by the share of link characters and link tags in
 it and in the body.  The density sum of an element is the sum over its children and
 the text directly in it; the element with the largest sum is the core.  The smallest
@@ -49,14 +50,20 @@ SILENT = frozenset(
     " object menu dialog noembed noframes xmp audio video math datalist fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar"
                   " toolbar tablist status".split())
-#: Words of a class or id that name such an area.
-AREAS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:s|ed)?|promo(?:s|tion|tions)?|banner"
-    r"|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup"
-    r"|login|share|sharing|social|related|recommended|recommendations|sidebar|widget|widgets|menu|nav|navbar|navigation"
-    r"|breadcrumbs?|pagination|pager|footer|comments?|commentlist|comment-list|respond|replies|discussion|disqus"
-    r"|toolbar|skip-link)(?:$|[\s_-])", re.IGNORECASE)
-HEADERS = re.compile(r"(?:^|[\s_-])(?:header|masthead|site-header|topbar)(?:$|[\s_-])", re.IGNORECASE)
+#: Whole tokens of a class or id that name such an area; "_" counts as "-".
+AREAS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored promo promos"
+    " promotion promotions banner cookie cookies consent gdpr notice notices notification alert popup modal overlay"
+    " newsletter subscribe subscription signup login share sharing social related recommended recommendations sidebar"
+    " widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer comment comments"
+    " commentlist respond replies disqus toolbar"
+    # exact compounds
+    " ad-banner ad-container ad-slot ad-wrapper google-ad cookie-notice cookie-banner cookie-bar cookie-consent"
+    " cookie-popup consent-banner gdpr-banner site-footer page-footer site-nav site-navigation main-nav main-menu"
+    " nav-menu nav-bar skip-link comment-list comments-area comments-section comment-form disqus-thread social-links"
+    " social-share share-buttons share-bar related-posts related-articles recommended-posts newsletter-signup"
+    " newsletter-form login-form signup-form widget-area".split())
+HEADERS = frozenset("header masthead site-header topbar".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dir div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul"
@@ -75,6 +82,12 @@ class Page:
         self.tags, self.parents, self.silent, self.in_link = ["#"], [-1], [False], [False]
         self.texts: list[tuple[int, str]] = []  # (element, text), and (-1, "") for a border of blocks
         self.inside_article = [False]
+        self.areas: list[int] = []  # elements named as areas by class or id, judged when the page is read
+        self._read(html)
+        if self.areas:
+            self._silence_areas()
+
+    def _read(self, html: str) -> None:
         stack = [0]
         at = 0
         while True:
@@ -112,9 +125,11 @@ class Page:
         parent = stack[-1]
         article = self.inside_article[parent]
         silent = self.silent[parent] or name in SILENT or (name == "header" and not article)
-        if not silent and attributes and name not in ("html", "body", "article", "main"):
-            silent = self._area(attributes, article)
         node = len(self.tags)
+        if not silent and attributes and name not in ("html", "body", "article", "main"):
+            silent, area = self._area(attributes, article, article and name in HEADINGS)
+            if area and not silent:
+                self.areas.append(node)
         self.tags.append(name)
         self.parents.append(parent)
         self.silent.append(silent)
@@ -124,16 +139,47 @@ class Page:
             stack.append(node)
 
     @staticmethod
-    def _area(attributes: str, article: bool) -> bool:
+    def _area(attributes: str, article: bool, title: bool) -> tuple[bool, bool]:
+        """Whether an element is silent for certain, and whether a class or id names an area.
+
+        An id of a heading in an article is its anchor and names nothing.
+        """
+        area = False
         for name, *values in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values)
-            if name in ("class", "id") and (AREAS.search(value) or not article and HEADERS.search(value)):
-                return True
+            if name == "class" or name == "id" and not title:
+                tokens = value.lower().replace("_", "-").split()
+                area = area or any(t in AREAS or not article and t in HEADERS for t in tokens)
             if name == "role" and value.lower() in ROLES or name == "hidden" or (
                     name == "aria-hidden" and value.lower() == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
-                return True
-        return False
+                return True, area
+        return False, area
+
+    def _silence_areas(self) -> None:
+        """Silence the named areas, but none that holds the page's articles or most of its characters.
+
+        An article or main beside an area shows that the area is not the page's text.
+        """
+        n = len(self.tags)
+        chars, articles, above = [0] * n, [0] * n, [0] * n
+        for node, text in self.texts:
+            if node >= 0 and not self.in_link[node]:
+                chars[node] += len(text.strip())
+        for node in range(1, n):
+            is_article = self.tags[node] in ("article", "main") and not self.silent[node]
+            articles[node] = int(is_article)
+            above[node] = above[self.parents[node]] + is_article
+        for node in range(n - 1, 0, -1):
+            chars[self.parents[node]] += chars[node]
+            articles[self.parents[node]] += articles[node]
+        for node in self.areas:
+            beside = articles[0] - articles[node] - above[node]
+            if beside or not articles[node] and 2 * chars[node] <= chars[0]:
+                self.silent[node] = True
+        for node in range(1, n):
+            self.silent[node] = self.silent[node] or self.silent[self.parents[node]]
+        self.texts = [(node, text) for node, text in self.texts if node < 0 or not self.silent[node]]
 
     def _end_open(self, stack: list[int], names: set[str], borders: frozenset[str]) -> None:
         for k in range(len(stack) - 1, 0, -1):

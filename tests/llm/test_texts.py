@@ -58,6 +58,21 @@ def test_blocks_off_the_path_are_held_by_the_threshold(page, names):
     assert "Link text" not in text and "tiny" not in text
 
 
+@pytest.mark.parametrize("page, text", [
+    *[(f"<body><div class='{c}'><article><p>One.</p></article><div class='ad'>Buy</div></div></body>", "One.") for c in (
+        "page has-sidebar", "no-sidebar", "with-banner", "post share-enabled", "layout sidebar", "menu_open")],
+    ("<body><div class='sidebar'><p>The text of the page.</p><p>More of it.</p></div><div class=ad>Buy</div></body>",
+     "The text of the page. More of it."),
+    ("<article><h2 id='discussion'>A</h2><section id='related-work'>B</section><section id='discussion'>C</section>"
+     "<h3 id='social-impact'>D</h3><h3 id='alert'>E</h3><div id='alert-levels'>F</div></article>", "A B C D E F"),
+    ("<body><article><p>Text.</p></article><ol class='comment-list'><li><article>A far longer comment.</article></ol>"
+     "<div class='related_posts'><article>Teaser of another page.</article></div></body>", "Text."),
+    ("<body><div id=Cookie_Banner>We use cookies</div><div class='x AD'>Buy</div><article>Text.</article></body>", "Text."),
+])
+def test_only_whole_tokens_name_an_area_and_none_silences_the_page(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_nothing_of_a_long_article_is_dropped(spark):
     words = [f"w{i}" for i in range(40_000)]
     page = "<body><nav><a>m</a></nav><article>" + "".join(f"<p>{w}</p>" for w in words) + "</article></body>"
