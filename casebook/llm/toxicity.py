@@ -7,7 +7,7 @@ Steps (Spark jobs throughout; the driver holds the lexicon and the trees only):
    weights that restore the class shares, and split into three parts by id;
 2. part one teaches a lexicon: words and word beginnings whose document
    frequency is much higher in toxic than in clean texts (at most
-   ``max_terms``), beside a short fixed list for languages without labels;
+   ``max_terms``; exact copies of a text count once), beside a short fixed list for languages without labels;
 3. every text becomes a dense vector: lexicon densities, second-person words
    near lexicon hits, capitals, punctuation and obfuscation rates, read over
    the whole text;
@@ -174,10 +174,10 @@ def _terms(text: str) -> set[str]:
 
 
 def learn_lexicon(rows: DataFrame, max_terms: int) -> dict[str, float]:
-    """Terms with their log odds, from (text, toxic); near copies count by their first words once."""
+    """Terms with their log odds, from (text, toxic); exact copies of a text count once."""
     prepare_workers()
-    head = F.xxhash64(F.slice(F.split(F.lower("text"), r"\s+"), 1, 10))
-    rows = rows.withColumn("head", head).dropDuplicates(["head", "toxic"])
+    # rows that share digest and label are alike, so it does not matter which one stays
+    rows = rows.withColumn("digest", F.sha2("text", 256)).dropDuplicates(["digest", "toxic"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -87,6 +87,16 @@ def test_features_see_the_whole_text_and_masked_words():
     assert toxicity.features_of(None, machine) == toxicity.features_of("", machine)
 
 
+def test_texts_that_open_alike_teach_their_own_terms(spark):
+    head = "this notice opens every single document of the one hot source "
+    toxic = [f"{head} part{i} you are a blorgface" for i in range(6)]
+    clean = [f"calm words number{i} of a quiet text" for i in range(200)] + [f"{head} entry{i} is calm" for i in range(200)]
+    rows = spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in clean], "text string, toxic int")
+    learnt = toxicity.learn_lexicon(rows, 100)
+    assert any("blorgface".startswith(t) for t in learnt)
+    assert toxicity.learn_lexicon(rows.repartition(7).unionAll(rows), 100) == learnt  # copies and row order change nothing
+
+
 # ------------------------------------------------------------------------ mixing
 def _sources(spark, sizes, words=30):
     rows = [(i * 1000 + k, " ".join(f"t{k}x{j}" for j in range(words)), s, 1)
