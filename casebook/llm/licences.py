@@ -4,6 +4,8 @@ A text is brought to a canonical form: lower case, marks and white space to sing
 spaces, copyright lines left out, equivalent spellings made one.  The digest of
 the whole canonical text, and of each of its lines, is hash-joined to the digests
 of known licence texts and notices, which are canonicalised by the same rules.
+Known as whole texts: MIT, ISC, 0BSD, BSD-2-Clause, BSD-3-Clause, and those in
+``licence_texts``; ``licences`` takes any other list of (SPDX id, text).
 
 Defined results: null and empty texts, and texts without letters or digits, match
 nothing; repeated rows and a document's repeated lines add to its counts; a null
@@ -13,6 +15,8 @@ one row; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +45,52 @@ ISC_DISCLAIMER = (
     "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
     "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
     "USE OR PERFORMANCE OF THIS SOFTWARE.")
+BSD_GRANT = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+             "the following conditions are met:")
+BSD_CONDITIONS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _bsd() -> list[tuple[str, str]]:
+    """BSD texts of two and three clauses, with and without title, clauses numbered or not."""
+    out = []
+    for n in (2, 3):
+        for numbered in (True, False):
+            clauses = [f"{i}. {c}" if numbered else c for i, c in enumerate(BSD_CONDITIONS[:n], 1)]
+            body = "\n".join((BSD_GRANT, *clauses, BSD_DISCLAIMER))
+            titles = ("", f"BSD {n}-Clause License\n", "BSD License\n")
+            out += [(f"BSD-{n}-Clause", title + body) for title in titles]
+    return out
+
+
+def _published() -> list[tuple[str, str]]:
+    """The texts in ``licence_texts`` (file name: SPDX id), whole, and without what follows their terms."""
+    out = []
+    for file in sorted(files(__package__).joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        if not file.name.endswith(".txt"):
+            continue
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        out.append((name, text))
+        terms, end, _ = text.partition(TERMS_END)
+        if end:
+            out += [(name, terms + end), (name, terms)]
+    return out
+
+
 LICENCES = (
     ("MIT", "\n".join(("MIT License", MIT_GRANT, MIT_NOTICE, MIT_DISCLAIMER))),
     ("MIT", "\n".join((MIT_GRANT, MIT_NOTICE, MIT_DISCLAIMER))),
@@ -63,6 +113,8 @@ LICENCES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    *_bsd(),
+    *_published(),
 )
 #: Spellings taken as equal (after lower case and without marks).
 EQUIVALENT = (

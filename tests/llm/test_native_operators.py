@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from importlib.resources import files
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,26 @@ def test_licence_texts_match_whole_and_by_line(spark):
     assert licences.scan(docs.limit(0)).collect() == []
 
 
+def test_whole_texts_of_the_common_licences_are_found(spark):
+    texts = files("casebook.llm").joinpath("licence_texts")
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0"]
+    rows = [(i, name, texts.joinpath(f"{name}.txt").read_text()) for i, name in enumerate(names)]
+    apache = rows[0][2]
+    rows.append((100, "Apache-2.0", "\tCopyright 2021 Someone\n\n" + apache[:apache.index("APPENDIX: How to apply")].upper()))
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+           "following conditions are met:\n\n{}Redistributions of source code must retain the above copyright notice, this\n"
+           "   list of conditions and the following disclaimer.\n{}Redistributions in binary form must reproduce the above "
+           "copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other "
+           "materials provided with the distribution.\n\n" + licences.BSD_DISCLAIMER)
+    rows.append((101, "BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2016, Me\nAll rights reserved.\n\n" + bsd.format("1. ", "2. ")))
+    rows.append((102, "BSD-2-Clause", bsd.format(" * ", " * ")))
+    rows.append((103, "BSD-3-Clause", dict(licences.LICENCES)["BSD-3-Clause"]))
+    rows.append((104, None, apache[:5000]))
+    docs = spark.createDataFrame(rows, "doc_id long, name string, text string")
+    got = {(r.doc_id, r.licence) for r in licences.scan(docs).collect() if r.whole_text}
+    assert got == {(i, name) for i, name, _ in rows if name}
+
+
 def test_a_very_long_text_is_scanned_to_its_end(spark):
     docs = spark.createDataFrame([(1, "some prose here. " * 50_000 + "\nReleased under the MIT License.")], "doc_id long, text string")
     assert [tuple(r) for r in licences.scan(docs).collect()] == [(1, "MIT", False, 1)]
