@@ -12,7 +12,8 @@ Realisation.  A source's budget is floor(weight * budget) tokens.  Its
 documents lie in blocks by a hash of id and text; an epoch is a permutation of
 the blocks by a hash of (seed, epoch, source, block).  Whole epochs repeat every
 document; in the last epoch blocks are taken in permuted order while they fit,
-then documents of the next block by their hash while they fit.  The plan is one
+then documents of the next block by their hash while they fit, and of equal rows
+as many as fit.  The plan is one
 row per (source, block), so a hot source is spread over its blocks, and texts
 are not shuffled while the plan's measured size allows a broadcast.
 
@@ -21,8 +22,9 @@ Defined results
 * tokens are the words ``[^\\x20\\x09-\\x0D]+``; null and empty texts have none: they
   cost nothing and come once per epoch of their block;
 * a null source is a source like any other;
-* repeated rows are alike in hash, and taken or left together; so are documents
-  that tie on it, which leaves a budget unfilled rather than overspent;
+* repeated rows are alike in hash; where the last epoch ends among them, as many as
+  fit are taken (how many is defined, which of them is not), so it ends within one
+  document of the budget; documents that tie on the hash are counted at the longest;
 * a source without any token: weight zero, its documents come once (in epoch 0);
 * empty table: empty result;
 * extra columns are ignored by ``realise`` and returned untouched by
@@ -104,7 +106,8 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, budget: int | Non
 
     Columns: plan_source, blocks (of the source), plan_block, epochs (whole ones),
     taken (the last epoch holds the whole block), cut (or its documents with a hash
-    up to this; null for none), weight, budget.
+    up to this; null for none), tie and share (and so many of the rows with that
+    hash; null for none), weight, budget.
     """
     narrow = materialised(docs.select(
         F.col(source).alias("source"), _place(F.col(doc_id), F.col(text), seed).alias("u"),
@@ -138,14 +141,22 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, budget: int | Non
         F.col("s").alias("e"), F.col("block").alias("eb"), (F.col("rest") - F.col("before")).alias("left"))
     edge = small_side(materialised(edge), F.coalesce(F.length("e"), F.lit(0)) * 4 + 32)
     ending = rows.join(edge, F.col("s").eqNullSafe(F.col("e")) & (F.col("block") == F.col("eb")))
-    running = F.sum("tokens").over(Window.partitionBy("e", "eb").orderBy("u").rangeBetween(
+    # equal rows count together, so the window sees a hash once however often it is repeated
+    alike = ending.groupBy("e", "eb", "left", "u").agg(F.sum("tokens").alias("tokens"), F.max("tokens").alias("most"))
+    running = F.sum("tokens").over(Window.partitionBy("e", "eb").orderBy("u").rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
-    cuts = ending.withColumn("run", running).filter("run <= left").groupBy("e", "eb").agg(F.max("u").alias("cut"))
+    fits = F.col("run") <= F.col("left")
+    share = F.floor((F.col("left") - F.col("run") + F.col("tokens")) / F.col("most")).cast("long")
+    cuts = alike.withColumn("run", running).groupBy("e", "eb").agg(
+        F.max(F.when(fits, F.col("u"))).alias("cut"),
+        F.min(F.when(~fits, F.struct("u", share.alias("share")))).alias("next"))
+    some = F.col("next.share") > 0
+    cuts = cuts.withColumn("tie", F.when(some, F.col("next.u"))).withColumn("share", F.when(some, F.col("next.share")))
     joined = blocks.join(cuts, F.col("s").eqNullSafe(F.col("e")) & (F.col("block") == F.col("eb")), "left")
     return materialised(joined.select(
         F.col("s").alias("plan_source"), F.col("blocks").alias("plan_blocks"), F.col("block").alias("plan_block"),
         F.col("epochs").alias("epochs"), F.coalesce(F.col("rest") > 0, F.lit(False)).__and__(
-            F.col("upto") <= F.col("rest")).alias("taken"), "cut", "weight", "budget"))
+            F.col("upto") <= F.col("rest")).alias("taken"), "cut", "tie", "share", "weight", "budget"))
 
 
 def block_key(epoch: Column, source: Column, block: Column, seed: int = SEED) -> Column:
@@ -153,6 +164,26 @@ def block_key(epoch: Column, source: Column, block: Column, seed: int = SEED) ->
     return F.xxhash64(F.lit(seed), epoch.cast("long"), source, block.cast("long"))
 
 
+def _some_of_equal(tied: DataFrame) -> DataFrame:
+    """``tied`` (source, u, share, ...) with ``chosen``: true for ``share`` rows of every (source, u).
+
+    Equal rows cannot be told apart, so they are numbered where they are stored: every
+    stored partition takes its quota, and no task holds more than a partition's rows.
+    """
+    stored = materialised(tied.withColumn("at", F.monotonically_increasing_id())).withColumn(
+        "part", F.shiftright("at", 33))
+    before = Window.partitionBy("source", "u").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    quotas = stored.groupBy("source", "u", "part", "share").agg(F.count("*").alias("n")).select(
+        F.col("source").alias("qs"), F.col("u").alias("qu"), F.col("part").alias("qp"),
+        (F.col("share") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("quota"))
+    quotas = small_side(materialised(quotas), F.coalesce(F.length("qs"), F.lit(0)) * 4 + 48)
+    place = F.row_number().over(Window.partitionBy("source", "u", "part").orderBy("at"))
+    numbered = stored.withColumn("place", place).join(quotas, F.col("source").eqNullSafe(F.col("qs")) & (
+        F.col("u") == F.col("qu")) & (F.col("part") == F.col("qp")))
+    return numbered.withColumn("chosen", F.col("place") <= F.col("quota")).drop(
+        "at", "part", "place", "qs", "qu", "qp", "quota")
+
+
 def _emitted(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
     """``rows`` (source, u, ...) once per copy, with epoch and block."""
     counts = blocks.select("plan_source", "plan_blocks").distinct()
@@ -162,8 +193,13 @@ def _emitted(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
     side = small_side(blocks.drop("plan_blocks", "weight", "budget"),
                       F.coalesce(F.length("plan_source"), F.lit(0)) * 4 + 64)
     dealt = dealt.join(side, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("block") == F.col("plan_block")))
-    last = (F.col("taken") | F.coalesce(F.col("u") <= F.col("cut"), F.lit(False))).cast("long")
-    copies = F.col("epochs") + last
+    chosen = F.col("taken") | F.coalesce(F.col("u") <= F.col("cut"), F.lit(False))
+    if blocks.filter("tie IS NOT NULL").isEmpty():
+        dealt = dealt.withColumn("chosen", chosen)
+    else:
+        tied = F.coalesce(F.col("u") == F.col("tie"), F.lit(False))
+        dealt = dealt.filter(~tied).withColumn("chosen", chosen).unionByName(_some_of_equal(dealt.filter(tied)))
+    copies = F.col("epochs") + F.col("chosen").cast("long")
     return dealt.withColumn("copies", copies).filter("copies > 0").withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
 

@@ -191,6 +191,28 @@ def test_mixed_documents_keep_columns_and_match(spark, mixed):
         mixing.MIN_BLOCK_TOKENS = old
 
 
+def test_equal_rows_fill_the_budget_to_a_document(spark):
+    same = [(1, "a b c d e f g h i j", s, k) for s in ("x", None) for k in range(300)]
+    other = [(100 + k, f"t{k} " * 10, s, k) for s in ("x", None) for k in range(600)]
+    docs = spark.createDataFrame(same + other, "doc_id long, text string, source string, lang int").repartition(5)
+    half = {"budget": 9_000, "target_entropy": 0.5}
+    for seed in (1, 2, 3, 4):  # the equal rows lie before, behind and on the end of the budget
+        out = mixing.realise(docs, seed=seed, **half).collect()
+        plan = mixing.plan(docs, "doc_id", "text", "source", seed=seed, **half).collect()
+        spent = Counter()
+        for r in out:
+            spent[r.source] += r.n_tokens
+        assert {r.plan_source: r.budget for r in plan} == {"x": 4_500, None: 4_500}
+        assert all(4_490 < spent[s] <= 4_500 for s in ("x", None)), (seed, spent)
+        assert max(Counter((r.source, r.doc_id) for r in out if r.doc_id != 1).values()) == 1
+    rows = mixing.mixed_documents(docs, seed=seed, **half)
+    assert rows.columns == docs.columns
+    assert Counter((r.source, r.doc_id) for r in rows.collect()) == Counter((r.source, r.doc_id) for r in out)
+    # only equal rows, in one source that is sampled below one epoch
+    only = docs.filter("doc_id = 1 AND source = 'x'")
+    assert len(mixing.realise(only, budget=1_234).collect()) == 123
+
+
 def test_mixing_of_nulls_empty_texts_and_no_rows(spark):
     docs = spark.createDataFrame([(1, None, None, 0), (2, "", "e", 0), (3, "a b c", "x", 0), (3, "a b c", "x", 0), (None, "d e f", None, 0)],
                                  "doc_id long, text string, source string, block int")
