@@ -245,12 +245,19 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
             graph = Graph.of(data.astype(np.float32), row["levels"], int(row["entry"]))
             ids = row["ids"]
             for query, vec in zip(asked["query_id"], asked["vec"], strict=True):
-                x = np.asarray(vec, np.float64)
-                near = np.array(graph.search(x.astype(np.float32), width), np.int64)
-                far = np.sqrt(((data[near] - x) ** 2).sum(axis=1))
-                best = sorted((d, int(i)) for d, n in zip(far.tolist(), near.tolist(), strict=True)
-                              for i in ids[n] if i != query)[: k * 2]
-                found += [(query, i, d) for d, i in best]
+                x, wide = np.asarray(vec, np.float64), width
+                while True:
+                    near = np.array(graph.search(x.astype(np.float32), wide), np.int64)
+                    far = np.sqrt(((data[near] - x) ** 2).sum(axis=1))
+                    least: dict[int, float] = {}  # an id with several vectors ranks by its nearest
+                    for d, n in zip(far.tolist(), near.tolist(), strict=True):
+                        for i in ids[n]:
+                            if i != query and d < least.get(int(i), np.inf):
+                                least[int(i)] = d
+                    if len(least) >= k or wide >= len(data):
+                        break
+                    wide *= 2  # one id's many vectors fill the list: look further
+                found += [(query, i, d) for d, i in sorted((d, i) for i, d in least.items())[:k]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     key = ["dim", "shard", "block"]

@@ -271,6 +271,14 @@ def test_many_copies_ties_and_unusable_vectors(spark):
     assert got[500] == [(i, 1.0) for i in range(10)]
 
 
+def test_an_id_with_many_vectors_takes_one_place(spark):
+    rows = [(0, [0.0, 1.0])] + [(1, [0.001 * j, 1.0]) for j in range(1, 301)] + [(10 + i, [1.0 + i, 1.0]) for i in range(15)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in hnsw.nearest(df).orderBy("rank").collect()]
+    assert [(rank, i) for _, rank, i, _ in got] == [(1, 1), *((n + 2, 10 + n) for n in range(9))]
+    assert got[0][3] == pytest.approx(0.001)
+
+
 def test_fewer_candidates_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [5.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in hnsw.nearest(df).collect()] == [(0, 1, 1, 1.0)]
