@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,26 @@ def scratch_table(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/casebook-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch_table`` named, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_given_back(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them ends (its result is in the checkpoint folder)."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def small_side(df: DataFrame, bytes_per_row: Column | int,
                limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when its measured bytes stay under ``limit``.
@@ -80,3 +102,22 @@ def small_side(df: DataFrame, bytes_per_row: Column | int,
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+
+def quoted(name: str) -> str:
+    """A column name as ``F.col`` reads it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+#: Numbers whose sums ``prefix_sums`` looks up together.
+SUM_BLOCK = 256
+
+
+def prefix_sums(values: Column) -> Column:
+    """array<long>: for every number of an array, the sum of those before it."""
+    block = lambda i: F.slice(values, i * SUM_BLOCK + 1, SUM_BLOCK)
+    add = lambda numbers: F.aggregate(numbers, F.lit(0).cast("long"), lambda total, x: total + x)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / SUM_BLOCK).cast("int")), lambda b: add(block(b)))
+    before = F.transform(blocks, lambda _, b: add(F.slice(blocks, 1, b)))
+    return F.flatten(F.transform(before, lambda start, b: F.transform(
+        block(b), lambda _, k: start + add(F.slice(block(b), 1, k)))))

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import backoff_lm, bpe, chat, hnsw, html_text, licences, mixing, quality_rules, simhash, toxicity
-from .common import table
+from . import (
+    backoff_lm, bpe, chat, collocations, hnsw, html_text, licences, mixing, periodic_runs, quality_rules, secret_scan, simhash,
+    toxicity,
+)
+from .common import table, words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -79,6 +82,48 @@ def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.PATTERNS))
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(written(base), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
+def _planted(text, doc_id):
+    """A tenth of the documents, by crc32 of the id, with words that repeat from some word on."""
+    h, w = F.crc32(doc_id.cast("string")), words(text)
+    g, n = F.floor(h / 10), F.size(w).cast("long")
+    first = F.pmod(g, n)
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+    again = F.transform(w, lambda x, i: F.when(i < first, x).otherwise(
+        F.get(w, (first + (i - first) % period).cast("int"))))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _planted(F.col("text"), F.col("doc_id")).alias("text"))
+    docs = docs.select("doc_id", periodic_runs.collapse(F.col("text")).alias("t")).select("doc_id", "t.*")
+    best = docs.withColumn("best", periodic_runs.plainest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *(r[k].cast("string") for k in ("start", "length", "period"))), F.lit("\n"))), "")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -90,6 +135,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_hnsw": op10_hnsw,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 def _licence_sql() -> str:
