@@ -31,6 +31,7 @@ from casebook.functions.expr import (
     week_of_year_blocks,
     weekday_name,
 )
+from casebook.operators.distinct import count_ids
 from casebook.operators.ranking import top_n
 from casebook.schemas import MEASURE, MEASURE_DIGITS
 
@@ -102,7 +103,10 @@ def pizza_count(co: DataFrame) -> DataFrame:
     return co.agg(F.count(F.lit(1)).alias("num_pizza_ordered"))
 
 
-def order_count(co: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+def order_count(co: DataFrame, approx_rsd: float | None = None, dense_ids: bool = False) -> DataFrame:
+    """``COUNT(DISTINCT order_id)``; ``dense_ids`` counts by mergeable bitmaps (``operators.distinct``)."""
+    if dense_ids:
+        return count_ids(co, "order_id", "order_count")
     return co.agg(count_distinct("order_id", approx_rsd).alias("order_count"))
 
 

@@ -315,6 +315,30 @@ def write_ratings(ratings_df: DataFrame, path: str, mode: str = "overwrite") ->
     ratings_df.write.mode(mode).parquet(path)
 
 
+#: The sink's partition column: the day a rating belongs to.
+RATING_DAY = "rating_day"
+
+
+def daily_ratings(ro: DataFrame, day: Column, rule: Column | None = None) -> DataFrame:
+    """``ratings`` with the day each belongs to, by any date expression over runner_orders' columns."""
+    days = ro.where(F.col("cancellation").isNull()).select("order_id", day.cast("date").alias(RATING_DAY))
+    unknown = F.raise_error(F.lit("a rating without a day"))
+    dated = days.withColumn(RATING_DAY, F.coalesce(F.col(RATING_DAY), unknown.cast("date")))
+    return ratings(ro, rule).join(dated, on="order_id")
+
+
+def load_ratings(daily: DataFrame, path: str) -> None:
+    """Replace, in the sink at ``path``, the days that ``daily`` holds; other days stay.
+
+    A day is a folder, written aside and swapped in when the job commits, so loading a day
+    again adds nothing, and a load that fails leaves every day as it was.  Rows are dealt by
+    day and order before the write, so a day with most rows is written by many tasks
+    and a day with few by few files.
+    """
+    dealt = daily.select("order_id", "runner_id", "rating", RATING_DAY).hint("rebalance", RATING_DAY)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RATING_DAY).parquet(path)
+
+
 def delivery_facts(co: DataFrame, ro_typed: DataFrame, ratings_df: DataFrame, factor: int = 60) -> DataFrame:
     """One row per successful delivery: customer, order, runner, rating,
     order and pickup times, minutes to pickup, duration, speed, pizzas.

@@ -10,8 +10,9 @@ Percentages are "of all customers": a scalar subquery
 cross join.  Per-customer questions are grouped aggregates (``max_by``,
 conditional ``min``/``count``) rather than windows wherever the semantics
 allow, so a hot customer is combined map-side; the window that remains (row
-2 after trial) is bounded by ``WindowGroupLimit``, and the next-row question
-(transitions) cuts a history into months, so a long one is split over tasks.
+2 after trial) is bounded by ``WindowGroupLimit``, the next-row question
+(transitions) holds a customer's days, not rows, and the histogram of days counts
+pairs from running sums over days.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.expr import count_distinct, days_between, int_div, round_ratio, year_range
+from casebook.operators.distinct import count_ids
 from casebook.operators.ranking import packed_order_key
 from casebook.operators.sequence import next_in_group
 
@@ -61,7 +63,10 @@ def journey(subs: DataFrame, plans: DataFrame, customers: Sequence | DataFrame |
 
 
 # S1 -------------------------------------------------------------------------
-def customer_count(subs: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+def customer_count(subs: DataFrame, approx_rsd: float | None = None, dense_ids: bool = False) -> DataFrame:
+    """``COUNT(DISTINCT customer_id)``; ``dense_ids`` counts by mergeable bitmaps (``operators.distinct``)."""
+    if dense_ids:
+        return count_ids(subs, "customer_id", "unique_customers")
     return subs.agg(count_distinct("customer_id", approx_rsd).alias("unique_customers"))
 
 
@@ -179,8 +184,12 @@ def state_as_of(subs: DataFrame, plans: DataFrame, cutoff, tiebreak: str | None
 
 
 # S8 -------------------------------------------------------------------------
-def upgraded_in_year(subs: DataFrame, plan: int = 3, year: int = 2020, approx_rsd: float | None = None) -> DataFrame:
+def upgraded_in_year(subs: DataFrame, plan: int = 3, year: int = 2020, approx_rsd: float | None = None,
+                     dense_ids: bool = False) -> DataFrame:
+    """Customers who took ``plan`` in ``year``; ``dense_ids`` as in ``customer_count``."""
     rows = subs.where((F.col("plan_id") == plan) & year_range("start_date", year))
+    if dense_ids:
+        return count_ids(rows, "customer_id", "customer_count")
     return rows.agg(count_distinct("customer_id", approx_rsd).alias("customer_count"))
 
 
@@ -228,29 +237,61 @@ def conversion_days(subs: DataFrame, from_plan: int = 0, to_plan: int = 3) -> Da
         "customer_id", days_between("_from", "_to").alias("days"), (F.col("_f") * F.col("_t")).alias("pairs"))
 
 
+def _probe_counts(subs: DataFrame, from_plan: int, to_plan: int, edges: Sequence[int]) -> DataFrame:
+    """One row: ``s0 .. sn`` and ``pairs``; ``s<i>`` is the number of pairs of the self-join
+    on customer whose days lie below ``edges[i]``.
+
+    Rows are counted per (customer, plan, day).  A ``from_plan`` day ``t`` asks, for every edge,
+    how many ``to_plan`` rows of its customer lie before ``t + edge``: a running sum over the
+    customer's sorted days answers, so a customer costs days x edges rows, never days x days.
+    """
+    p = F.col("plan_id")
+    per_day = subs.where(p.isin(from_plan, to_plan) & F.col("start_date").isNotNull() & F.col("customer_id").isNotNull()).groupBy(
+        "customer_id", "plan_id", "start_date").agg(F.count(F.lit(1)).alias("_n"))
+    none = F.lit(None).cast("int")
+    event = F.when(p == to_plan, F.array(F.struct(F.col("start_date").alias("_day"), none.alias("_edge"))))
+    probes = F.when(p == from_plan, F.array(*[
+        F.struct(F.date_add("start_date", e).alias("_day"), F.lit(i).alias("_edge")) for i, e in enumerate(edges)]))
+    empty = F.array().cast("array<struct<_day:date,_edge:int>>")
+    rows = per_day.select("customer_id", "_n", F.inline(F.concat(F.coalesce(event, empty), F.coalesce(probes, empty))))
+    arrived = F.when(F.col("_edge").isNull(), F.col("_n")).otherwise(0)
+    # on one day the question comes before the events: strictly earlier ones count
+    ordered = Window.partitionBy("customer_id").orderBy("_day", F.col("_edge").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("customer_id").orderBy("_day", F.col("_edge").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = rows.withColumns({"_before": F.sum(arrived).over(ordered), "_all": F.sum(arrived).over(whole)})
+
+    def pairs(value: str, edge: int) -> Column:
+        n = (F.col("_n") * F.col(value)).cast("decimal(38,0)")
+        return F.coalesce(F.sum(F.when(F.col("_edge") == edge, n)), F.lit(0).cast("decimal(38,0)"))
+
+    return counted.agg(*[pairs("_before", i).alias(f"s{i}") for i in range(len(edges))], pairs("_all", 0).alias("pairs"))
+
+
 def days_to_plan_histogram(subs: DataFrame, from_plan: int = 0, to_plan: int = 3,
                            lo: int = 0, hi: int = 360, n: int = 12) -> DataFrame:
     """Pairs per ``WIDTH_BUCKET(days, lo, hi, n)`` with the reference's
     ``'a - b days'`` label.  Buckets are half-open ([0,30), [30,60), ...);
     days below ``lo`` fall in bucket 0 and from ``hi`` on in bucket ``n+1``,
     labelled by the same arithmetic.  Only occupied buckets appear.  The range
-    must divide evenly, as the label prints whole days."""
+    must divide evenly, as the label prints whole days.  No pair is formed, see
+    ``_probe_counts``."""
     if n < 1 or hi <= lo or (hi - lo) % n:
         raise ValueError(f"{n} buckets do not divide {lo} to {hi} days evenly")
     width = (hi - lo) // n
-    days = conversion_days(subs, from_plan, to_plan)
-    b = F.width_bucket(F.col("days"), F.lit(lo), F.lit(hi), F.lit(n))
-    counts = days.groupBy(b.alias("_b")).agg(F.sum("pairs").cast("bigint").alias("customers"))
-    label = F.concat(
-        (F.lit(lo) + (F.col("_b") - 1) * width).cast("string"), F.lit(" - "),
-        (F.lit(lo) + F.col("_b") * width).cast("string"), F.lit(" days"),
-    )
-    return counts.select(label.alias("breakdown"), "customers")
+    edges = [lo + i * width for i in range(n + 1)]
+    below = _probe_counts(subs, from_plan, to_plan, edges)
+    sums = [F.lit(0), *[F.col(f"s{i}") for i in range(n + 1)], F.col("pairs")]
+    buckets = F.array(*[F.struct(
+        F.lit(f"{lo + (b - 1) * width} - {lo + b * width} days").alias("breakdown"),
+        (sums[b + 1] - sums[b]).cast("bigint").alias("customers")) for b in range(n + 2)])
+    return below.select(F.inline(buckets)).where("customers > 0")
 
 
 # S11 ------------------------------------------------------------------------
 def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int | None = 2020,
-                filter_first: bool = True, tiebreak: str | None = None, method: str = "chunk") -> DataFrame:
+                filter_first: bool = True, tiebreak: str | None = None, method: str = "days") -> DataFrame:
     """Rows of ``from_plan`` whose next row (by date, then ``tiebreak``) is
     ``to_plan`` - ``LEAD(plan_id)`` per customer.
 
@@ -259,15 +300,19 @@ def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int
     (Q-18); ``False`` takes the next row over all history and then counts the
     ``from_plan`` rows that start in ``year``.
 
-    ``method='chunk'`` (default) finds the next row with
-    ``sequence.next_in_group``, which splits a customer with a huge history
-    over its months; ``'window'`` is the plain ``lead`` window, which sorts
-    each customer's whole history in one task.
+    ``method='days'`` (default): equal rows collapse with a count before the shuffle, the
+    next row is taken inside each (customer, day), and a day hands on its first and last plan
+    and its hits; the window over days holds one row per day of a customer, whatever the rows.
+    ``'chunk'`` gives every row its next one by ``sequence.next_in_group``; ``'window'`` is the
+    plain ``lead`` window, which sorts each customer's whole history in one task.
     """
     rows = subs
     if year is not None and filter_first:
         rows = rows.where(year_range("start_date", year))
     order = ["start_date", tiebreak or "plan_id"]
+    in_year = F.lit(True) if year is None or filter_first else year_range("start_date", year)
+    if method == "days":
+        return _transitions_by_day(rows, from_plan, to_plan, tiebreak or "plan_id", in_year)
     if method == "chunk":
         cols = list(dict.fromkeys(["customer_id", "plan_id", *order]))
         nxt = next_in_group(rows.select(*cols), "customer_id", order, "plan_id", out="_next")
@@ -275,8 +320,25 @@ def transitions(subs: DataFrame, from_plan: int = 2, to_plan: int = 1, year: int
         w = Window.partitionBy("customer_id").orderBy(*order)
         nxt = rows.withColumn("_next", F.lead("plan_id").over(w))
     else:
-        raise ValueError("method must be 'chunk' or 'window'")
-    hit = (F.col("plan_id") == from_plan) & (F.col("_next") == to_plan)
-    if year is not None and not filter_first:
-        hit = hit & year_range("start_date", year)
+        raise ValueError("method must be 'days', 'chunk' or 'window'")
+    hit = (F.col("plan_id") == from_plan) & (F.col("_next") == to_plan) & in_year
     return nxt.where(hit).agg(F.count(F.lit(1)).alias("customer_count"))
+
+
+def _transitions_by_day(rows: DataFrame, from_plan: int, to_plan: int, tiebreak: str, in_year: Column) -> DataFrame:
+    keys = list(dict.fromkeys(["customer_id", "start_date", tiebreak, "plan_id"]))
+    distinct = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    day = Window.partitionBy("customer_id", "start_date").orderBy(tiebreak, "plan_id")
+    inside = distinct.withColumn("_next", F.struct(F.lead("plan_id").over(day).alias("p")))
+    leaves = F.col("plan_id") == from_plan
+    # of n equal rows, n - 1 are followed by themselves
+    hits = F.when(leaves & (F.col("_next.p") == to_plan), 1).otherwise(0) + F.when(
+        leaves & F.lit(from_plan == to_plan), F.col("_n") - 1).otherwise(0)
+    place = F.struct(tiebreak, F.col("plan_id").alias("_p"))
+    days = inside.groupBy("customer_id", "start_date").agg(
+        F.sum(hits).alias("_hits"), F.min(place).alias("_first"), F.max(place).alias("_last"))
+    following = F.lead("_first._p").over(Window.partitionBy("customer_id").orderBy("start_date"))
+    days = days.withColumn("_after", following)
+    crossing = F.when((F.col("_last._p") == from_plan) & (F.col("_after") == to_plan), 1).otherwise(0)
+    total = F.sum(F.when(in_year, F.col("_hits") + crossing).otherwise(0))
+    return days.agg(F.coalesce(total, F.lit(0)).cast("bigint").alias("customer_count"))

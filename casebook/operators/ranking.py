@@ -12,9 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casebook.functions.expr import quoted
+from casebook.session import checkpoint_dir
+
 
 def extreme_with_ties(df: DataFrame, by: Sequence[str], key: str, largest: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` is the min (or max) of their ``by`` group.
@@ -38,11 +41,46 @@ def top_n(df: DataFrame, n: int, order: Sequence, tiebreak: Sequence = ()) -> Da
     return df.orderBy(*order, *tiebreak).limit(n)
 
 
+def _postgres_order(keys: Sequence[str]) -> list[Column]:
+    return [F.desc_nulls_first(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in keys]
+
+
 def ordered(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` sorted as PostgreSQL's ORDER BY sorts: ``"name"`` ascending with
     NULLs last, ``"-name"`` descending with NULLs first.  A distributed range
     sort; operators return unsorted rows unless a caller asks."""
-    return df.orderBy(*[F.desc_nulls_first(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in keys])
+    return df.orderBy(*_postgres_order(keys))
+
+
+def with_positions(df: DataFrame, *keys: str, out: str = "position") -> DataFrame:
+    """``df`` plus each row's place (from 1) in the order of ``ordered(df, *keys)``.
+
+    ``ROW_NUMBER() OVER (ORDER BY ...)`` would bring all rows to one task.  Here they are dealt by
+    ranges of the keys and sorted inside each range; a row's number within its range, plus the
+    number of rows in the ranges before, is its place.  The sorted rows are written
+    once to the session's checkpoint folder, as both the numbers and the counts must see the
+    same ranges; the counts, one per range, go through the driver.
+
+    Keys should make rows distinct (add a tie-break): rows that tie are numbered in any
+    order, and they share a range, which only further keys can split.  Runs jobs when
+    called; an empty table gives no rows.
+    """
+    if checkpoint_dir(df.sparkSession) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    order = _postgres_order(keys)
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_at", F.monotonically_increasing_id()).checkpoint()
+    # the id is the number of the partition, then 33 bits for the row inside it
+    part, row = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(part.cast("int").alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect()
+    before, offsets = 0, []
+    for r in sorted(counts):
+        offsets.append((r["_part"], before))
+        before += r["_n"]
+    first = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
+    # one row per range of the sort: at most spark.sql.shuffle.partitions
+    numbered = placed.withColumn("_part", part.cast("int")).join(F.broadcast(first), "_part")
+    return numbered.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_before") + row + 1).alias(out))
 
 
 def packed_order_key(df: DataFrame, date_col: str, int_col: str):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from casebook import schemas
+from casebook.sources import footers
 
 SCHEMAS: dict[str, StructType] = {
     "sales": schemas.SALES,
@@ -31,24 +32,38 @@ SCHEMAS: dict[str, StructType] = {
 }
 
 
+def check_drift(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> None:
+    """Raise if Parquet or ORC files at ``path`` lack a declared column or hold it with another type.
+
+    One footer is read, by the driver and without a Spark job; a later file that differs in type
+    fails in its task.  A folder without files has nothing to compare.
+    """
+    found = footers.columns(spark, path, fmt)
+    if found is None:
+        return
+    wrong = []
+    for f in schema.fields:
+        kind, declared = found.get(f.name, "missing"), f.dataType.simpleString()
+        # a file does not tell ORC's two timestamps apart as Spark's catalogue does
+        same = kind in (declared, "nested", "partition") or fmt == "orc" and {kind, declared} == {"timestamp", "timestamp_ntz"}
+        if not same:
+            wrong.append(f"{f.name} {declared}, not {kind}")
+    if wrong:
+        raise ValueError(f"{path}: declared " + "; ".join(wrong))
+
+
 def load(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:
     """Files at ``path`` with the declared ``schema``; drift raises.
 
     Parquet and ORC: every declared column must be there with its type (extra
-    columns are not read); reading one footer suffices, and a later file that
-    differs fails in its task.  CSV: the header must hold the declared names in
-    order.  CSV and JSON: malformed records fail.
+    columns are not read), see ``check_drift``.  CSV: the header must hold the declared
+    names in order.  CSV and JSON: malformed records fail.  No Spark job runs.
     """
-    reader = spark.read.options(**options)
+    reader = spark.read.options(**options).schema(schema)
     if fmt in ("parquet", "orc"):
-        found = {f.name: f.dataType for f in reader.format(fmt).load(path).schema.fields}
-        wrong = [f"{f.name} {f.dataType.simpleString()}, not " + (
-            found[f.name].simpleString() if f.name in found else "missing")
-            for f in schema.fields if found.get(f.name) != f.dataType]
-        if wrong:
-            raise ValueError(f"{path}: declared " + "; ".join(wrong))
-        return reader.schema(schema).format(fmt).load(path)
-    reader = reader.schema(schema).option("mode", options.get("mode", "FAILFAST"))
+        check_drift(spark, path, schema, fmt)
+        return reader.format(fmt).load(path)
+    reader = reader.option("mode", options.get("mode", "FAILFAST"))
     if fmt == "csv":
         reader = reader.option("header", options.get("header", "true")).option("enforceSchema", "false")
     return reader.format(fmt).load(path)

@@ -1,0 +1,79 @@
+"""Row positions of sorted reports: equal to a plain sort, dealt over ranges, no window over all rows."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from casebook.operators.ranking import ordered, with_positions
+from casebook.plans.inspect import physical_plan
+
+
+@pytest.fixture(scope="module")
+def report(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice([None, "a", "b", "hot", "hot", "hot"]), rnd.choice([None, *range(40)]), i) for i in range(5000)]
+    rnd.shuffle(data)
+    return spark.createDataFrame(data, "`the name` string, n int, id long")
+
+
+@pytest.mark.parametrize("keys", [("the name", "-n", "id"), ("-the name", "n", "-id"), ("-id",)])
+def test_positions_follow_the_sort_with_nulls_as_postgresql_places_them(report, keys):
+    got = {r["id"]: r["position"] for r in with_positions(report, *[k for k in keys]).collect()}
+
+    def place(row):
+        out = []
+        for key in keys:
+            down, name = key.startswith("-"), key.lstrip("-")
+            v = row[name]
+            # NULLs last going up, first going down
+            out.append((v is None, 0 if v is None else v) if not down else (v is not None, 0 if v is None else _Down(v)))
+        return tuple(out)
+
+    want = {r["id"]: i for i, r in enumerate(sorted(report.collect(), key=place), 1)}
+    assert got == want
+
+
+class _Down:
+    def __init__(self, v):
+        self.v = v
+
+    def __lt__(self, other):
+        return other.v < self.v
+
+    def __eq__(self, other):
+        return other.v == self.v
+
+
+def test_ties_share_no_place_and_no_place_is_left_out(report):
+    places = [r["position"] for r in with_positions(report, "n").select("position").collect()]
+    assert sorted(places) == list(range(1, 5001))
+
+
+def test_rows_are_dealt_over_ranges_without_a_window(spark, report):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # so little data would be one range
+    try:
+        placed = with_positions(report, "the name", "id")
+        assert "Window" not in physical_plan(placed)
+        shares = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert len(shares) == 4 and max(shares) < 0.4 * 5000  # over half of all rows share one name; the id splits it
+    assert sorted(r["position"] for r in placed.collect()) == list(range(1, 5001))
+
+
+def test_equals_row_number(spark, report):
+    w = Window.orderBy(F.asc_nulls_last("n"), F.asc_nulls_last("id"))
+    want = {r["id"]: r["p"] for r in report.withColumn("p", F.row_number().over(w)).collect()}
+    got = {r["id"]: r["position"] for r in with_positions(report, "n", "id").collect()}
+    assert got == want
+    sorted_ids = [r["id"] for r in ordered(report, "n", "id").collect()]
+    assert sorted_ids == [i for i, _ in sorted(got.items(), key=lambda x: x[1])]
+
+
+def test_empty_table_and_other_columns_survive(spark, report):
+    assert with_positions(report.limit(0), "id").collect() == []
+    assert with_positions(report, "id").columns == [*report.columns, "position"]
