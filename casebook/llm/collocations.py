@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 from pyspark.taskcontext import TaskContext
 
 from .common import drop_scratch, materialised, prepare_workers, quoted, scratch_table, shuffles_given_back, small_side
-from .word_arrays import FACTOR, classes, cut, lowering, mixed, paired
+from .word_arrays import FACTOR, Sums, classes, cut, lowering, mixed, paired
 
 MARKS = ".,;:!?\n\x0b\x0c\r"
 BLANKS = " \t"
@@ -54,9 +54,11 @@ SHARDS = 4
 #: Bytes of the table that tells tasks what has been reached, a power of two.
 SLOTS = 1 << 24
 NEVER = 255
-#: Phrases that a task counts before it sends their sums, and words in its dictionary.
-HELD = 1 << 20
+#: Phrases of a length that a task holds before it sends their sums, and places of the words it has sent.
+HELD = 1 << 19
 KNOWN = 1 << 20
+#: The written shards and sums are hashes that repeat: worth a better codec than the default.
+CODEC = "zstd"
 
 WRITTEN = "shard int, lang string, n_words long, ids binary, pieces binary, new_ids array<long>, new_words array<string>"
 COUNTED = "k int, front long, back long, since int, n long"
@@ -70,8 +72,8 @@ def _cut_texts(shards: int):
     """Rows (one per batch and language): ids of words, lengths of pieces, words not yet sent by the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, known = TaskContext.get().partitionId(), np.zeros(0, np.uint64)
-        table, lower = classes(BLANKS, MARKS), lowering()
+        task, table, lower = TaskContext.get().partitionId(), classes(BLANKS, MARKS), lowering()
+        sent = np.zeros(KNOWN, np.uint64)  # an id that was sent, by its low bits; one that is displaced is sent again
         for number, batch in enumerate(batches):
             langs = batch.column("lang").dictionary_encode()
             which = np.asarray(langs.indices)
@@ -82,10 +84,10 @@ def _cut_texts(shards: int):
                     continue
                 seed = np.uint64(int.from_bytes(lang.encode("utf-8"), "little") * FACTOR % (1 << 64))
                 ids = mixed(words.hashes ^ mixed(np.array([seed + np.uint64(1)], np.uint64)))
-                new, at = np.unique(ids, return_index=True)
-                fresh = ~np.isin(new, known)
-                new, at = new[fresh], at[fresh]
-                known = np.union1d(known, new) if len(known) < KNOWN else new
+                unsent = np.flatnonzero(sent[(ids & np.uint64(KNOWN - 1)).astype(np.int64)] != ids)
+                new, at = np.unique(ids[unsent], return_index=True)
+                at = unsent[at]
+                sent[(new & np.uint64(KNOWN - 1)).astype(np.int64)] = new
                 ends = np.flatnonzero(np.diff(words.piece, append=words.piece[-1] + 1))
                 rows["lang"].append(lang)
                 rows["n_words"].append(len(ids))
@@ -107,38 +109,12 @@ def _cut_texts(shards: int):
     return run
 
 
-class _Sums:
-    """Counts of phrases by id, with (front, back, since) of each."""
-
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.held = 0
-
-    def add(self, ids: np.ndarray, *columns: np.ndarray, n: np.ndarray | None = None) -> None:
-        if len(ids):
-            by_id = np.argsort(ids)
-            ids = ids[by_id]
-            firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            n = np.diff(firsts, append=len(ids)) if n is None else np.add.reduceat(n[by_id], firsts)
-            self.parts.append((ids[firsts], *(c[by_id[firsts]] for c in columns), n))
-            self.held += len(firsts)
-
-    def taken(self) -> tuple[np.ndarray, ...]:
-        """(front, back, since, n), and start anew."""
-        ids, *columns, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        self.parts, self.held = [], 0
-        self.add(ids, *columns, n=n)
-        (_, *out), = self.parts
-        self.parts, self.held = [], 0
-        return tuple(out)
-
-
 def _count_shard(told: Broadcast, scan: int, shards: int, longest: int):
     """Sums of the phrases that are active in this scan."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.frombuffer(told.value, np.uint8)
-        sums = [_Sums() for _ in range(longest)]
+        sums = [Sums() for _ in range(longest)]
 
         def sent(k: int) -> pa.RecordBatch:
             front, back, since, n = sums[k - 1].taken()
@@ -222,7 +198,7 @@ def count_phrases(spark: SparkSession, written: str, folder: str, min_count: int
         sums = sums.groupBy("k", "front", "back", "since").agg(F.sum("n").alias("n"))
         needed = (F.col("since") + shards > scan + 1) | (F.col("n") >= min_count)
         state, gone = f"{folder}/scan-{scan}", state
-        sums.filter(needed).write.parquet(state)
+        sums.filter(needed).write.option("compression", CODEC).parquet(state)
         if gone:
             drop_scratch(spark, gone)
         reached = spark.read.schema(COUNTED).parquet(state).filter((F.col("n") >= min_count) & (F.col("k") < longest))
@@ -276,7 +252,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int
     with shuffles_given_back(spark):
         rows = docs.select(F.coalesce(F.col(quoted(lang)), F.lit("und")).alias("lang"),
                            F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
-        rows.mapInArrow(_cut_texts(shards), WRITTEN).write.partitionBy("shard").parquet(written)
+        rows.mapInArrow(_cut_texts(shards), WRITTEN).write.option("compression", CODEC).partitionBy("shard").parquet(written)
         state = count_phrases(spark, written, folder, min_count, longest, shards, n_slots)
         counted = spark.read.schema(COUNTED).parquet(state).filter(F.col("n") >= min_count)
         phrases = materialised(counted.mapInArrow(_named, "id long, k int, front long, back long, n long"))
@@ -284,7 +260,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int
         totals = batches.groupBy("lang").agg(F.sum("n_words").alias("total"))
         reached = small_side(phrases.filter("k = 1").select("id"), 8)
         words = batches.select("lang", F.inline(F.arrays_zip(F.col("new_ids").alias("id"), F.col("new_words").alias("word"))))
-        words = words.join(reached, "id").groupBy("id").agg(F.min(F.struct("lang", "word")).alias("w")).select("id", "w.*")
+        words = words.groupBy("id").agg(F.min("lang").alias("lang"), F.min("word").alias("word")).join(reached, "id")
         levels = _levels(phrases, materialised(words.join(totals, "lang")), longest)
         # the most frequent candidate that is longer by a word
         longer = phrases.filter("k > 1").select(F.explode(F.array("front", "back")).alias("id"), "n").groupBy("id").agg(

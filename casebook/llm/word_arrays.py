@@ -111,9 +111,34 @@ def cut(texts: pa.Array, table: np.ndarray, lower: np.ndarray | None = None) ->
     joints = joints[inside[joints] & inside[joints + 1]]
     begins[joints] = finishes[joints] = True
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes)
-    text = np.searchsorted(offsets, starts, side="right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
     piece = None
     if (table == MARK).any():
-        marks = np.flatnonzero(kinds == MARK)
-        piece = np.searchsorted(marks, starts) + text
+        piece = np.cumsum(kinds == MARK, dtype=np.int32)[starts] + text  # no word begins at a mark
     return Words(raw, starts, ends, text, piece, hashed(raw, starts, ends))
+
+
+class Sums:
+    """Counts by id, with further columns that an id determines."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.held = 0
+
+    def add(self, ids: np.ndarray, *columns: np.ndarray, n: np.ndarray | None = None) -> None:
+        if len(ids):
+            by_id = np.argsort(ids)
+            ids = ids[by_id]
+            firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            n = np.diff(firsts, append=len(ids)) if n is None else np.add.reduceat(n[by_id], firsts)
+            self.parts.append((ids[firsts], *(c[by_id[firsts]] for c in columns), n))
+            self.held += len(firsts)
+
+    def taken(self) -> tuple[np.ndarray, ...]:
+        """(*columns, n), and start anew."""
+        ids, *columns, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.held = [], 0
+        self.add(ids, *columns, n=n)
+        (_, *out), = self.parts
+        self.parts, self.held = [], 0
+        return tuple(out)
