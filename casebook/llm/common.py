@@ -113,11 +113,18 @@ def quoted(name: str) -> str:
 SUM_BLOCK = 256
 
 
-def prefix_sums(values: Column) -> Column:
-    """array<long>: for every number of an array, the sum of those before it."""
-    block = lambda i: F.slice(values, i * SUM_BLOCK + 1, SUM_BLOCK)
+def prefix_sums(df: DataFrame, values: str, out: str) -> DataFrame:
+    """``df`` with the array<long> ``out``: for every number of the array ``values``, the sum of those before it.
+
+    Column by column, as an array that a lambda computes itself is computed once per element.
+    """
+    blocks, before = f"{out}_blocks", f"{out}_before"
     add = lambda numbers: F.aggregate(numbers, F.lit(0).cast("long"), lambda total, x: total + x)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / SUM_BLOCK).cast("int")), lambda b: add(block(b)))
-    before = F.transform(blocks, lambda _, b: add(F.slice(blocks, 1, b)))
-    return F.flatten(F.transform(before, lambda start, b: F.transform(
-        block(b), lambda _, k: start + add(F.slice(block(b), 1, k)))))
+    df = df.withColumn(blocks, F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(values) / SUM_BLOCK).cast("int")),
+        lambda b: F.slice(values, b * SUM_BLOCK + 1, SUM_BLOCK)))
+    df = df.withColumn(before, F.transform(blocks, lambda block: add(block)))
+    # starts of the blocks, and of what lies in each
+    df = df.withColumn(before, F.transform(before, lambda _, b: add(F.slice(before, 1, b))))
+    return df.withColumn(out, F.flatten(F.transform(blocks, lambda block, b: F.transform(
+        block, lambda _, k: F.get(F.col(before), b) + add(F.slice(block, 1, k)))))).drop(blocks, before)

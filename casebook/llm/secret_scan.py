@@ -99,12 +99,13 @@ def _spans(docs: DataFrame, name: str, pattern: str, likely: str) -> DataFrame:
     docs = docs.withColumns({
         between: F.when(has, F.split(text, pattern, -1)).otherwise(none),
         found: F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)})
-    docs = docs.withColumn(f"before_{name}", prefix_sums(F.transform(
-        found, lambda m, i: (F.length(m) + F.length(F.get(F.col(between), i))).cast("long"))))
+    docs = docs.withColumn(f"long_{name}", F.transform(
+        found, lambda m, i: (F.length(m) + F.length(F.get(F.col(between), i))).cast("long")))
+    docs = prefix_sums(docs, f"long_{name}", f"before_{name}")
     return docs.withColumn(name, F.transform(found, lambda m, i: F.struct(
         (F.get(F.col(f"before_{name}"), i) + F.length(F.get(F.col(between), i))).alias("start"),
         (F.get(F.col(f"before_{name}"), i) + F.length(F.get(F.col(between), i)) + F.length(m)).alias("end"),
-        m.alias("found")))).drop(between, found, f"before_{name}")
+        m.alias("found")))).drop(between, found, f"long_{name}", f"before_{name}")
 
 
 def _same(c: Column, *names: str) -> list[Column]:
