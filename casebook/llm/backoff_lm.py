@@ -1,113 +1,381 @@
 """Stupid-backoff language-model scores, computed relationally.
 
-The corpus is its own training text.  Every word is a row with the hashes of the
-n-grams that end in it (lower case, words ``[^\\x20\\x09-\\x0D]+``, the text's beginning
-counts as a word).  For every order there is a count table by n-gram hash; n-grams
-above order one that occur fewer than ``min_count`` times are left out of it, which
-is what makes the score back off: S(w | context) = c(context w) / c(context), or
-``alpha`` times the score of the next lower order, down to c(w) / words.  Rows join
-the tables from the highest order down; rows found at an order leave, the others go
-on to the next.  Logarithms are summed per document.
-
-Rows of all words would fill the shuffle disks at once, so the n-grams above order
-one are worked on in ``slices`` by the hash of the word before: an n-gram, its
-context and all its rows lie in one slice.  Every slice reads the whole texts, ends in
-one partial sum per document in the shared checkpoint folder, and gives its shuffle
-files back.
-
-n-grams are compared by 64-bit hashes: among 1e8 distinct ones about 3e-4
-collisions are expected.  A frequent n-gram has many rows on one side of a join
-and one on the other, which AQE splits; counts are summed before the shuffle.
+The corpus is its own training text (words ``[^\\x20\\x09-\\x0D]+`` in lower case).  A count table
+per order holds every n-gram that occurs ``min_count`` times or more (order one: every word).
+A word is scored at the highest order n whose n-gram with the words before it is in its table,
+S = c(n-gram) / c(its first n - 1 words), or c(word) / words at order one, times ``alpha`` for every
+order it was backed off; the first words of a text begin at the order that their context allows.
+Logarithms are summed per document.
+
+What an n-gram adds to a document does not depend on where it stands: being found at order n
+changes a word's score by
+
+    log c(g) - log c(front of g) - log c(back of g) + log c(middle of g) - log alpha
+
+(front: all but the last word, back: all but the first, middle: without both), since its
+back is then found one order lower.  So every table gets this value once per n-gram, by joins with
+the tables one and two orders lower, and a document's score is the sum of the
+values of its n-grams: one join of n-grams to values for all orders, however deep they back off.
+
+* Counting.  Tasks hash words and n-grams of a batch in arrays, sum them, and send them packed by
+  hash partition, where they are summed again.  An n-gram is only counted if both its parts
+  are in the table below, told by a table of bits of fixed size (a false hit costs counting
+  and is dropped by its count).
+* Scoring.  n-grams that make up more than 1 / HOT of the corpus - there are at most HOT of
+  them per order, so their values may be broadcast - are summed where the text is read; all
+  others are sent packed, by hash partition, to the values of that partition, so no n-gram
+  brings more than a 1 / HOT part of the corpus to a task.
+* Disk.  Both are done in ``SLICES`` by hash partition; every slice ends in a table in the
+  shared checkpoint folder and gives its shuffle files back, and tables go once they are used.
+
+n-grams are compared by 64-bit hashes: among 1e8 distinct ones about 3e-4 collisions are expected.
+n-grams above order one that occur fewer than ``min_count`` times are left out of the tables, which
+is what makes a score back off.
 
 Defined results: null and empty texts have no word, score null; rows that share an id
 (also the null id) are scored as one document; an empty table gives an empty
-result; extra columns are ignored.
+result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from contextlib import contextmanager
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialised, words
+from .common import BLANKS, drop_scratch, materialised, prepare_workers, quoted, scratch_table, shuffles_given_back
+from .word_arrays import Sums, classes, cut, paired
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
-#: More slices need less disk and read the texts more often; the ratio to the input stays.
-SLICES = 6
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffles_given_back(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the job that wrote them ends (its result is in the checkpoint folder)."""
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
-def gram_rows(docs: DataFrame, doc_id: str, text: str, order: int) -> DataFrame:
-    """(doc_id, g1, ..., g<order>): a row per word, the hashes of the n-grams it ends."""
-    w = F.col("w")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), words(F.lower(F.col(text))).alias("w"))
-    grams = F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.struct(*[
-        F.xxhash64(*[F.coalesce(F.get(w, i - k), F.lit("")) for k in range(n - 1, -1, -1)]).alias(f"g{n}")
-        for n in range(1, order + 1)], *[
-        # what stands before the word: the context of order n
-        F.xxhash64(*[F.coalesce(F.get(w, i - k), F.lit("")) for k in range(n - 1, 0, -1)]).alias(f"c{n}")
-        for n in range(2, order + 1)]))
-    return rows.filter(F.size("w") > 0).select("doc_id", F.inline(grams))
-
-
-def tables(rows: DataFrame, order: int, min_count: int) -> list[DataFrame]:
-    """For each order n above one: (k<n>, s<n>), the log score of every n-gram of its table."""
+SLICES = 2
+#: At most so many n-grams of an order are looked up where the text is read.
+HOT = 100_000
+#: Bits of the table that tells which n-grams have been counted often enough, a power of two.
+BITS = 1 << 27
+#: n-grams that one hash partition is meant for; more partitions for more words.
+PER_PARTITION = 4_000_000
+#: n-grams that a task holds before it sends their sums.
+HELD = 1 << 19
+CODEC = "zstd"
+
+PACKED = "part int, front binary, back binary, n binary"
+COUNTED = "k int, id long, front long, back long, n long"
+SENT = "part int, docs binary, sizes binary, ids binary, own binary"
+SUMS = "key long, n_words long, n_backoff long, log_score double"
+
+
+def _bytes(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a).tobytes()
+
+
+def _part(ids: np.ndarray, parts: int) -> np.ndarray:
+    return ((ids >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+
+
+def _part_column(ids: Column, parts: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(ids, 20), F.lit(parts)).cast("int")
+
+
+def _has(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    place = (ids & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
+def _grams(texts: pa.Array, order: int, bits: np.ndarray | None):
+    """The words of a batch, then (k, ids, front, back, text) of the n-grams of each order that may be in a table."""
+    words = cut(texts, classes(BLANKS))
+    ids, at = words.hashes, np.arange(len(words.hashes))
+    yield words
+    yield 1, ids, ids, np.zeros(len(ids), np.uint64), words.text
+    for k in range(2, order + 1):
+        known = _has(bits, ids)
+        near = np.flatnonzero(known[:-1] & known[1:] & (at[1:] == at[:-1] + 1) & (words.text[at[1:]] == words.text[at[:-1]]))
+        front, back, at = ids[near], ids[near + 1], at[near + 1]
+        ids = paired(front, back)
+        yield k, ids, front, back, words.text[at]
+
+
+def _count(order: int, told: Broadcast | None, parts: int, slices: int, part: int):
+    """Packed sums of the n-grams of one order, for one slice of the hash partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if told is None else np.frombuffer(told.value, np.uint8)
+        sums = Sums()
+
+        def sent() -> pa.RecordBatch:
+            ids, front, back, n = sums.taken()
+            where = _part(ids, parts)
+            by_part = np.argsort(where, kind="stable")
+            cuts = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=parts))))
+            some = np.flatnonzero(np.diff(cuts))
+            columns = [x[by_part] for x in (front, back, n.astype(np.int32))]
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[
+                pa.array([_bytes(c[cuts[p]:cuts[p + 1]]) for p in some], pa.binary()) for c in columns]],
+                ["part", "front", "back", "n"])
+
+        for batch in batches:
+            *_, (k, ids, front, back, _) = _grams(batch.column("text"), order, bits)
+            mine = slice(None) if slices == 1 else _part(ids, parts) % slices == part
+            sums.add(ids[mine], ids[mine], front[mine], back[mine])
+            if sums.held > HELD:
+                yield sent()
+        if sums.held:
+            yield sent()
+
+    return run
+
+
+def _joined(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+def _summed(order: int, least: int):
+    """The n-grams of one hash partition that occur ``least`` times or more."""
+
+    def run(group: pa.Table) -> pa.Table:
+        front, back, n = (_joined(group.column(c), t) for c, t in (("front", np.uint64), ("back", np.uint64), ("n", np.int32)))
+        ids = front if order == 1 else paired(front, back)
+        by_id = np.argsort(ids)
+        ids = ids[by_id]
+        firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        n = np.add.reduceat(n[by_id].astype(np.int64), firsts)
+        often = n >= least
+        one = by_id[firsts[often]]
+        return pa.table({
+            "k": pa.array(np.full(len(one), order, np.int32)), "id": pa.array(ids[firsts[often]].view(np.int64)),
+            "front": pa.array(front[one].view(np.int64)), "back": pa.array(back[one].view(np.int64)), "n": pa.array(n[often])})
+
+    return run
+
+
+def _set_bits(n_bits: int):
+    """Per batch of ids, the bytes of the bit table that they touch: (byte, bits)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.unique(np.asarray(batch.column("id")).view(np.uint64) & np.uint64(n_bits - 1)).astype(np.int64)
+            byte = place >> 3
+            firsts = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1]))) if len(byte) else np.zeros(0, np.int64)
+            bits = np.bitwise_or.reduceat((1 << (place & 7)).astype(np.int64), firsts) if len(byte) else byte
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((byte[firsts] >> BLOCK).astype(np.int32)), pa.array((byte[firsts] & ((1 << BLOCK) - 1)).astype(np.int32)),
+                 pa.array(bits.astype(np.int32))], ["block", "byte", "bits"])
+
+    return run
+
+
+#: Bytes of the bit table that one row brings to the driver, as a power of two.
+BLOCK = 16
+
+
+def _block_of(group: pa.Table) -> pa.Table:
+    out = np.zeros(1 << BLOCK, np.uint8)
+    np.bitwise_or.at(out, np.asarray(group.column("byte")), np.asarray(group.column("bits")).astype(np.uint8))
+    return pa.table({"block": group.column("block").slice(0, 1), "content": pa.array([out.tobytes()], pa.binary())})
+
+
+def _bit_table(ids: DataFrame, n_bits: int) -> np.ndarray:
+    """The bits of all ids: at most ``n_bits`` / 8 bytes on the driver, whatever the data."""
+    touched = ids.mapInArrow(_set_bits(n_bits), "block int, byte int, bits int")
+    touched = touched.groupBy("block", "byte").agg(F.bit_or("bits").alias("bits"))
+    blocks = touched.groupBy("block").applyInArrow(_block_of, "block int, content binary")
+    out = np.zeros(max(n_bits >> 3, 1 << BLOCK), np.uint8)
+    for row in blocks.collect():
+        out[row["block"] << BLOCK:(row["block"] + 1) << BLOCK] = np.frombuffer(row["content"], np.uint8)
+    return out[:n_bits >> 3]
+
+
+class Model:
+    """Count tables and values of a corpus, in scratch tables of the shared checkpoint folder."""
+
+    def __init__(self, docs: DataFrame, order: int, alpha: float, min_count: int, slices: int):
+        self.spark: SparkSession = docs.sparkSession
+        self.docs, self.order, self.alpha, self.min_count, self.slices = docs, order, alpha, min_count, slices
+        self.scratch: list[str] = []
+        self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        words = self.counted(1, None)
+        self.total = words.agg(F.sum("n")).first()[0] or 0
+        self.parts = max(self.parts, -(-self.total // PER_PARTITION))
+        self.told = None
+        first = F.log(F.col("n")) - F.lit(math.log(max(self.total, 1)))
+        self.values = [self.kept(words.select("id", first.alias("value"), F.lit(1).alias("k"), "n"))]
+        # id, how often, how often without its first word (order one: all words)
+        below = words.select("id", "n", F.lit(self.total).cast("long").alias("back_n"))
+        ids = words.filter(F.col("n") >= min_count).select("id")
+        for k in range(2, order + 1):
+            self.tell(ids)
+            below = self.level(k, below)
+            ids = below.select("id")
+        if order > 1:
+            self.tell(ids)
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        self.scratch.append(scratch_table(self.spark))
+        df.write.option("compression", CODEC).parquet(self.scratch[-1])
+        return self.spark.read.schema(df.schema).parquet(self.scratch[-1])
+
+    def tell(self, ids: DataFrame) -> None:
+        """Add ids to the bits that tasks know; a bit may stand for ids of several orders."""
+        new = _bit_table(ids, BITS)
+        if self.told is not None:
+            new |= np.frombuffer(self.told.value, np.uint8)
+            self.told.destroy()
+        self.told = self.spark.sparkContext.broadcast(new.tobytes())
+
+    def counted(self, k: int, told: Broadcast | None) -> DataFrame:
+        texts, slices = self.docs.select("text"), 1 if k == 1 else self.slices
+        least = 1 if k == 1 else self.min_count
+        out = None
+        for part in range(slices):
+            packed = texts.mapInArrow(_count(k, told, self.parts, slices, part), PACKED)
+            rows = self.kept(packed.groupBy("part").applyInArrow(_summed(k, least), COUNTED))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    def level(self, k: int, below: DataFrame) -> DataFrame:
+        """Values of order ``k``; ``below`` has (id, n, back_n) of the order below."""
+        first = len(self.scratch)
+        counts = self.counted(k, self.told)
+        front = below.select(F.col("id").alias("front"), F.col("n").alias("front_n"), F.col("back_n").alias("middle_n"))
+        fronts = self.kept(counts.join(front, "front").select("id", "back", "n", "front_n", "middle_n"))
+        back = below.select(F.col("id").alias("back"), F.col("n").alias("back_n"))
+        both = fronts.join(back, "back")
+        value = (F.log("n") + F.log("middle_n")) - (F.log("front_n") + F.log("back_n")) - F.lit(math.log(self.alpha))
+        mine = self.kept(both.select("id", "n", "back_n", value.alias("value")))
+        for path in self.scratch[first:-1]:
+            drop_scratch(self.spark, path)
+        del self.scratch[first:-1]
+        self.values.append(mine.select("id", "value", F.lit(k).alias("k"), "n"))
+        return mine.select("id", "n", "back_n")
+
+    def hot(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, values, orders) of the n-grams above 1 / HOT of all words, by id: at most HOT of an order."""
+        rows = [v.filter(F.col("n") * HOT > self.total).select("id", "value", "k").toArrow() for v in self.values]
+        ids, values, k = (np.concatenate([np.asarray(r.column(c)) for r in rows]) for c in ("id", "value", "k"))
+        by_id = np.argsort(ids.view(np.uint64))
+        return ids.view(np.uint64)[by_id], values[by_id].astype(np.float64), k[by_id].astype(np.int64)
+
+    def drop(self) -> None:
+        for path in self.scratch:
+            drop_scratch(self.spark, path)
+
+
+#: What a batch knows of its documents itself.
+OWN = np.dtype([("key", np.int64), ("n_words", np.int64), ("n_backoff", np.int64), ("log_score", np.float64)])
+
+
+def _send(told: Broadcast | None, hot: Broadcast, order: int, log_alpha: float, parts: int, slices: int, part: int):
+    """Packed n-grams of documents by hash partition; what is known here is summed and goes along in the first slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if told is None else np.frombuffer(told.value, np.uint8)
+        hot_ids, hot_values, hot_orders = hot.value
+        for number, batch in enumerate(batches):
+            keys = np.asarray(batch.column("key"))
+            words, *grams = _grams(batch.column("text"), order, bits)
+            length = np.bincount(words.text, minlength=len(keys))
+            # steps down to order one that the words of a text have: 0, 1, ... order - 1, order - 1, ...
+            low = np.minimum(length, order - 1)
+            steps = low * (low - 1) // 2 + (length - low) * (order - 1)
+            score, found = steps * log_alpha, np.zeros(len(keys), np.int64)
+            ids, owner = [], []
+            for k, own, _, _, text in grams:
+                at = np.minimum(np.searchsorted(hot_ids, own), max(len(hot_ids) - 1, 0))
+                here = (hot_ids[at] == own) & (hot_orders[at] == k) if len(hot_ids) else np.zeros(len(own), bool)
+                if part == 0:
+                    score = score + np.bincount(text[here], hot_values[at[here]], len(keys))
+                    found += np.bincount(text[here], minlength=len(keys)) * (k > 1)
+                there = ~here if k == 1 else ~here & _has(bits, own)
+                if slices > 1:
+                    there &= _part(own, parts) % slices == part
+                ids.append(own[there])
+                owner.append(text[there])
+            rows = _packets(np.concatenate(ids), np.concatenate(owner), keys, parts)
+            if part == 0 and len(keys):
+                own = np.zeros(len(keys), OWN)
+                own["key"], own["n_words"], own["n_backoff"], own["log_score"] = keys, length, steps - found, score
+                rows.append((number % parts, None, None, None, own.tobytes()))
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("part", "docs", "sizes", "ids", "own"), r, strict=True)) for r in rows], SENT_ARROW)
+
+    return run
+
+
+SENT_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("docs", "sizes", "ids", "own"))])
+
+
+def _packets(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, parts: int) -> list[tuple]:
+    """(part, keys of documents, how many ids each, ids, None) for every hash partition that has some."""
+    where = _part(ids, parts)
+    order = np.lexsort((owner, where))
+    ids, owner = ids[order], owner[order]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=parts))))
     out = []
-    for n in range(2, order + 1):
-        counts = rows.groupBy(f"g{n}", f"c{n}").agg(F.count("*").alias("n"))
-        contexts = counts.groupBy(F.col(f"c{n}").alias("c")).agg(F.sum("n").alias("m"))
-        kept = counts.filter(F.col("n") >= min_count).join(contexts, F.col(f"c{n}") == F.col("c"))
-        out.append(kept.select(F.col(f"g{n}").alias(f"k{n}"), F.log(F.col("n") / F.col("m")).alias(f"s{n}")))
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        mine = owner[cuts[p]:cuts[p + 1]]
+        firsts = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
+        sizes = np.diff(firsts, append=len(mine)).astype(np.int32)
+        out.append((p, _bytes(keys[mine[firsts]]), _bytes(sizes), _bytes(ids[cuts[p]:cuts[p + 1]]), None))
     return out
 
 
-def _sums(rows: DataFrame, known: list[DataFrame], order: int, alpha: float) -> DataFrame:
-    """(id, n_words, n_backoff, log_score) of ``rows``, from the highest table down."""
-    pending, found = rows, []
-    for n in range(order, 0, -1):
-        joined = pending.join(known[n - 1], F.col(f"g{n}") == F.col(f"k{n}"), "left")
-        step = F.log(F.lit(alpha)) * (order - n)
-        found.append(joined.filter(F.col(f"s{n}").isNotNull()).select(
-            "doc_id", (F.col(f"s{n}") + step).alias("s"), F.lit(int(n < order)).alias("low")))
-        pending = joined.filter(F.col(f"s{n}").isNull()).select(
-            "doc_id", *[f"g{k}" for k in range(1, n)])
-    return reduce(DataFrame.unionAll, found).groupBy(F.col("doc_id").alias("id")).agg(
-        F.count("*").alias("n_words"), F.sum("low").alias("n_backoff"), F.sum("s").alias("log_score"))
+def _scored(sent: pa.Table, values: pa.Table) -> pa.Table:
+    """What the n-grams of one hash partition add to their documents."""
+    own = _joined(sent.column("own").drop_null(), OWN)
+    docs, sizes, ids = (_joined(sent.column(c).drop_null(), t) for c, t in (
+        ("docs", np.int64), ("sizes", np.int32), ("ids", np.uint64)))
+    known = np.asarray(values.column("id")).view(np.uint64) if len(values) else np.zeros(0, np.uint64)
+    by_id = np.argsort(known)
+    known = known[by_id]
+    at = np.minimum(np.searchsorted(known, ids), max(len(known) - 1, 0))
+    hit = known[at] == ids if len(known) else np.zeros(len(ids), bool)
+    at, owner = by_id[at[hit]], np.repeat(np.arange(len(docs)), sizes)[hit]
+    value, k = (np.asarray(values.column(c)) for c in ("value", "k"))
+    score = np.bincount(owner, value[at], len(docs))
+    found = np.bincount(owner[k[at] > 1], minlength=len(docs))
+    some = np.flatnonzero(np.bincount(owner, minlength=len(docs)))
+    return pa.table({
+        "key": np.concatenate((own["key"], docs[some])), "n_words": np.concatenate((own["n_words"], np.zeros(len(some), np.int64))),
+        "n_backoff": np.concatenate((own["n_backoff"], -found[some])),
+        "log_score": np.concatenate((own["log_score"], score[some]))})
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
           alpha: float = ALPHA, min_count: int = MIN_COUNT, slices: int = SLICES) -> DataFrame:
-    """(doc_id, n_words, n_backoff, log_score, mean_log_score), one row per id."""
-    rows = gram_rows(docs, doc_id, text, order)
-    with _shuffles_given_back(docs.sparkSession):
-        counts = materialised(rows.groupBy(F.col("g1").alias("k1")).agg(F.count("*").alias("n")))
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        unigrams = counts.select("k1", F.log(F.col("n") / F.lit(total)).alias("s1"))
-        parts = []
-        for part in range(slices if order > 1 else 1):
-            own = rows.filter(F.pmod("c2", F.lit(slices)) == part) if order > 1 else rows
-            parts.append(materialised(_sums(own, [unigrams, *tables(own, order, min_count)], order, alpha)))
-        sums = materialised(reduce(DataFrame.unionAll, parts).groupBy("id").agg(
-            *[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "log_score")]))
-    everyone = docs.select(F.col(doc_id).alias("doc_id")).distinct()
-    return everyone.join(sums, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
-        "doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
-        F.coalesce("n_backoff", F.lit(0)).cast("long").alias("n_backoff"), "log_score",
-        (F.col("log_score") / F.col("n_words")).alias("mean_log_score"))
+    """(doc_id, n_words, n_backoff, log_score, mean_log_score), one row per id; n_backoff counts steps."""
+    spark = docs.sparkSession
+    prepare_workers()
+    identity = F.col(quoted(doc_id))
+    rows = docs.select(F.xxhash64(identity).alias("key"), F.lower(F.coalesce(F.col(quoted(text)), F.lit(""))).alias("text"))
+    with shuffles_given_back(spark):
+        model = Model(rows, order, alpha, min_count, slices)
+        hot = spark.sparkContext.broadcast(model.hot())
+        every = None
+        for part in range(slices):
+            sent = rows.mapInArrow(_send(model.told, hot, order, math.log(alpha), model.parts, slices, part), SENT)
+            values = None
+            for v in model.values:
+                own = v.select(_part_column(F.col("id"), model.parts).alias("part"), "id", "value", "k")
+                values = own if values is None else values.unionByName(own)
+            values = values.filter(F.pmod("part", F.lit(slices)) == part)
+            parts = sent.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(_scored, SUMS)
+            sums = materialised(_added(parts))
+            every = sums if every is None else every.unionByName(sums)
+        every = materialised(_added(every))
+    model.drop()
+    return docs.select(identity.alias("doc_id")).distinct().join(every, F.xxhash64("doc_id") == F.col("key"), "left").select(
+        "doc_id", F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"),
+        F.coalesce("n_backoff", F.lit(0).cast("long")).alias("n_backoff"),
+        F.when(F.col("n_words") > 0, F.col("log_score")).alias("log_score"),
+        F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score"))
+
+
+def _added(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "log_score")])
