@@ -2,17 +2,16 @@
 
 A page becomes a tree of elements.  Scripts, styles, forms, navigation, headers,
 footers, sidebars, notices, adverts and comment areas, named by element, role, or a
-whole token of class or id, carry no text; a class or id silences nothing that holds the
+token of class or id, carry no text; a class or id silences nothing that holds the
 page's articles or, with no article beside it, most of the characters outside links.  For every other element the composite density is its
 characters per tag, adjusted by the share of link characters and link tags in
-it and in the body.  The density sum of an element is the sum over its children and
-the text directly in it; the element with the largest sum is the core.  The smallest
+it and in the body; inline elements belong to the block around them.  The density sum of a block
+is the sum over its blocks and the text directly in it; the element with the largest sum is the core.  The smallest
 density on the path from the core to the body is the threshold.  Of every element, on
 the path or off it, that reaches the threshold, the element with the largest sum below
 it is main text as a whole, and so is text directly in an element that reaches it by
-itself; what stays below is dropped.  Where the path holds an article (or else a main)
-that is kept whole, as is any other article that reaches the threshold.  A heading
-goes with the text that follows it.
+itself; what stays below is dropped.  An article that reaches the threshold is main text as a
+whole.  A heading goes with the text that follows it.
 
 The text is decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by one space.  Nothing is capped.
@@ -27,6 +26,7 @@ stay untouched.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html import unescape
 from math import e, log
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare_workers
+from .common import prepare_workers, quoted
 
 # a comment, a declaration, or a tag; quoted attribute values may hold ">"
 MARKUP = re.compile(
@@ -63,6 +63,12 @@ AREAS = frozenset(
     " nav-menu nav-bar skip-link comment-list comments-area comments-section comment-form disqus-thread social-links"
     " social-share share-buttons share-bar related-posts related-articles recommended-posts newsletter-signup"
     " newsletter-form login-form signup-form widget-area".split())
+#: Tokens that name an area by a part: numbered, placed or typed adverts, comments, sidebars, cookie bars.
+AREA_PARTS = re.compile(
+    r"(?:ad|ads|advert)-(?:unit|box|slot|space|block|label|area|zone|top|bottom|left|right|side|inline|frame|holder|\d+)"
+    r"|[a-z0-9]+-(?:ad|ads|advert)|(?:comments?|cookies?|sidebar)-[a-z0-9-]+|[a-z0-9-]+-(?:comments?|cookies?|sidebar)")
+#: Tokens that tell of an area elsewhere on the page.
+ABOUT = frozenset("has no with without show hide is".split())
 HEADERS = frozenset("header masthead site-header topbar".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dir div dl dt fieldset figcaption figure footer"
@@ -75,6 +81,34 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 BORDERS = frozenset("ul ol dl table body html article section div main td th select".split())
 
 
+def _names_area(token: str) -> bool:
+    return token in AREAS or AREA_PARTS.fullmatch(token) is not None and token.split("-", 1)[0] not in ABOUT
+
+
+class Open:
+    """The elements that are open, outermost first, and where those of each tag stand among them."""
+
+    def __init__(self, tags: list[str]):
+        self.tags, self.nodes = tags, [0]
+        self.places: dict[str, list[int]] = {}
+
+    def top(self) -> int:
+        return self.nodes[-1]
+
+    def push(self, node: int) -> None:
+        self.places.setdefault(self.tags[node], []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element with one of the names; 0 if there is none."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.nodes) > place:
+            self.places[self.tags[self.nodes.pop()]].pop()
+
+
 class Page:
     """The tree of a page; children come after their parents in every list."""
 
@@ -88,15 +122,15 @@ class Page:
             self._silence_areas()
 
     def _read(self, html: str) -> None:
-        stack = [0]
+        stack = Open(self.tags)
         at = 0
         while True:
             found = MARKUP.search(html, at)
             if found is None:
-                self._text(stack[-1], html[at:])
+                self._text(stack.top(), html[at:])
                 return
             if found.start() > at:
-                self._text(stack[-1], html[at:found.start()])
+                self._text(stack.top(), html[at:found.start()])
             at = found.end()
             name = found[2] or found[5]
             if not name:
@@ -109,20 +143,21 @@ class Page:
             if name in RAW:  # no markup in there: straight to the end tag
                 end = re.compile(f"</{name}\\b[^>]*>", re.IGNORECASE).search(html, at)
                 at = len(html) if end is None else end.end()
-                stack.pop()
+                if stack.top() == len(self.tags) - 1:
+                    stack.cut(len(stack.nodes) - 1)
 
     def _text(self, node: int, raw: str) -> None:
         if not self.silent[node]:
             self.texts.append((node, unescape(raw) if "&" in raw else raw))
 
-    def _open(self, stack: list[int], name: str, attributes: str) -> None:
+    def _open(self, stack: Open, name: str, attributes: str) -> None:
         if name in BLOCKS:
             self.texts.append((-1, ""))
             if name != "br":
                 self._end_open(stack, {"p"}, BORDERS)  # a block ends an open paragraph
         if name in ENDS:
             self._end_open(stack, ENDS[name], frozenset({"ul", "ol", "dl", "table", "select"}))
-        parent = stack[-1]
+        parent = stack.top()
         article = self.inside_article[parent]
         silent = self.silent[parent] or name in SILENT or (name == "header" and not article)
         node = len(self.tags)
@@ -136,7 +171,7 @@ class Page:
         self.in_link.append(self.in_link[parent] or name == "a")
         self.inside_article.append(article or name in ("article", "main"))
         if name not in VOID and not attributes.endswith("/"):
-            stack.append(node)
+            stack.push(node)
 
     @staticmethod
     def _area(attributes: str, article: bool, title: bool) -> tuple[bool, bool]:
@@ -149,7 +184,7 @@ class Page:
             name, value = name.lower(), "".join(values)
             if name == "class" or name == "id" and not title:
                 tokens = value.lower().replace("_", "-").split()
-                area = area or any(t in AREAS or not article and t in HEADERS for t in tokens)
+                area = area or any(_names_area(t) or not article and t in HEADERS for t in tokens)
             if name == "role" and value.lower() in ROLES or name == "hidden" or (
                     name == "aria-hidden" and value.lower() == "true") or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
@@ -181,37 +216,33 @@ class Page:
             self.silent[node] = self.silent[node] or self.silent[self.parents[node]]
         self.texts = [(node, text) for node, text in self.texts if node < 0 or not self.silent[node]]
 
-    def _end_open(self, stack: list[int], names: set[str], borders: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tags[stack[k]]
-            if tag in names:
-                del stack[k:]
-                return
-            if tag in borders:
-                return
+    def _end_open(self, stack: Open, names: set[str], borders: frozenset[str]) -> None:
+        place = stack.last(names)
+        if place and place >= stack.last(borders - names):
+            stack.cut(place)
 
-    def _close(self, stack: list[int], name: str) -> None:
+    def _close(self, stack: Open, name: str) -> None:
         if name in BLOCKS:
             self.texts.append((-1, ""))
-        inline = name not in BLOCKS
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tags[stack[k]]
-            if tag == name:
-                if name not in ("body", "html"):  # what follows them still belongs to the body
-                    del stack[k:]
-                return
-            if inline and tag in BORDERS:
-                return
+        place = stack.last((name,))
+        if not place or name in ("body", "html"):  # what follows those still belongs to the body
+            return
+        if name in BLOCKS or place > stack.last(BORDERS):
+            stack.cut(place)
 
     def densities(self) -> tuple[list[float], list[float], list[int]]:
-        """Composite text density of every element and of the text directly in it, and its characters."""
+        """Composite text density of every element, of what is directly in it, and its characters.
+
+        Inline elements belong to the block around them: what is directly in a block is its text outside
+        its blocks, with the inline elements there.
+        """
         n = len(self.tags)
         chars, linked, tags, links = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.texts:
             if node >= 0 and (size := len(text.strip())):
                 chars[node] += size
                 linked[node] += size * self.in_link[node]
-        own = list(zip(chars, linked, strict=True))
+        own = [[c, lc, 0, 0] for c, lc in zip(chars, linked, strict=True)]
         for node in range(n - 1, 0, -1):
             up = self.parents[node]
             if self.silent[node]:
@@ -220,6 +251,9 @@ class Page:
             linked[up] += linked[node]
             tags[up] += tags[node] + 1
             links[up] += links[node] + (self.tags[node] == "a")
+            if self.tags[node] not in BLOCKS or self.tags[node] == "br":
+                for k, more in enumerate((0, 0, 1, self.tags[node] == "a")):
+                    own[up][k] += own[node][k] + more
         share = linked[0] / max(chars[0], 1)
 
         def density(c: int, link_chars: int, t: int, link_tags: int) -> float:
@@ -230,20 +264,26 @@ class Page:
             return c / t * max(log(c / lc * t / lt), 0.0) / log(base)
 
         out = [0.0 if self.silent[k] else density(chars[k], linked[k], tags[k], links[k]) for k in range(n)]
-        return out, [density(c, lc, 1, 1) for c, lc in own], chars
+        return out, [0.0 if self.silent[k] else density(*own[k]) for k in range(n)], chars
 
     def held(self) -> tuple[list[bool], list[bool]]:
         """Whether an element's whole subtree, and the text directly in it, is main text."""
         density, loose, chars = self.densities()
         n = len(density)
-        sums = loose.copy()
+        block = [node == 0 or self.tags[node] in BLOCKS or self.tags[node] in ("html", "body") for node in range(n)]
+        around = list(range(n))  # the block that an element stands in
+        for node in range(1, n):
+            up = self.parents[node]
+            around[node] = up if block[up] else around[up]
+        sums = [loose[k] if block[k] else 0.0 for k in range(n)]
         for node in range(1, n):
-            sums[self.parents[node]] += density[node]
+            if block[node]:
+                sums[around[node]] += density[node]
         body = self.tags.index("body") if "body" in self.tags else 0
         best = max(range(n), key=lambda node: (sums[node], -node))
         path = [best]
         while path[-1] not in (body, 0):
-            path.append(self.parents[path[-1]])
+            path.append(around[path[-1]])
         threshold = min(density[node] for node in path)
         richest = list(range(n))  # the element with the largest sum in each subtree, the first of equals
         for node in range(n - 1, 0, -1):
@@ -251,17 +291,15 @@ class Page:
             if (sums[one], -one) > (sums[richest[up]], -richest[up]):
                 richest[up] = one
         whole = [False] * n
-        named = [node for node in path if self.tags[node] == "article"] or [
-            node for node in path if self.tags[node] == "main"]
-        whole[named[-1] if named else best] = True
+        whole[best] = True
         direct = [False] * n
         for node in range(n):
             up = self.parents[node]
-            if up >= 0 and (whole[up] or direct[up] and self.tags[node] not in BLOCKS):
+            if up >= 0 and (whole[up] or direct[up] and not block[node]):
                 whole[node] = True
-            if not whole[node] and chars[node] and density[node] >= threshold:
+            if block[node] and not whole[node] and chars[node] and density[node] >= threshold:
                 whole[node if self.tags[node] == "article" else richest[node]] = True
-            direct[node] = whole[node] or loose[node] >= threshold > 0
+            direct[node] = whole[node] or block[node] and loose[node] >= threshold > 0
         return whole, direct
 
     def text(self) -> str:
@@ -299,5 +337,5 @@ def extracted(html: Column) -> Column:
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """``pages`` with the main text in place of the page (column ``text``)."""
-    rest = [c for c in pages.columns if c not in (html, text)]
-    return pages.select(*rest, extracted(F.col(html)).alias(text))
+    rest = [F.col(quoted(c)) for c in pages.columns if c not in (html, text)]
+    return pages.select(*rest, extracted(F.col(quoted(html))).alias(text))
