@@ -7,10 +7,16 @@ into a navigable small-world graph with levels from a hash, ``links`` neighbours
 node (twice as many at the bottom) chosen by the diversity heuristic.  The graph
 is stored as flat arrays: for every level the node numbers, offsets and neighbours.
 
+Walks compare squared distances, summed from differences in double precision after an exact
+scaling of the shard by a power of two, so vectors far from the origin, very large or very
+small ones, and mixtures of them are told apart as on paper.
+
 Search.  Queries are dealt to every shard in blocks (a stated query set against
 all rows), walk each graph with a candidate list of ``width``, and the shards'
 candidates are scored exactly in double precision on the original vectors, expanded
-to ids, and ranked once per query.
+to ids, and ranked once per query.  The cost is queries times shards; a block holds more queries
+than a shard has vectors, so the copies of the index for the blocks stay below
+the queries that meet it.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows with a null id; repeated rows of one id and
@@ -37,8 +43,10 @@ SHARD_ROWS = 4096
 LINKS = 14
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 120
+#: Partitions per shard, so that few shards share one.
+SPREAD = 4
 #: Queries that one task takes to one shard.
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 8192
 
 INDEX = "shard int, dim int, vectors binary, ids array<array<bigint>>, levels array<struct<nodes:binary,offsets:binary,neighbours:binary>>, entry int"
 
@@ -50,12 +58,16 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
+def scale_of(data: np.ndarray) -> int:
+    """The power of two that brings the largest component of ``data`` to one half or more, and below one."""
+    return -int(np.frexp(np.abs(data).max(initial=0.0))[1])
+
+
 class Graph:
-    """A navigable small world over the rows of ``data`` (float32)."""
+    """A navigable small world over the rows of ``data``."""
 
     def __init__(self, data: np.ndarray, tops: np.ndarray, links: int, build_width: int):
         self.data, self.tops, self.links, self.width = data, tops, links, build_width
-        self.norms = np.einsum("ij,ij->i", data, data)
         self.near: list[dict[int, np.ndarray]] = [{} for _ in range(int(tops.max()) + 1)] if len(data) else []
         self.entry = -1
         self.seen = np.zeros(len(data), np.int64)
@@ -64,8 +76,9 @@ class Graph:
             self._insert(node)
 
     def distances(self, x: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        """Squared distance less the square of ``x``: enough to compare."""
-        return self.norms[nodes] - 2.0 * (self.data[nodes] @ x)
+        """Squared distances."""
+        gap = self.data[nodes] - x
+        return np.einsum("ij,ij->i", gap, gap)
 
     def walk(self, x: np.ndarray, start: list[tuple[float, int]], width: int, level: int) -> list[tuple[float, int]]:
         """The ``width`` nearest found at a level, nearest first."""
@@ -86,7 +99,8 @@ class Graph:
             if not len(fresh):
                 continue
             seen[fresh] = turn
-            far = self.norms[fresh] - 2.0 * (self.data[fresh] @ x)
+            gap = self.data[fresh] - x
+            far = np.einsum("ij,ij->i", gap, gap)
             if len(best) >= width:
                 mask = far < -best[0][0]
                 fresh, far = fresh[mask], far[mask]
@@ -107,7 +121,6 @@ class Graph:
             return nodes.tolist()
         own = np.fromiter((d for d, _ in found), np.float64, len(found))
         rows = self.data[nodes]
-        between = self.norms[nodes][:, None] - 2.0 * (rows @ rows.T)  # to j, less the square of i
         chosen: list[int] = []
         blocked = np.zeros(len(nodes), bool)
         for i in range(len(nodes)):
@@ -117,7 +130,8 @@ class Graph:
             if len(chosen) >= most:
                 break
             # j is blocked when i is nearer to j than the node itself is
-            blocked |= between[i] + self.norms[nodes] < own + self.base
+            gap = rows - rows[i]
+            blocked |= np.einsum("ij,ij->i", gap, gap) < own
         if len(chosen) < most:
             left = [i for i in range(len(nodes)) if i not in set(chosen)]
             chosen += left[: most - len(chosen)]
@@ -137,7 +151,6 @@ class Graph:
         for level in range(min(top, highest), -1, -1):
             at = self.walk(x, at, self.width, level)
             most = self.links * (2 if level == 0 else 1)
-            self.base = float(self.norms[node])
             chosen = self._diverse(at, self.links)
             near = self.near[level]
             near[node] = np.array(chosen, np.int64)
@@ -147,7 +160,6 @@ class Graph:
                     y = self.data[other]
                     far = self.distances(y, around)
                     order = np.argsort(far, kind="stable")
-                    self.base = float(self.norms[other])
                     around = np.array(self._diverse(list(zip(
                         far[order].tolist(), around[order].tolist(), strict=True)), most), np.int64)
                 near[other] = around
@@ -177,7 +189,7 @@ class Graph:
     def of(cls, data: np.ndarray, levels: list, entry: int) -> Graph:
         """A graph back from its flat arrays."""
         self = cls.__new__(cls)
-        self.data, self.norms = data, np.einsum("ij,ij->i", data, data)
+        self.data = data
         self.entry, self.turn, self.seen = entry, 0, np.zeros(len(data), np.int64)
         self.near = []
         for level in levels:
@@ -212,13 +224,15 @@ def build(rows: DataFrame, vec_id: str, vector: str, copies: int, shard_rows: in
         data = np.array(group["vec"].tolist(), np.float64)
         draw = (group["place"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(np.float64) / 2**53
         tops = np.floor(-np.log(np.maximum(draw, 1e-12)) / np.log(links)).astype(np.int64)
-        graph = Graph(data.astype(np.float32), tops, links, build_width)
+        graph = Graph(np.ldexp(data, scale_of(data)), tops, links, build_width)
         return pd.DataFrame([{
             "shard": int(group["shard"].iloc[0]), "dim": data.shape[1], "vectors": data.tobytes(),
             "ids": [list(x) for x in group["ids"]], "levels": graph.flat(), "entry": graph.entry}])
 
     dealt = nodes.withColumn("dim", F.size("vec")).withColumn("place", F.xxhash64("vec")).withColumn(
         "shard", F.pmod("place", F.lit(shards)).cast("int"))
+    # a shard is minutes of work on few bytes: partitions of its own, which are not put together by size
+    dealt = dealt.repartition(SPREAD * shards, "dim", "shard")
     return materialised(dealt.groupBy("dim", "shard").applyInPandas(shard, INDEX))
 
 
@@ -235,6 +249,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
     # every query against every shard of its length, in blocks: the query set is stated, the shards few
     dealt = asked.join(places, F.col("dim") == F.col("d")).select(
         "query_id", "vec", "dim", F.col("s").alias("shard"), "block")
+    tasks = SPREAD * blocks * max(1, places.count())
     stored = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def look(key: tuple, asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
@@ -242,12 +257,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
         if len(stored) and len(asked):
             row = stored.iloc[0]
             data = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
-            graph = Graph.of(data.astype(np.float32), row["levels"], int(row["entry"]))
+            scale = scale_of(data)
+            graph = Graph.of(np.ldexp(data, scale), row["levels"], int(row["entry"]))
             ids = row["ids"]
             for query, vec in zip(asked["query_id"], asked["vec"], strict=True):
                 x, wide = np.asarray(vec, np.float64), width
                 while True:
-                    near = np.array(graph.search(x.astype(np.float32), wide), np.int64)
+                    near = np.array(graph.search(np.ldexp(x, scale), wide), np.int64)
                     far = np.sqrt(((data[near] - x) ** 2).sum(axis=1))
                     least: dict[int, float] = {}  # an id with several vectors ranks by its nearest
                     for d, n in zip(far.tolist(), near.tolist(), strict=True):
@@ -261,6 +277,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, width: int = SEARC
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     key = ["dim", "shard", "block"]
+    dealt, stored = dealt.repartition(tasks, *key), stored.repartition(tasks, *key)
     candidates = dealt.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(
         look, "query_id long, vec_id long, score double")
     nearest = candidates.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
