@@ -14,7 +14,8 @@ of the xor verifies it inside the join.
 
 Groups of many close copies would link pair by pair.  They are first tied
 together by stars: in every key, each member is verified against the key's
-smallest and largest fingerprint.  The join then runs only between members
+smallest and largest fingerprint.  Those come from a partial aggregate and are joined
+to the members, so a key that holds a large group is split over tasks.  The last join then runs only between members
 outside the key's most frequent component and members of another component, so it
 compares no pair inside a large group, emits links between components alone,
 and loses none of them.
@@ -29,8 +30,9 @@ Defined results
   (then the component id is null); such rows stay in the result;
 * ties: the component id is its smallest id; the document kept is the row with
   the smallest id, of rows that share it the one with the smallest row hash;
-* empty table: empty result; extra columns are ignored by ``components`` and
-  returned untouched by ``deduplicated``.
+* empty table: empty result; extra columns, of any name and type, are ignored by
+  ``components`` and returned untouched by ``deduplicated`` (two maps with the same entries in
+  another order count as different rows).
 """
 
 from __future__ import annotations
@@ -40,9 +42,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from .common import materialised, small_side, prepare_workers
+from .common import materialised, prepare_workers, quoted, small_side
 from .graph import connected
 
 BITS = 64
@@ -119,25 +121,34 @@ def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
     # as many tasks as shuffles have, since every row becomes one per bit
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fps = materialised(fps.select("fp").distinct().repartition(spread, "fp"))
-    # a window per key, not a join: only verified links leave it
-    by_key = Window.partitionBy("key")
-    index = variants(fps, max_bits).withColumns({"lo": F.min("fp").over(by_key), "hi": F.max("fp").over(by_key)})
+    # what a key needs of all its members comes from partial aggregates, joined back as a table of
+    # its own, so a key with many members is split like any hot key of a join
+    ends = _by_key(variants(fps, max_bits).groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi"))
+    meeting = materialised(variants(fps, max_bits).join(ends, F.col("key") == F.col("k")).select("key", "fp", "lo", "hi"))
     stars = F.filter(F.array("lo", "hi"), lambda x: (x != F.col("fp")) & _near(x, F.col("fp"), max_bits))
-    star = index.filter("lo < hi").select(F.col("fp").alias("a"), F.explode(stars).alias("b")).distinct()
+    star = meeting.select(F.col("fp").alias("a"), F.explode(stars).alias("b")).distinct()
     tied = materialised(connected(fps.select(F.col("fp").alias("node")), star).select(
         F.col("node").alias("fp"), "label").repartition(spread, "fp"))
 
     # of two components in a key one at least is not the key's most frequent: those members meet all
-    index = variants(tied, max_bits)
-    left = index.withColumn("most", F.mode("label", True).over(by_key)).filter("label != most").select(
-        "key", F.col("fp").alias("f"), F.col("label").alias("l"))
-    right = index.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
+    members = materialised(meeting.select("key", "fp").join(tied, "fp"))
+    counts = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    usual = _by_key(counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("kinds"))
+                    .filter("kinds > 1").drop("kinds"))
+    mixed = materialised(members.join(usual, F.col("key") == F.col("k")).select("key", "fp", "label", "most"))
+    left = mixed.filter("label != most").select("key", F.col("fp").alias("f"), F.col("label").alias("l"))
+    right = mixed.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
     across = left.join(right, (F.col("key") == F.col("k")) & (F.col("l") != F.col("m"))
                        & _near(F.col("f"), F.col("g"), max_bits)).select(
         F.least("l", "m").alias("a"), F.greatest("l", "m").alias("b")).distinct()
-    merged = connected(tied.select(F.col("label").alias("node")).distinct(), across).select(
-        F.col("node").alias("label"), F.col("label").alias("final"))
-    return tied.join(merged, "label").select("fp", F.col("final").alias("label"))
+    merged = materialised(connected(tied.select(F.col("label").alias("node")).distinct(), across).select(
+        F.col("node").alias("l"), F.col("label").alias("final")))
+    return tied.join(small_side(merged, 16), F.col("label") == F.col("l")).select("fp", F.col("final").alias("label"))
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    """A table with one row per ``key`` (as ``k``), to be joined to a key's members."""
+    return small_side(materialised(rows.withColumnRenamed("key", "k")), 24)
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -146,12 +157,29 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = materialised(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")))
     nodes = materialised(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     labels = materialised(fingerprint_components(nodes, max_bits))
-    named = nodes.join(labels, "fp").groupBy("label").agg(F.min("first_id").alias("component_id"))
-    lookup = labels.join(named, "label").select("fp", "component_id")
+    named = materialised(nodes.join(labels, "fp").groupBy(F.col("label").alias("l")).agg(F.min("first_id").alias("component_id")))
+    lookup = labels.join(small_side(named, 24), F.col("label") == F.col("l")).select("fp", "component_id")
     return rows.join(lookup, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _unhashable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _unhashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A 64-bit hash of a row, whatever its columns are called; maps and variants count by their JSON."""
+    columns = []
+    for field in docs.schema.fields:
+        c = F.col(quoted(field.name))
+        columns.append(F.to_json(F.struct(c.alias("c"))) if _unhashable(field.dataType) else c)
+    return F.xxhash64(*columns)
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` without near-duplicates: of every component one row, all columns.
@@ -159,14 +187,14 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Only (id, row hash, fingerprint) is written and shuffled; the texts meet the
     rows to drop in an anti-join, broadcast while those are few bytes.
     """
-    row_key = [F.col(doc_id).alias("id"), F.xxhash64(*docs.columns).alias("h")]
+    row_key = [F.col(doc_id).alias("id"), row_hash(docs).alias("h")]
     rows = materialised(docs.select(*row_key, fingerprint(F.col(text), shingle).alias("fp")))
     labels = materialised(fingerprint_components(rows, max_bits))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     keys = rows.groupBy("id", "h", "fp").agg(F.count("*").alias("n")).join(labels, "fp")
     keys = materialised(keys.select("label", "n", order.alias("k")))
-    winners = keys.groupBy("label").agg(F.min("k").alias("best"))
-    judged = materialised(keys.join(winners, "label").select(
+    winners = materialised(keys.groupBy(F.col("label").alias("l")).agg(F.min("k").alias("best")))
+    judged = materialised(keys.join(small_side(winners, 48), F.col("label") == F.col("l")).select(
         F.col("k.id").alias("drop_id"), F.col("k.h").alias("drop_h"), "n",
         (F.col("k") == F.col("best")).alias("wins")))
 
