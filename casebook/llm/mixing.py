@@ -8,7 +8,12 @@ raised where needed to the smallest t that keeps every source within
 ``max_repeats`` passes of its tokens.  One Spark aggregate evaluates 63 inner
 points, which is six halvings.
 
-Realisation.  A source's budget is floor(weight * budget) tokens.  Its
+The budget is a number of tokens, by default those of the input, so that a source whose weight is
+below its share is sampled below one epoch; with ``WHOLE`` it is as many as give the source that
+is flattened most, the largest, its one epoch, and smaller ones more.
+
+Realisation.  A source's budget is floor(weight * budget) tokens: at exponent 1 in whole
+numbers, else in doubles, where a product within 1e-12 of the next whole number is that.  Its
 documents lie in blocks by a hash of id and text; an epoch is a permutation of
 the blocks by a hash of (seed, epoch, source, block).  Whole epochs repeat every
 document; in the last epoch blocks are taken in permuted order while they fit,
@@ -48,6 +53,8 @@ MAX_REPEATS = 4.0
 #: Blocks of all sources together, beside one per source; bounds the plan table.
 MAX_BLOCKS = 1 << 16
 MIN_BLOCK_TOKENS = 20_000
+#: A budget in which the largest source comes once: every document is in the mixture.
+WHOLE = "whole"
 GRID = 64
 ROUNDS = 5
 
@@ -78,10 +85,11 @@ def _bisect(shares: DataFrame, fine: Callable[[float, float, float], bool], risi
     return round(high if rising else low, 9)
 
 
-def exponent(sources: DataFrame, budget: float, target_entropy: float = TARGET_ENTROPY,
+def exponent(sources: DataFrame, budget: float | None, target_entropy: float = TARGET_ENTROPY,
              max_repeats: float = MAX_REPEATS) -> float:
-    """The temperature exponent for ``sources`` (source, tokens)."""
-    total = sources.agg(F.sum("tokens").alias("n"), F.min("tokens").alias("low"), F.count("*").alias("k")).first()
+    """The temperature exponent for ``sources`` (source, tokens); budget None: WHOLE."""
+    total = sources.agg(F.sum("tokens").alias("n"), F.min("tokens").alias("low"), F.max("tokens").alias("high"),
+                        F.count("*").alias("k")).first()
     if not total["n"] or total["k"] < 2:
         return 1.0
     shares = sources.select((F.col("tokens") / F.lit(total["n"])).alias("share"))
@@ -92,6 +100,8 @@ def exponent(sources: DataFrame, budget: float, target_entropy: float = TARGET_E
         return math.log(z) - t * s / z >= goal
 
     def within(t: float, z: float, s: float) -> bool:
+        if budget is None:  # the largest source once, so the smallest (its share of it) ** (t - 1) times
+            return (total["low"] / total["high"]) ** (t - 1) <= max_repeats
         return least ** (t - 1) / z * budget / total["n"] <= max_repeats
 
     (z, s), = _sums(shares, [1.0])
@@ -100,7 +110,16 @@ def exponent(sources: DataFrame, budget: float, target_entropy: float = TARGET_E
     return t if within(t, z, s) else _bisect(shares, within, rising=True)
 
 
-def plan(docs: DataFrame, doc_id: str, text: str, source: str, budget: int | None = None,
+def _own_budget(t: float, budget: int, total: int) -> Column:
+    """Whole tokens of a source (columns tokens, weight) of all the ``budget``."""
+    if t == 1.0:  # the share of all tokens, in whole numbers: nothing is lost to rounding
+        product = F.col("tokens").cast("decimal(19,0)") * F.lit(budget).cast("decimal(19,0)")
+        return F.call_function("div", product, F.lit(max(total, 1)).cast("decimal(19,0)")).cast("long")
+    exact = F.col("weight") * F.lit(float(budget))
+    return F.floor(exact * (1 + 1e-12)).cast("long")
+
+
+def plan(docs: DataFrame, doc_id: str, text: str, source: str, budget: int | str | None = None,
          target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """One row per (source, block): epochs, whether the last epoch takes the block, its cut.
 
@@ -116,12 +135,15 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, budget: int | Non
     with_tokens = sources.filter("tokens > 0")
     total = with_tokens.agg(F.sum("tokens")).first()[0] or 0
     budget = total if budget is None else budget
-    t = exponent(with_tokens, budget, target_entropy, max_repeats)
+    t = exponent(with_tokens, None if budget == WHOLE else budget, target_entropy, max_repeats)
     norm = _sums(with_tokens.select((F.col("tokens") / F.lit(max(total, 1))).alias("share")), [t])[0][0] or 1.0
+    whole = budget == WHOLE
+    if whole:
+        largest = with_tokens.agg(F.max("tokens")).first()[0] or 0
+        budget = math.ceil(total * (largest / max(total, 1)) ** (1 - t) * norm)
     per_block = max(MIN_BLOCK_TOKENS, math.ceil(total / MAX_BLOCKS))
     weight = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / max(total, 1), F.lit(t)) / norm).otherwise(0.0)
-    dealt = sources.withColumn("weight", weight).withColumn(
-        "budget", F.floor(F.col("weight") * F.lit(budget)).cast("long")).withColumn(
+    dealt = sources.withColumn("weight", weight).withColumn("budget", F.greatest(_own_budget(t, budget, total), F.col("tokens") if whole else F.lit(0))).withColumn(
         "epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(1).cast("long")
     ).withColumn("rest", F.when(F.col("tokens") > 0, F.col("budget") - F.col("epochs") * F.col("tokens"))).withColumn(
         "blocks", F.greatest(F.ceil(F.col("tokens") / per_block), F.lit(1)).cast("long"))
@@ -205,7 +227,7 @@ def _emitted(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
 
 
 def realise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-            budget: int | None = None, target_entropy: float = TARGET_ENTROPY,
+            budget: int | str | None = None, target_entropy: float = TARGET_ENTROPY,
             max_repeats: float = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """doc_id, source, n_tokens, epoch, block, block_key: one row per copy in the mixture.
 
@@ -222,7 +244,7 @@ def realise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-                    budget: int | None = None, target_entropy: float = TARGET_ENTROPY,
+                    budget: int | str | None = None, target_entropy: float = TARGET_ENTROPY,
                     max_repeats: float = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """The mixture: the rows of ``docs``, all columns, as often as it holds them."""
     blocks = plan(docs, doc_id, text, source, budget, target_entropy, max_repeats, seed)
