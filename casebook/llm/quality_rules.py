@@ -12,7 +12,7 @@ Defined results
 * null host: the null host is a host like any other (null-safe join);
 * repeated rows: each row is scored and counted on its own;
 * one host, or hosts with equal rates: the prior cannot be told from the data,
-  every host takes the corpus rate;
+  every host takes the corpus rate, and none exceeds its limit unless that rate is over 0.8;
 * empty table: empty result;
 * extra columns, also such as clash with the result names: ignored by
   ``score`` and returned untouched by ``kept_documents``.
@@ -24,6 +24,8 @@ about 1e-11.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,10 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host is rejected when its shrunk failure rate exceeds this.
-MAX_HOST_RATE = 0.8
+#: A host is rejected when its shrunk failure rate is beyond what the prior lets hosts vary by: so many
+#: standard deviations above the corpus rate, but never below or above these rates.
+DEVIATIONS = 3.0
+MIN_HOST_RATE, MAX_HOST_RATE = 0.5, 0.8
 #: The prior weighs at least so many documents: one failure does not condemn a host.
 MIN_PRIOR = 2.0
 
@@ -85,13 +89,16 @@ def rule_counts(docs: DataFrame, text: str, keep: list[Column], only_verdict: bo
     return step.withColumn("base_failed", failed)
 
 
-def host_rates(rows: DataFrame, host: str = "host") -> DataFrame:
-    """(host, n, fails, rate): failure rates shrunk by an empirical beta prior.
+def host_rates(rows: DataFrame, host: str = "host", deviations: float = DEVIATIONS,
+               rates: tuple[float, float] = (MIN_HOST_RATE, MAX_HOST_RATE)) -> DataFrame:
+    """(host, n, fails, rate, most): failure rates shrunk by an empirical beta prior, and the limit.
 
     With host rates p of mean m and variance v (weighted by documents), the
     prior holds k = m(1-m)/v - 1 documents (MIN_PRIOR at least), m of them failed;
     a host's rate is (fails + k m) / (n + k).  k is unbounded for v = 0: then the
-    rate is m.
+    rate is m.  The limit is m plus ``deviations`` standard deviations of the prior,
+    sqrt(m(1-m) / (k+1)), within ``rates``: a host falls when most of its documents fail, and
+    more than hosts of this corpus differ by.
     """
     hosts = materialised(rows.groupBy(host).agg(
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("fails")))
@@ -99,18 +106,21 @@ def host_rates(rows: DataFrame, host: str = "host") -> DataFrame:
     total = hosts.agg(F.sum("fails").alias("fails"), F.sum("n").alias("n"),
                       F.sum(F.col("n") * p * p).alias("squares")).first()
     if not total["n"]:
-        return hosts.withColumn("rate", F.lit(None).cast("double"))
+        return hosts.withColumns({"rate": F.lit(None).cast("double"), "most": F.lit(rates[1])})
     mean = total["fails"] / total["n"]
     variance = total["squares"] / total["n"] - mean * mean
+    low, high = rates
     if variance <= 1e-12:
-        return hosts.withColumn("rate", F.lit(mean))
+        return hosts.withColumns({"rate": F.lit(mean), "most": F.lit(min(max(mean, low), high))})
     k = max(mean * (1 - mean) / variance - 1, MIN_PRIOR)
-    return hosts.withColumn("rate", (F.col("fails") + k * mean) / (F.col("n") + k))
+    most = min(max(mean + deviations * math.sqrt(mean * (1 - mean) / (k + 1)), low), high)
+    return hosts.withColumns({"rate": (F.col("fails") + k * mean) / (F.col("n") + k), "most": F.lit(most)})
 
 
-def rejected_hosts(rows: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def rejected_hosts(rows: DataFrame, deviations: float = DEVIATIONS,
+                   rates: tuple[float, float] = (MIN_HOST_RATE, MAX_HOST_RATE)) -> DataFrame:
     """(bad_host): the hosts whose shrunk failure rate exceeds the limit."""
-    return materialised(host_rates(rows).filter(F.col("rate") > max_host_rate)
+    return materialised(host_rates(rows, "host", deviations, rates).filter(F.col("rate") > F.col("most"))
                         .select(F.col("host").alias("bad_host")))
 
 
@@ -122,25 +132,26 @@ def _without(rows: DataFrame, bad: DataFrame, host: Column) -> tuple[DataFrame,
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-          max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+          deviations: float = DEVIATIONS, rates: tuple[float, float] = (MIN_HOST_RATE, MAX_HOST_RATE)) -> DataFrame:
     """doc_id, the five counts, base_failed, host_rejected, kept; one row per row."""
     rows = materialised(rule_counts(docs, text, [
         F.col(doc_id).alias("doc_id"), F.col(host).alias("host")]))
-    joined, fine = _without(rows, rejected_hosts(rows, max_host_rate), F.col("host"))
+    joined, fine = _without(rows, rejected_hosts(rows, deviations, rates), F.col("host"))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & fine).alias("kept"), (~fine).alias("host_rejected"))
 
 
 def kept_documents(docs: DataFrame, text: str = "text", host: str = "source",
-                   max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+                   deviations: float = DEVIATIONS,
+                   rates: tuple[float, float] = (MIN_HOST_RATE, MAX_HOST_RATE)) -> DataFrame:
     """The rows of ``docs``, all columns, that pass their own and their host's verdict.
 
     The verdict is computed twice (once for the host table, once while
     filtering) so that texts are never shuffled or written to scratch.
     """
     rows = rule_counts(docs, text, [F.col(host).alias("host")], only_verdict=True)
-    bad = rejected_hosts(rows, max_host_rate)
+    bad = rejected_hosts(rows, deviations, rates)
     whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("body"), F.col(host).alias("host"))
     scored = rule_counts(whole, "body", [F.col("row"), F.col("host")], only_verdict=True)
     # a generator between counts and filter: pushed through the projections, the
