@@ -40,8 +40,8 @@ from .common import prepare_workers
 #: Characters of text, and ids, that one query works on.
 GROUP = 1_000_000
 #: Words, and pieces of text, that a worker keeps between batches; beyond, it starts anew.
-KEPT_WORDS = 300_000
-KEPT_PIECES = 200_000
+KEPT_WORDS = 600_000
+KEPT_PIECES = 500_000
 LONG_PIECE = 100
 MARKS = ".,;:!?"
 #: White space next to a blank, where the pattern may join the two, and a blank without.

@@ -102,6 +102,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.default.parallelism", str(parts))
         .config("spark.driver.memory", os.environ.get("CASEBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files go with the DataFrames that wrote them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SQL_DEFAULTS.items():
         builder = builder.config(key, value)
