@@ -51,8 +51,9 @@ def materialised(df: DataFrame) -> DataFrame:
     """``df`` written once to the session's shared checkpoint folder.
 
     Lineage is cut, so an executor lost later costs a re-read of that folder
-    and not a recomputation; Spark's cleaner removes the files with the
-    DataFrame (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    and not a recomputation.  Spark removes the files with the DataFrame where the cluster sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``, as ``local_session`` does; elsewhere they
+    stay until the folder is emptied.
     """
     if checkpoint_dir(df.sparkSession) is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

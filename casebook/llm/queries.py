@@ -39,7 +39,9 @@ def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.realise(table(spark, sf_dir, "documents"))
+    """Languages are the sources to mix: their shares are far from even, so the small ones repeat."""
+    mixture = mixing.realise(table(spark, sf_dir, "documents"), source="lang")
+    return mixture.withColumnRenamed("source", "lang")
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,19 +99,20 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         written(F.col("spans")).alias("spans"))
 
 
-def _planted(text, doc_id):
-    """A tenth of the documents, by crc32 of the id, with words that repeat from some word on."""
-    h, w = F.crc32(doc_id.cast("string")), words(text)
-    g, n = F.floor(h / 10), F.size(w).cast("long")
-    first = F.pmod(g, n)
-    period = 1 + F.floor((n - first) / (3 + g % 8))
-    again = F.transform(w, lambda x, i: F.when(i < first, x).otherwise(
-        F.get(w, (first + (i - first) % period).cast("int"))))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(text)
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by crc32 of the id, with words that repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    g, n = F.floor(F.col("h") / 10), F.size("w").cast("long")
+    first = F.pmod(g, F.greatest(n, F.lit(1)))
+    placed = chosen.withColumns({"first": first, "period": 1 + F.floor((n - first) / (3 + g % 8))})
+    again = F.transform("w", lambda x, i: F.when(i < F.col("first"), x).otherwise(
+        F.get("w", (F.col("first") + (i - F.col("first")) % F.col("period")).cast("int"))))
+    return placed.select("doc_id", F.when(F.size("w") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", _planted(F.col("text"), F.col("doc_id")).alias("text"))
+    docs = _planted(table(spark, sf_dir, "documents"))
     docs = docs.select("doc_id", periodic_runs.collapse(F.col("text")).alias("t")).select("doc_id", "t.*")
     best = docs.withColumn("best", periodic_runs.plainest(F.col("runs")))
     lines = F.array_join(F.transform("runs", lambda r: F.concat(
@@ -198,10 +201,12 @@ WITH w AS (
 ), moments AS (
   SELECT sum(fails) / sum(n) AS m, sum(n * (fails / n) * (fails / n)) / sum(n) - (sum(fails) / sum(n)) ** 2 AS v
   FROM hosts
+), prior AS (
+  SELECT m, v, greatest(CASE WHEN v > 1e-12 THEN m * (1 - m) / v - 1 END, 2) AS k FROM moments
 ), verdict AS (
-  SELECT source, CASE WHEN v <= 1e-12 THEN m
-         ELSE (fails + greatest(m * (1 - m) / v - 1, 2) * m) / (n + greatest(m * (1 - m) / v - 1, 2)) END > 0.8 AS bad
-  FROM hosts, moments
+  SELECT source, CASE WHEN v <= 1e-12 THEN m > least(greatest(m, 0.5), 0.8)
+         ELSE (fails + k * m) / (n + k) > least(greatest(m + 3 * sqrt(m * (1 - m) / (k + 1)), 0.5), 0.8) END AS bad
+  FROM hosts, prior
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT bad AS kept, bad AS host_rejected
@@ -212,16 +217,22 @@ WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), grams AS (
-  SELECT doc_id, coalesce(w[i - 1], '') AS a, w[i] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
-), one AS (SELECT b, count(*) AS n FROM grams GROUP BY b
-), two AS (SELECT a, b, count(*) AS n, sum(count(*)) OVER (PARTITION BY a) AS m FROM grams GROUP BY a, b
+  SELECT doc_id, i, CASE WHEN i > 2 THEN w[i - 2] END AS a, CASE WHEN i > 1 THEN w[i - 1] END AS b, w[i] AS c
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), one AS (SELECT c, count(*) AS n FROM grams GROUP BY c
+), two AS (SELECT b, c, count(*) AS n FROM grams WHERE i > 1 GROUP BY b, c
+), three AS (SELECT a, b, c, count(*) AS n FROM grams WHERE i > 2 GROUP BY a, b, c
+), counted AS (
+  SELECT doc_id, i, three.n AS n3, before.n AS m3, two.n AS n2, word.n AS m2, one.n AS n1, (SELECT count(*) FROM grams) AS total
+  FROM grams JOIN one USING (c) LEFT JOIN two USING (b, c) LEFT JOIN three USING (a, b, c)
+  LEFT JOIN two AS before ON before.b = grams.a AND before.c = grams.b LEFT JOIN one AS word ON word.c = grams.b
 ), scored AS (
-  SELECT doc_id, two.n < 2 AS low, CASE WHEN two.n >= 2 THEN ln(two.n / two.m)
-         ELSE ln(0.4) + ln(one.n / (SELECT count(*) FROM grams)) END AS s
-  FROM grams JOIN two USING (a, b) JOIN one USING (b)
+  SELECT doc_id, CASE WHEN n3 >= 2 THEN 0 WHEN n2 >= 2 THEN least(i, 3) - 2 ELSE least(i, 3) - 1 END AS steps,
+         CASE WHEN n3 >= 2 THEN ln(n3 / m3) WHEN n2 >= 2 THEN ln(n2 / m2) ELSE ln(n1 / total) END AS s
+  FROM counted
 )
-SELECT doc_id, count(s)::BIGINT AS n_words, coalesce(sum(low::INT), 0)::BIGINT AS n_backoff,
-       round(sum(s) / count(s), 6) AS mean_log_score
+SELECT doc_id, count(s)::BIGINT AS n_words, coalesce(sum(steps), 0)::BIGINT AS n_backoff,
+       round(sum(s + steps * ln(0.4)) / count(s), 6) AS mean_log_score
 FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN scored USING (doc_id) GROUP BY doc_id
 """,
     "op7_licences": _licence_sql(),

@@ -72,7 +72,7 @@ LETTERS = [82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60,
 DIGIT_SHARE, CAPITAL_SHARE = 0.10, 0.05
 
 ALPHA = 0.001
-FDR = 0.01
+FDR = 0.05
 #: p-values are counted by tenths of a decimal power, down to 10 ** -(BINS / 10).
 BINS = 600
 
