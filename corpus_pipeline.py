@@ -3,7 +3,8 @@
 1. toxicity: documents scored 0.5 or more go (labels from ``labels``);
 2. quality rules: documents that fail their own or their host's verdict go;
 3. SimHash near-dedup: one document of each group stays;
-4. mixing: sources in target weights, documents as often as the mixture holds them;
+4. mixing: languages in target weights, every document once at least and those of the smaller
+   languages as often as the mixture holds them;
 5. BPE: token counts and digests of every row of the mixture.
 """
 
@@ -29,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, source="lang", budget=mixing.WHOLE)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
