@@ -37,7 +37,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A host is rejected when its shrunk failure rate is beyond what the prior lets hosts vary by: so many
 #: standard deviations above the corpus rate, but never below or above these rates.
-DEVIATIONS = 3.0
+DEVIATIONS = 2.0
 MIN_HOST_RATE, MAX_HOST_RATE = 0.5, 0.8
 #: The prior weighs at least so many documents: one failure does not condemn a host.
 MIN_PRIOR = 2.0

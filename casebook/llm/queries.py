@@ -205,7 +205,7 @@ WITH w AS (
   SELECT m, v, greatest(CASE WHEN v > 1e-12 THEN m * (1 - m) / v - 1 END, 2) AS k FROM moments
 ), verdict AS (
   SELECT source, CASE WHEN v <= 1e-12 THEN m > least(greatest(m, 0.5), 0.8)
-         ELSE (fails + k * m) / (n + k) > least(greatest(m + 3 * sqrt(m * (1 - m) / (k + 1)), 0.5), 0.8) END AS bad
+         ELSE (fails + k * m) / (n + k) > least(greatest(m + 2 * sqrt(m * (1 - m) / (k + 1)), 0.5), 0.8) END AS bad
   FROM hosts, prior
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

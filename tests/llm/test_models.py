@@ -1,6 +1,7 @@
 """Toxicity, mixing and nearest neighbours: held-out accuracy, brute force and edge cases."""
 
 import math
+import re
 import random
 from collections import Counter
 
@@ -225,6 +226,60 @@ def test_mixing_of_nulls_empty_texts_and_no_rows(spark):
     assert sorted(r.doc_id for r in mixing.realise(one).collect()) == list(range(7))
 
 
+def test_no_source_loses_a_token_at_exponent_one(spark):
+    rnd = np.random.default_rng(8)
+    for _ in range(6):
+        counts = rnd.integers(1, 10**9, 20)
+        total = int(counts.sum())
+        rows = spark.createDataFrame([(f"s{i}", int(n), float(n / total)) for i, n in enumerate(counts)], "s string, tokens long, weight double")
+        assert all(r.tokens == r.b for r in rows.withColumn("b", mixing._own_budget(1.0, total, total)).collect())
+        half = rows.withColumn("b", mixing._own_budget(1.0, total // 2, total)).collect()
+        assert all(r.b == r.tokens * (total // 2) // total for r in half)
+
+
+def test_a_whole_budget_keeps_every_document(spark):
+    docs = _sources(spark, {"big": 300, "mid": 60, "small": 9})
+    out = mixing.realise(docs, budget=mixing.WHOLE, target_entropy=0.97, max_repeats=5.0).collect()
+    seen = Counter((r.source, r.doc_id) for r in out)
+    assert len(seen) == 369 and all(n == 1 for (s, _), n in seen.items() if s == "big")
+    tokens = Counter()
+    for r in out:
+        tokens[r.source] += r.n_tokens
+    counts = [9000, 1800, 270]
+    t = mixing.exponent(spark.createDataFrame(list(zip("bms", counts)), "source string, tokens long"), None, 0.97, 5.0)
+    assert 0 < t < 1
+    for source, n in zip(("big", "mid", "small"), counts):
+        want = 9000 * (n / 9000) ** t
+        assert want - 31 <= tokens[source] <= want + 1
+    assert max(seen.values()) <= 6  # five repeats at most, the last of them in part
+
+
+def test_registered_mixture_meets_its_plain_budgets(spark):
+    from casebook.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    words = Counter()
+    longest = 0
+    for r in docs:
+        n = len([w for w in re.split(r"[\x20\x09-\x0D]+", r.text or "") if w])
+        words[r.lang] += n
+        longest = max(longest, n)
+    total = sum(words.values())
+    t = _brute_exponent(list(words.values()), total, mixing.TARGET_ENTROPY, mixing.MAX_REPEATS)
+    norm = sum((n / total) ** t for n in words.values())
+    out = queries.op6_mixing(spark, "/root/testdata/sf0.001").collect()
+    spent, epochs = Counter(), Counter()
+    for r in out:
+        spent[r.lang] += r.n_tokens
+        epochs[r.lang] = max(epochs[r.lang], r.epoch)
+    assert 0 < t < 1 and max(epochs.values()) >= 1  # small languages repeat
+    size = Counter(r.lang for r in docs)
+    assert any(0 < sum(r.lang == s and r.epoch == e for r in out) < size[s] for s, e in epochs.items())  # an epoch in part
+    for lang, n in words.items():
+        budget = (n / total) ** t / norm * total
+        assert budget - longest - 1 <= spent[lang] <= budget + 1
+
+
 # -------------------------------------------------------------- nearest neighbours
 def _nearest(ids, data, every, k):
     out = {}
@@ -257,6 +312,20 @@ def test_recall_against_brute_force_over_shards(spark):
     assert hit / (10 * len(want)) >= 0.95
 
 
+@pytest.mark.parametrize("change", [lambda x: x + 1e4, lambda x: x * 1e20, lambda x: x * 1e-25,
+                                    lambda x: np.where(np.arange(len(x))[:, None] % 2 == 0, x, 1e6 + x)])
+def test_recall_far_from_the_origin_and_at_any_scale(spark, change):
+    rng = np.random.default_rng(4)
+    data = change(rng.normal(size=(900, 16)))
+    ids = list(range(900))
+    rows = spark.createDataFrame([(i, v.tolist(), i) for i, v in zip(ids, data, strict=True)], "vec_id long, embedding array<double>, `rank.x` int")
+    got = {}
+    for r in hnsw.nearest(rows, every=30, shard_rows=300).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = _nearest(ids, data, 30, 10)
+    assert sum(len(got[q] & {j for _, j in best}) for q, best in want.items()) >= 0.95 * 10 * len(want)
+
+
 def test_many_copies_ties_and_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0]) for i in range(0, 400)] + [(500, [1.0, 3.0]), (600, [0.0, 0.0]), (700, [nan, 1.0]), (800, [inf, 1.0]),

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 from importlib.resources import files
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,20 @@ def test_quality_of_equal_hosts_repeated_rows_and_no_rows(spark):
     assert quality_rules.kept_documents(docs.limit(0)).collect() == []
 
 
+def test_rejected_hosts_equal_sql(spark, tmp_path):
+    from casebook.llm.queries import ORACLE, op3_quality_rules
+
+    rows = [(i, GOOD + str(i), f"h{i % 9}") for i in range(900)] + [(1000 + i, "too short", f"h{i % 9}") for i in range(60)]
+    rows += [(2000 + i, "short" if i % 4 else GOOD, "bad") for i in range(120)] + [(3000 + i, "short" if i % 2 else GOOD, None) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in op3_quality_rules(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLE["op3_quality_rules"]).fetchall())
+    fallen = {i for i, *_, host_rejected in got if host_rejected}
+    assert fallen == set(range(2000, 2120))  # most fail, beyond what hosts differ by; half of the null host's is not enough
+
+
 # ---------------------------------------------------------------------- licences
 def test_licence_texts_match_whole_and_by_line(spark):
     mit = dict((name, text) for name, text in reversed(licences.LICENCES) if "Permission" in text)["MIT"]

@@ -35,6 +35,9 @@ def test_filters_keep_rows_and_columns(steps):
         now = Counter(map(tuple, df.collect()))
         assert now and not now - before
         before = now
+    mixture = Counter(map(tuple, steps[4].collect()))  # every document once at least, small languages more often
+    assert steps[4].columns == docs.columns and mixture.keys() == before.keys()
+    assert not before - mixture and sum(mixture.values()) > 1.2 * sum(before.values())
 
 
 def test_run_equals_its_stages(spark, steps):
@@ -46,7 +49,7 @@ def test_run_equals_its_stages(spark, steps):
 
 def test_every_operator_is_registered():
     names = set(E.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert set(ORACLE) <= set(QUERIES)
 
 

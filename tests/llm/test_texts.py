@@ -2,10 +2,14 @@
 
 import base64
 import math
+import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
@@ -210,28 +214,145 @@ def test_one_document_of_each_group_stays(spark):
 
 
 # ------------------------------------------------------------------------ backoff
-def test_backoff_scores_equal_brute_force(spark):
-    texts = [(1, "the cat sat on the mat"), (2, "The cat sat"), (3, "a dog"), (4, None), (5, ""), (6, "the the the the"), (6, "on the mat"), (None, "cat")]
-    docs = spark.createDataFrame([(i, t, 0) for i, t in texts], "doc_id long, text string, g1 int")
-    for order in (1, 2, 3):
-        rows = []
-        for i, t in texts:
-            w = (t or "").lower().split()
-            for p in range(len(w)):
-                padded = [""] * order + w
-                rows.append((i, tuple(padded[p + 1:p + order + 1])))
-        counts = [None] + [Counter(g[-n:] for _, g in rows) for n in range(1, order + 1)]
-        want = {}
-        for i, g in rows:
-            for n in range(order, 0, -1):
-                if n == 1 or counts[n][g[-n:]] >= 2:
-                    context = len(rows) if n == 1 else sum(c for k, c in counts[n].items() if k[:-1] == g[-n:][:-1])
-                    s = math.log(counts[n][g[-n:]] / context) + (order - n) * math.log(0.4)
-                    break
-            want.setdefault(i, []).append((s, n < order))
-        for r in backoff_lm.score(docs, order=order).collect():
-            scores = want.get(r.doc_id, [])
-            assert (r.n_words, r.n_backoff) == (len(scores), sum(b for _, b in scores))
-            assert (r.log_score is None) == (not scores)
-            assert r.log_score is None or r.log_score == pytest.approx(sum(s for s, _ in scores))
-    assert backoff_lm.score(docs.limit(0)).collect() == []
+def _brute_backoff(data, order, alpha, least):
+    texts = [(i, [w for w in re.split(r"[\x20\x09-\x0D]+", (t or "").lower()) if w]) for i, t in data]
+    counts = Counter(tuple(w[j:j + n]) for _, w in texts for n in range(1, order + 1) for j in range(len(w) - n + 1))
+    total = sum(len(w) for _, w in texts)
+    out = {}
+    for i, w in texts:
+        one = out.setdefault(i, [0, 0, 0.0])
+        for j in range(len(w)):
+            top = n = min(order, j + 1)
+            while n > 1 and counts[tuple(w[j - n + 1:j + 1])] < least:
+                n -= 1
+            g = tuple(w[j - n + 1:j + 1])
+            one[0] += 1
+            one[1] += top - n
+            one[2] += math.log(counts[g] / (counts[g[:-1]] if n > 1 else total)) + (top - n) * math.log(alpha)
+    return out
+
+
+@pytest.mark.parametrize("order, least, slices, hot", [(1, 2, 1, 100_000), (2, 2, 3, 4), (3, 2, 2, 100_000), (3, 1, 1, 8), (4, 3, 2, 5)])
+def test_backoff_scores_equal_brute_force(spark, monkeypatch, order, least, slices, hot):
+    rnd = random.Random(order)
+    data = [(1, "the cat sat on the mat"), (2, "The cat sat"), (4, None), (5, ""), (6, "the the the the"), (6, "on the mat"),
+            (None, "cat"), (None, "sat on\x0bthe\fmat"), (7, " ")]
+    data += [(10 + k % 20, " ".join(rnd.choice("abcde") + "x" * rnd.randrange(2) for _ in range(rnd.randrange(40)))) for k in range(40)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in data], "`doc.id` long, text string, key int").repartition(3)
+    monkeypatch.setattr(backoff_lm, "HOT", hot)
+    want = _brute_backoff(data, order, 0.4, least)
+    got = backoff_lm.score(docs, "doc.id", order=order, min_count=least, slices=slices).collect()
+    assert len(got) == len(want)
+    for r in got:
+        n, steps, score = want[r.doc_id]
+        assert (r.n_words, r.n_backoff) == (n, steps)
+        assert (r.log_score is None) == (r.mean_log_score is None) == (n == 0)
+        assert n == 0 or r.log_score == pytest.approx(score)
+
+
+def test_backoff_of_no_rows(spark):
+    assert backoff_lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_bit_table_holds_its_ids():
+    rnd = np.random.default_rng(1)
+    ids, others = rnd.integers(0, 2**63, 500, dtype=np.uint64), rnd.integers(0, 2**63, 500, dtype=np.uint64)
+    bits = np.zeros(1 << 12, np.uint8)
+    place = (ids & np.uint64((1 << 15) - 1)).astype(np.int64)
+    np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
+    assert backoff_lm._has(bits, ids).all()
+    assert backoff_lm._has(bits, others).mean() < 0.1
+
+
+# ------------------------------------------------------------------------ main text, round three
+def test_pages_without_article_give_the_text_of_those_with_it():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    for page in pages:
+        bare = re.sub(r"<(/?)(article|main)\b", r"<\1div", page)
+        assert html_text.main_text(page) == html_text.main_text(bare)
+
+
+@pytest.mark.parametrize("name", ["comments-list", "comment-12", "user_comments", "advert-box", "ad-unit", "top-ad", "left-sidebar", "cookie-bar-2"])
+@pytest.mark.parametrize("attribute", ["class", "id"])
+def test_compounds_name_areas(name, attribute):
+    area = f"<div {attribute}='{name}'><p>Stray words that are long enough to look like text of the page.</p></div>"
+    for page in (f"<body><article>{_paragraphs('a', 4)}</article>{area}</body>", f"<body><article>{_paragraphs('a', 4)}{area}</article></body>",
+                 f"<body><div>{_paragraphs('a', 4)}{area}</div></body>"):
+        text = html_text.main_text(page)
+        assert "Stray" not in text and "a3" in text
+
+
+@pytest.mark.parametrize("name", ["page has-sidebar", "no-sidebar", "with-comments", "post share-enabled", "ad-hoc", "related-work", "discussion"])
+def test_names_that_only_tell_of_areas_silence_nothing(name):
+    text = html_text.main_text(f"<body><div class='{name}'>{_paragraphs('a', 4)}</div>{LINKS}</body>")
+    assert "a0" in text and "a3" in text
+    inside = html_text.main_text(f"<body><article>{_paragraphs('a', 2)}<section id='{name.split()[-1]}'>{_paragraphs('b', 2)}</section></article></body>")
+    assert "b0" in inside
+
+
+@pytest.mark.parametrize("page", ["<b>x</i>" * 60_000, "<p><table>" + "<b>" * 40_000 + "<hr>" * 40_000, "<li>" * 50_000 + "</ul>" * 50_000,
+                                  "<div>" * 30_000 + "x" + "</span>" * 30_000])
+def test_broken_tags_take_linear_time(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 8  # quadratic closing took minutes
+
+
+def test_pages_with_odd_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>x y</p>", "u")], "`page.id` long, `ht.ml` string, text string")
+    out = html_text.extract(pages, html="ht.ml")
+    assert out.columns == ["page.id", "text"] and tuple(out.first()) == (1, "x y")
+
+
+# ------------------------------------------------------------------------ near-duplicates with odd columns
+ODD = """id AS doc_id, t AS text, concat('s', id % 2) AS `a.b`, map('k', t, 'l', 'm') AS m, parse_json(concat('{"v":', id, '}')) AS v,
+         array(map(coalesce(id, -1), t)) AS nested, named_struct('x.y', id) AS `doc_id.s`, CAST(NULL AS STRING) AS fp, id AS h, 1 AS label"""
+
+
+def test_deduplicated_with_any_column(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, base), (2, base), (2, base), (3, base + " more"), (4, "other words entirely " * 20), (5, None), (None, None)]
+    spark.createDataFrame(rows, "id long, t string").createOrReplaceTempView("odd_rows")
+    docs = spark.sql(f"SELECT {ODD} FROM odd_rows")
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = sorted(kept.selectExpr("doc_id", "to_json(struct(m, v, nested)) AS j", "`a.b`").collect(), key=str)
+    want = {r.doc_id: (r.j, r["a.b"]) for r in docs.selectExpr("doc_id", "to_json(struct(m, v, nested)) AS j", "`a.b`").collect()}
+    component = {r.doc_id: r.component_id for r in simhash.components(docs).collect()}
+    assert {r.doc_id for r in got} == set(component.values()) and len(got) == len(set(component.values()))
+    assert all((r.j, r["a.b"]) == want[r.doc_id] for r in got)
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").select("doc_id").collect()) == sorted(r.doc_id for r in got)
+
+
+def test_components_of_a_dense_group_equal_brute_force(spark):
+    rnd = random.Random(2)
+    centre = rnd.getrandbits(64)
+    fps = {centre}
+    while len(fps) < 400:  # a chain of close fingerprints that share segments, and loners
+        near = rnd.choice(sorted(fps))
+        for _ in range(rnd.randint(1, 3)):
+            near ^= 1 << rnd.randrange(64)
+        fps.add(near if rnd.random() < 0.8 else rnd.getrandbits(64))
+    fps = sorted(fps)
+    parent = list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                parent[root(i)] = root(j)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    rows = spark.createDataFrame([(x,) for x in signed], "fp long")
+    label = {r.fp: r.label for r in simhash.fingerprint_components(rows, 4).collect()}
+    assert len(label) == len(fps)
+    groups = {}
+    for i, x in enumerate(signed):
+        groups.setdefault(root(i), set()).add(label[x])
+    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
