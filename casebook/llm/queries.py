@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,6 +173,80 @@ FROM units JOIN known USING (canonical) GROUP BY doc_id, licence
 """
 
 
+def _secret_sql() -> str:
+    """The scan with positions by lengths, the battery by grouping the symbols of a candidate as rows."""
+    scan = secret_scan
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    alphabets = ", ".join(
+        f"({i}, {quoted(a)}, '^[{a.replace('-', chr(92) + '-')}]+$', {len(a)}.0, " + ", ".join(map(repr, scan.text_model(a))) + ")"
+        for i, a in enumerate(scan.ENCODINGS.values()))
+    patterns = [p for p, _, _ in scan.PATTERNS.values()] + [r"[A-Za-z0-9+/_-]{%d,}={0,2}" % scan.LEAST]
+    found = " UNION ALL ".join(
+        f"SELECT r, {k} AS kind, string_split_regex(t, {quoted(p)}) AS parts, regexp_extract_all(t, {quoted(p)}, 0) AS m FROM docs"
+        for k, p in enumerate(patterns))
+    names = "[" + ", ".join(map(quoted, scan.KINDS)) + "]"
+    limit = NormalDist().inv_cdf(1 - scan.ALPHA / 6)
+    counts = ", ".join(f"count(*) FILTER (kind = {k})::BIGINT AS n_{name}" for k, name in enumerate(scan.KINDS))
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), found AS ({found}
+), spans AS (
+  SELECT r, kind, m[i] AS s, list_sum(list_transform(parts[:i], lambda x: length(x))) +
+         coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found)
+), base AS (
+  SELECT r, kind, a::BIGINT AS a, (a + length(s))::BIGINT AS b FROM spans
+  WHERE kind < 3 AND (kind > 0 OR length(regexp_extract(s, {quoted(patterns[0])}, 2)) >= {scan.PATTERNS["assign"][2]})
+), encodings AS (SELECT * FROM (VALUES {alphabets}) AS v(e, alphabet, pattern, m, inside, two, three)
+), tokens AS (
+  SELECT r, a, s, rtrim(s, '=') AS token, row_number() OVER () AS c FROM spans
+  WHERE kind = 3 AND regexp_matches(s, '[0-9]') AND regexp_matches(s, '[A-Za-z]')
+), known AS (
+  SELECT tokens.*, encodings.* FROM tokens JOIN encodings ON regexp_matches(token, pattern) QUALIFY row_number() OVER (PARTITION BY c ORDER BY e) = 1
+), symbols AS (
+  SELECT c, m, i, strpos(alphabet, token[i]) - 1.0 AS v FROM (SELECT c, m, alphabet, token, unnest(range(1, length(token) + 1)) AS i FROM known)
+), twins AS (SELECT c, sum(k * k)::DOUBLE AS squares FROM (SELECT c, v, count(*) AS k FROM symbols GROUP BY c, v) GROUP BY c
+), moved AS (
+  SELECT c, m, v, 2 * v >= m AS high, lag(2 * v >= m) OVER w AS high_before, lag(v) OVER w AS v_before, avg(v) OVER (PARTITION BY c) AS mean
+  FROM symbols WINDOW w AS (PARTITION BY c ORDER BY i)
+), sums AS (
+  SELECT c, count(*)::DOUBLE AS n, sum(high::INT)::DOUBLE AS ones, 1 + sum((high <> high_before)::INT)::DOUBLE AS runs,
+         sum((v - mean) * (v - mean)) AS spread, sum((v - mean) * (v_before - mean)) AS next
+  FROM moved GROUP BY c
+), tested AS (
+  SELECT known.*, n, squares, m / n * squares - n AS chi, 2 / (9 * (m - 1)) AS narrow, 2 * ones * (n - ones) / n AS turns, runs, spread, next,
+         n * (n - 1) / 2 AS pairs, (squares - n) / 2 AS equal
+  FROM known JOIN twins USING (c) JOIN sums USING (c)
+), judged AS (
+  SELECT *, abs((pow(greatest(chi, 0) / (m - 1), 1 / 3.0) - (1 - narrow)) / sqrt(narrow)) <= {limit!r}
+         AND turns > 1 AND abs(CASE WHEN turns > 1 THEN (runs - 1 - turns) / sqrt(turns * (turns - 1) / (n - 1)) END) <= {limit!r}
+         AND spread > 0 AND abs(CASE WHEN spread > 0 THEN (next / spread + 1 / n) * sqrt(n) END) <= {limit!r} AS random,
+         (pairs * two - equal - 0.5) / sqrt(pairs * two * (1 - two) + n * (n - 1) * (n - 2) * (three - two * two)) AS z
+  FROM tested
+), tails AS (
+  SELECT *, 1 / (1 + 0.3275911 * abs(z) / sqrt(2.0)) AS q FROM judged
+), far AS (
+  SELECT *, log10(q * (0.254829592 + q * (-0.284496736 + q * (1.421413741 + q * (-1.453152027 + q * 1.061405429)))) / 2)
+         - z * z / 2 * log10(exp(1.0)) AS f FROM tails
+), binned AS (
+  SELECT *, least(floor(-10 * (n * log10(inside) + CASE WHEN z >= 0 THEN f ELSE log10(1 - pow(10, f)) END)), {scan.BINS})::INT AS bin FROM far
+), first AS (
+  SELECT min(bin) AS bin FROM (SELECT bin, sum(count(*)) OVER (ORDER BY bin DESC) AS above FROM binned GROUP BY bin)
+  WHERE pow(10, -bin / 10.0) <= {scan.FDR} * above / (SELECT count(*) FROM binned)
+), every AS (
+  SELECT * FROM base
+  UNION ALL SELECT r, 3, a::BIGINT, (a + length(s))::BIGINT FROM binned WHERE random AND bin >= (SELECT bin FROM first)
+), written AS (SELECT r, kind, a, {names}[kind + 1] || ':' || a || ':' || b AS w FROM every
+)
+SELECT doc_id, {counts}, sha256(coalesce(string_agg(w, ',' ORDER BY a, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(w, ',' ORDER BY a, kind), '') AS spans
+FROM docs LEFT JOIN written USING (r) GROUP BY r, doc_id
+"""
+
+
 ORACLE = {
     "op3_quality_rules": r"""
 WITH w AS (
@@ -254,5 +330,36 @@ WITH given AS (
 SELECT conv_id, n_turns, sha256(written) AS turns_sha256, length(learnt)::BIGINT AS loss_chars,
        sha256(learnt) AS loss_sha256, formatted_chars
 FROM chats
+""",
+    "op11_secret_scan": _secret_sql(),
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counted AS (
+  SELECT lang, k, w[i:i + k - 1] AS phrase, count(*) AS f
+  FROM (SELECT *, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k FROM starts) GROUP BY ALL
+), totals AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang
+), often AS (SELECT * FROM counted WHERE k > 1 AND f >= 100
+), longer AS (
+  SELECT s.lang, s.phrase, max(t.f) AS most FROM often AS s JOIN often AS t
+    ON s.lang = t.lang AND t.k = s.k + 1 AND (s.phrase = t.phrase[1:s.k] OR s.phrase = t.phrase[2:t.k]) GROUP BY ALL
+), kept AS (
+  SELECT often.* FROM often LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * f
+), cuts AS (
+  SELECT kept.lang, kept.phrase, kept.f AS a, j, x.f AS l, y.f AS r, n, (1000::HUGEINT * kept.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) AS kept JOIN totals USING (lang)
+  JOIN counted AS x ON x.lang = kept.lang AND x.k = j AND x.phrase = kept.phrase[1:j]
+  JOIN counted AS y ON y.lang = kept.lang AND y.k = kept.k - j AND y.phrase = kept.phrase[j + 1:kept.k]
+), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+         array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM lowest
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
 """,
 }
