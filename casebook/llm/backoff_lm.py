@@ -60,7 +60,7 @@ HOT = 100_000
 #: Bits of the table that tells which n-grams have been counted often enough, a power of two.
 BITS = 1 << 27
 #: n-grams that one hash partition is meant for; more partitions for more words.
-PER_PARTITION = 4_000_000
+PER_PARTITION = 1_000_000
 #: n-grams that a task holds before it sends their sums.
 HELD = 1 << 19
 CODEC = "zstd"
@@ -68,6 +68,7 @@ CODEC = "zstd"
 PACKED = "part int, front binary, back binary, n binary"
 COUNTED = "k int, id long, front long, back long, n long"
 SENT = "part int, docs binary, sizes binary, ids binary, own binary"
+PARTIAL = "bucket int, sums binary"
 SUMS = "key long, n_words long, n_backoff long, log_score double"
 
 
@@ -156,35 +157,35 @@ def _summed(order: int, least: int):
 
 
 def _set_bits(n_bits: int):
-    """Per batch of ids, the bytes of the bit table that they touch: (byte, bits)."""
+    """The blocks of a bit table that a task's ids touch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(max(n_bits >> 3, 1 << BLOCK), np.uint8)
         for batch in batches:
             place = np.unique(np.asarray(batch.column("id")).view(np.uint64) & np.uint64(n_bits - 1)).astype(np.int64)
-            byte = place >> 3
-            firsts = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1]))) if len(byte) else np.zeros(0, np.int64)
-            bits = np.bitwise_or.reduceat((1 << (place & 7)).astype(np.int64), firsts) if len(byte) else byte
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((byte[firsts] >> BLOCK).astype(np.int32)), pa.array((byte[firsts] & ((1 << BLOCK) - 1)).astype(np.int32)),
-                 pa.array(bits.astype(np.int32))], ["block", "byte", "bits"])
+            for bit in range(8):  # bytes of one bit are distinct, so plain indexing sets them all
+                bits[place[place & 7 == bit] >> 3] |= 1 << bit
+        blocks = bits.reshape(-1, 1 << BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([blocks[b].tobytes() for b in some], pa.binary())], ["block", "content"])
 
     return run
 
 
-#: Bytes of the bit table that one row brings to the driver, as a power of two.
+#: Bytes of the bit table that one row holds, as a power of two.
 BLOCK = 16
 
 
 def _block_of(group: pa.Table) -> pa.Table:
-    out = np.zeros(1 << BLOCK, np.uint8)
-    np.bitwise_or.at(out, np.asarray(group.column("byte")), np.asarray(group.column("bits")).astype(np.uint8))
-    return pa.table({"block": group.column("block").slice(0, 1), "content": pa.array([out.tobytes()], pa.binary())})
+    contents = np.stack([np.frombuffer(x, np.uint8) for x in group.column("content").to_pylist()])
+    return pa.table({"block": group.column("block").slice(0, 1), "content": pa.array(
+        [np.bitwise_or.reduce(contents, axis=0).tobytes()], pa.binary())})
 
 
 def _bit_table(ids: DataFrame, n_bits: int) -> np.ndarray:
     """The bits of all ids: at most ``n_bits`` / 8 bytes on the driver, whatever the data."""
-    touched = ids.mapInArrow(_set_bits(n_bits), "block int, byte int, bits int")
-    touched = touched.groupBy("block", "byte").agg(F.bit_or("bits").alias("bits"))
+    touched = ids.mapInArrow(_set_bits(n_bits), "block int, content binary")
     blocks = touched.groupBy("block").applyInArrow(_block_of, "block int, content binary")
     out = np.zeros(max(n_bits >> 3, 1 << BLOCK), np.uint8)
     for row in blocks.collect():
@@ -326,25 +327,43 @@ def _packets(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, parts: int) -
     return out
 
 
-def _scored(sent: pa.Table, values: pa.Table) -> pa.Table:
-    """What the n-grams of one hash partition add to their documents."""
-    own = _joined(sent.column("own").drop_null(), OWN)
-    docs, sizes, ids = (_joined(sent.column(c).drop_null(), t) for c, t in (
-        ("docs", np.int64), ("sizes", np.int32), ("ids", np.uint64)))
-    known = np.asarray(values.column("id")).view(np.uint64) if len(values) else np.zeros(0, np.uint64)
-    by_id = np.argsort(known)
-    known = known[by_id]
-    at = np.minimum(np.searchsorted(known, ids), max(len(known) - 1, 0))
-    hit = known[at] == ids if len(known) else np.zeros(len(ids), bool)
-    at, owner = by_id[at[hit]], np.repeat(np.arange(len(docs)), sizes)[hit]
-    value, k = (np.asarray(values.column(c)) for c in ("value", "k"))
-    score = np.bincount(owner, value[at], len(docs))
-    found = np.bincount(owner[k[at] > 1], minlength=len(docs))
-    some = np.flatnonzero(np.bincount(owner, minlength=len(docs)))
-    return pa.table({
-        "key": np.concatenate((own["key"], docs[some])), "n_words": np.concatenate((own["n_words"], np.zeros(len(some), np.int64))),
-        "n_backoff": np.concatenate((own["n_backoff"], -found[some])),
-        "log_score": np.concatenate((own["log_score"], score[some]))})
+def _scored(parts: int):
+    """What the n-grams of one hash partition add to their documents, packed by bucket of documents."""
+
+    def run(sent: pa.Table, values: pa.Table) -> pa.Table:
+        docs, sizes, ids = (_joined(sent.column(c).drop_null(), t) for c, t in (
+            ("docs", np.int64), ("sizes", np.int32), ("ids", np.uint64)))
+        known = np.asarray(values.column("id")).view(np.uint64) if len(values) else np.zeros(0, np.uint64)
+        by_id = np.argsort(known)
+        known = known[by_id]
+        at = np.minimum(np.searchsorted(known, ids), max(len(known) - 1, 0))
+        hit = known[at] == ids if len(known) else np.zeros(len(ids), bool)
+        at, owner = by_id[at[hit]], np.repeat(np.arange(len(docs)), sizes)[hit]
+        value, k = (np.asarray(values.column(c)) for c in ("value", "k"))
+        some = np.flatnonzero(np.bincount(owner, minlength=len(docs)))
+        sums = np.zeros(len(some), OWN)
+        sums["key"], sums["log_score"] = docs[some], np.bincount(owner, value[at], len(docs))[some]
+        sums["n_backoff"] = -np.bincount(owner[k[at] > 1], minlength=len(docs))[some]
+        sums = np.concatenate((_joined(sent.column("own").drop_null(), OWN), sums))
+        bucket = _part(sums["key"].view(np.uint64), parts)
+        order = np.argsort(bucket, kind="stable")
+        sums, cuts = sums[order], np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=parts))))
+        full = np.flatnonzero(np.diff(cuts))
+        return pa.table({"bucket": pa.array(full.astype(np.int32)),
+                         "sums": pa.array([sums[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary())})
+
+    return run
+
+
+def _added(group: pa.Table) -> pa.Table:
+    """The sums of a bucket's documents."""
+    sums = _joined(group.column("sums"), OWN)
+    keys, at = np.unique(sums["key"], return_inverse=True)
+    out = {"key": pa.array(keys)}
+    for name in ("n_words", "n_backoff", "log_score"):
+        column = np.bincount(at, sums[name], len(keys))  # whole numbers stay exact in doubles up to 2 ** 53
+        out[name] = pa.array(column if name == "log_score" else column.astype(np.int64))
+    return pa.table(out)
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
@@ -365,17 +384,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
                 own = v.select(_part_column(F.col("id"), model.parts).alias("part"), "id", "value", "k")
                 values = own if values is None else values.unionByName(own)
             values = values.filter(F.pmod("part", F.lit(slices)) == part)
-            parts = sent.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(_scored, SUMS)
-            sums = materialised(_added(parts))
+            partial = sent.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(_scored(model.parts), PARTIAL)
+            sums = materialised(partial.groupBy("bucket").applyInArrow(_added, SUMS))
             every = sums if every is None else every.unionByName(sums)
-        every = materialised(_added(every))
+        every = materialised(every.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "log_score")]))
     model.drop()
     return docs.select(identity.alias("doc_id")).distinct().join(every, F.xxhash64("doc_id") == F.col("key"), "left").select(
         "doc_id", F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"),
         F.coalesce("n_backoff", F.lit(0).cast("long")).alias("n_backoff"),
         F.when(F.col("n_words") > 0, F.col("log_score")).alias("log_score"),
         F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score"))
-
-
-def _added(sums: DataFrame) -> DataFrame:
-    return sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_backoff", "log_score")])

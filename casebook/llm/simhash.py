@@ -121,23 +121,25 @@ def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
     # as many tasks as shuffles have, since every row becomes one per bit
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fps = materialised(fps.select("fp").distinct().repartition(spread, "fp"))
-    # what a key needs of all its members comes from partial aggregates, joined back as a table of
+    # what a key needs of all its members comes from partial aggregates, joined to the index as a table of
     # its own, so a key with many members is split like any hot key of a join
-    ends = _by_key(variants(fps, max_bits).groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi"))
-    meeting = materialised(variants(fps, max_bits).join(ends, F.col("key") == F.col("k")).select("key", "fp", "lo", "hi"))
+    index = variants(fps, max_bits)
+    ends = _by_key(index.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi"))
     stars = F.filter(F.array("lo", "hi"), lambda x: (x != F.col("fp")) & _near(x, F.col("fp"), max_bits))
-    star = meeting.select(F.col("fp").alias("a"), F.explode(stars).alias("b")).distinct()
+    star = index.join(ends, F.col("key") == F.col("k"), "left").select(
+        F.col("fp").alias("a"), F.explode(stars).alias("b")).distinct()
     tied = materialised(connected(fps.select(F.col("fp").alias("node")), star).select(
         F.col("node").alias("fp"), "label").repartition(spread, "fp"))
 
     # of two components in a key one at least is not the key's most frequent: those members meet all
-    members = materialised(meeting.select("key", "fp").join(tied, "fp"))
-    counts = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    index = variants(tied, max_bits)
+    counts = index.groupBy("key", "label").agg(F.count("*").alias("n"))
     usual = _by_key(counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("kinds"))
                     .filter("kinds > 1").drop("kinds"))
-    mixed = materialised(members.join(usual, F.col("key") == F.col("k")).select("key", "fp", "label", "most"))
-    left = mixed.filter("label != most").select("key", F.col("fp").alias("f"), F.col("label").alias("l"))
-    right = mixed.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
+    other = F.coalesce("most", "label") != F.col("label")  # of a key with one component there is no ``most``
+    left = index.join(usual, F.col("key") == F.col("k"), "left").filter(other).select(
+        "key", F.col("fp").alias("f"), F.col("label").alias("l"))
+    right = index.select(F.col("key").alias("k"), F.col("fp").alias("g"), F.col("label").alias("m"))
     across = left.join(right, (F.col("key") == F.col("k")) & (F.col("l") != F.col("m"))
                        & _near(F.col("f"), F.col("g"), max_bits)).select(
         F.least("l", "m").alias("a"), F.greatest("l", "m").alias("b")).distinct()
@@ -148,7 +150,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
 
 def _by_key(rows: DataFrame) -> DataFrame:
     """A table with one row per ``key`` (as ``k``), to be joined to a key's members."""
-    return small_side(materialised(rows.withColumnRenamed("key", "k")), 24)
+    return small_side(materialised(rows.withColumnRenamed("key", "k")), 96)  # as held in a broadcast
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
