@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BLANKS, drop_scratch, materialised, prepare_workers, quoted, scratch_table, shuffles_given_back
-from .word_arrays import Sums, classes, cut, paired
+from .word_arrays import classes, cut, paired
 
 ORDER = 3
 ALPHA = 0.4
@@ -62,7 +62,7 @@ BITS = 1 << 27
 #: n-grams that one hash partition is meant for; more partitions for more words.
 PER_PARTITION = 1_000_000
 #: n-grams that a task holds before it sends their sums.
-HELD = 1 << 19
+HELD = 1 << 20
 CODEC = "zstd"
 
 PACKED = "part int, front binary, back binary, n binary"
@@ -77,11 +77,12 @@ def _bytes(a: np.ndarray) -> bytes:
 
 
 def _part(ids: np.ndarray, parts: int) -> np.ndarray:
-    return ((ids >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+    """Hash partitions are ranges of ids, so ids in order are in order of partition."""
+    return ((ids >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _part_column(ids: Column, parts: int) -> Column:
-    return F.pmod(F.shiftrightunsigned(ids, 20), F.lit(parts)).cast("int")
+    return F.shiftright(F.shiftrightunsigned(ids, 32) * F.lit(parts).cast("long"), 32).cast("int")
 
 
 def _has(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -108,26 +109,31 @@ def _count(order: int, told: Broadcast | None, parts: int, slices: int, part: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if told is None else np.frombuffer(told.value, np.uint8)
-        sums = Sums()
+        held: list[tuple[np.ndarray, ...]] = []
 
         def sent() -> pa.RecordBatch:
-            ids, front, back, n = sums.taken()
-            where = _part(ids, parts)
-            by_part = np.argsort(where, kind="stable")
-            cuts = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=parts))))
+            ids, front, back = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            by_id = np.argsort(ids)
+            ids = ids[by_id]
+            firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            one, n = by_id[firsts], np.diff(firsts, append=len(ids)).astype(np.int32)
+            cuts = np.concatenate(([0], np.cumsum(np.bincount(_part(ids[firsts], parts), minlength=parts))))
             some = np.flatnonzero(np.diff(cuts))
-            columns = [x[by_part] for x in (front, back, n.astype(np.int32))]
             return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[
-                pa.array([_bytes(c[cuts[p]:cuts[p + 1]]) for p in some], pa.binary()) for c in columns]],
+                pa.array([_bytes(c[cuts[p]:cuts[p + 1]]) for p in some], pa.binary()) for c in (front[one], back[one], n)]],
                 ["part", "front", "back", "n"])
 
         for batch in batches:
             *_, (k, ids, front, back, _) = _grams(batch.column("text"), order, bits)
-            mine = slice(None) if slices == 1 else _part(ids, parts) % slices == part
-            sums.add(ids[mine], ids[mine], front[mine], back[mine])
-            if sums.held > HELD:
+            if slices > 1:
+                mine = _part(ids, parts) % slices == part
+                ids, front, back = ids[mine], front[mine], back[mine]
+            if len(ids):
+                held.append((ids, front, back))
+            if sum(len(x[0]) for x in held) > HELD:
                 yield sent()
-        if sums.held:
+        if held:
             yield sent()
 
     return run
@@ -315,7 +321,7 @@ SENT_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("docs
 def _packets(ids: np.ndarray, owner: np.ndarray, keys: np.ndarray, parts: int) -> list[tuple]:
     """(part, keys of documents, how many ids each, ids, None) for every hash partition that has some."""
     where = _part(ids, parts)
-    order = np.lexsort((owner, where))
+    order = np.argsort(where * max(len(keys), 1) + owner)
     ids, owner = ids[order], owner[order]
     cuts = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=parts))))
     out = []
