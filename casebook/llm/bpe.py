@@ -73,7 +73,7 @@ SELECT word, arg_min(tokens, length(tokens)) AS tokens FROM steps GROUP BY word
 """
 
 DECODE = """
-SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes
+SELECT doc, array_to_string(list(bytes ORDER BY pos), '') AS bytes
 FROM given JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 """
 
