@@ -149,8 +149,11 @@ def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def _by_key(rows: DataFrame) -> DataFrame:
-    """A table with one row per ``key`` (as ``k``), to be joined to a key's members."""
-    return small_side(materialised(rows.withColumnRenamed("key", "k")), 96)  # as held in a broadcast
+    """A table with one row per ``key`` (as ``k``), to be joined to a key's members.
+
+    It grows with the input, so it is never broadcast; as a table of its own it leaves a hot key to be split.
+    """
+    return materialised(rows.withColumnRenamed("key", "k"))
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
