@@ -9,7 +9,8 @@ Cleaning is a narrow projection (no shuffle).  The metrics join the two facts
 on ``order_id``; where a metric needs only per-order facts of
 ``customer_orders`` the pizza rows are aggregated per order *before* the join,
 so the join shuffles at most one row per order and time instead of one per
-pizza.  The reference treats "delivered" three ways (no cancellation,
+pizza; where it needs more (``sum_over_delivered``), pizza rows stream through
+the join.  The reference treats "delivered" three ways (no cancellation,
 a pickup time, a duration); each operator keeps its own.
 """
 
@@ -118,15 +119,15 @@ def delivered_per_runner(ro: DataFrame) -> DataFrame:
 def sum_over_delivered(co: DataFrame, ro: DataFrame, keys: list[str], measures: dict) -> DataFrame:
     """Additive ``measures`` of the pizza rows of delivered orders, by ``keys``.
 
-    Each measure is summed per order first (partial on the map side, so a hot
-    order collapses before any shuffle); those per-order rows - not the pizza
-    rows - are joined to the delivered orders and summed again.  Joining
-    before or after summing gives the same totals, duplicates included.
+    The pizza rows stream through the sort-merge join on ``order_id``, a hot order split by
+    AQE, and only their sums by ``keys`` are held.  Sums per order before the join would hold
+    about a row per pizza, in memory that grows with the partition.  Deliveries are
+    counted per order first, so an order repeated on both sides is never multiplied out:
+    its sums are weighted by that count, which gives the join's totals, duplicates included.
     """
-    group = list(dict.fromkeys(["order_id", *keys]))
-    per_order = co.groupBy(*group).agg(*[m.alias(n) for n, m in measures.items()])
-    joined = per_order.join(_delivered(ro).select("order_id"), on="order_id")
-    return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
+    times = _delivered(ro).groupBy("order_id").agg(F.count(F.lit(1)).alias("_times"))
+    sums = co.join(times, on="order_id").groupBy(*keys, "_times").agg(*[m.alias(n) for n, m in measures.items()])
+    return sums.groupBy(*keys).agg(*[F.sum(F.col(n) * F.col("_times")).alias(n) for n in measures])
 
 
 def delivered_by_type(co: DataFrame, ro: DataFrame, names: DataFrame) -> DataFrame:

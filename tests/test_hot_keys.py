@@ -1,5 +1,8 @@
 """A customer, or an order, with half of the rows: AQE splits the joins on it."""
 
+import re
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +116,37 @@ def test_hot_order_collapses_before_the_join(delivery, name):
     }[name]())
     join = plan.index("SortMergeJoin")
     assert "HashAggregate" in plan[join:] and "partial_" in plan[join:]
+
+
+def _recipes(spark):
+    return (spark.createDataFrame([(1, "1, 2"), (2, "3")], "pizza_id int, toppings string"),
+            spark.createDataFrame([(i, f"t{i}") for i in range(1, 13)], "topping_id int, topping_name string"))
+
+
+@pytest.mark.parametrize("name", ["p4", "p7", "x6", "x7"])
+def test_memory_holds_no_row_per_pizza(delivery, name):
+    """Pizza rows stream through the join: no aggregate keeps them by order and another key, and a hot order is split."""
+    co, ro = delivery
+    recipes, toppings = _recipes(co.sparkSession)
+    plan = physical_plan({
+        "p4": lambda: P.delivered_by_type(co, ro, co.sparkSession.createDataFrame([(1, "a"), (2, "b")], "pizza_id int, pizza_name string")),
+        "p7": lambda: P.change_profile(co, ro),
+        "x6": lambda: X.ingredient_totals(co, ro, recipes, toppings),
+        "x7": lambda: X.revenue(co, ro, extra_price=X.EXTRA_PRICE),
+    }[name]())
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan)
+    assert keys and not [k for k in keys if "order_id" in k and "," in k]
+    assert "skew=true" in plan
+
+
+def test_order_repeated_on_both_sides_is_weighted(small):
+    i = small.range(3000)
+    co = i.select(F.lit(1).cast("long").alias("order_id"), (F.col("id") % 2 + 1).cast("int").alias("pizza_id"),
+                  F.lit(None).cast("string").alias("exclusions"),
+                  F.when(F.col("id") % 3 == 0, "1, 5").alias("extras"))
+    ro = i.select(F.lit(1).cast("long").alias("order_id"), F.lit(None).cast("string").alias("cancellation"))
+    recipes, toppings = _recipes(small)
+    assert X.revenue(co, ro, extra_price=X.EXTRA_PRICE).collect() == [(Decimal(3000 * (1500 * 12 + 1500 * 10 + 2000)),)]
+    got = {r.topping_id: r.quantity for r in X.ingredient_totals(co, ro, recipes, toppings).collect()}
+    assert got == {1: 3000 * 2500, 2: 3000 * 1500, 3: 3000 * 1500, 5: 3000 * 1000}
+    assert P.sum_over_delivered(co.limit(0), ro, [], {"n": F.count(F.lit(1))}).collect() == [(None,)]
