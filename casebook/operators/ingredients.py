@@ -229,9 +229,9 @@ def ingredient_totals(co: DataFrame, ro: DataFrame, recipes: DataFrame, toppings
     delivered pizza's ``ingredient_lists`` quantities.
 
     Delivered pizzas are counted per distinct (pizza, exclusions, extras)
-    combination in one pass (partial on the map side), and the recipe,
-    exclusion and extra arithmetic runs on those few combinations, weighted
-    by their counts: the pizza rows are never exploded or regrouped.
+    combination in one pass behind the join, and the recipe, exclusion and
+    extra arithmetic runs on those few combinations, weighted by their counts:
+    the pizza rows are never exploded or regrouped.
     """
     combos = sum_over_delivered(co, ro, list(COMBO), {"_n": F.count(F.lit(1))})
     items = combos.join(_recipes_by_pizza(recipes, on_unknown), on="pizza_id", how="left").select(
