@@ -11,7 +11,7 @@ puts the bytes of a document together.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; every
 row is encoded on its own, repeated rows alike; the whole text is encoded,
-whatever its length (texts are worked on in groups of about ``GROUP`` characters,
+whatever its length (texts are worked on in groups of about ``TEXT_GROUP`` characters,
 so memory follows the longest text, not the batch); special tokens' strings are
 ordinary text; a null id list decodes to no bytes, an id outside the vocabulary
 raises; an empty table gives an empty result; extra columns stay untouched.
@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import prepare_workers
 
-#: Characters of text, and ids, that one query works on.
+#: Characters of text, and ids, that one query works on.  Each pass of the recursive query builds
+#: a table of all merges, so texts go by more at a time, which new words are a small part of.
+TEXT_GROUP = 4_000_000
 GROUP = 1_000_000
 #: Words, and pieces of text, that a worker keeps between batches; beyond, it starts anew.
 KEPT_WORDS = 600_000
@@ -91,6 +93,8 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.has = np.zeros(max(self.tokens) + 1, bool)
+        self.has[list(self.tokens)] = True
         self.cut = regex.compile(pattern).findall
         self.single = np.array([FIRST_CHARACTER + self.ranks[bytes([i])] for i in range(256)], "<u4")
         self.known: dict[str, bytes] = {}  # piece of text -> its ids
@@ -203,7 +207,10 @@ class Codec:
             new = set(chain.from_iterable(cut))
         parts = {piece: self.matches(piece) for piece in new}
         self.learn(set(chain.from_iterable(parts.values())))
-        self.known.update((piece, b"".join(map(self.words.__getitem__, words))) for piece, words in parts.items())
+        ids = self.words
+        self.known.update(
+            (piece, ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]))
+            for piece, words in parts.items())
         known = self.known.__getitem__
         out = [np.frombuffer(b"".join(map(known, pieces)), "=i4") for pieces in cut]
         for piece in new:
@@ -220,8 +227,9 @@ class Codec:
         out = self._ask(DECODE, pa.table({
             "doc": np.repeat(np.arange(len(lists), dtype=np.int32), lengths),
             "pos": (np.arange(len(ids)) - np.repeat(starts, lengths)).astype(np.int32), "id": ids}))
-        if unknown := set(np.unique(ids).tolist()) - self.tokens.keys():
-            raise ValueError(f"no such token id: {min(unknown)}")
+        inside = (ids >= 0) & (ids < len(self.has))
+        if not (inside.all() and self.has[ids].all()):
+            raise ValueError(f"no such token id: {min(set(ids.tolist()) - self.tokens.keys())}")
         text = dict(zip(out["doc"].tolist(), out["bytes"], strict=True))
         return [text.get(i, "").encode("latin-1") for i in range(len(lists))]
 
@@ -232,20 +240,21 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _groups(lengths: Iterable[int]) -> list[tuple[int, int]]:
-    """Runs of rows of about GROUP together, or one longer row."""
+def _groups(lengths: Iterable[int], most: int | None = None) -> list[tuple[int, int]]:
+    """Runs of rows of about ``most`` (GROUP) together, or one longer row."""
+    most = most or GROUP
     out, first, size, n = [], 0, 0, 0
     for n, length in enumerate(lengths, 1):
         size += length
-        if size >= GROUP:
+        if size >= most:
             out.append((first, n))
             first, size = n, 0
     return [*out, (first, n)] if first < n else out
 
 
 def _text_groups(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts (null: empty) in runs of about GROUP bytes; only one run is in Python strings at a time."""
-    for a, b in _groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+    """The texts (null: empty) in runs of about TEXT_GROUP bytes; only one run is in Python strings at a time."""
+    for a, b in _groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), TEXT_GROUP):
         yield [t or "" for t in texts.slice(a, b - a).to_pylist()]
 
 
@@ -280,7 +289,7 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
         ids, sizes, decoded = [], [0], []
         for group in _text_groups(texts):
             lists = used.encode(group)
-            decoded.append(pa.array(used.decode(lists), pa.binary()))
+            decoded += [pa.array(used.decode(lists[a:b]), pa.binary()) for a, b in _groups(map(len, lists))]
             sizes += [len(x) for x in lists]
             ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
         return pa.StructArray.from_arrays(

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -135,6 +136,18 @@ def test_small_kept_tables_change_nothing(reference, monkeypatch):
         assert [x.tolist() for x in codec.encode(TEXTS)] == [reference.encode_ordinary(t) for t in TEXTS]
 
 
+def test_a_batch_of_texts_asks_one_recursive_query(reference, monkeypatch):
+    """Every pass of the query builds a table of all merges, so a batch of 3 MB asks it once, not once per MB."""
+    asked = []
+    ask = bpe.Codec._ask
+    monkeypatch.setattr(bpe.Codec, "_ask", lambda self, sql, rows: asked.append(sql) or ask(self, sql, rows))
+    codec = bpe.Codec(PATH, PATTERN)
+    texts = ["the " * 50_000 + f"qzx{i}vvk" for i in range(15)]
+    got = [x for group in bpe._text_groups(pa.array([*texts, None])) for x in codec.encode(group)]
+    assert asked.count(bpe.ENCODE) == 1
+    assert got[7].tolist() == reference.encode_ordinary(texts[7]) and len(got) == 16 and not len(got[15])
+
+
 def test_unknown_ids_raise():
     with pytest.raises(ValueError):
         bpe.codec(PATH, PATTERN).decode([np.array([1, 60_000], np.int32)])
