@@ -66,7 +66,32 @@ def _power_tables() -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+#: Words up to so many bytes are hashed eight bytes at a time, all words at once.
+SHORT = 128
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 def hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every byte range; ranges ascend and do not overlap."""
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[:len(raw)] = raw
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+    length = ends - starts
+    out = (eight[starts] & LOW_BYTES[np.minimum(length, 8)]) * np.uint64(FACTOR)
+    out += length.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    long = np.flatnonzero(length > SHORT)
+    rest, at = np.flatnonzero((length > 8) & (length <= SHORT)), 8
+    while len(rest):
+        out[rest] = mixed(out[rest]) + (eight[starts[rest] + at] & LOW_BYTES[np.minimum(length[rest] - at, 8)]) * np.uint64(FACTOR)
+        at += 8
+        rest = rest[length[rest] > at]
+    out = mixed(out)
+    if len(long):
+        out[long] = _hashed_by_blocks(raw, starts[long], ends[long])
+    return out
+
+
+def _hashed_by_blocks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of every byte range, spread by ``mixed``; ranges ascend and do not overlap."""
     out = np.empty(len(starts), np.uint64)
     up, down = _power_tables()
@@ -106,11 +131,10 @@ def cut(texts: pa.Array, table: np.ndarray, lower: np.ndarray | None = None) ->
     kinds = table[raw]
     inside = np.zeros(len(raw) + 2, bool)
     inside[1:-1] = kinds == LETTER
-    begins, finishes = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     joints = offsets[1:-1]  # a text may end and the next begin inside one run
-    joints = joints[inside[joints] & inside[joints + 1]]
-    begins[joints] = finishes[joints] = True
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes)
+    joints = np.unique(joints[inside[joints] & inside[joints + 1]])
+    starts, ends = (np.insert(x, np.searchsorted(x, joints), joints) if len(joints) else x for x in (edges[::2], edges[1::2]))
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
     piece = None
     if (table == MARK).any():

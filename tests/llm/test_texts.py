@@ -6,6 +6,7 @@ import random
 import re
 import time
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -16,7 +17,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from casebook.llm import backoff_lm, bpe, html_text, simhash
+from casebook.llm import backoff_lm, bpe, html_text, simhash, word_arrays
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -267,6 +268,56 @@ def test_backoff_of_no_rows(spark):
     assert backoff_lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_hot_ids_are_found_where_they_are():
+    rnd = np.random.default_rng(3)
+    ids = np.unique(np.concatenate([rnd.integers(0, 2**64, 400, dtype=np.uint64), np.arange(40, dtype=np.uint64), [np.uint64(2**64 - 1)]]))
+    rows = rnd.permutation(len(ids))
+    hot = backoff_lm.Hot.of(pa.table({"id": ids[rows].view(np.int64), "n": rows}), "n")
+    asked = np.concatenate([ids, rnd.integers(0, 2**64, 400, dtype=np.uint64), np.arange(40, 80, dtype=np.uint64)])
+    at = hot.find(asked)
+    assert (at[:len(ids)] == np.arange(len(ids))).all() and (hot.columns[0] == np.arange(len(ids))).all()
+    assert (at[len(ids):] == -1).all()
+    none = backoff_lm.Hot.of(pa.table({"id": pa.array([], pa.int64())}))
+    assert (none.find(asked) == -1).all() and len(hot.find(ids[:0])) == 0
+
+
+def test_hot_parts_of_ngrams_need_no_join():
+    hot = backoff_lm.Hot.of(pa.table({"id": [1, 2], "n": [8, 4], "back_n": [100, 100]}), "n", "back_n")
+    packed = pa.table({
+        "front": [np.array([1, 1, 9], np.uint64).tobytes(), np.array([1, 2], np.uint64).tobytes()],
+        "back": [np.array([2, 9, 2], np.uint64).tobytes(), np.array([2, 1], np.uint64).tobytes()],
+        "n": [np.array([1, 2, 2], np.int32).tobytes(), np.array([1, 1], np.int32).tobytes()]})
+    got = backoff_lm._summed(2, 2, 2, SimpleNamespace(value=hot), math.log(0.4))(packed).to_pylist()
+    assert [(r["front"], r["back"], r["n"], r["back_n"]) for r in sorted(got, key=lambda r: (r["front"] or 0, r["back"] or 0))] == [
+        (None, None, 2, 4), (None, 9, 2, 0), (9, None, 2, 4)]
+    assert {(r["front"], r["back"]): r["value"] for r in got} == pytest.approx({
+        (None, None): math.log(2 / 8 / (4 / 100) / 0.4), (None, 9): math.log(2 / 8 * 100 / 0.4), (9, None): math.log(2 / 4 / 0.4)})
+
+
+def test_backoff_reads_the_texts_once_per_order_and_slice(spark, monkeypatch):
+    passes = Counter()
+    for name in ("_count", "_send"):
+        def made(*args, name=name, whole=getattr(backoff_lm, name)):
+            passes[name] += 1
+            return whole(*args)
+
+        monkeypatch.setattr(backoff_lm, name, made)
+    docs = spark.createDataFrame([(1, "a b c a b c"), (2, "a b")], "doc_id long, text string")
+    assert {r.doc_id: r.n_words for r in backoff_lm.score(docs, slices=2).collect()} == {1: 6, 2: 2}
+    assert passes == {"_count": 3, "_send": 2}
+
+
+def test_words_hash_alike_wherever_they_stand():
+    rnd = random.Random(5)
+    words = [*{"".join(rnd.choice("ab\0é") for _ in range(n)) for n in (*range(1, 40), 127, 128, 129, 300, 70_000) for _ in range(5)}]
+    texts = [" ".join(rnd.sample(words, len(words))), "", None, *words[:9], "  ".join(words)]
+    got = word_arrays.cut(pa.array(texts), word_arrays.classes(" \n"))
+    said = [bytes(got.raw[a:b]) for a, b in zip(got.starts, got.ends, strict=True)]
+    assert said == [w.encode() for t in texts for w in (t or "").split(" ") if w]
+    assert len(set(zip(said, got.hashes.tolist(), strict=True))) == len(set(said)) == len(set(got.hashes.tolist()))
+    assert got.text.tolist() == [k for k, t in enumerate(texts) for w in (t or "").split(" ") if w]
+
+
 def test_bit_table_holds_its_ids():
     rnd = np.random.default_rng(1)
     ids, others = rnd.integers(0, 2**63, 500, dtype=np.uint64), rnd.integers(0, 2**63, 500, dtype=np.uint64)
