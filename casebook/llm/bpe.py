@@ -46,8 +46,6 @@ KEPT_WORDS = 600_000
 KEPT_PIECES = 500_000
 LONG_PIECE = 100
 MARKS = ".,;:!?"
-#: White space next to a blank, where the pattern may join the two, and a blank without.
-BESIDE_BLANK = re.compile("[\\s\x1c-\x1f\x85] | [\\s\x1c-\x1f\x85]")
 #: Bytes of distinct words in one recursive query.
 QUERY_BYTES = 300_000
 #: Longer words contract the same pairs from a heap: a query would need a pass over the word per pair.
@@ -79,6 +77,7 @@ SELECT doc, array_to_string(list(bytes ORDER BY pos), '') AS bytes
 FROM given JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 """
 
+#: A blank with no white space beside it; the pattern may join it to such.
 LONE_BLANK = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
@@ -97,7 +96,7 @@ class Codec:
         self.has[list(self.tokens)] = True
         self.cut = regex.compile(pattern).findall
         self.single = np.array([FIRST_CHARACTER + self.ranks[bytes([i])] for i in range(256)], "<u4")
-        self.known: dict[str, bytes] = {}  # piece of text -> its ids
+        self.known: dict[str, bytes] = {}  # piece of text, without its blank -> its ids
         self.words: dict[str, bytes] = {}  # word -> its ids, four bytes each
         pairs = [(a, b, rank) for token, rank in self.ranks.items() for k in range(1, len(token))
                  if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None]
@@ -122,15 +121,15 @@ class Codec:
         finally:
             self.db.unregister("given")
 
-    def learn(self, texts: Iterable[str]) -> None:
+    def learn(self, texts: set[str]) -> None:
         """Encode words that are not known yet."""
-        if len(self.words) + len(texts) > KEPT_WORDS:
+        new = texts.difference(self.words)
+        if len(self.words) + len(new) > KEPT_WORDS:
             self.words.clear()
+            new = texts
         todo: list[tuple[str, bytes]] = []
         size = 0
-        for text in texts:
-            if text in self.words:
-                continue
+        for text in new:
             raw = text.encode("utf-8", "surrogatepass")
             if (rank := self.ranks.get(raw)) is not None:
                 self.words[text] = packed([rank])
@@ -178,44 +177,48 @@ class Codec:
                     heapq.heappush(heap, (m, x, ids[x], ids[y]))
         return [x for x in ids if x is not None]
 
-    def pieces(self, text: str) -> list[str]:
-        """A text in pieces that the pattern cuts alike on their own.
+    def pieces(self, texts: list[str]) -> tuple[list[str], list[list[str]], set[str]]:
+        """What stands before the first blank of each text, the pieces behind blanks, and the pieces not known yet.
 
-        A blank between two characters that are no white space begins a match, so
-        such a text falls apart there; any other is one piece.
+        A blank between two characters that are no white space begins a match, so a text falls apart
+        there and the pattern cuts each piece alike on its own.  If a piece shows white space at an end,
+        the blank there may not be such a one, and that text is only cut where it is.
         """
-        if BESIDE_BLANK.search(text):
-            first, *rest = LONE_BLANK.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        rest = [text.split(" ") for text in texts]
+        heads = [pieces.pop(0) for pieces in rest]
+        new = set(chain.from_iterable(rest)).difference(self.known)
+        uneven = {x for x in chain(new, heads) if not x or x.strip() != x}
+        if uneven:
+            for k, pieces in enumerate(rest):
+                if pieces and (heads[k] in uneven or not uneven.isdisjoint(pieces)):
+                    heads[k], *rest[k] = LONE_BLANK.split(texts[k])
+            new = set(chain.from_iterable(rest)).difference(self.known)
+        return heads, rest, new
 
     def matches(self, piece: str) -> list[str]:
-        """The pattern's matches; a blank with letters, and a mark behind them, need no search."""
-        if piece[:1] == " ":
-            if piece[1:].isalpha():
-                return [piece]
-            if piece[-1] in MARKS and piece[1:-1].isalpha():
-                return [piece[:-1], piece[-1]]
-        return self.cut(piece)
+        """The pattern's matches in a blank and a piece; letters, and a mark behind them, need no search."""
+        if piece.isalpha():
+            return [" " + piece]
+        if piece[-1] in MARKS and piece[:-1].isalpha():
+            return [" " + piece[:-1], piece[-1]]
+        return self.cut(" " + piece)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
-        new = set(chain.from_iterable(cut)) - self.known.keys()
+        heads, rest, new = self.pieces(texts)
         if len(self.known) + len(new) > KEPT_PIECES:
             self.known.clear()
-            new = set(chain.from_iterable(cut))
-        parts = {piece: self.matches(piece) for piece in new}
-        self.learn(set(chain.from_iterable(parts.values())))
-        ids = self.words
-        self.known.update(
-            (piece, ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]))
-            for piece, words in parts.items())
+            new = set(chain.from_iterable(rest))
+        parts = [self.matches(piece) for piece in new]
+        first = [self.cut(head) for head in heads]
+        self.learn(set(chain.from_iterable(chain(parts, first))))
+        ids = self.words.__getitem__
+        self.known.update(zip(new, [
+            ids(words[0]) if len(words) == 1 else b"".join(map(ids, words)) for words in parts], strict=True))
         known = self.known.__getitem__
-        out = [np.frombuffer(b"".join(map(known, pieces)), "=i4") for pieces in cut]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del self.known[piece]
+        out = [np.frombuffer(b"".join(chain(map(ids, words), map(known, pieces))), "=i4")
+               for words, pieces in zip(first, rest, strict=True)]
+        for piece in [x for x in new if len(x) > LONG_PIECE or x.strip() != x]:
+            del self.known[piece]
         return out
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:

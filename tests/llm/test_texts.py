@@ -137,6 +137,24 @@ def test_small_kept_tables_change_nothing(reference, monkeypatch):
         assert [x.tolist() for x in codec.encode(TEXTS)] == [reference.encode_ordinary(t) for t in TEXTS]
 
 
+def test_white_space_beside_blanks_does_not_depend_on_what_came_before(reference):
+    codec = bpe.Codec(PATH, PATTERN)
+    texts = ["a b c", "a b\n", "a b\n c", " b c", "  b  c ", "b ", " ", "", "a \x1cb c", "a b\x85 c", "a\u3000 b", "b\n c b\n", "x  b c  "]
+    for batch in (texts, texts[::-1], *[[t] for t in texts]):  # pieces that are known, and that are not
+        assert [x.tolist() for x in codec.encode(batch)] == [reference.encode_ordinary(t) for t in batch]
+
+
+def test_known_words_are_kept_while_new_ones_fit(monkeypatch):
+    codec = bpe.Codec(PATH, PATTERN)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 4)
+    codec.learn({"qzxv", "wkjq"})
+    codec.learn({"qzxv", "wkjq", "vvkq"})  # three at most, though 2 + 3 > 4
+    asked = []
+    monkeypatch.setattr(codec, "_query", lambda todo: asked.extend(w for w, _ in todo))
+    codec.learn({"qzxv", "wkjq", "vvkq"})
+    assert asked == []
+
+
 def test_a_batch_of_texts_asks_one_recursive_query(reference, monkeypatch):
     """Every pass of the query builds a table of all merges, so a batch of 3 MB asks it once, not once per MB."""
     asked = []
