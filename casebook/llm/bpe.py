@@ -22,8 +22,10 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import threading
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -37,13 +39,17 @@ from pyspark.sql import functions as F
 
 from .common import prepare_workers
 
-#: Characters of text, and ids, that one query works on.  Each pass of the recursive query builds
+#: Characters of text that one query works on.  Each pass of the recursive query builds
 #: a table of all merges, so texts go by more at a time, which new words are a small part of.
 TEXT_GROUP = 4_000_000
-GROUP = 1_000_000
+#: Characters that are in pieces at a time, and ids that one query decodes: beside the tables, a worker holds little more.
+GROUP = 250_000
 #: Words, and pieces of text, that a worker keeps between batches; beyond, it starts anew.
 KEPT_WORDS = 600_000
 KEPT_PIECES = 500_000
+#: Seconds without a batch after which a worker gives its tables back: Spark keeps idle workers for a
+#: minute and hands them to other stages, beside whose own memory the tables would stand.
+IDLE_SECONDS = 3.0
 LONG_PIECE = 100
 MARKS = ".,;:!?"
 #: Bytes of distinct words in one recursive query.
@@ -177,23 +183,30 @@ class Codec:
                     heapq.heappush(heap, (m, x, ids[x], ids[y]))
         return [x for x in ids if x is not None]
 
-    def pieces(self, texts: list[str]) -> tuple[list[str], list[list[str]], set[str]]:
-        """What stands before the first blank of each text, the pieces behind blanks, and the pieces not known yet.
+    def pieces(self, texts: list[str]) -> tuple[list[str], set[int], set[str]]:
+        """What stands before the first blank of each text, the texts that ``LONE_BLANK`` cuts, and the pieces not known yet.
 
         A blank between two characters that are no white space begins a match, so a text falls apart
         there and the pattern cuts each piece alike on its own.  If a piece shows white space at an end,
         the blank there may not be such a one, and that text is only cut where it is.
         """
-        rest = [text.split(" ") for text in texts]
-        heads = [pieces.pop(0) for pieces in rest]
-        new = set(chain.from_iterable(rest)).difference(self.known)
-        uneven = {x for x in chain(new, heads) if not x or x.strip() != x}
-        if uneven:
-            for k, pieces in enumerate(rest):
-                if pieces and (heads[k] in uneven or not uneven.isdisjoint(pieces)):
-                    heads[k], *rest[k] = LONE_BLANK.split(texts[k])
-            new = set(chain.from_iterable(rest)).difference(self.known)
-        return heads, rest, new
+        heads: list[str] = []
+        careful: set[int] = set()
+        new: set[str] = set()
+        for a, b in _groups(map(len, texts), GROUP):
+            rest = [text.split(" ") for text in texts[a:b]]
+            first = [pieces.pop(0) for pieces in rest]
+            unknown = set(chain.from_iterable(rest)).difference(self.known)
+            uneven = {x for x in chain(unknown, first) if not x or x.strip() != x}
+            if uneven:
+                for k, pieces in enumerate(rest):
+                    if pieces and (first[k] in uneven or not uneven.isdisjoint(pieces)):
+                        first[k], *rest[k] = LONE_BLANK.split(texts[a + k])
+                        careful.add(a + k)
+                unknown = set(chain.from_iterable(rest)).difference(self.known)
+            heads += first
+            new |= unknown
+        return heads, careful, new
 
     def matches(self, piece: str) -> list[str]:
         """The pattern's matches in a blank and a piece; letters, and a mark behind them, need no search."""
@@ -204,10 +217,10 @@ class Codec:
         return self.cut(" " + piece)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        heads, rest, new = self.pieces(texts)
+        heads, careful, new = self.pieces(texts)
         if len(self.known) + len(new) > KEPT_PIECES:
             self.known.clear()
-            new = set(chain.from_iterable(rest))
+            heads, careful, new = self.pieces(texts)
         parts = [self.matches(piece) for piece in new]
         first = [self.cut(head) for head in heads]
         self.learn(set(chain.from_iterable(chain(parts, first))))
@@ -215,8 +228,10 @@ class Codec:
         self.known.update(zip(new, [
             ids(words[0]) if len(words) == 1 else b"".join(map(ids, words)) for words in parts], strict=True))
         known = self.known.__getitem__
-        out = [np.frombuffer(b"".join(chain(map(ids, words), map(known, pieces))), "=i4")
-               for words, pieces in zip(first, rest, strict=True)]
+        # the texts fall apart once more, one at a time: the pieces of all would stand beside the tables
+        out = [np.frombuffer(b"".join(chain(map(ids, words), map(known, (
+            LONE_BLANK.split(text) if k in careful else text.split(" "))[1:]))), "=i4")
+               for k, (words, text) in enumerate(zip(first, texts, strict=True))]
         for piece in [x for x in new if len(x) > LONG_PIECE or x.strip() != x]:
             del self.known[piece]
         return out
@@ -243,6 +258,29 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+_idle: threading.Timer | None = None
+
+
+def _forget() -> None:
+    """Drop the kept codecs; a batch that still works with one keeps its own until it ends."""
+    codec.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
+@contextmanager
+def codec_at_work(path: str, pattern: str) -> Iterator[Codec]:
+    """The worker's codec for one batch.  It stays for the next one, of any task, that begins within IDLE_SECONDS."""
+    global _idle
+    if _idle is not None:
+        _idle.cancel()
+    try:
+        yield codec(path, pattern)
+    finally:
+        _idle = threading.Timer(IDLE_SECONDS, _forget)
+        _idle.daemon = True
+        _idle.start()
+
+
 def _groups(lengths: Iterable[int], most: int | None = None) -> list[tuple[int, int]]:
     """Runs of rows of about ``most`` (GROUP) together, or one longer row."""
     most = most or GROUP
@@ -273,10 +311,11 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def bpe_encode(texts: pa.Array) -> pa.Array:
         ids, sizes = [], [0]
-        for group in _text_groups(texts):
-            lists = codec(path, pattern).encode(group)
-            sizes += [len(x) for x in lists]
-            ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
+        with codec_at_work(path, pattern) as used:
+            for group in _text_groups(texts):
+                lists = used.encode(group)
+                sizes += [len(x) for x in lists]
+                ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
         return _lists(ids, sizes)
 
     return bpe_encode(text)
@@ -288,13 +327,13 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def bpe_round_trip(texts: pa.Array) -> pa.Array:
-        used = codec(path, pattern)
         ids, sizes, decoded = [], [0], []
-        for group in _text_groups(texts):
-            lists = used.encode(group)
-            decoded += [pa.array(used.decode(lists[a:b]), pa.binary()) for a, b in _groups(map(len, lists))]
-            sizes += [len(x) for x in lists]
-            ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
+        with codec_at_work(path, pattern) as used:
+            for group in _text_groups(texts):
+                lists = used.encode(group)
+                decoded += [pa.array(used.decode(lists[a:b]), pa.binary()) for a, b in _groups(map(len, lists))]
+                sizes += [len(x) for x in lists]
+                ids.append(np.concatenate([np.zeros(0, np.int32), *lists]))
         return pa.StructArray.from_arrays(
             [_lists(ids, sizes), pa.concat_arrays([pa.array([], pa.binary()), *decoded])], ["ids", "decoded"])
 
@@ -312,7 +351,8 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
         absent = lists.is_null().to_pylist()
         rows = [values[:0] if none else values[a:b]
                 for none, a, b in zip(absent, offsets, offsets[1:], strict=False)]
-        out = [x for a, b in _groups(map(len, rows)) for x in codec(path, pattern).decode(rows[a:b])]
+        with codec_at_work(path, pattern) as used:
+            out = [x for a, b in _groups(map(len, rows)) for x in used.decode(rows[a:b])]
         return pa.array(out, pa.binary())
 
     return bpe_decode(ids)

@@ -5,6 +5,8 @@ import math
 import random
 import re
 import time
+import tracemalloc
+import weakref
 from collections import Counter
 from types import SimpleNamespace
 
@@ -167,6 +169,53 @@ def test_a_batch_of_texts_asks_one_recursive_query(reference, monkeypatch):
     assert got[7].tolist() == reference.encode_ordinary(texts[7]) and len(got) == 16 and not len(got[15])
 
 
+def test_pieces_of_a_batch_do_not_stand_together(reference):
+    """A batch of 4 MB has some 700,000 pieces, 40 MB as strings; the texts fall apart a few at a time."""
+    codec = bpe.Codec(PATH, PATTERN)
+    texts = ["the quick brown fox " * 12_500] * 8 + ["a b  c d\n " * 25_000] * 8
+    want = codec.encode(texts)
+    tracemalloc.start()
+    try:
+        got = codec.encode(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 25e6
+    assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+    assert got[0].tolist() == reference.encode_ordinary(texts[0]) and got[8].tolist() == reference.encode_ordinary(texts[8])
+
+
+def test_an_idle_worker_gives_its_tables_back(monkeypatch):
+    """Idle workers stand beside other stages for a minute, or serve them."""
+    bpe.codec.cache_clear()
+    monkeypatch.setattr(bpe, "IDLE_SECONDS", 1.0)
+    with bpe.codec_at_work(PATH, PATTERN) as first:
+        first.encode(["qzxv wkjq"])
+    with bpe.codec_at_work(PATH, PATTERN) as second:  # the next batch comes in time
+        assert second is first and first.words
+        time.sleep(1.5)  # a long batch keeps what it has
+        assert bpe.codec(PATH, PATTERN) is first
+    gone = weakref.ref(first)
+    del first, second
+    until = time.monotonic() + 30
+    while gone() is not None and time.monotonic() < until:
+        time.sleep(0.1)
+    assert gone() is None and bpe.codec.cache_info().currsize == 0
+
+
+def test_idle_workers_of_spark_give_their_tables_back(spark):
+    @F.arrow_udf("int")
+    def kept(x: pa.Array) -> pa.Array:
+        from casebook.llm import bpe
+
+        return pa.array([bpe.codec.cache_info().currsize] * len(x), pa.int32())
+
+    docs = spark.range(8).repartition(4).select("id", F.lit("qzxv wkjq").alias("text"))
+    assert docs.select(bpe.encode(F.col("text"), PATH, PATTERN).alias("i")).collect()
+    time.sleep(bpe.IDLE_SECONDS + 2)
+    assert {r.n for r in docs.select(kept("id").alias("n")).collect()} == {0}
+
+
 def test_unknown_ids_raise():
     with pytest.raises(ValueError):
         bpe.codec(PATH, PATTERN).decode([np.array([1, 60_000], np.int32)])
