@@ -26,7 +26,7 @@ import threading
 from array import array
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import duckdb
@@ -104,9 +104,7 @@ class Codec:
         self.single = np.array([FIRST_CHARACTER + self.ranks[bytes([i])] for i in range(256)], "<u4")
         self.known: dict[str, bytes] = {}  # piece of text, without its blank -> its ids
         self.words: dict[str, bytes] = {}  # word -> its ids, four bytes each
-        pairs = [(a, b, rank) for token, rank in self.ranks.items() for k in range(1, len(token))
-                 if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None]
-        self.merge = {(a, b): rank for a, b, rank in pairs}
+        pairs = list(self._pairs())
         self.db = duckdb.connect(":memory:", config={"threads": 1, "temp_directory": ""})
         self._store("merges", pa.table({
             "pair": pa.array([chr(FIRST_CHARACTER + a) + chr(FIRST_CHARACTER + b) for a, b, _ in pairs]),
@@ -115,6 +113,18 @@ class Codec:
             "id": pa.array(self.tokens, pa.int32()),
             "bytes": pa.array([t.decode("latin-1") for t in self.tokens.values()])}))  # a character per byte
 
+    def _pairs(self) -> Iterator[tuple[int, int, int]]:
+        """Every pair of tokens that is a token, and its rank."""
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None:
+                    yield a, b, rank
+
+    @cached_property
+    def merge(self) -> dict[tuple[int, int], int]:
+        """For long words alone, so it is made when the first one comes."""
+        return {(a, b): rank for a, b, rank in self._pairs()}
+
     def _store(self, name: str, rows: pa.Table) -> None:
         self.db.register("loading", rows)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM loading")
@@ -264,7 +274,6 @@ _idle: threading.Timer | None = None
 def _forget() -> None:
     """Drop the kept codecs; a batch that still works with one keeps its own until it ends."""
     codec.cache_clear()
-    pa.default_memory_pool().release_unused()
 
 
 @contextmanager
@@ -276,6 +285,7 @@ def codec_at_work(path: str, pattern: str) -> Iterator[Codec]:
     try:
         yield codec(path, pattern)
     finally:
+        pa.default_memory_pool().release_unused()
         _idle = threading.Timer(IDLE_SECONDS, _forget)
         _idle.daemon = True
         _idle.start()
